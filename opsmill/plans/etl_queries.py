@@ -110,7 +110,7 @@ def normalise_case(t: Tables):
 
 
 @query("cln_3_enforce_types", """
-SELECT order_id, customer_id, CAST(quantity AS BIGINT) AS quantity, round(price, 6) AS price,
+SELECT order_id, customer_id, CAST(quantity AS BIGINT) AS quantity, price,
        discount_applied = 1 AS discount_applied, is_subscription = 1 AS is_subscription, returned = 1 AS returned
 FROM raw_orders""", exact=("price",))
 def types(t: Tables):

@@ -101,4 +101,25 @@ SELECT l_orderkey AS order_id, l_linenumber AS line_no, l_partkey AS product_id,
             WHEN 2 THEN 'opened' ELSE 'unopened' END AS item_condition
 FROM {lineitem} JOIN {shipments} s ON s.order_id = l_orderkey
 WHERE l_returnflag = 'R' AND delivered_on IS NOT NULL""",
+    "product_stock": """
+SELECT p_partkey AS product_id, CAST(p_partkey * 13 % 25 AS INT) AS stock, p_partkey % 50 = 9 AS discontinued
+FROM {part}""",
+    # Products of one brand, type and size form a set named by its first product.
+    "set_components": """
+SELECT set_id, p_partkey AS product_id
+FROM {part} p JOIN (SELECT p_brand AS b, p_type AS y, p_size AS z, min(p_partkey) AS set_id
+                    FROM {part} GROUP BY p_brand, p_type, p_size) s ON p_brand = b AND p_type = y AND p_size = z""",
+    "received_items": """
+SELECT l_orderkey AS order_id, l_partkey + CASE WHEN l_orderkey % 9 = 4 THEN 1 ELSE 0 END AS product_id
+FROM {lineitem}""",
+    "ordered_items": "SELECT l_orderkey AS order_id, l_partkey AS product_id FROM {lineitem}",
+    "attempts": """
+SELECT event_id AS attempt_id, user_id AS account_id, ts AS attempted_at, event_type = 'error' AS failed,
+       CASE WHEN value < 10 THEN 'payment' WHEN value < 50 THEN 'address' ELSE 'out_of_stock' END AS reason
+FROM {events}""",
+    "product_facts": """
+SELECT p_partkey AS product_id, CAST(p_partkey % 6 AS INT) AS ingredient_a, CAST(p_partkey % 4 + 6 AS INT) AS ingredient_b,
+       0.5 * (p_partkey % 7) AS concentration, p_partkey % 5 <> 0 AS pregnancy_safe,
+       CAST(p_partkey % 12 AS INT) AS step_group
+FROM {part}""",
 }
