@@ -110,13 +110,14 @@ def oracle(name: str) -> str | None:
     if sql is None:
         return None
     order: list[str] = []
+    seen: set[str] = set()
 
     def visit(text: str) -> None:
         for word in dict.fromkeys(re.findall(r"\b[a-z_0-9]+\b", text)):
-            if word in ORACLE_STEPS and word not in order:
+            if word in ORACLE_STEPS and word not in seen:
+                seen.add(word)
                 visit(ORACLE_STEPS[word])
-                if word not in order:
-                    order.append(word)
+                order.append(word)
 
     visit(sql)
     if not order:
