@@ -61,8 +61,7 @@ def embed_once(texts: DataFrame, cache: DataFrame, embed: Callable[[Column], Col
     """Vectors for all rows of ``texts`` (key columns and ``text``), reusing
     ``cache`` (text_hash, vec). Equal texts, also many copies in one input, are
     embedded once. Returns (text_hash, vec, cached) per distinct text."""
-    distinct = (texts.select(F.sha2("text", 256).alias("text_hash"), "text")
-                .dropDuplicates(["text_hash"]))
+    distinct = texts.select(F.sha2("text", 256).alias("text_hash"), "text").distinct()
     missing = distinct.join(cache.select("text_hash"), "text_hash", "left_anti")
     known = cache.join(distinct.select("text_hash"), "text_hash", "left_semi")
     return (known.select("text_hash", "vec", F.lit(True).alias("cached"))

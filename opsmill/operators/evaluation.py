@@ -127,11 +127,11 @@ def cohen_kappa(ratings: DataFrame, first: str, second: str) -> DataFrame:
     total = cells.agg(F.sum("n").alias("total"), F.sum(F.when(F.col("a") == F.col("b"), F.col("n")).otherwise(0)).alias("agree"))
     rows = cells.groupBy(F.col("a").alias("g")).agg(F.sum("n").alias("ra"))
     cols = cells.groupBy(F.col("b").alias("g")).agg(F.sum("n").alias("rb"))
-    chance = rows.join(cols, "g").agg(F.coalesce(F.sum(F.col("ra").cast("double") * F.col("rb")), F.lit(0.0)).alias("cross"))
-    df = total.withColumn("_k", F.lit(1)).join(chance.withColumn("_k", F.lit(1)), "_k")
+    cross = rows.join(cols, "g").agg(F.coalesce(F.sum(F.col("ra").cast("double") * F.col("rb")), F.lit(0.0))).scalar()
     po = ratio(F.col("agree"), F.col("total"))
     pe = F.try_divide(F.col("cross"), F.col("total").cast("double") * F.col("total"))
-    return df.select("total", po.alias("observed"), pe.alias("expected"), F.try_divide(po - pe, 1 - pe).alias("kappa"))
+    return total.withColumn("cross", cross).select(
+        "total", po.alias("observed"), pe.alias("expected"), F.try_divide(po - pe, 1 - pe).alias("kappa"))
 
 
 def regressions(before: DataFrame, after: DataFrame) -> DataFrame:

@@ -139,9 +139,8 @@ def processing_sla(shipments: DataFrame, busy_factor: float = 1.5) -> DataFrame:
     """Hours from order to shipment against the promise of its season. A day
     is busy when its orders exceed ``busy_factor`` times the daily mean."""
     daily = shipments.groupBy(F.col("ordered_at").alias("day")).agg(F.count("*").alias("n"))
-    mean = daily.agg(F.avg("n").alias("mean_n"))
-    busy = (daily.withColumn("_k", F.lit(1)).join(mean.withColumn("_k", F.lit(1)), "_k")
-            .filter(F.col("n") > busy_factor * F.col("mean_n"))
+    mean = daily.agg(F.avg("n")).scalar()
+    busy = (daily.filter(F.col("n") > busy_factor * mean)
             .select(F.col("day").alias("ordered_at"), F.lit(True).alias("busy")))
     df = shipments.join(busy, "ordered_at", "left")
     allowed = (F.when(in_yearly_period(F.col("ordered_at"), config.SHIPPING_PEAK), config.PEAK_PROCESSING_HOURS)

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from opsmill.functions.text import token_count
 from opsmill.operators import chunking, embedding, evaluation, retrieval
-from opsmill.plans.fixtures import AS_OF  # noqa: F401
 from opsmill.plans.registry import Tables, query, step
+from opsmill.sources.tables import spread
 
 SIZE, OVERLAP = 500, 50
 ARMS = {"hash_64": 64, "hash_256": 256}
@@ -132,9 +132,7 @@ SELECT label AS id, list(m ORDER BY i) AS v FROM (
 # --- Spark bindings ---------------------------------------------------------
 
 def documents(t: Tables):
-    """The corpus over all cores: the supplied file is one split."""
-    docs = t.documents
-    return docs.repartition(max(8, t.spark.sparkContext.defaultParallelism))
+    return spread(t.documents)
 
 
 def fixed_chunks(t: Tables):

@@ -29,6 +29,13 @@ def load_raw(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame, Data
             load_table(spark, f"{root}/orders", ORDER_SCHEMA))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores when the input has fewer splits than there are
+    cores, as one small file has; a large input keeps its splits."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def load_corpus(spark: SparkSession, path: str) -> DataFrame:
     """One row per text file: file name as source, whole file as text."""
     return (spark.read.option("wholetext", True).text(path)
