@@ -171,3 +171,11 @@ def decide(requests: DataFrame, products: DataFrame) -> DataFrame:
     inputs = F.to_json(F.struct("days_used", "item_condition", "is_vip", "window_rule"))
     return df.select("order_id", "line_no", "product_id", "customer_id", "decision", "refund_form", "approval",
                      fired.alias("rules"), inputs.alias("inputs"))
+
+
+def evidence_pack(decisions: DataFrame, hits: DataFrame, topic: str, key: str) -> DataFrame:
+    """Each decision with the best corpus rows of its topic. ``hits`` has
+    query_id, rank, distance and ``key``: at most k rows per topic."""
+    best = hits.groupBy("query_id").agg(F.array_sort(F.collect_list(
+        F.struct("rank", F.col(key).alias("id"), "distance"))).alias("evidence"))
+    return decisions.join(best.withColumnRenamed("query_id", topic), topic, "left")

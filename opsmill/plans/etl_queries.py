@@ -235,7 +235,7 @@ def tenure(t: Tables):
 
 
 HISTORY_SQL = """customer_id, total_orders, CAST(CAST(first_order_date AS DATE) AS VARCHAR) AS first_order_date,
-       CAST(CAST(last_order_date AS DATE) AS VARCHAR) AS last_order_date, round(total_revenue, 6) AS total_revenue"""
+       CAST(CAST(last_order_date AS DATE) AS VARCHAR) AS last_order_date, round(total_revenue, 4) AS total_revenue"""
 
 
 @query("fea_2_customer_history", f"SELECT {HISTORY_SQL} FROM history")
@@ -277,12 +277,12 @@ def value(t: Tables):
 
 
 @query("fea_9_product_sales", """
-SELECT product_id, num_orders, units_sold, round(total_revenue, 6) AS total_revenue FROM sales""")
+SELECT product_id, num_orders, units_sold, round(total_revenue, 4) AS total_revenue FROM sales""")
 def sales(t: Tables):
     return features.product_sales(features.order_value(t.lines))
 
 
-PRODUCT_SQL = """product_id, name, category, margin_pct, num_orders, units_sold, round(total_revenue, 6) AS total_revenue"""
+PRODUCT_SQL = """product_id, name, category, margin_pct, num_orders, units_sold, round(total_revenue, 4) AS total_revenue"""
 
 
 @query("fea_10_product_features", f"SELECT {PRODUCT_SQL} FROM products_f")

@@ -7,9 +7,11 @@ from functools import partial
 from pyspark.sql import functions as F
 
 from opsmill.functions.text import token_count
-from opsmill.operators import chunking, embedding, evaluation, retrieval
+from opsmill.operators import chunking, embedding, evaluation, retrieval, returns
+from opsmill.plans.policy_queries import vip_windows
 from opsmill.plans.registry import Tables, query, step
-from opsmill.sources.tables import spread
+from opsmill.session import scratch_path
+from opsmill.sources.tables import parse_cases, replace_table, save_report, spread
 
 SIZE, OVERLAP = 500, 50
 ARMS = {"hash_64": 64, "hash_256": 256}
@@ -559,3 +561,54 @@ FROM results a JOIN results b USING (test_id) WHERE a.arm = 'hash_64' AND b.arm
 def regressions(t: Tables):
     r = results(t)
     return evaluation.regressions(r.filter("arm = 'hash_64'"), r.filter("arm = 'hash_256'"))
+
+
+# --- sources and sinks over text and results --------------------------------
+
+@query("src_2_load_corpus", "SELECT source, count(*) AS n_documents, CAST(sum(length(text)) AS BIGINT) AS n_chars FROM documents GROUP BY 1")
+def load_corpus(t: Tables):
+    corpus = t.documents.select("source", "text")
+    return corpus.groupBy("source").agg(F.count("*").alias("n_documents"), F.sum(F.length("text")).alias("n_chars"))
+
+
+@query("src_3_parse_cases", """
+SELECT test_id AS id, category, difficulty, query, array_to_string(expected_sources, ',') AS expected_sources,
+       '{"n_sources":' || len(expected_sources) || '}' AS expected_data FROM cases""")
+def parsed_cases(t: Tables):
+    c = cases(t).select(F.col("test_id").alias("id"), "category", "difficulty", "query", "expected_sources",
+                        F.struct(F.size("expected_sources").alias("n_sources")).alias("expected_data"))
+    parsed = parse_cases(c.select(F.to_json(F.struct(*c.columns)).alias("value")))
+    return parsed.select(F.col("id").cast("bigint").alias("id"), "category", "difficulty", "query",
+                         "expected_sources", "expected_data")
+
+
+@query("snk_1_replace_tables", """
+SELECT strftime(order_date, '%Y-%m') AS order_month, count(*) AS n_lines, CAST(sum(quantity) AS BIGINT) AS units,
+       round(sum(order_value), 4) AS total_revenue FROM orders_f GROUP BY 1""")
+def write_orders(t: Tables):
+    path = scratch_path(t.spark, "orders")
+    lines = t.valued_lines.withColumn("order_month", F.date_format("order_date", "yyyy-MM"))
+    replace_table(lines, path, "order_month")
+    return t.spark.read.parquet(path).groupBy("order_month").agg(
+        F.count("*").alias("n_lines"), F.sum("quantity").alias("units"), F.sum("order_value").alias("total_revenue"))
+
+
+@query("snk_2_nested_report", """
+SELECT test_id, arm, sources_match, len(retrieved_sources) AS n_retrieved, top_distance FROM results""")
+def write_report(t: Tables):
+    path = scratch_path(t.spark, "report")
+    save_report(results(t), path)
+    schema = "test_id BIGINT, arm STRING, sources_match BOOLEAN, top_distance DOUBLE, retrieved ARRAY<STRUCT<rank: INT, source: STRING>>"
+    return t.spark.read.schema(schema).json(path).select(
+        "test_id", "arm", "sources_match", F.size("retrieved").alias("n_retrieved"), "top_distance")
+
+
+@query("pol_34_evidence_pack", """
+SELECT order_id, line_no, product_id, item_condition, eligible, h.ids AS evidence FROM windowed
+LEFT JOIN (SELECT query_id, string_agg(vec_id::VARCHAR, ',' ORDER BY rank) AS ids FROM label_hits GROUP BY 1) h ON h.query_id = product_id % 10""")
+def evidence(t: Tables):
+    requests = vip_windows(t).withColumn("topic", (F.col("product_id") % 10).cast("int"))
+    corpus = t.embeddings.select("vec_id", F.col("embedding").alias("vec"))
+    hits = retrieval.nearest(corpus, label_queries(t), "vec_id")
+    df = returns.evidence_pack(requests, hits, "topic", "vec_id")
+    return df.select("order_id", "line_no", "product_id", "item_condition", "eligible", F.col("evidence.id").alias("evidence"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -29,8 +30,13 @@ def build_session(name: str = "opsmill", master: str | None = None, **conf: str)
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names; one of our own only where unset."""
     sc = spark.sparkContext
-    path = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
         path = tempfile.mkdtemp(prefix="opsmill-", dir=os.environ.get("TMPDIR"))
         sc.setCheckpointDir(path)
     return path
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new folder for one written table in the shared folder."""
+    return f"{checkpoint_dir(spark)}/opsmill-{name}-{uuid.uuid4().hex}"
