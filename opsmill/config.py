@@ -21,8 +21,13 @@ STATE_ABBREVIATIONS = {
     "massachusetts": "MA",
 }
 
-# Tried in this order; the first pattern that fits the whole string wins.
-DATE_PATTERNS = ("yyyy-M-d", "M/d/yyyy", "yyyy-M-d'T'H:m:s")
+# (shape, pattern) tried in this order; the first that fits the whole string
+# wins. The shape is checked first because a failing parse is dear.
+DATE_PATTERNS = (
+    (r"^\d{4}-\d{1,2}-\d{1,2}$", "yyyy-M-d"),
+    (r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy"),
+    (r"^\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{1,2}:\d{1,2}$", "yyyy-M-d'T'H:m:s"),
+)
 
 GUEST_CUSTOMER_ID = -1
 GUEST_EMAIL = "guest@unknown.com"

@@ -44,7 +44,7 @@ def lookup(key: Column, mapping: dict) -> Column:
 
 def parse_date(c: Column, patterns=config.DATE_PATTERNS) -> Column:
     """First pattern that fits the whole string, null when none does."""
-    return F.coalesce(*[F.try_to_timestamp(c, F.lit(p)) for p in patterns])
+    return F.coalesce(*[F.when(c.rlike(shape), F.try_to_timestamp(c, F.lit(p))) for shape, p in patterns])
 
 
 def season(month: Column) -> Column:

@@ -8,12 +8,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opsmill.functions.columns import strip
 from opsmill.functions.text import preview, split_literal, token_count, words
-from opsmill.operators.embedding import embed_tokens
+from opsmill.operators.embedding import neighbour_distances, token_slots
 
 SEPARATORS = ("\n\n", "\n", ". ", " ", "")
 
@@ -94,11 +94,11 @@ def _pack(pieces: Column, counts: Column, size: int, overlap: int, sep_tokens: i
     return F.aggregate(pieces, init, once, last)
 
 
-def _emit(df: DataFrame, texts: Column, strategy: str, metadata: dict) -> DataFrame:
+def _emit(df: DataFrame, texts: Column, strategy: str, metadata: dict, trim: bool = True) -> DataFrame:
     """One row per non-empty chunk text, numbered in order."""
     meta = F.create_map(*[F.lit(str(x)) for item in metadata.items() for x in item])
-    kept = F.filter(F.transform(texts, strip), lambda x: x != "")
-    keep = [c for c in df.columns if c not in ("text", "_pieces", "_ranges")]
+    kept = F.filter(F.transform(texts, strip) if trim else texts, lambda x: x != "")
+    keep = [c for c in df.columns if c != "text" and not c.startswith("_")]
     rows = df.select(*keep, F.posexplode(kept).alias("chunk_index", "text"))
     return rows.withColumns({"token_count": token_count(F.col("text")),
                              "strategy": F.lit(strategy), "metadata": meta})
@@ -132,64 +132,71 @@ def recursive(docs: DataFrame, chunk_size: int = 500, chunk_overlap: int = 50,
     return _pack_and_emit(df, chunk_size, chunk_overlap, "", 0, "recursive")
 
 
-def sentence_distances(docs: DataFrame, key: str, dim: int = 64, buffer: int = 1) -> DataFrame:
-    """Sentences with the cosine distance to the next one, each embedded
-    together with ``buffer`` neighbours on both sides."""
+def with_sentences(docs: DataFrame, dim: int = 64, buffer: int = 1) -> DataFrame:
+    """Adds ``_sentences`` and ``_distances``, the cosine distance of each
+    sentence to the next, both taken with ``buffer`` neighbours on each side.
+    A document is one row, so nothing is shuffled."""
     sentences = F.filter(F.split("text", r"(?<=[.?!])\s+"), lambda x: x != "")
-    df = docs.select(key, sentences.alias("_s"))
-    # The neighbours are joined up before the explode: no row carries the whole text.
-    near = F.transform("_s", lambda x, i: F.struct(x.alias("sentence"), F.array_join(F.slice(
-        F.col("_s"), F.greatest(i + 1 - buffer, F.lit(1)), F.least(i, F.lit(buffer)) + 1 + buffer), " ").alias("around")))
-    rows = df.select(key, F.posexplode(near).alias("pos", "s")).select(key, "pos", "s.sentence", "s.around")
-    rows = rows.withColumn("vec", embed_tokens(F.col("around"), dim)).drop("around")
-    nxt = F.lead("vec").over(Window.partitionBy(key).orderBy("pos"))
-    dot = F.aggregate(F.zip_with("vec", nxt, lambda a, b: a.cast("double") * b), F.lit(0.0), lambda s, x: s + x)
-    return rows.withColumn("distance", F.round(1 - dot, 9)).drop("vec")
-
-
-def semantic(docs: DataFrame, key: str, threshold_type: str = "percentile", amount: float = 95.0,
+    df = docs.withColumn("_sentences", sentences)
+    slots = F.transform("_sentences", lambda x: token_slots(x, dim))
+    distances = F.transform(neighbour_distances(slots, dim, buffer), lambda x: F.round(x, 9))
+    return df.withColumn("_distances", distances)
+
+
+def _percentile(values: Column, share: float) -> Column:
+    """Percentile of an array, interpolated between its neighbours."""
+    ordered, top = F.array_sort(values), F.size(values) - 1
+    at = F.lit(share) * top
+    low = F.floor(at).cast("int")
+    below, above = F.get(ordered, low), F.get(ordered, F.least(low + 1, top))
+    return below + (at - low) * (above - below)
+
+
+def _mean_and_deviation(values: Column, amount: float) -> Column:
+    n = F.size(values)
+    mean = F.try_divide(F.aggregate(values, F.lit(0.0), lambda s, x: s + x), n)
+    square = F.aggregate(values, F.lit(0.0), lambda s, x: s + (x - mean) * (x - mean))
+    return mean + amount * F.sqrt(F.try_divide(square, n))
+
+
+def semantic(docs: DataFrame, threshold_type: str = "percentile", amount: float = 95.0,
              dim: int = 64, buffer: int = 1) -> DataFrame:
     """Break after a sentence whose distance to the next exceeds the document's
-    percentile, or its mean plus ``amount`` standard deviations. Windows stay
-    within one document, which is one input row."""
-    rows = sentence_distances(docs.select(key, "text"), key, dim, buffer)
-    per_doc = Window.partitionBy(key)
+    percentile, or its mean plus ``amount`` standard deviations."""
+    df = with_sentences(docs, dim, buffer)
     if threshold_type == "percentile":
-        limit = F.percentile("distance", amount / 100).over(per_doc)
+        limit = _percentile(F.col("_distances"), amount / 100)
     elif threshold_type == "standard_deviation":
-        limit = F.avg("distance").over(per_doc) + amount * F.stddev_pop("distance").over(per_doc)
+        limit = _mean_and_deviation(F.col("_distances"), amount)
     else:
         raise ValueError(f"unknown threshold type: {threshold_type}")
-    rows = rows.withColumn("_break", (F.col("distance") > F.round(limit, 9)).cast("int"))
-    before = per_doc.orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("_chunk", F.coalesce(F.sum("_break").over(before), F.lit(0)))
-    parts = F.array_sort(F.collect_list(F.struct("pos", "sentence")))
-    chunks = rows.groupBy(key, "_chunk").agg(F.array_join(F.transform(parts, lambda x: x["sentence"]), " ").alias("text"))
-    meta = F.create_map(F.lit("breakpoint_type"), F.lit(threshold_type), F.lit("breakpoint_amount"), F.lit(str(amount)))
-    chunks = chunks.select(key, F.col("_chunk").cast("int").alias("chunk_index"), "text",
-                           token_count(F.col("text")).alias("token_count"),
-                           F.lit("semantic").alias("strategy"), meta.alias("metadata"))
-    rest = docs.drop("text", *[])
-    return chunks if rest.columns == [key] else rest.join(chunks, key)
+    df = df.withColumn("_limit", F.round(limit, 9))
+    last = F.size("_distances")
+    breaks = F.when(last > 0, F.filter(F.sequence(F.lit(1), last), lambda i: F.element_at("_distances", i) > F.col("_limit")))
+    breaks = F.coalesce(breaks, F.array().cast("array<int>"))
+    df = df.withColumn("_ranges", F.zip_with(F.concat(F.array(F.lit(0)), breaks), F.concat(breaks, F.array(F.size("_sentences"))),
+                                             lambda a, b: F.struct(a.alias("a"), b.alias("b"))))
+    texts = F.transform("_ranges", lambda r: F.array_join(F.slice("_sentences", r["a"] + 1, r["b"] - r["a"]), " "))
+    return _emit(df, texts, "semantic", {"breakpoint_type": threshold_type, "breakpoint_amount": amount}, trim=False)
 
 
 STRATEGIES = {
-    "fixed_size": lambda docs, key, **kw: fixed_size(docs, **kw),
-    "recursive": lambda docs, key, **kw: recursive(docs, **kw),
-    "semantic": lambda docs, key, **kw: semantic(docs, key, **kw),
+    "fixed_size": fixed_size,
+    "recursive": recursive,
+    "semantic": semantic,
 }
 
 
-def chunk_documents(docs: DataFrame, key: str, strategy: str = "recursive", **options) -> DataFrame:
+def chunk_documents(docs: DataFrame, strategy: str = "recursive", **options) -> DataFrame:
     if strategy not in STRATEGIES:
         raise ValueError(f"unknown chunking strategy: {strategy}")
-    return STRATEGIES[strategy](docs, key, **options)
+    return STRATEGIES[strategy](docs, **options)
 
 
-def compare_strategies(docs: DataFrame, key: str, options: dict[str, dict] | None = None) -> DataFrame:
+def compare_strategies(docs: DataFrame, options: dict[str, dict] | None = None) -> DataFrame:
     """All named strategies side by side; ``options`` maps strategy to settings."""
     options = {s: {} for s in STRATEGIES} if options is None else options
-    return reduce(DataFrame.unionByName, [chunk_documents(docs, key, s, **kw) for s, kw in options.items()])
+    return reduce(DataFrame.unionByName, [chunk_documents(docs, s, **kw) for s, kw in options.items()])
 
 
 def chunk_statistics(chunks: DataFrame, order: list[str]) -> DataFrame:

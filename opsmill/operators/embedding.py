@@ -37,7 +37,9 @@ def _accumulate(dim: int):
         norms = np.sqrt((sums * sums).sum(axis=1, keepdims=True))
         norms[norms == 0] = 1.0
         return pd.Series(list((sums / norms).astype(np.float32)))
-    return accumulate
+    # Declared nondeterministic so that the optimizer never copies the call,
+    # as it does into a filter when the vector is exploded.
+    return accumulate.asNondeterministic()
 
 
 def embed_tokens(text: Column, dim: int = 64) -> Column:
@@ -46,6 +48,28 @@ def embed_tokens(text: Column, dim: int = 64) -> Column:
     return _accumulate(dim)(token_slots(text, dim))
 
 
+def neighbour_distances(slots: Column, dim: int, buffer: int) -> Column:
+    """Cosine distances between consecutive entries of an array of slot lists,
+    each entry added up with ``buffer`` entries before and after it."""
+    @F.pandas_udf("array<double>")
+    def distances(documents: pd.Series) -> pd.Series:
+        out = []
+        for entries in documents:
+            n = len(entries)
+            flat = np.concatenate([np.asarray(e, dtype=np.int64) for e in entries]) if n else np.zeros(0, np.int64)
+            rows = np.repeat(np.arange(n), [len(e) for e in entries])
+            sums = np.bincount(rows * dim + flat // 2, weights=1.0 - 2.0 * (flat % 2), minlength=n * dim)
+            total = np.vstack([np.zeros((1, dim)), np.cumsum(sums.reshape(n, dim), axis=0)])
+            at = np.arange(n)
+            near = total[np.minimum(at + buffer + 1, n)] - total[np.maximum(at - buffer, 0)]
+            norms = np.sqrt((near * near).sum(axis=1))
+            size = norms[:-1] * norms[1:]
+            dots = (near[:-1] * near[1:]).sum(axis=1)
+            out.append(1.0 - np.divide(dots, size, out=np.zeros(len(size)), where=size > 0))
+        return pd.Series(out)
+    return distances.asNondeterministic()(slots)
+
+
 def embed_with_model(text: Column, load: Callable[[], Callable[[list[str]], np.ndarray]]) -> Column:
     """Vectors from any batch model. ``load`` runs once per Python worker and
     returns a function from texts to a matrix."""
@@ -54,7 +78,7 @@ def embed_with_model(text: Column, load: Callable[[], Callable[[list[str]], np.n
         model = load()
         for batch in batches:
             yield pd.Series(list(np.asarray(model(batch.tolist()), dtype=np.float32)))
-    return run(text)
+    return run.asNondeterministic()(text)
 
 
 def embed_once(texts: DataFrame, cache: DataFrame, embed: Callable[[Column], Column]) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from opsmill.operators import clean, features
 from opsmill.plans import fixtures
+from opsmill.sources.tables import spread
 
 
 @dataclass(frozen=True)
@@ -32,6 +33,10 @@ ORACLE_STEPS: dict[str, str] = {
 }
 
 
+# Tables with much work per row; the supplied files are one split each.
+SPREAD = ("lineitem", "documents")
+
+
 class Tables:
     """Supplied tables and the views over them, as lazy DataFrames."""
 
@@ -42,7 +47,10 @@ class Tables:
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in fixtures.BASE_TABLES:
-            return self._known.setdefault(name, self.spark.read.parquet(f"{self.root}/{name}.parquet"))
+            if name not in self._known:
+                df = self.spark.read.parquet(f"{self.root}/{name}.parquet")
+                self._known[name] = spread(df) if name in SPREAD else df
+            return self._known[name]
         if name in fixtures.VIEWS:
             if name not in self._known:
                 body = fixtures.VIEWS[name]

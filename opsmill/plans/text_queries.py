@@ -11,7 +11,7 @@ from opsmill.operators import chunking, embedding, evaluation, retrieval, return
 from opsmill.plans.policy_queries import vip_windows
 from opsmill.plans.registry import Tables, query, step
 from opsmill.session import scratch_path
-from opsmill.sources.tables import parse_cases, replace_table, save_report, spread
+from opsmill.sources.tables import parse_cases, replace_table, save_report
 
 SIZE, OVERLAP = 500, 50
 ARMS = {"hash_64": 64, "hash_256": 256}
@@ -133,16 +133,12 @@ SELECT label AS id, list(m ORDER BY i) AS v FROM (
 
 # --- Spark bindings ---------------------------------------------------------
 
-def documents(t: Tables):
-    return spread(t.documents)
-
-
 def fixed_chunks(t: Tables):
-    return chunking.fixed_size(documents(t).select("doc_id", "source", "text"), SIZE, OVERLAP, separator="\n")
+    return chunking.fixed_size(t.documents.select("doc_id", "source", "text"), SIZE, OVERLAP, separator="\n")
 
 
 def recursive_chunks(t: Tables):
-    return chunking.recursive(documents(t).select("doc_id", "source", "text"), SIZE, OVERLAP)
+    return chunking.recursive(t.documents.select("doc_id", "source", "text"), SIZE, OVERLAP)
 
 
 def chunk_corpus(t: Tables):
@@ -155,7 +151,7 @@ def cases(t: Tables):
     inside the item (every item has more), then the text itself decides."""
     items = t.benchmark.withColumn("_w", F.split("text", r"\s+"))
     anchors = items.select("item_id", F.xxhash64(F.array_join(F.slice("_w", 2, 8), " ")).alias("h"))
-    docs = documents(t)
+    docs = t.documents
     grams = F.transform(F.sequence(F.lit(1), F.greatest(F.size("_w") - 7, F.lit(1))),
                         lambda i: F.xxhash64(F.array_join(F.slice(F.col("_w"), i, 8), " ")))
     shingles = (docs.select("doc_id", F.split("text", r"\s+").alias("_w"))
@@ -190,7 +186,7 @@ def case_queries(t: Tables, dim: int = 64):
 
 
 def embedded_documents(t: Tables, dim: int = 64):
-    return documents(t).select("doc_id", "source", "lang", "text",
+    return t.documents.select("doc_id", "source", "lang", "text",
                                embedding.embed_tokens(F.col("text"), dim).alias("vec"))
 
 
@@ -202,12 +198,12 @@ WITH l AS (SELECT doc_id, i, x, trim(x, E' \t\r\n\f') <> '' AND NOT starts_with(
      f AS (SELECT doc_id, coalesce(min(i) FILTER (WHERE ok), 1) AS first FROM l GROUP BY 1)
 SELECT l.doc_id, string_agg(x, chr(10) ORDER BY i) AS text FROM l JOIN f ON f.doc_id = l.doc_id WHERE i >= first GROUP BY 1""")
 def header(t: Tables):
-    return documents(t).select("doc_id", chunking.strip_header(F.col("text")).alias("text"))
+    return t.documents.select("doc_id", chunking.strip_header(F.col("text")).alias("text"))
 
 
 @query("doc_2_token_count", f"SELECT doc_id, len({tok('text')}) AS token_count FROM documents")
 def counts(t: Tables):
-    return documents(t).select("doc_id", token_count(F.col("text")).alias("token_count"))
+    return t.documents.select("doc_id", token_count(F.col("text")).alias("token_count"))
 
 
 @query("doc_3_fixed_chunks", "SELECT doc_id, chunk_index, text, token_count FROM chunks_fixed")
@@ -232,7 +228,7 @@ FROM sentences a JOIN sentences b ON a.doc_id = b.doc_id AND b.pos BETWEEN a.pos
 embed_steps("around64", "around_texts", 64)
 step("semantic_gaps", """
 SELECT s.doc_id, s.pos, s.sentence, round(1 - d, 9) AS distance FROM sentences s LEFT JOIN (
-  SELECT a.id, CASE WHEN any_value(n.id) IS NULL THEN NULL ELSE coalesce(sum(a.w::FLOAT::DOUBLE * b.w::FLOAT::DOUBLE), 0) END AS d
+  SELECT a.id, CASE WHEN any_value(n.id) IS NULL THEN NULL ELSE coalesce(sum(a.w * b.w), 0) END AS d
   FROM (SELECT id, b, w FROM around64_w UNION ALL SELECT id, -1, 0 FROM around_texts) a
   LEFT JOIN around_texts n ON n.id = a.id + 1 LEFT JOIN around64_w b ON b.id = a.id + 1 AND b.b = a.b GROUP BY a.id) x
   ON x.id = s.doc_id * 1000000 + s.pos""")
@@ -248,18 +244,18 @@ SELECT doc_id, chunk_index, string_agg(sentence, ' ' ORDER BY pos) AS text FROM
 
 @query("doc_5_semantic_percentile", semantic_sql("quantile_cont(distance, 0.95)"))
 def semantic(t: Tables):
-    return chunking.semantic(documents(t).select("doc_id", "text"), "doc_id").select("doc_id", "chunk_index", "text")
+    return chunking.semantic(t.documents.select("doc_id", "text")).select("doc_id", "chunk_index", "text")
 
 
 @query("doc_5_semantic_deviation", semantic_sql("avg(distance) + 1.5 * stddev_pop(distance)"))
 def semantic_deviation(t: Tables):
-    df = chunking.semantic(documents(t).select("doc_id", "text"), "doc_id", "standard_deviation", 1.5)
+    df = chunking.semantic(t.documents.select("doc_id", "text"), "standard_deviation", 1.5)
     return df.select("doc_id", "chunk_index", "text")
 
 
 def side_by_side(t: Tables):
-    docs = documents(t).select("doc_id", "text")
-    return chunking.compare_strategies(docs, "doc_id", {
+    docs = t.documents.select("doc_id", "text")
+    return chunking.compare_strategies(docs, {
         "fixed_size": {"chunk_size": SIZE, "chunk_overlap": OVERLAP, "separator": "\n"},
         "recursive": {"chunk_size": SIZE, "chunk_overlap": OVERLAP}})
 
@@ -292,7 +288,7 @@ def keyword(t: Tables):
 @query("doc_9_corpus_statistics", r"""
 SELECT doc_id, source, length(text) AS chars, len(list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> '')) AS words FROM documents""")
 def corpus(t: Tables):
-    return chunking.corpus_statistics(documents(t).select("doc_id", "source", "text"))
+    return chunking.corpus_statistics(t.documents.select("doc_id", "source", "text"))
 
 
 # --- embeddings -------------------------------------------------------------
@@ -311,7 +307,7 @@ def embed(t: Tables):
 SELECT count(*) AS distinct_texts, count(*) FILTER (WHERE c) AS from_cache, count(*) FILTER (WHERE NOT c) AS embedded
 FROM (SELECT text, bool_or(lang = 'en') AS c FROM documents GROUP BY text)""")
 def once(t: Tables):
-    docs = documents(t)
+    docs = t.documents
     # The cache holds the vectors of an earlier run over the English documents.
     cache = (docs.filter("lang = 'en'").select(F.sha2("text", 256).alias("text_hash"), "text").dropDuplicates(["text_hash"])
              .select("text_hash", embedding.embed_tokens(F.col("text")).alias("vec")))
@@ -322,7 +318,7 @@ def once(t: Tables):
 
 @query("emb_2_attach_vectors", "SELECT id AS doc_id, b AS slot, round(w::FLOAT::DOUBLE, 6) AS weight FROM doc64_w")
 def attach(t: Tables):
-    docs = documents(t).select("doc_id", "text")
+    docs = t.documents.select("doc_id", "text")
     cache = (docs.select(F.sha2("text", 256).alias("text_hash")).limit(0)
              .withColumn("vec", F.lit(None).cast("array<float>")))
     vectors = embedding.embed_once(docs, cache, embedding.embed_tokens)
@@ -414,7 +410,7 @@ CROSS JOIN (SELECT avg(len({tok('text')})) AS avgl FROM documents) GROUP BY 1, 2
 SELECT query_id, doc_id, score, rank FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM bm25) WHERE rank <= 3""")
 def keyword_search(t: Tables):
-    return retrieval.keyword_search(documents(t).select("doc_id", "text"),
+    return retrieval.keyword_search(t.documents.select("doc_id", "text"),
                                     case_queries(t).select("query_id", "text"), "doc_id")
 
 
@@ -437,7 +433,7 @@ def hybrid(t: Tables):
 SELECT query_id, doc_id, source, d AS distance, rank FROM (SELECT x.*, source, row_number() OVER (PARTITION BY query_id ORDER BY d, x.doc_id) AS rank
 FROM doc_distances x JOIN documents o ON o.doc_id = x.doc_id WHERE lang = 'en' AND source IN ('src1', 'src10')) WHERE rank <= 3""")
 def filtered(t: Tables):
-    docs = documents(t).filter("lang = 'en' AND source IN ('src1', 'src10')")
+    docs = t.documents.filter("lang = 'en' AND source IN ('src1', 'src10')")
     corpus = docs.select("doc_id", "source", embedding.embed_tokens(F.col("text")).alias("vec"))
     return retrieval.nearest(corpus, case_queries(t).select("query_id", "vec"), "doc_id")
 
