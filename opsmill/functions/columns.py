@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -66,7 +64,3 @@ def ratio(part: Column, whole: Column) -> Column:
 def flags(*named: tuple[Column, str]) -> Column:
     """Array of the names whose condition holds, in the order given."""
     return F.array_compact(F.array(*[F.when(cond, F.lit(name)) for cond, name in named]))
-
-
-def any_of(conditions) -> Column:
-    return reduce(lambda a, b: a | b, conditions)

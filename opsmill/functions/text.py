@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -31,8 +29,3 @@ def split_literal(text: Column, separator: str) -> Column:
 
 def preview(text: Column, length: int = 200) -> Column:
     return F.when(F.length(text) > length, F.concat(F.substring(text, 1, length), F.lit("..."))).otherwise(text)
-
-
-def python_token_pattern() -> str:
-    """The token pattern for Python tasks: \\w is Unicode there."""
-    return re.sub(r"\\p\{L\}\\p\{N\}_", r"\\w", TOKEN)

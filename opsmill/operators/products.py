@@ -68,9 +68,9 @@ def unsafe_lines(lines: DataFrame, products: DataFrame, facts: DataFrame) -> Dat
     options = (info.filter("pregnancy_safe AND stock_level > 0").groupBy("category")
                .agg(F.count("*").alias("n_substitutes"), best.alias("b"))
                .select("category", "n_substitutes", (-F.col("b.col2")).alias("best_substitute")))
-    return (lines.select("order_id", "product_id")
-            .join(info.filter("NOT pregnancy_safe").select("product_id", "category"), "product_id")
-            .join(options, "category", "left")
+    # Category, with few and large values, is joined at product level only.
+    unsafe = (info.filter("NOT pregnancy_safe").select("product_id", "category").join(options, "category", "left"))
+    return (lines.select("order_id", "product_id").join(unsafe, "product_id")
             .select("order_id", "product_id", "category", "n_substitutes", "best_substitute"))
 
 

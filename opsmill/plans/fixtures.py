@@ -2,16 +2,15 @@
 
 The supplied tables are clean, so each view derives its dirt and its extra
 columns by arithmetic on ids. One SQL text serves Spark and the oracle; only
-the two names in DIALECT differ. Every view keeps all rows of its table.
+the three names below differ. Every view keeps all rows of its table.
 """
 
 from __future__ import annotations
 
 AS_OF = "2001-08-02 00:00:00"
-EVENTS_AS_OF = "2024-01-31 00:00:00"
 
-SPARK = {"explode": "explode", "series": "sequence", "text": "STRING", "extract_all": "regexp_extract_all"}
-DUCKDB = {"explode": "unnest", "series": "generate_series", "text": "VARCHAR", "extract_all": "regexp_extract_all"}
+SPARK = {"explode": "explode", "series": "sequence", "text": "STRING"}
+DUCKDB = {"explode": "unnest", "series": "generate_series", "text": "VARCHAR"}
 
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
                "documents", "embeddings", "pages", "benchmark", "labels", "conversations")

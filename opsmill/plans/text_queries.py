@@ -10,7 +10,7 @@ from opsmill.functions.text import token_count
 from opsmill.operators import chunking, embedding, evaluation, retrieval, returns
 from opsmill.plans.policy_queries import vip_windows
 from opsmill.plans.registry import Tables, query, step
-from opsmill.session import scratch_path
+from opsmill.session import materialise, scratch_path
 from opsmill.sources.tables import parse_cases, replace_table, save_report
 
 SIZE, OVERLAP = 500, 50
@@ -174,7 +174,8 @@ def embedder(dim: int):
 
 
 def results(t: Tables):
-    corpus = chunk_corpus(t)
+    """Both arms read one written table of chunks."""
+    corpus = materialise(chunk_corpus(t), "chunks")
     arms = {name: (corpus.select("id", "source", embedding.embed_tokens(F.col("text"), dim).alias("vec")), embedder(dim))
             for name, dim in ARMS.items()}
     return evaluation.run_cases(cases(t), arms, "id")
@@ -319,8 +320,7 @@ def once(t: Tables):
 @query("emb_2_attach_vectors", "SELECT id AS doc_id, b AS slot, round(w::FLOAT::DOUBLE, 6) AS weight FROM doc64_w")
 def attach(t: Tables):
     docs = t.documents.select("doc_id", "text")
-    cache = (docs.select(F.sha2("text", 256).alias("text_hash")).limit(0)
-             .withColumn("vec", F.lit(None).cast("array<float>")))
+    cache = t.spark.createDataFrame([], "text_hash STRING, vec ARRAY<FLOAT>")
     vectors = embedding.embed_once(docs, cache, embedding.embed_tokens)
     return slots(embedding.attach_vectors(docs, vectors), "doc_id")
 
@@ -555,7 +555,7 @@ SELECT test_id, a.sources_match AS was, b.sources_match AS now, CASE WHEN a.sour
        WHEN NOT a.sources_match AND b.sources_match THEN 'newly_passing' ELSE 'unchanged' END AS change
 FROM results a JOIN results b USING (test_id) WHERE a.arm = 'hash_64' AND b.arm = 'hash_256'""")
 def regressions(t: Tables):
-    r = results(t)
+    r = materialise(results(t).select("test_id", "arm", "sources_match"), "runs")
     return evaluation.regressions(r.filter("arm = 'hash_64'"), r.filter("arm = 'hash_256'"))
 
 

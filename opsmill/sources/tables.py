@@ -38,7 +38,7 @@ def spread(df: DataFrame) -> DataFrame:
 
 def load_corpus(spark: SparkSession, path: str) -> DataFrame:
     """One row per text file: file name as source, whole file as text."""
-    return (spark.read.option("wholetext", True).text(path)
+    return (spark.read.text(path, wholetext=True)
             .select(F.col("_metadata.file_name").alias("source"), F.col("value").alias("text")))
 
 
