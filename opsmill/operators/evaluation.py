@@ -80,12 +80,14 @@ def run_costs(log: DataFrame) -> DataFrame:
 
 
 def disagreements(results: DataFrame) -> DataFrame:
-    """Cases on which the arms differ, with the arms that hit and missed."""
+    """Cases on which the arms differ, with each arm's outcome and first two
+    sources. A case collects one short text per arm."""
     hit = F.col("sources_match")
-    df = results.groupBy("test_id", "query").agg(
+    outcome = F.concat_ws(":", "arm", F.when(hit, "hit").otherwise("miss"),
+                          F.array_join(F.slice(F.coalesce("retrieved_sources", F.array().cast("array<string>")), 1, 2), ";"))
+    df = results.groupBy("test_id", "query", "expected_sources").agg(
         F.count_if(hit).alias("n_hit"), F.count("*").alias("n_arms"),
-        F.array_sort(F.collect_list(F.when(hit, F.col("arm")))).alias("hit_arms"),
-        F.array_sort(F.collect_list(F.when(~hit, F.col("arm")))).alias("missed_arms"))
+        F.array_sort(F.collect_list(outcome)).alias("outcomes"))
     return df.filter((F.col("n_hit") > 0) & (F.col("n_hit") < F.col("n_arms")))
 
 

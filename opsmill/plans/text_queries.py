@@ -310,7 +310,7 @@ FROM (SELECT text, bool_or(lang = 'en') AS c FROM documents GROUP BY text)""")
 def once(t: Tables):
     docs = t.documents
     # The cache holds the vectors of an earlier run over the English documents.
-    cache = (docs.filter("lang = 'en'").select(F.sha2("text", 256).alias("text_hash"), "text").dropDuplicates(["text_hash"])
+    cache = (docs.filter("lang = 'en'").select(F.sha2("text", 256).alias("text_hash"), "text").distinct()
              .select("text_hash", embedding.embed_tokens(F.col("text")).alias("vec")))
     vectors = embedding.embed_once(docs.select("doc_id", "text"), cache, embedding.embed_tokens)
     return vectors.agg(F.count("vec").alias("distinct_texts"), F.count_if("cached").alias("from_cache"),
@@ -502,10 +502,11 @@ def costs(t: Tables):
 
 
 step("differences", """
-SELECT test_id, query, count(*) FILTER (WHERE sources_match) AS n_hit, count(*) AS n_arms,
-       coalesce(string_agg(arm, ',' ORDER BY arm) FILTER (WHERE sources_match), '') AS hit_arms,
-       coalesce(string_agg(arm, ',' ORDER BY arm) FILTER (WHERE NOT sources_match), '') AS missed_arms
-FROM results GROUP BY 1, 2 HAVING count(DISTINCT sources_match) > 1""")
+SELECT test_id, query, array_to_string(expected_sources, ',') AS expected_sources,
+       count(*) FILTER (WHERE sources_match) AS n_hit, count(*) AS n_arms,
+       string_agg(arm || ':' || CASE WHEN sources_match THEN 'hit' ELSE 'miss' END || ':'
+                  || array_to_string(retrieved_sources[1:2], ';'), ',' ORDER BY arm) AS outcomes
+FROM results GROUP BY 1, 2, 3 HAVING count(DISTINCT sources_match) > 1""")
 
 
 @query("evl_9_disagreements", "SELECT * FROM differences")

@@ -137,13 +137,16 @@ def test_hit_test_works_both_ways(spark):
 
 
 def results(spark, rows):
-    return spark.createDataFrame(rows, "test_id INT, query STRING, arm STRING, category STRING, sources_match BOOLEAN, top_distance DOUBLE")
+    df = spark.createDataFrame(rows, "test_id INT, query STRING, arm STRING, category STRING, sources_match BOOLEAN, top_distance DOUBLE")
+    return df.withColumns({"expected_sources": F.array(F.lit("s1")), "retrieved_sources": F.array("arm", F.lit("s2"), F.lit("s3"))})
 
 
 def test_report_figures(spark):
     rows = [(1, "q", "a", "x", True, 1.0), (1, "q", "b", "x", False, 2.0), (2, "r", "a", "y", False, 1.0), (2, "r", "b", "y", True, 4.0)]
     df = results(spark, rows)
     assert evaluation.winner(df).first().arm == "a"  # equal accuracy: first name
+    differ = evaluation.disagreement_examples(df, 1).collect()
+    assert [r.outcomes for r in differ] == [["a:hit:a;s2", "b:miss:b;s2"]]
     assert evaluation.disagreements(df).count() == 2
     assert evaluation.recommendation(df, "a", "b").first().recommended == "b"
     pivot = {r.arm: (r.x, r.y) for r in evaluation.accuracy_pivot(df, "category", ["x", "y"]).collect()}
