@@ -42,7 +42,7 @@ def test_fixed_size_equals_brute_force(spark, size, overlap):
         assert [r.text for r in rows if r.doc_id == i] == want
 
 
-@pytest.mark.parametrize(("size", "overlap"), [(4, 0), (6, 2), (12, 5)])
+@pytest.mark.parametrize(("size", "overlap"), [(6, 0), (8, 2), (12, 5)])
 def test_recursive_chunks_fit_and_cover(spark, size, overlap):
     df = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id INT, text STRING")
     rows = chunking.recursive(df, size, overlap).orderBy("doc_id", "chunk_index").collect()
@@ -64,6 +64,11 @@ def test_recursive_splits_at_the_largest_boundary(spark):
                    "new paragraph here with words ok"]
 
 
+def test_a_text_without_separators_falls_to_characters(spark):
+    df = spark.createDataFrame([(1, "abcde")], "doc_id INT, text STRING")
+    assert [r.text for r in chunking.recursive(df, 4, 0).orderBy("chunk_index").collect()] == ["abcd", "e"]
+
+
 def test_a_paragraph_above_the_size_stays_whole(spark):
     df = spark.createDataFrame([(1, "a b\n\n" + "w " * 30 + "\n\nc d")], "doc_id INT, text STRING")
     assert [r.token_count for r in chunking.fixed_size(df, 10, 2).orderBy("chunk_index").collect()] == [2, 30, 2]
@@ -100,7 +105,8 @@ def test_statistics_and_keywords(spark):
     stats = {r.strategy: r for r in chunking.chunk_statistics(both, ["doc_id", "chunk_index"]).collect()}
     assert set(stats) == {"fixed_size", "recursive"} and stats["recursive"].max_tokens <= 8
     hits = {r.strategy: r.n_chunks for r in chunking.keyword_chunks(both, ["VIP", "vip"], ["doc_id", "chunk_index"]).collect()}
-    assert hits["recursive"] == stats["recursive"].n_chunks - 1
+    for strategy in stats:
+        assert hits[strategy] == sum("VIP" in r.text for r in both.filter(F.col("strategy") == strategy).collect()) > 0
 
 
 def test_token_count_is_unicode_aware(spark):
