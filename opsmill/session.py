@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -28,10 +29,14 @@ def build_session(name: str = "opsmill", master: str | None = None, **conf: str)
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names; one of our own only where unset."""
+    """The shared folder the cluster names. One of our own only where it is
+    unset and the session is local, as in tests; on a cluster executors would
+    each write to their own disk, so there it must be set."""
     sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         path = tempfile.mkdtemp(prefix="opsmill-", dir=os.environ.get("TMPDIR"))
         sc.setCheckpointDir(path)
     return path
