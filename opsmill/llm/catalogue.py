@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opsmill.llm import chat, quality_rules, url_filter
+from opsmill.llm import chat, decontaminate, quality_rules, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -92,3 +92,38 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
        sum(upto) FILTER (role = 'assistant' OR i = n)::BIGINT AS formatted_chars
 FROM s GROUP BY conv_id
 """
+
+
+@query
+def op2_decontaminate(spark: SparkSession, root: str) -> DataFrame:
+    docs = table(spark, root, "documents").select("doc_id", "text")
+    hits = decontaminate.scan(docs.select("doc_id", F.col("text").alias("body")), table(spark, root, "benchmark"), "body")
+    n_hit = F.aggregate("word_spans", F.lit(0), lambda n, s: n + s.end - s.start)
+    return hits.select(
+        "doc_id", "n_words", n_hit.cast("long").alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
+
+
+_DECON_WORDS = ("list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+                r"'[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')")
+ORACLES["op2_decontaminate"] = f"""
+WITH b AS (SELECT item_id, {_DECON_WORDS} AS w FROM benchmark),
+bw AS (
+  SELECT DISTINCT least(len(w), 10) AS size, array_to_string(w[i:i + 9], ' ') AS win, item_id
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)
+), d AS (SELECT doc_id, {_DECON_WORDS} AS w FROM documents),
+dw AS (
+  SELECT doc_id, i, s.size, array_to_string(w[i:i + s.size - 1], ' ') AS win
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d), (SELECT DISTINCT size FROM bw) s
+  WHERE i + s.size - 1 <= len(w)
+), hit AS (SELECT doc_id, i, dw.size, item_id FROM dw JOIN bw ON bw.win = dw.win AND bw.size = dw.size),
+n AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM hit) GROUP BY doc_id
+), it AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hit) GROUP BY doc_id
+)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN it USING (doc_id)
+"""
