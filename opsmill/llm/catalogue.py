@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opsmill.llm import chat, decontaminate, quality_rules, url_filter
+from opsmill.llm import chat, decontaminate, quality_rules, substring, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -127,3 +127,30 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN it USING (doc_id)
 """
+
+
+@query
+def op3_substring_dedup(spark: SparkSession, root: str) -> DataFrame:
+    docs = table(spark, root, "documents").select("doc_id", F.col("text").alias("body"))
+    kept = substring.remove_copies(docs, "doc_id", "body")
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+ORACLES["op3_substring_dedup"] = r"""
+WITH d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), win AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS win
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM d WHERE len(w) >= 20)
+), dup AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY win ORDER BY doc_id, i) AS k FROM win) WHERE k > 1
+), gone AS (
+  SELECT doc_id, p FROM (SELECT doc_id, unnest(range(i, i + 20)) AS p FROM dup) GROUP BY ALL
+), kept AS (
+  SELECT x.doc_id, string_agg(x.word, ' ' ORDER BY x.p) AS words, count(*) AS n
+  FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d) x
+  ANTI JOIN gone g ON g.doc_id = x.doc_id AND g.p = x.p GROUP BY x.doc_id
+)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(words, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""

@@ -71,8 +71,8 @@ class Words:
     ``bounds[i]`` to ``bounds[i + 1]``; ``texts`` has where the texts begin.
     """
 
-    def __init__(self, texts: pa.Array, inside: np.ndarray = NOT_BLANK, lower: bool = False):
-        self.data, self.texts = flat(texts)
+    def __init__(self, texts: pa.Array | tuple[np.ndarray, np.ndarray], inside: np.ndarray = NOT_BLANK, lower: bool = False):
+        self.data, self.texts = texts if isinstance(texts, tuple) else flat(texts)
         if lower:
             self.data = LOWER[self.data]
         flags = inside[self.data]
@@ -114,15 +114,33 @@ class Words:
 
 
 def windows(hashes: np.ndarray, size: int) -> np.ndarray:
-    """A hash of ``size`` consecutive word hashes from each place on that has so many left."""
-    n = len(hashes) - size + 1
-    if n <= 0:
+    """A hash of ``size`` consecutive word hashes from each place on that has so
+    many left, put together from runs of 1, 2, 4, ... words."""
+    if len(hashes) < size:
         return np.zeros(0, np.uint64)
+    factor, done, out, run, left = 0x9FB21C651E98DF25, 0, None, 1, size
+    part = hashes
     with np.errstate(over="ignore"):
-        out = np.zeros(n, np.uint64)
-        for k in range(size):
-            out = out * np.uint64(0x9FB21C651E98DF25) + hashes[k:k + n]
-        return mix(out)
+        while True:
+            power = np.uint64(pow(factor, run, 2**64))
+            if left & run:
+                n = len(part) - done
+                out = part if out is None else out[:n] * power + part[done:]
+                done += run
+                left -= run
+            if not left:
+                return mix(out[:len(hashes) - size + 1])
+            part = part[:-run] * power + part[run:]
+            run *= 2
+
+
+def slide_min(values: np.ndarray, size: int) -> np.ndarray:
+    """The least of ``size`` consecutive values from each place on."""
+    run, part = 1, values
+    while 2 * run <= size:
+        part = np.minimum(part[:-run], part[run:])
+        run *= 2
+    return np.minimum(part[:len(values) - size + 1], part[size - run:])
 
 
 _LETTERS = _letters()
