@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opsmill.llm import chat, decontaminate, quality_rules, substring, url_filter
+from opsmill.llm import chat, decontaminate, minhash, quality_rules, substring, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -154,3 +154,32 @@ WITH d AS (
 SELECT d.doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(words, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id)
 """
+
+
+@query
+def op1_minhash(spark: SparkSession, root: str) -> DataFrame:
+    return minhash.classes(table(spark, root, "documents").select("doc_id", "text"))
+
+
+ORACLES["op1_minhash"] = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                   '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS sh
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+pairs AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+  SELECT x, y FROM pairs JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * shared >= 75 * (p.n + q.n - shared)
+), g AS (SELECT x AS a, y AS b FROM links UNION ALL SELECT y, x FROM links),
+r AS (SELECT doc_id AS id, doc_id AS c FROM d UNION SELECT g.b, r.c FROM r JOIN g ON g.a = r.id),
+f AS (SELECT id, min(c) AS component_id FROM r GROUP BY id),
+cls AS (
+  SELECT doc_id, min(doc_id) OVER (PARTITION BY sig) AS class_id
+  FROM (SELECT doc_id, md5(string_agg(sh, chr(1) ORDER BY sh)) AS sig FROM s GROUP BY doc_id)
+)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(class_id, d.doc_id) AS class_id, component_id, d.doc_id = component_id AS kept
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN cls USING (doc_id) JOIN f ON f.id = d.doc_id
+"""
