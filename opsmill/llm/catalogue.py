@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opsmill.llm import chat, decontaminate, minhash, quality_rules, substring, url_filter
+from opsmill.llm import chat, decontaminate, minhash, pieces, quality_rules, substring, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -183,3 +183,13 @@ cls AS (
 SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(class_id, d.doc_id) AS class_id, component_id, d.doc_id = component_id AS kept
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN cls USING (doc_id) JOIN f ON f.id = d.doc_id
 """
+
+
+@query
+def op5_sentencepiece(spark: SparkSession, root: str) -> DataFrame:
+    docs = table(spark, root, "documents").select("doc_id", "text")
+    made = pieces.round_trip(spark, docs)
+    return made.select(
+        "doc_id", F.length("text").cast("long").alias("n_chars"), F.size("pieces").cast("long").alias("n_pieces"),
+        F.xxhash64("pieces").alias("pieces_hash"), F.sha2("decoded", 256).alias("decoded_sha256"),
+        F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"))
