@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opsmill.llm import chat, decontaminate, minhash, pieces, quality_rules, substring, url_filter
+from opsmill.llm import chat, classifier, decontaminate, minhash, pieces, quality_rules, substring, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -193,3 +193,13 @@ def op5_sentencepiece(spark: SparkSession, root: str) -> DataFrame:
         "doc_id", F.length("text").cast("long").alias("n_chars"), F.size("pieces").cast("long").alias("n_pieces"),
         F.xxhash64("pieces").alias("pieces_hash"), F.sha2("decoded", 256).alias("decoded_sha256"),
         F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"))
+
+
+@query
+def op8_quality_classifier(spark: SparkSession, root: str) -> DataFrame:
+    return classifier.score_documents(table(spark, root, "documents").select("doc_id", "text"), table(spark, root, "labels"))
+
+
+@query
+def op9_toxicity(spark: SparkSession, root: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, root, "documents").select("doc_id", "text"), table(spark, root, "labels"))
