@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opsmill.llm import chat, classifier, decontaminate, minhash, pieces, quality_rules, substring, toxicity, url_filter
+from opsmill.llm import chat, classifier, decontaminate, minhash, pieces, pii, quality_rules, substring, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -203,3 +203,18 @@ def op8_quality_classifier(spark: SparkSession, root: str) -> DataFrame:
 @query
 def op9_toxicity(spark: SparkSession, root: str) -> DataFrame:
     return toxicity.score_documents(table(spark, root, "documents").select("doc_id", "text"), table(spark, root, "labels"))
+
+
+@query
+def op10_pii(spark: SparkSession, root: str) -> DataFrame:
+    docs = table(spark, root, "documents").select("doc_id", F.col("text").alias("body"))
+    found = pii.detect(docs, pii.fit(docs, "body"), "body")
+    show = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.end)), ",")
+    base = F.filter("pii", lambda s: s.base)
+
+    def count(kind):
+        return F.size(F.filter(base, lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", *[count(k) for k in pii.KINDS],
+        F.sha2(show(base), 256).alias("base_sha256"), show(F.col("pii")).alias("spans"))

@@ -23,7 +23,8 @@ from opsmill.llm.labels import fitting_labels, held_out
 from opsmill.session import materialise
 
 # Rows to fit on: at most this many labelled rows, taken in order of a hash of
-# the id. One in four of them is kept for the logistic fit.
+# the id. The lexicon's threshold of gain keeps chance entries out, so the
+# logistic is fitted on the same rows.
 FIT_ROWS = 16_000
 SHORTEST, LONGEST = 4, 10  # letters of a lexicon entry
 LEAST_ROWS, LEAST_GAIN, LEAST_ODDS = 4, 20.0, 2.0
@@ -189,13 +190,12 @@ def score_documents(docs: DataFrame, labels: DataFrame, label: str = "toxic", do
     """
     rows = docs.select(F.col(f"`{doc}`").alias("id"), F.col(f"`{text}`").alias("text"))
     chosen = fitting_labels(labels, label).orderBy(F.xxhash64("id"), "id").limit(FIT_ROWS)
-    chosen = chosen.withColumn("fits", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(4)) == 0)
-    fitting = materialise(rows.join(F.broadcast(chosen), "id").select("text", "y", "fits"), "fitting")
-    sizes = {(r.fits, r.y): r["count"] for r in fitting.groupBy("fits", "y").count().collect()}
-    p, n = sizes.get((False, 1), 0), sizes.get((False, 0), 0)
-    lexicon = learn(fitting.where("not fits"), p, n) if p and n else {}
-    prior = sum(v for (_, y), v in sizes.items() if y == 1) / max(1, sum(sizes.values()))
-    shown = measure(fitting.where("fits").select("y", "text"), lexicon, exceptions)
+    fitting = materialise(rows.join(F.broadcast(chosen), "id").select("text", "y"), "fitting")
+    sizes = {r.y: r["count"] for r in fitting.groupBy("y").count().collect()}
+    p, n = sizes.get(1, 0), sizes.get(0, 0)
+    lexicon = learn(fitting, p, n) if p and n else {}
+    prior = p / max(1, p + n)
+    shown = measure(fitting.select("y", "text"), lexicon, exceptions)
     seen = np.array([tuple(r) for r in shown.select("y", *_shape(F.col("weight"), F.col("n_words"))).collect()], float).reshape(-1, 3)
     out = measure(rows, lexicon, exceptions)
     if lexicon and 0 < seen[:, 0].sum() < len(seen):
