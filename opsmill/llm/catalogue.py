@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from opsmill.llm import chat, classifier, decontaminate, minhash, pieces, pii, quality_rules, substring, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -218,3 +219,12 @@ def op10_pii(spark: SparkSession, root: str) -> DataFrame:
     return found.select(
         "doc_id", *[count(k) for k in pii.KINDS],
         F.sha2(show(base), 256).alias("base_sha256"), show(F.col("pii")).alias("spans"))
+
+
+@query
+def pipeline(spark: SparkSession, root: str) -> DataFrame:
+    return corpus_pipeline.run(spark, root)
+
+
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

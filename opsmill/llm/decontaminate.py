@@ -53,11 +53,11 @@ def _automaton(patterns: list[tuple[str, list[str]]]) -> ahocorasick.Automaton:
     return auto
 
 
-def _scan(batches: Iterator[pa.RecordBatch], patterns, names: list[str]) -> Iterator[pa.RecordBatch]:
+def _scan(batches: Iterator[pa.RecordBatch], patterns, names: list[str], source: str = "__text") -> Iterator[pa.RecordBatch]:
     auto = _automaton(patterns.value)
     for batch in batches:
         made: list[list] = [[] for _ in range(4)]
-        for text in batch.column(batch.schema.get_field_index("__text")).to_pylist():
+        for text in batch.column(batch.schema.get_field_index(source)).to_pylist():
             raw = (text or "").encode()
             parts = raw.translate(NORMAL).split()
             hits: list[tuple[int, int]] = []
@@ -113,6 +113,12 @@ def scan(docs: DataFrame, items: DataFrame, text: str = "text") -> DataFrame:
         found = materialise(found, "windows")
     keep = [c for c in docs.columns if c not in (*HIT_COLUMNS, "__text")]
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in keep)
+    if blocks == 1 and text in keep:  # the text is carried anyway
+        kinds = ", ".join(x.replace(" ", "_0 ", 1) for x in _fields(HIT_TYPES))
+        sent = spark.sparkContext.broadcast([(r.pattern, list(r["items"])) for r in found.collect()])
+        names = [f"{c}_0" for c in HIT_COLUMNS]
+        out = docs.select(*[F.col(f"`{c}`") for c in keep]).mapInArrow(lambda b: _scan(b, sent, names, text), f"{fields}, {kinds}")
+        return out.select(*[F.col(f"`{c}`") for c in keep], *[F.col(f"{c}_0").alias(c) for c in HIT_COLUMNS])
     out = docs.withColumn("__text", F.col(f"`{text}`"))
     out = out.select(*[F.col(f"`{c}`") for c in keep], "__text")
     schema = out.schema
@@ -170,6 +176,7 @@ def _merge(spans):
 
 def clean_documents(docs: DataFrame, items: DataFrame) -> DataFrame:
     """Documents without any hit, with their columns as they were."""
-    whole = docs.withColumn("__row", F.struct(*[F.col(f"`{c}`") for c in docs.columns]))
-    kept = scan(whole.select("__row", F.col("text")), items).where("size(items) = 0")
-    return kept.select(*[F.col("__row")[c].alias(c) for c in docs.columns])
+    clash = [c for c in docs.columns if c in HIT_COLUMNS]
+    held = docs.select(*[F.col(f"`{c}`").alias(f"__own_{c}" if c in clash else c) for c in docs.columns])
+    kept = scan(held, items).where("size(items) = 0")
+    return kept.select(*[F.col(f"`__own_{c}`" if c in clash else f"`{c}`").alias(c) for c in docs.columns])

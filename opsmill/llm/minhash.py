@@ -179,8 +179,13 @@ def classes(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFra
 
 
 def clean_documents(docs: DataFrame) -> DataFrame:
-    """One document of each group, with its columns as they were; of rows that
-    share an id only the first by text stays."""
-    gone = classes(docs).where("not kept").select(F.col("doc_id").alias("__gone")).distinct()
-    kept = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("__gone")) & F.col("doc_id").isNotNull(), "left_anti")
-    return kept
+    """One document of each group, with its columns as they were. Of rows that
+    share an id one stays; rows without id all stay."""
+    judged = classes(docs)
+    gone = judged.where("not kept").select(F.col("doc_id").alias("__gone")).distinct()
+    kept = docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+    twice = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select(F.col("doc_id").alias("__gone"))
+    if twice.isEmpty():
+        return kept
+    one = kept.join(twice, F.col("doc_id") == F.col("__gone"), "left_semi").dropDuplicates(["doc_id"])
+    return kept.join(twice, F.col("doc_id") == F.col("__gone"), "left_anti").unionByName(one)

@@ -188,13 +188,14 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, key: Column, text: str = "te
     keep = [c for c in docs.columns if c != out]
     # Plain values, as broadcasts are read before the package is known to a task.
     sent = docs.sparkSession.sparkContext.broadcast(tuple(vars(vocabulary).values()))
-    rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("__text"), F.xxhash64(key, F.lit(seed)).alias("__key"))
+    source = text if text in keep else "__text"
+    rows = docs.select(*[F.col(f"`{c}`") for c in keep], *[F.col(f"`{text}`").alias(source)] * (source != text), F.xxhash64(key, F.lit(seed)).alias("__key"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = _Lattices(Vocabulary(*sent.value))
-        for batch in words.chunks(batches, "__text", PIECE_BYTES):
+        for batch in words.chunks(batches, source, PIECE_BYTES):
             at = {f.name: i for i, f in enumerate(batch.schema)}
-            texts = batch.column(at["__text"]).to_pylist()
+            texts = batch.column(at[source]).to_pylist()
             keys = np.ascontiguousarray(batch.column(at["__key"]).to_numpy(zero_copy_only=False).astype(np.int64))
             ids, sizes = sample([t or "" for t in texts], keys, held)
             offsets = np.append(0, np.cumsum(sizes)).astype(np.int32)

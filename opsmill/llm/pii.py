@@ -19,7 +19,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opsmill.llm import tagger, words
-from opsmill.session import materialise
 
 KINDS = ("email", "ip", "card", "phone")  # base kinds, in the order of listing
 TAGGED = (*KINDS, "secret")
@@ -275,13 +274,14 @@ def detect(docs: DataFrame, model: Model, text: str = "text", out: str = "pii")
     points, end exclusive, by kind and start (a column of that name is
     replaced). Null and empty texts have none; repeated rows have the same."""
     keep = [c for c in docs.columns if c != out]
+    source = text if text in keep else "__text"
     sent = docs.sparkSession.sparkContext.broadcast(model.parameters)
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("base", pa.bool_())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in words.chunks(batches, "__text"):
+        for batch in words.chunks(batches, source):
             at = {f.name: i for i, f in enumerate(batch.schema)}
-            texts = [t or "" for t in batch.column(at["__text"]).to_pylist()]
+            texts = [t or "" for t in batch.column(at[source]).to_pylist()]
             made = []
             for t, spans in zip(texts, find(texts, sent.value)):
                 own = set(base_spans(t)) if spans else set()
@@ -289,7 +289,7 @@ def detect(docs: DataFrame, model: Model, text: str = "text", out: str = "pii")
             yield pa.RecordBatch.from_arrays([*(batch.column(at[c]) for c in keep), pa.array(made, kind)], names=[*keep, out])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in keep)
-    rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("__text"))
+    rows = docs.select(*[F.col(f"`{c}`") for c in keep], *[F.col(f"`{text}`").alias(source)] * (source != text))
     return rows.mapInArrow(run, f"{fields + ', ' if fields else ''}`{out}` array<struct<kind:string,start:int,end:int,base:boolean>>")
 
 
@@ -311,10 +311,8 @@ def mask(text, spans):
 def mask_documents(docs: DataFrame) -> DataFrame:
     """Documents with their personal data masked; columns stay as they are
     (``n_chars``, where there is one, follows the text)."""
-    found = materialise(detect(docs.withColumn("__row", F.struct(*[F.col(f"`{c}`") for c in docs.columns])).select("__row", "text"), fit(docs), out="__pii"), "pii")
-    text = mask(F.col("text"), F.col("__pii"))
-    rows = found.select("__row", text.alias("__masked"))
+    found = detect(docs, fit(docs), out="__pii").withColumn("__masked", mask(F.col("text"), F.col("__pii")))
     new = {"text": F.col("__masked")}
     if "n_chars" in docs.columns:
         new["n_chars"] = F.length("__masked").cast(docs.schema["n_chars"].dataType)
-    return rows.select(*[new.get(c, F.col("__row")[c]).alias(c) for c in docs.columns])
+    return found.select(*[new.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
