@@ -44,7 +44,9 @@ def item_windows(items: DataFrame, item: str = "item_id", text: str = "text", wi
     return shown.groupBy("pattern").agg(F.sort_array(F.collect_set("item")).alias("items"))
 
 
-def _automaton(patterns: list[tuple[str, list[str]]]) -> ahocorasick.Automaton:
+def _automaton(patterns: list[tuple[str, list[str]]]) -> ahocorasick.Automaton | None:
+    if not patterns:
+        return None
     auto = ahocorasick.Automaton()
     for pattern, ids in patterns:
         key = f" {pattern} ".encode().decode("latin-1")
@@ -62,7 +64,7 @@ def _scan(batches: Iterator[pa.RecordBatch], patterns, names: list[str], source:
             parts = raw.translate(NORMAL).split()
             hits: list[tuple[int, int]] = []
             found: set[str] = set()
-            if parts:
+            if parts and auto is not None:
                 line = f" {b' '.join(parts).decode('latin-1')} "
                 ends, lens = [], []
                 for end, (_, n, ids) in auto.iter(line):
