@@ -37,11 +37,9 @@ UNKNOWN_CHANNEL = "unknown"
 # matches no rule and stays null.
 STATUS_BY_AGE = ((30, "delivered"), (7, "shipped"), (0, "processing"))
 
-SEASONS = {
-    "winter": (12, 1, 2),
-    "spring": (3, 4, 5),
-    "summer": (6, 7, 8),
-    "fall": (9, 10, 11),
+SEASON_OF_MONTH = {
+    1: "winter", 2: "winter", 3: "spring", 4: "spring", 5: "spring", 6: "summer",
+    7: "summer", 8: "summer", 9: "fall", 10: "fall", 11: "fall", 12: "winter",
 }
 DISCOUNT_FACTOR = 0.9
 VIP_MIN_ORDERS = 5
@@ -117,6 +115,8 @@ CONTACT_CARRIER_DAYS = {"domestic": 10, "international": 7}
 SUCCESS_TARGET = 0.98
 LOSS_TARGET = 0.002
 FAILING_MONTHS = 2
+DAMAGES_IN_A_MONTH = 3
+UPGRADE_DELAY_DAYS = 15
 QA_HOLD_UNITS = 10
 PROCESSING_HOURS = 24
 BUSY_PROCESSING_HOURS = 48

@@ -46,7 +46,7 @@ def parse_date(c: Column, patterns=config.DATE_PATTERNS) -> Column:
 
 
 def season(month: Column) -> Column:
-    return lookup(month, {m: s for s, months in config.SEASONS.items() for m in months})
+    return lookup(month, config.SEASON_OF_MONTH)
 
 
 def in_yearly_period(day: Column, period) -> Column:
@@ -64,3 +64,14 @@ def ratio(part: Column, whole: Column) -> Column:
 def flags(*named: tuple[Column, str]) -> Column:
     """Array of the names whose condition holds, in the order given."""
     return F.array_compact(F.array(*[F.when(cond, F.lit(name)) for cond, name in named]))
+
+
+def elapsed_business_hours(end: Column, start: Column) -> Column:
+    """Whole hours from ``start`` to ``end`` that lie on Monday to Friday; not
+    below zero. Arithmetic only: five days a week, and what is left over."""
+    def seconds(t):
+        # Since Monday 1970-01-05: whole weeks, then at most five days of this one.
+        s = t.cast("timestamp").cast("double") - 4 * 86400
+        week = F.floor(s / 604800)
+        return week * 432000 + F.least(s - week * 604800, F.lit(432000.0))
+    return F.greatest(F.floor((seconds(end) - seconds(start)) / 3600), F.lit(0)).cast("bigint")

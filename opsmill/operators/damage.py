@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from opsmill import config
 from opsmill.functions.columns import flags, lookup, ratio
-from opsmill.operators.trailing import earlier_counts, trailing_counts
+from opsmill.operators.trailing import earlier_counts, running_counts, trailing_counts
 
 
 def _on_claim_day(claims: DataFrame, counts: DataFrame) -> DataFrame:
@@ -29,11 +29,14 @@ def red_flags(claims: DataFrame) -> DataFrame:
 
 
 def photo_requirement(claims: DataFrame, orders: DataFrame) -> DataFrame:
-    """Mandatory above the high value; waived for loyal customers without an
-    earlier claim; required otherwise."""
-    placed = orders.groupBy("customer_id").agg(F.count("*").alias("total_orders"))
+    """Mandatory above the high value; waived for customers who are loyal as of
+    the claim (distinct orders up to its day) and have no earlier claim;
+    required otherwise."""
+    placed = orders.select("customer_id", "order_id", F.col("ordered_at").cast("date").alias("day"))
+    placed = placed.groupBy("customer_id", "order_id").agg(F.min("day").alias("day"))
+    placed = running_counts(placed, "customer_id", "day", "total_orders", claims, "claimed_on")
     df = _on_claim_day(claims, earlier_counts(claims, "customer_id", "claimed_on", "prior_claims"))
-    df = df.join(placed, "customer_id", "left")
+    df = _on_claim_day(df, placed)
     loyal = (F.coalesce("total_orders", F.lit(0)) >= config.VIP_MIN_ORDERS) & (F.col("prior_claims") == 0)
     return df.withColumn("photos", F.when(F.col("order_value") > config.HIGH_VALUE, "mandatory")
                          .when(loyal, "waived").otherwise("required"))
@@ -56,10 +59,12 @@ def availability(stock: Column, discontinued: Column) -> Column:
 
 
 def replacement_availability(requests: DataFrame, stock: DataFrame) -> DataFrame:
+    """Offers for damaged items; a product without a stock row is looked up by hand."""
+    unknown = F.col("known").isNull()
+    offer = F.when(unknown, "check_product").otherwise(availability(F.col("stock"), F.col("discontinued")))
     return (requests.filter(F.col("item_condition") == "damaged")
-            .join(stock.select("product_id", "stock", "discontinued"), "product_id")
-            .select("order_id", "line_no", "product_id", "stock",
-                    availability(F.col("stock"), F.col("discontinued")).alias("offer")))
+            .join(stock.select("product_id", "stock", "discontinued", F.lit(True).alias("known")), "product_id", "left")
+            .select("order_id", "line_no", "product_id", "stock", offer.alias("offer"), unknown.alias("unknown_product")))
 
 
 def compensation(graded: DataFrame) -> DataFrame:
@@ -90,13 +95,16 @@ def _monthly(df: DataFrame, day: str, name: str) -> DataFrame:
 
 
 def carrier_monitor(claims: DataFrame, shipments: DataFrame) -> DataFrame:
+    """Months with damages per carrier. Five damages in a month count over all
+    carriers, three over one."""
     damages = _monthly(claims, "claimed_on", "damages")
     shipped = _monthly(shipments, "shipped_on", "shipments")
-    df = damages.join(shipped, ["month", "carrier"], "left")
+    total = damages.groupBy("month").agg(F.sum("damages").alias("month_damages"))
+    df = damages.join(shipped, ["month", "carrier"], "left").join(total, "month")
     df = df.withColumn("damage_rate", ratio(F.col("damages"), F.col("shipments")))
     return df.withColumn("triggers", flags(
         (F.col("damages") >= config.CARRIER_MONTHLY_REVIEW, "three_same_carrier"),
-        (F.col("damages") >= config.CARRIER_MONTHLY_ESCALATE, "five_any_carrier"),
+        (F.col("month_damages") >= config.CARRIER_MONTHLY_ESCALATE, "five_any_carrier"),
         (F.col("damage_rate") > config.CARRIER_DAMAGE_RATE, "rate_over_1pct")))
 
 

@@ -7,12 +7,16 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opsmill import config
 from opsmill.functions.columns import lookup
-from opsmill.functions.text import tokens
+from opsmill.functions.text import token_count, tokens
+
+
+ENTRIES_PER_STEP = 20_000
 
 
 def token_slots(text: Column, dim: int) -> Column:
@@ -27,46 +31,62 @@ def token_slots(text: Column, dim: int) -> Column:
 
 
 def _accumulate(dim: int):
-    @F.pandas_udf("array<float>")
-    def accumulate(slots: pd.Series) -> pd.Series:
-        lengths = slots.map(len).to_numpy()
-        flat = np.concatenate([np.asarray(s, dtype=np.int64) for s in slots]) if len(slots) else np.zeros(0, np.int64)
-        rows = np.repeat(np.arange(len(slots)), lengths)
+    @F.arrow_udf("array<float>")
+    def accumulate(slots: pa.Array) -> pa.Array:
+        counts = slots.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        flat = slots.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        rows = np.repeat(np.arange(len(slots)), counts)
         sums = np.bincount(rows * dim + flat // 2, weights=1.0 - 2.0 * (flat % 2), minlength=len(slots) * dim)
         sums = sums.reshape(len(slots), dim)
         norms = np.sqrt((sums * sums).sum(axis=1, keepdims=True))
         norms[norms == 0] = 1.0
-        return pd.Series(list((sums / norms).astype(np.float32)))
+        values = pa.array((sums / norms).astype(np.float32).ravel())
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(slots) + 1, dtype=np.int32) * dim), values)
     # Declared nondeterministic so that the optimizer never copies the call,
     # as it does into a filter when the vector is exploded.
     return accumulate.asNondeterministic()
 
 
 def embed_tokens(text: Column, dim: int = 64) -> Column:
-    """Unit vector of hashed token counts. Tokens and hashes come from the JVM;
-    one vectorised pass adds them up, so there is no shuffle."""
+    """Unit vector of hashed token counts, zeros for a null or empty text.
+    Tokens and hashes come from the JVM; one vectorised pass adds them up, so
+    there is no shuffle."""
     return _accumulate(dim)(token_slots(text, dim))
 
 
 def neighbour_distances(slots: Column, dim: int, buffer: int) -> Column:
     """Cosine distances between consecutive entries of an array of slot lists,
     each entry added up with ``buffer`` entries before and after it."""
-    @F.pandas_udf("array<double>")
-    def distances(documents: pd.Series) -> pd.Series:
-        out = []
-        for entries in documents:
-            n = len(entries)
-            flat = np.concatenate([np.asarray(e, dtype=np.int64) for e in entries]) if n else np.zeros(0, np.int64)
-            rows = np.repeat(np.arange(n), [len(e) for e in entries])
-            sums = np.bincount(rows * dim + flat // 2, weights=1.0 - 2.0 * (flat % 2), minlength=n * dim)
-            total = np.vstack([np.zeros((1, dim)), np.cumsum(sums.reshape(n, dim), axis=0)])
-            at = np.arange(n)
-            near = total[np.minimum(at + buffer + 1, n)] - total[np.maximum(at - buffer, 0)]
-            norms = np.sqrt((near * near).sum(axis=1))
-            size = norms[:-1] * norms[1:]
-            dots = (near[:-1] * near[1:]).sum(axis=1)
-            out.append(1.0 - np.divide(dots, size, out=np.zeros(len(size)), where=size > 0))
-        return pd.Series(out)
+    def part(documents: pa.Array) -> pa.Array:
+        sizes = documents.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        entries = documents.flatten()
+        n = len(entries)
+        flat = entries.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        rows = np.repeat(np.arange(n), entries.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+        sums = np.bincount(rows * dim + flat // 2, weights=1.0 - 2.0 * (flat % 2), minlength=n * dim)
+        total = np.vstack([np.zeros((1, dim)), np.cumsum(sums.reshape(n, dim), axis=0)])
+        stop = np.cumsum(sizes)
+        at, first, last = np.arange(n), np.repeat(stop - sizes, sizes), np.repeat(stop, sizes)
+        near = total[np.minimum(at + buffer + 1, last)] - total[np.maximum(at - buffer, first)]
+        norms = np.sqrt((near * near).sum(axis=1))
+        pairs = np.flatnonzero(at + 1 < last)
+        size = norms[pairs] * norms[pairs + 1]
+        dots = (near[pairs] * near[pairs + 1]).sum(axis=1)
+        values = 1.0 - np.divide(dots, size, out=np.zeros(len(size)), where=size > 0)
+        offsets = np.append(0, np.cumsum(np.maximum(sizes - 1, 0))).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
+
+    @F.arrow_udf("array<double>")
+    def distances(documents: pa.Array) -> pa.Array:
+        # Some documents at a time, so that the sums stay small.
+        ends = np.cumsum(documents.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+        out, start = [pa.array([], pa.list_(pa.float64()))], 0
+        while start < len(documents):
+            base = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, base + ENTRIES_PER_STEP, side="right")))
+            out.append(part(documents.slice(start, stop - start)))
+            start = stop
+        return pa.concat_arrays(out)
     return distances.asNondeterministic()(slots)
 
 
@@ -121,8 +141,11 @@ def reduce_dimension(vec: Column, dim: int) -> Column:
 
 
 def compare_embedders(texts: DataFrame, key: str, embedders: dict[str, Callable[[Column], Column]]) -> DataFrame:
-    """Dimension and first five values of every text under every embedder."""
-    arms = [texts.select(key, F.lit(name).alias("model"), embed(F.col("text")).alias("vec"))
+    """Dimension, first five values, tokens and cost of every text under every
+    embedder; an unknown model costs the small price."""
+    arms = [texts.select(key, F.lit(name).alias("model"), embed(F.col("text")).alias("vec"), token_count(F.col("text")).alias("tokens"))
             for name, embed in embedders.items()]
     df = reduce(DataFrame.unionByName, arms)
-    return df.select(key, "model", F.size("vec").alias("embedding_dim"), F.slice("vec", 1, 5).alias("embedding_sample"))
+    price = F.coalesce(lookup(F.col("model"), config.MODEL_PRICES), F.lit(config.DEFAULT_MODEL_PRICE))
+    return df.select(key, "model", F.size("vec").alias("embedding_dim"), F.slice("vec", 1, 5).alias("embedding_sample"), "tokens",
+                     (F.col("tokens") / 1000 * price).alias("cost"))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from opsmill import config
-from opsmill.functions.columns import elapsed_days, elapsed_hours, ratio, timestamp
+from opsmill.functions.columns import elapsed_business_hours, elapsed_days, ratio, timestamp
 from opsmill.operators.features import order_value
 
 
@@ -71,7 +71,7 @@ def last_order_contents(lines: DataFrame, customers: DataFrame, products: DataFr
 
 def recent_subscriptions(lines: DataFrame, as_of, days: int = 30) -> DataFrame:
     age = elapsed_days(as_of, F.col("order_date"))
-    orders = (lines.filter((age >= 0) & (age <= days)).groupBy("order_id")
+    orders = (lines.filter((age >= 0) & (age < days)).groupBy("order_id")
               .agg(F.max(F.col("is_subscription").cast("int")).alias("s")))
     df = orders.agg(F.count("*").alias("all_orders"),
                     F.coalesce(F.sum("s"), F.lit(0)).alias("subscription_orders"))
@@ -106,7 +106,7 @@ def order_value_by_tier(lines: DataFrame) -> DataFrame:
 def sales_velocity(products: DataFrame, lines: DataFrame, as_of, days: int = 30) -> DataFrame:
     """Weekly units over the last ``days`` days, weeks of stock left, priority."""
     age = elapsed_days(as_of, F.col("order_date"))
-    recent = (lines.filter((F.col("quantity") > 0) & (age >= 0) & (age <= days))
+    recent = (lines.filter((F.col("quantity") > 0) & (age >= 0) & (age < days))
               .groupBy("product_id").agg(F.sum("quantity").alias("recent_units")))
     df = (products.select("product_id", "name", "stock_level", "restock_threshold")
           .join(recent, "product_id", "left")
@@ -134,10 +134,15 @@ def restock_plan(products: DataFrame, lines: DataFrame, as_of, days: int = 30, c
 
 def late_processing(lines: DataFrame, customers: DataFrame, as_of,
                     sla_hours: int = config.PROCESSING_HOURS) -> DataFrame:
-    """Open orders older than the processing promise, with the customer's place."""
+    """Open orders older than the processing promise, with the customer's place.
+    Only hours of business days count. Guests have no customer row, so they
+    stay out of the join."""
     open_orders = (lines.filter(F.col("order_status").isin("pending", "processing"))
                    .groupBy("order_id", "customer_id").agg(F.max("order_date").alias("order_date")))
-    hours = elapsed_hours(timestamp(as_of), F.col("order_date"))
+    hours = elapsed_business_hours(timestamp(as_of), F.col("order_date"))
     late = open_orders.withColumn("hours_open", hours).filter(F.col("hours_open") > sla_hours)
-    return (late.join(customers.select("customer_id", "customer_ref", "city", "state"), "customer_id", "left")
+    places = customers.select("customer_id", "customer_ref", "city", "state")
+    known = late.filter("customer_id > 0").join(places, "customer_id", "left")
+    guests = late.filter("customer_id <= 0 or customer_id is null")
+    return (known.unionByName(guests, allowMissingColumns=True)
             .select("order_id", "customer_ref", "city", "state", "order_date", "hours_open"))

@@ -111,12 +111,19 @@ def bundle_returns(requests: DataFrame, components: DataFrame, products: DataFra
                      F.when(full, F.col("set_price")).otherwise(F.col("items_price")).alias("refund_value"))
 
 
+def _with_product(requests: DataFrame, products: DataFrame, *columns: str) -> DataFrame:
+    """Every request with its product's columns; ``unknown_product`` where there is none."""
+    known = products.select("product_id", *columns, F.lit(True).alias("_known"))
+    df = requests.join(known, "product_id", "left")
+    return df.withColumn("unknown_product", F.col("_known").isNull()).drop("_known")
+
+
 def discontinued_resolution(requests: DataFrame, products: DataFrame) -> DataFrame:
-    gone = F.col("discontinued")
-    return (requests.join(products.select("product_id", "discontinued"), "product_id")
-            .select("order_id", "line_no", "product_id", "amount",
-                    F.when(gone, "refund_only").otherwise("refund_or_replacement").alias("resolution"),
-                    F.when(gone, F.col("amount") * config.DISCONTINUED_CREDIT_RATE).otherwise(0.0).alias("keep_credit")))
+    gone = F.coalesce("discontinued", F.lit(False))
+    return _with_product(requests, products, "discontinued").select(
+        "order_id", "line_no", "product_id", "amount",
+        F.when(F.col("unknown_product"), "check_product").when(gone, "refund_only").otherwise("refund_or_replacement").alias("resolution"),
+        F.when(gone, F.col("amount") * config.DISCONTINUED_CREDIT_RATE).otherwise(0.0).alias("keep_credit"), "unknown_product")
 
 
 def disposition(condition: Column) -> Column:
@@ -130,10 +137,9 @@ def inventory_disposition(requests: DataFrame) -> DataFrame:
 
 
 def return_costs(requests: DataFrame, products: DataFrame) -> DataFrame:
-    return (requests.join(products.select("product_id", "margin_pct"), "product_id")
-            .select("order_id", "line_no", "product_id",
-                    (F.col("amount") * config.RETURN_COST_RATE).alias("return_cost"),
-                    (F.col("margin_pct") > config.HIGH_MARGIN_PCT).alias("prefer_replacement")))
+    return _with_product(requests, products, "margin_pct").select(
+        "order_id", "line_no", "product_id", (F.col("amount") * config.RETURN_COST_RATE).alias("return_cost"),
+        F.coalesce(F.col("margin_pct") > config.HIGH_MARGIN_PCT, F.lit(False)).alias("prefer_replacement"), "unknown_product")
 
 
 def monthly_return_rates(lines: DataFrame) -> DataFrame:
@@ -146,36 +152,51 @@ def monthly_return_rates(lines: DataFrame) -> DataFrame:
 
 
 def decide(requests: DataFrame, products: DataFrame) -> DataFrame:
-    """Decision with the ids and inputs of the rules that fired. Needs the
-    columns of ``return_window``. An adverse reaction overrides every other rule."""
-    cond, vip = F.col("item_condition"), F.col("is_vip")
+    """Decision with the ids and inputs of the rules that decided it. Needs the
+    columns of ``return_window``. Every request is decided, also one whose
+    product is not in the catalogue.
+
+    An adverse reaction overrides every other rule. A denied request has no
+    refund form and no approval. A discontinued product is never replaced. What
+    only a VIP gets (refund of opened items, days beyond the standard window) is
+    at a manager's discretion, whatever the amount."""
+    cond, vip, rule = F.col("item_condition"), F.col("is_vip"), F.col("window_rule")
     adverse = cond == "adverse_reaction"
-    df = requests.join(products.select("product_id", "discontinued"), "product_id")
+    df = _with_product(requests, products, "discontinued")
+    gone = F.coalesce("discontinued", F.lit(False)) & (cond == "damaged")
+    df = df.withColumns({"approved": adverse | F.col("eligible"), "plain": F.col("eligible") & ~adverse})
+    opened = F.col("plain") & (cond == "opened")
+    late = F.col("plain") & (rule == "vip") & (F.col("days_used") > config.RETURN_WINDOW_DAYS)
+    discretion = (opened & vip) | late
+    tier = approval_tier(F.col("amount"))
     df = df.withColumns({
-        "refund_form": refund_form(cond, vip),
-        "approval": F.when(adverse, "auto").otherwise(approval_tier(F.col("amount"))),
-        "decision": F.when(adverse | F.col("eligible"), "approve").otherwise("deny"),
+        "decision": F.when(F.col("approved"), "approve").otherwise("deny"),
+        "refund_form": F.when(F.col("approved"), F.when(gone, "refund_only").otherwise(refund_form(cond, vip))),
+        "approval": F.when(F.col("approved"), F.when(adverse, "auto").when(discretion & (tier == "auto"), "manager").otherwise(tier)),
     })
     fired = flags(
         (adverse, "adverse_override"),
-        (F.col("eligible") & ~adverse, "inside_window"),
-        (~F.col("eligible") & ~adverse, "outside_window"),
-        (F.col("window_rule") == "holiday", "holiday_window"),
-        (F.col("window_rule") == "vip", "vip_window"),
-        ((cond == "opened") & vip, "vip_opened_refund"),
-        ((cond == "opened") & ~vip, "opened_store_credit"),
-        (cond == "damaged", "damage_sop"),
-        (F.col("discontinued"), "discontinued_refund_only"),
-        ((F.col("approval") == "manager"), "manager_approval"),
-        ((F.col("approval") == "director"), "director_approval"))
+        (F.col("plain"), "inside_window"),
+        (~F.col("approved"), "outside_window"),
+        (~adverse & (rule == "holiday"), "holiday_window"),
+        (~adverse & (rule == "vip"), "vip_window"),
+        (opened & vip, "vip_opened_refund"),
+        (opened & ~vip, "opened_store_credit"),
+        (F.col("plain") & (cond == "damaged") & ~gone, "damage_sop"),
+        (F.col("plain") & gone, "discontinued_refund_only"),
+        (discretion, "manager_discretion"),
+        (F.col("approval") == "manager", "manager_approval"),
+        (F.col("approval") == "director", "director_approval"),
+        (F.col("unknown_product"), "unknown_product"))
     inputs = F.to_json(F.struct("days_used", "item_condition", "is_vip", "window_rule"))
     return df.select("order_id", "line_no", "product_id", "customer_id", "decision", "refund_form", "approval",
                      fired.alias("rules"), inputs.alias("inputs"))
 
 
 def evidence_pack(decisions: DataFrame, hits: DataFrame, topic: str, key: str) -> DataFrame:
-    """Each decision with the best corpus rows of its topic. ``hits`` has
-    query_id, rank, distance and ``key``: at most k rows per topic."""
+    """Each decision with the best corpus rows of its topic: rank, id, distance,
+    source and preview. ``hits`` has query_id, these, and at most k rows per
+    topic; retrieval runs once per topic and not per decision."""
     best = hits.groupBy("query_id").agg(F.array_sort(F.collect_list(
-        F.struct("rank", F.col(key).alias("id"), "distance"))).alias("evidence"))
+        F.struct("rank", F.col(key).alias("id"), "distance", "source", "text_preview"))).alias("evidence"))
     return decisions.join(best.withColumnRenamed("query_id", topic), topic, "left")

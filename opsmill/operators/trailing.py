@@ -26,6 +26,15 @@ def trailing_counts(events: DataFrame, key: str, day: str, months: int, name: st
     return days.select(key, "day", F.expr(frame).alias(name))
 
 
+def running_counts(events: DataFrame, key: str, day: str, name: str, probes: DataFrame, probe_day: str) -> DataFrame:
+    """Events of each key up to and with each of its probe days."""
+    asked = probes.select(key, F.col(probe_day).cast("date").alias("day"), F.lit(0).cast("bigint").alias("n"), F.lit(True).alias("asked"))
+    days = daily_counts(events, key, day).withColumn("asked", F.lit(False)).unionByName(asked)
+    days = days.groupBy(key, "day").agg(F.sum("n").alias("n"), F.max("asked").alias("asked"))
+    frame = f"sum(n) OVER (PARTITION BY {key} ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    return days.select(key, "day", F.expr(frame).alias(name), "asked").filter("asked").drop("asked")
+
+
 def earlier_counts(events: DataFrame, key: str, day: str, name: str) -> DataFrame:
     """Events of each key on days before each of its event days."""
     frame = (f"coalesce(sum(n) OVER (PARTITION BY {key} ORDER BY day "

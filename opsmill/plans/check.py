@@ -6,6 +6,7 @@
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 
@@ -53,7 +54,7 @@ def main(argv):
 
     root = argv[0] if argv else "/root/testdata/sf0.01"
     prefixes = tuple(argv[1:])
-    spark = build_session("check", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "12g"})
+    spark = build_session("check", f"local[{os.environ.get('CHECK_CPUS', '8')}]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "12g"})
     spark.sparkContext.setLogLevel("ERROR")
     con = duckdb.connect()
     for t in fixtures.BASE_TABLES:

@@ -17,6 +17,14 @@ def strip_sql(c: str) -> str:
     return rf"regexp_replace({c}, '^\s+|\s+$', '', 'g')"
 
 
+def business_hours_sql(end: str, start: str) -> str:
+    """Whole hours on Monday to Friday between two times, not below zero."""
+    def seconds(t):
+        s = f"(epoch(({t})::TIMESTAMP) - 345600)"
+        return f"(floor({s} / 604800) * 432000 + least({s} - floor({s} / 604800) * 604800, 432000))"
+    return f"CAST(greatest(floor(({seconds(end)} - {seconds(start)}) / 3600), 0) AS BIGINT)"
+
+
 def age_sql(c: str) -> str:
     return f"CAST(floor((epoch_us({AT}) - epoch_us({c})) / 86400000000.0) AS BIGINT)"
 

@@ -70,7 +70,8 @@ JOIN {lineitem} ON o_orderkey = l_orderkey) lines""",
 SELECT o_orderkey AS order_id, o_custkey + 1 AS customer_id, o_totalprice / 1000 AS order_value,
        CAST(o_orderdate AS DATE) AS ordered_at, o_orderstatus AS order_state,
        CASE o_orderkey % 3 WHEN 0 THEN 'UPS' WHEN 1 THEN 'USPS' ELSE 'UPS Express' END AS carrier,
-       CASE o_orderkey % 7 WHEN 0 THEN 'CA' WHEN 1 THEN 'UK_EU' WHEN 2 THEN 'AU' WHEN 3 THEN 'APO' ELSE 'US' END AS zone,
+       CASE WHEN o_orderkey % 101 = 7 THEN 'XX' ELSE
+         CASE o_orderkey % 7 WHEN 0 THEN 'CA' WHEN 1 THEN 'UK_EU' WHEN 2 THEN 'AU' WHEN 3 THEN 'APO' ELSE 'US' END END AS zone,
        CASE o_orderkey % 4 WHEN 0 THEN 'express' WHEN 1 THEN 'expedited' ELSE 'standard' END AS method,
        o_orderkey % 11 = 0 AS po_box,
        o_orderkey % 13 = 0 AS missing_unit,
@@ -93,8 +94,8 @@ SELECT order_id AS claim_id, order_id, customer_id, order_value, carrier, ordere
        CAST(order_id % 100 AS INT) AS hours_since_request
 FROM {shipments} WHERE delivered_on IS NOT NULL AND order_state = 'F'""",
     "return_requests": """
-SELECT l_orderkey AS order_id, l_linenumber AS line_no, l_partkey AS product_id, customer_id,
-       l_extendedprice / 500 AS amount, ordered_at, delivered_on,
+SELECT l_orderkey AS order_id, l_linenumber AS line_no, CASE WHEN l_partkey % 41 = 5 THEN -l_partkey ELSE l_partkey END AS product_id,
+       customer_id, l_extendedprice / 500 AS amount, ordered_at, delivered_on,
        delivered_on + CAST((l_orderkey * 7 + l_linenumber) % 60 AS INT) AS requested_on,
        CASE l_partkey % 5 WHEN 0 THEN 'adverse_reaction' WHEN 1 THEN 'damaged'
             WHEN 2 THEN 'opened' ELSE 'unopened' END AS item_condition
@@ -102,7 +103,7 @@ FROM {lineitem} JOIN {shipments} s ON s.order_id = l_orderkey
 WHERE l_returnflag = 'R' AND delivered_on IS NOT NULL""",
     "product_stock": """
 SELECT p_partkey AS product_id, CAST(p_partkey * 13 % 25 AS INT) AS stock, p_partkey % 50 = 9 AS discontinued
-FROM {part}""",
+FROM {part} WHERE p_partkey % 37 <> 3""",
     # Products of one brand, type and size form a set named by its first product.
     "set_components": """
 SELECT set_id, p_partkey AS product_id

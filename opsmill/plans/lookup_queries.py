@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from opsmill.operators import lookups
-from opsmill.plans.etl_queries import AT, age_sql
+from opsmill.plans.etl_queries import AT, age_sql, business_hours_sql
 from opsmill.plans.fixtures import AS_OF
 from opsmill.plans.registry import Tables, query, step
 
@@ -18,7 +18,7 @@ SELECT product_id, name, stock_level, restock_threshold, coalesce(u, 0) AS recen
        stock_level / nullif(coalesce(u, 0) * 7.0 / 30, 0) AS weeks_to_stockout
 FROM products_c LEFT JOIN (
   SELECT product_id, CAST(sum(quantity) AS BIGINT) AS u FROM orders_c
-  WHERE quantity > 0 AND {age_sql('order_date')} BETWEEN 0 AND 30 GROUP BY product_id) USING (product_id)""")
+  WHERE quantity > 0 AND {age_sql('order_date')} BETWEEN 0 AND 29 GROUP BY product_id) USING (product_id)""")
 
 
 @query("qry_1_stock_position", """
@@ -81,7 +81,7 @@ SELECT count(DISTINCT order_id) AS all_orders,
        count(DISTINCT CASE WHEN is_subscription THEN order_id END) AS subscription_orders,
        round(count(DISTINCT CASE WHEN is_subscription THEN order_id END) * 1.0 / nullif(count(DISTINCT order_id), 0), 6)
          AS subscription_share
-FROM orders_c WHERE {age_sql('order_date')} BETWEEN 0 AND 30""")
+FROM orders_c WHERE {age_sql('order_date')} BETWEEN 0 AND 29""")
 def subscriptions(t: Tables):
     return lookups.recent_subscriptions(t.lines, AS_OF)
 
@@ -129,10 +129,10 @@ def plan(t: Tables):
 
 @query("qry_13_late_processing", f"""
 SELECT order_id, customer_ref, city, state, CAST(CAST(d AS DATE) AS VARCHAR) AS order_date,
-       CAST(floor((epoch_us({AT}) - epoch_us(d)) / 3600000000.0) AS BIGINT) AS hours_open
+       {business_hours_sql(AT, 'd')} AS hours_open
 FROM (SELECT order_id, customer_id, max(order_date) AS d FROM orders_c
       WHERE order_status IN ('pending', 'processing') GROUP BY 1, 2) o
 LEFT JOIN customers_c USING (customer_id)
-WHERE floor((epoch_us({AT}) - epoch_us(d)) / 3600000000.0) > 24""")
+WHERE {business_hours_sql(AT, 'd')} > 24""")
 def late(t: Tables):
     return lookups.late_processing(t.lines, t.customers, AS_OF)

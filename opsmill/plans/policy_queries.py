@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from opsmill.operators import damage, lookups, products, returns, shipping
+from opsmill.plans.etl_queries import business_hours_sql
 from opsmill.plans.fixtures import AS_OF
 from opsmill.plans.registry import Tables, query, step
 
@@ -137,9 +138,9 @@ def bundles(t: Tables):
 
 @query("pol_8_discontinued", """
 SELECT order_id, line_no, product_id, round(amount, 6) AS amount,
-       CASE WHEN discontinued THEN 'refund_only' ELSE 'refund_or_replacement' END AS resolution,
-       round(CASE WHEN discontinued THEN amount * 0.2 ELSE 0 END, 6) AS keep_credit
-FROM return_requests JOIN raw_products USING (product_id)""")
+       CASE WHEN p.pid IS NULL THEN 'check_product' WHEN discontinued THEN 'refund_only' ELSE 'refund_or_replacement' END AS resolution,
+       round(CASE WHEN discontinued THEN amount * 0.2 ELSE 0 END, 6) AS keep_credit, p.pid IS NULL AS unknown_product
+FROM return_requests r LEFT JOIN (SELECT product_id AS pid, discontinued FROM raw_products) p ON p.pid = r.product_id""")
 def discontinued(t: Tables):
     return returns.discontinued_resolution(t.return_requests, t.raw_products)
 
@@ -152,8 +153,9 @@ def disposition(t: Tables):
 
 
 @query("pol_10_return_cost", """
-SELECT order_id, line_no, product_id, round(amount * 0.15, 6) AS return_cost, margin_pct > 50 AS prefer_replacement
-FROM return_requests JOIN products_c USING (product_id)""")
+SELECT order_id, line_no, product_id, round(amount * 0.15, 6) AS return_cost, coalesce(margin_pct > 50, false) AS prefer_replacement,
+       p.pid IS NULL AS unknown_product
+FROM return_requests r LEFT JOIN (SELECT product_id AS pid, margin_pct FROM products_c) p ON p.pid = r.product_id""")
 def cost(t: Tables):
     return returns.return_costs(t.return_requests, t.products)
 
@@ -183,7 +185,8 @@ def red_flags(t: Tables):
 SELECT claim_id, prior_claims, CASE WHEN order_value > 100 THEN 'mandatory'
        WHEN n >= 5 AND prior_claims = 0 THEN 'waived' ELSE 'required' END AS photos
 FROM (SELECT *, rank() OVER (PARTITION BY customer_id ORDER BY claimed_on) - 1 AS prior_claims FROM damage_claims)
-JOIN (SELECT customer_id, count(*) AS n FROM shipments GROUP BY 1) USING (customer_id)""")
+JOIN (SELECT c.claim_id, count(DISTINCT s.order_id) AS n FROM damage_claims c LEFT JOIN shipments s
+      ON s.customer_id = c.customer_id AND s.ordered_at <= c.claimed_on GROUP BY 1) USING (claim_id)""")
 def photos(t: Tables):
     return damage.photo_requirement(t.damage_claims, t.shipments).select("claim_id", "prior_claims", "photos")
 
@@ -194,10 +197,10 @@ def grade(t: Tables):
 
 
 @query("pol_15_availability", """
-SELECT order_id, line_no, product_id, stock, CASE WHEN discontinued THEN 'refund_only_plus_credit'
+SELECT order_id, line_no, product_id, stock, CASE WHEN p.pid IS NULL THEN 'check_product' WHEN discontinued THEN 'refund_only_plus_credit'
        WHEN stock > 10 THEN 'replacement_or_refund' WHEN stock >= 1 THEN 'replacement_or_refund_restock'
-       ELSE 'refund_or_wait' END AS offer
-FROM return_requests JOIN product_stock USING (product_id) WHERE item_condition = 'damaged'""")
+       ELSE 'refund_or_wait' END AS offer, p.pid IS NULL AS unknown_product
+FROM return_requests r LEFT JOIN (SELECT product_id AS pid, stock, discontinued FROM product_stock) p ON p.pid = r.product_id WHERE item_condition = 'damaged'""")
 def available(t: Tables):
     return damage.replacement_availability(t.return_requests, t.product_stock)
 
@@ -221,10 +224,11 @@ def filing(t: Tables):
 
 
 @query("pol_18_carrier_monitor", f"""
-SELECT CAST(month AS VARCHAR) AS month, carrier, damages, shipments, round(damages * 1.0 / shipments, 6) AS damage_rate,
-       {flags_sql(('damages >= 3', 'three_same_carrier'), ('damages >= 5', 'five_any_carrier'),
+SELECT CAST(month AS VARCHAR) AS month, carrier, damages, month_damages, shipments, round(damages * 1.0 / shipments, 6) AS damage_rate,
+       {flags_sql(('damages >= 3', 'three_same_carrier'), ('month_damages >= 5', 'five_any_carrier'),
                   ('damages * 1.0 / shipments > 0.01', 'rate_over_1pct'))} AS triggers
-FROM (SELECT CAST(date_trunc('month', claimed_on) AS DATE) AS month, carrier, count(*) AS damages FROM damage_claims GROUP BY 1, 2)
+FROM (SELECT *, CAST(sum(damages) OVER (PARTITION BY month) AS BIGINT) AS month_damages FROM (
+      SELECT CAST(date_trunc('month', claimed_on) AS DATE) AS month, carrier, count(*) AS damages FROM damage_claims GROUP BY 1, 2))
 LEFT JOIN (SELECT CAST(date_trunc('month', shipped_on) AS DATE) AS month, carrier, count(*) AS shipments FROM shipments GROUP BY 1, 2)
   USING (month, carrier)""")
 def monitor(t: Tables):
@@ -266,10 +270,10 @@ def follow_up(t: Tables):
 # --- shipping ---------------------------------------------------------------
 
 @query("pol_22_shipping_quote", """
-SELECT order_id, zone, method, CASE WHEN order_value >= free_from THEN 0 ELSE rate END::DOUBLE AS charge
-FROM shipments JOIN rates_card USING (zone, method)""")
+SELECT order_id, zone, method, CASE WHEN order_value >= free_from THEN 0 ELSE rate END::DOUBLE AS charge, rate IS NULL AS unknown_rate
+FROM shipments LEFT JOIN rates_card USING (zone, method)""")
 def quotes(t: Tables):
-    return shipping.quote(t.shipments).select("order_id", "zone", "method", "charge")
+    return shipping.quote(t.shipments).select("order_id", "zone", "method", "charge", "unknown_rate")
 
 
 @query("pol_23_shipping_holds", f"""
@@ -285,11 +289,11 @@ def holds(t: Tables):
 WITH cal AS (
   SELECT d, isodow(d) <= 5 AS open, sum(CASE WHEN isodow(d) <= 5 THEN 1 ELSE 0 END) OVER (ORDER BY d) AS k
   FROM (SELECT CAST(g AS DATE) AS d FROM (SELECT unnest(generate_series(DATE '1994-12-01', DATE '2002-12-31', INTERVAL 1 DAY)) AS g)))
-SELECT order_id, CAST(a.d AS VARCHAR) AS promised_from, CAST(b.d AS VARCHAR) AS promised_to
-FROM shipments JOIN rates_card USING (zone, method) JOIN cal c ON c.d = ordered_at
-JOIN cal a ON a.open AND a.k = c.k + min_days JOIN cal b ON b.open AND b.k = c.k + max_days""")
+SELECT order_id, CAST(a.d AS VARCHAR) AS promised_from, CAST(b.d AS VARCHAR) AS promised_to, rate IS NULL AS unknown_rate
+FROM shipments LEFT JOIN rates_card USING (zone, method) JOIN cal c ON c.d = ordered_at
+LEFT JOIN cal a ON a.open AND a.k = c.k + min_days LEFT JOIN cal b ON b.open AND b.k = c.k + max_days""")
 def promised(t: Tables):
-    return shipping.promised_range(t.shipments).select("order_id", "promised_from", "promised_to")
+    return shipping.promised_range(t.shipments).select("order_id", "promised_from", "promised_to", "unknown_rate")
 
 
 @query("pol_25_lost_packages", "SELECT * FROM lost")
@@ -312,16 +316,19 @@ WITH m AS (
          avg(delivered_on - shipped_on) AS avg_days, avg(expected_on - shipped_on) AS avg_promised_days, count(l.order_id) AS lost
   FROM shipments s LEFT JOIN lost l ON l.order_id = s.order_id GROUP BY 1, 2),
  d AS (SELECT CAST(date_trunc('month', claimed_on) AS DATE) AS month, carrier, count(*) AS damages FROM damage_claims GROUP BY 1, 2),
- r AS (SELECT m.*, delivered * 1.0 / shipments AS success_rate, coalesce(damages, 0) * 1.0 / shipments AS damage_rate,
-              lost * 1.0 / shipments AS loss_rate FROM m LEFT JOIN d USING (month, carrier)),
- f AS (SELECT *, success_rate <= 0.98 OR damage_rate >= 0.005 OR loss_rate >= 0.002 AS failing,
+ j AS (SELECT month, carrier, coalesce(shipments, 0) AS shipments, coalesce(delivered, 0) AS delivered, avg_days, avg_promised_days,
+              coalesce(lost, 0) AS lost, coalesce(damages, 0) AS damages FROM m FULL JOIN d USING (month, carrier)),
+ r AS (SELECT *, delivered * 1.0 / nullif(shipments, 0) AS success_rate, damages * 1.0 / nullif(shipments, 0) AS damage_rate,
+              lost * 1.0 / nullif(shipments, 0) AS loss_rate FROM j),
+ f AS (SELECT *, coalesce(success_rate <= 0.98, false) OR coalesce(damage_rate >= 0.005, false) OR coalesce(loss_rate >= 0.002, false)
+              OR coalesce(avg_days > avg_promised_days, false) AS failing,
               (year(month) * 12 + month(month)) AS mi FROM r),
  g AS (SELECT *, mi - row_number() OVER (PARTITION BY carrier, failing ORDER BY mi) AS grp FROM f),
  h AS (SELECT *, CASE WHEN failing THEN row_number() OVER (PARTITION BY carrier, failing, grp ORDER BY mi) ELSE 0 END AS failing_months FROM g)
 SELECT CAST(month AS VARCHAR) AS month, carrier, shipments, delivered, round(avg_days, 6) AS avg_days,
-       round(avg_promised_days, 6) AS avg_promised_days, lost, round(success_rate, 6) AS success_rate,
+       round(avg_promised_days, 6) AS avg_promised_days, lost, damages, round(success_rate, 6) AS success_rate,
        round(damage_rate, 6) AS damage_rate, round(loss_rate, 6) AS loss_rate, failing, failing_months,
-       failing_months >= 2 AS switch_carrier FROM h""")
+       failing_months >= 2 OR damages > 3 AS switch_carrier FROM h""")
 def scorecard(t: Tables):
     return shipping.carrier_scorecard(t.shipments, t.damage_claims, AS_OF)
 
@@ -330,15 +337,16 @@ def scorecard(t: Tables):
 SELECT method, count(*) AS n_orders, round(sum(c), 6) AS charged, round(sum(k), 6) AS cost, round(sum(c - k), 6) AS margin
 FROM (SELECT method, CASE WHEN order_value >= free_from THEN 0 ELSE rate END::DOUBLE AS c,
              CASE method WHEN 'standard' THEN 3.5 WHEN 'expedited' THEN 8.5 ELSE 18 END::DOUBLE AS k
-      FROM shipments JOIN rates_card USING (zone, method) WHERE zone IN ('US', 'APO')) GROUP BY method""")
+      FROM shipments LEFT JOIN rates_card USING (zone, method) WHERE zone IN ('US', 'APO')) GROUP BY method""")
 def shipping_margin(t: Tables):
     return shipping.shipping_margin(t.shipments)
 
 
 @query("pol_29_stock_check", """
 WITH o AS (SELECT order_id, customer_id, min(stock) AS min_stock, max(CASE WHEN stock > 0 THEN price END) AS a,
-                  max(CASE WHEN stock <= 0 THEN price END) AS b FROM orders_c JOIN product_stock USING (product_id) GROUP BY 1, 2),
- x AS (SELECT order_id, min_stock, CASE WHEN min_stock >= 10 THEN 'ship' WHEN min_stock > 0 THEN 'qa_hold'
+                  max(CASE WHEN stock <= 0 THEN price END) AS b, bool_or(stock IS NULL) AS unknown
+           FROM orders_c LEFT JOIN product_stock USING (product_id) GROUP BY 1, 2),
+ x AS (SELECT order_id, min_stock, CASE WHEN unknown THEN 'check_product' WHEN min_stock >= 10 THEN 'ship' WHEN min_stock > 0 THEN 'qa_hold'
               WHEN coalesce(is_vip, false) AND a > b THEN 'partial_shipment' ELSE 'wait_substitute_or_refund' END AS action
        FROM o LEFT JOIN vips USING (customer_id))
 SELECT *, action = 'partial_shipment' AS manager_approval FROM x""")
@@ -348,21 +356,22 @@ def stock_check(t: Tables):
 
 @query("pol_30_processing_sla", f"""
 WITH d AS (SELECT ordered_at, count(*) AS n FROM shipments GROUP BY 1),
- x AS (SELECT s.order_id, (shipped_on - s.ordered_at) * 24 AS hours, CASE WHEN {holiday_sql('s.ordered_at', 105)} THEN 72
+ x AS (SELECT s.order_id, {business_hours_sql('shipped_on', 's.ordered_at')} AS hours, CASE WHEN {holiday_sql('s.ordered_at', 105)} THEN 72
          WHEN n > 1.5 * (SELECT avg(n) FROM d) THEN 48 ELSE 24 END AS allowed_hours FROM shipments s JOIN d ON d.ordered_at = s.ordered_at)
 SELECT *, hours > allowed_hours AS breach FROM x""")
 def sla(t: Tables):
     return shipping.processing_sla(t.shipments).select("order_id", "hours", "allowed_hours", "breach")
 
 
-@query("pol_31_free_upgrade", """
+@query("pol_31_free_upgrade", f"""
 SELECT order_id, reason, reason IS NOT NULL AS free_upgrade FROM (
 SELECT s.order_id, CASE WHEN address_error THEN NULL WHEN our_error THEN 'our_error'
        WHEN coalesce(is_vip, false) AND complaint THEN 'vip_complaint' WHEN s.order_value > 200 THEN 'high_value'
-       WHEN d.order_id IS NOT NULL THEN 'damage_reship' END AS reason
+       WHEN d.order_id IS NOT NULL THEN 'damage_reship'
+       WHEN coalesce(s.delivered_on, {DAY}) - s.expected_on > 15 THEN 'long_delay' END AS reason
 FROM shipments s LEFT JOIN vips USING (customer_id) LEFT JOIN damage_claims d ON d.order_id = s.order_id)""")
 def upgrade(t: Tables):
-    return shipping.free_upgrade(t.shipments, lookups.customer_orders(t.lines), t.damage_claims)
+    return shipping.free_upgrade(t.shipments, lookups.customer_orders(t.lines), t.damage_claims, AS_OF)
 
 
 @query("pol_32_failed_subscription", """
@@ -374,19 +383,23 @@ def failed(t: Tables):
 
 
 @query("pol_33_decision_trace", f"""
-WITH x AS (SELECT *, item_condition = 'adverse_reaction' AS adv, item_condition = 'opened' AS opened,
-       CASE WHEN item_condition = 'adverse_reaction' THEN 'auto' ELSE {TIER_SQL} END AS approval, {FORM_SQL} AS refund_form
-       FROM windowed JOIN (SELECT product_id, discontinued FROM raw_products) USING (product_id))
-SELECT order_id, line_no, product_id, customer_id, CASE WHEN adv OR eligible THEN 'approve' ELSE 'deny' END AS decision,
+WITH x AS (SELECT w.*, item_condition = 'adverse_reaction' AS adv, item_condition = 'adverse_reaction' OR eligible AS ok,
+                  item_condition <> 'adverse_reaction' AND eligible AS plain, item_condition = 'opened' AS opened,
+                  item_condition = 'damaged' AS dam, item_condition = 'damaged' AND coalesce(discontinued, false) AS gone, pid IS NULL AS unknown
+           FROM windowed w LEFT JOIN (SELECT product_id AS pid, discontinued FROM raw_products) p ON p.pid = w.product_id),
+ y AS (SELECT *, plain AND is_vip AND (opened OR (window_rule = 'vip' AND days_used > 30)) AS discretion FROM x),
+ z AS (SELECT *, CASE WHEN NOT ok THEN NULL WHEN adv THEN 'auto' WHEN discretion AND amount < 50 THEN 'manager' ELSE {TIER_SQL} END AS approval,
+              CASE WHEN NOT ok THEN NULL WHEN gone THEN 'refund_only' ELSE {FORM_SQL} END AS refund_form FROM y)
+SELECT order_id, line_no, product_id, customer_id, CASE WHEN ok THEN 'approve' ELSE 'deny' END AS decision,
        refund_form, approval, {flags_sql(
-    ('adv', 'adverse_override'), ('eligible AND NOT adv', 'inside_window'), ('NOT eligible AND NOT adv', 'outside_window'),
-    ("window_rule = 'holiday'", 'holiday_window'), ("window_rule = 'vip'", 'vip_window'),
-    ('opened AND is_vip', 'vip_opened_refund'), ('opened AND NOT is_vip', 'opened_store_credit'),
-    ("item_condition = 'damaged'", 'damage_sop'), ('discontinued', 'discontinued_refund_only'),
-    ("approval = 'manager'", 'manager_approval'), ("approval = 'director'", 'director_approval'))} AS rules,
+    ('adv', 'adverse_override'), ('plain', 'inside_window'), ('NOT ok', 'outside_window'),
+    ("NOT adv AND window_rule = 'holiday'", 'holiday_window'), ("NOT adv AND window_rule = 'vip'", 'vip_window'),
+    ('plain AND opened AND is_vip', 'vip_opened_refund'), ('plain AND opened AND NOT is_vip', 'opened_store_credit'),
+    ('plain AND dam AND NOT gone', 'damage_sop'), ('plain AND gone', 'discontinued_refund_only'), ('discretion', 'manager_discretion'),
+    ("approval = 'manager'", 'manager_approval'), ("approval = 'director'", 'director_approval'), ('unknown', 'unknown_product'))} AS rules,
        '{{"days_used":' || days_used || ',"item_condition":"' || item_condition || '","is_vip":' || is_vip
        || ',"window_rule":"' || window_rule || '"}}' AS inputs
-FROM x""")
+FROM z""")
 def trace(t: Tables):
     return returns.decide(vip_windows(t), t.raw_products)
 
@@ -413,7 +426,9 @@ def ingredients(t: Tables):
 
 
 @query("cat_2_order_conflicts", """
-WITH u AS (SELECT order_id, ingredient, count(DISTINCT product_id) AS n FROM orders_c JOIN ingredients USING (product_id) GROUP BY 1, 2)
+WITH u AS MATERIALIZED (
+  SELECT order_id, ingredient, count(DISTINCT product_id) AS n FROM orders_c JOIN ingredients USING (product_id)
+  WHERE ingredient IN (SELECT first FROM conflict_pairs UNION SELECT second FROM conflict_pairs) GROUP BY 1, 2)
 SELECT a.order_id, first, second, severity, a.n AS n_first, b.n AS n_second
 FROM u a JOIN conflict_pairs ON a.ingredient = first JOIN u b ON b.order_id = a.order_id AND b.ingredient = second""")
 def order_conflicts(t: Tables):

@@ -12,7 +12,6 @@ from pyspark.sql import types as T
 
 from opsmill.operators import clean, features
 from opsmill.plans import fixtures
-from opsmill.sources.tables import spread
 
 
 @dataclass(frozen=True)
@@ -33,10 +32,19 @@ ORACLE_STEPS: dict[str, str] = {
 }
 
 
-# Tables with much work per row; the supplied files are one split each.
+# Tables with much work per row. The supplied files are a single row group
+# each, which Spark cannot split.
 SPREAD = ("lineitem", "documents")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """One split dealt over the cores. A table of more splits is left as it is,
+    so what is shuffled here is never larger than a split."""
+    if df.rdd.getNumPartitions() > 1:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 class Tables:
     """Supplied tables and the views over them, as lazy DataFrames."""
 

@@ -11,7 +11,7 @@ from opsmill.operators import chunking, embedding, evaluation, retrieval, return
 from opsmill.plans.policy_queries import vip_windows
 from opsmill.plans.registry import Tables, query, step
 from opsmill.session import materialise, scratch_path
-from opsmill.sources.tables import parse_cases, replace_table, save_report
+from opsmill.sources.tables import parse_cases, save_clean, save_report
 
 SIZE, OVERLAP = 500, 50
 ARMS = {"hash_64": 64, "hash_256": 256}
@@ -147,16 +147,24 @@ def chunk_corpus(t: Tables):
 
 def cases(t: Tables):
     """Benchmark items as cases. Expected are the sources of the documents
-    that contain the whole item: both sides meet on the hash of eight words
-    inside the item (every item has more), then the text itself decides."""
-    items = t.benchmark.withColumn("_w", F.split("text", r"\s+"))
-    anchors = items.select("item_id", F.xxhash64(F.array_join(F.slice("_w", 2, 8), " ")).alias("h"))
+    that contain the whole item. Both sides meet on the hash of words inside the
+    item, then the text itself decides: the second to the ninth word, fewer in a
+    shorter item (its first and last word may be parts of longer ones). An item
+    of one or two words has none inside and meets documents on its first word."""
+    words = F.split("text", r"\s+")
+    items = t.benchmark.withColumn("_w", words)
+    inner = F.greatest(F.least(F.size("_w") - 2, F.lit(8)), F.lit(1))
+    start = F.when(F.size("_w") > 2, 2).otherwise(1)
+    anchors = items.select("item_id", inner.alias("n"), F.xxhash64(F.array_join(F.slice("_w", start, inner), " ")).alias("h"))
+    lengths = [r.n for r in anchors.select("n").distinct().collect()]  # eight at most
     docs = t.documents
-    grams = F.transform(F.sequence(F.lit(1), F.greatest(F.size("_w") - 7, F.lit(1))),
-                        lambda i: F.xxhash64(F.array_join(F.slice(F.col("_w"), i, 8), " ")))
-    shingles = (docs.select("doc_id", F.split("text", r"\s+").alias("_w"))
-                .select("doc_id", F.explode(grams).alias("h")))
-    pairs = shingles.join(anchors, "h").select("doc_id", "item_id").distinct()
+
+    def grams(n):
+        return F.transform(F.sequence(F.lit(1), F.greatest(F.size("_w") - (n - 1), F.lit(1))),
+                           lambda i: F.struct(F.lit(n).alias("n"), F.xxhash64(F.array_join(F.slice(F.col("_w"), i, n), " ")).alias("h")))
+
+    shingles = docs.select("doc_id", words.alias("_w")).select("doc_id", F.explode(F.concat(*map(grams, lengths or [8]))).alias("g"))
+    pairs = shingles.select("doc_id", "g.n", "g.h").join(anchors, ["n", "h"]).select("doc_id", "item_id").distinct()
     found = (pairs.join(docs.select("doc_id", "source", "text"), "doc_id")
              .join(items.select("item_id", F.col("text").alias("query")), "item_id")
              .filter(F.contains("text", F.col("query"))).select("item_id", "source").distinct()
@@ -181,6 +189,12 @@ def results(t: Tables):
     return evaluation.run_cases(cases(t), arms, "id")
 
 
+def turn_queries(t: Tables, dim: int = 64):
+    """User turns of the conversations as queries."""
+    q = t.conversations.filter("role = 'user'").select((F.col("conv_id") * 1000 + F.col("turn")).alias("query_id"), "text")
+    return q.withColumn("vec", embedding.embed_tokens(F.col("text"), dim))
+
+
 def case_queries(t: Tables, dim: int = 64):
     q = t.benchmark.select(F.col("item_id").alias("query_id"), "text")
     return q.withColumn("vec", embedding.embed_tokens(F.col("text"), dim))
@@ -258,11 +272,14 @@ def side_by_side(t: Tables):
     docs = t.documents.select("doc_id", "text")
     return chunking.compare_strategies(docs, {
         "fixed_size": {"chunk_size": SIZE, "chunk_overlap": OVERLAP, "separator": "\n"},
-        "recursive": {"chunk_size": SIZE, "chunk_overlap": OVERLAP}})
+        "recursive": {"chunk_size": SIZE, "chunk_overlap": OVERLAP}, "semantic": {}})
 
 
-step("chunks_both", """
-SELECT *, 'fixed_size' AS strategy FROM chunks_fixed UNION ALL SELECT *, 'recursive' FROM chunks_recursive""")
+step("chunks_semantic", semantic_sql("quantile_cont(distance, 0.95)"))
+step("chunks_both", f"""
+SELECT doc_id, chunk_index, text, token_count, 'fixed_size' AS strategy FROM chunks_fixed
+UNION ALL SELECT doc_id, chunk_index, text, token_count, 'recursive' FROM chunks_recursive
+UNION ALL SELECT doc_id, chunk_index, text, len({tok('text')}), 'semantic' FROM chunks_semantic""")
 
 
 @query("doc_6_compare_strategies", "SELECT strategy, doc_id, count(*) AS n_chunks, CAST(sum(token_count) AS BIGINT) AS n_tokens FROM chunks_both GROUP BY 1, 2")
@@ -353,13 +370,15 @@ def reduced(t: Tables):
     return slots(df, "vec_id")
 
 
-@query("emb_5_compare_embedders", """
-SELECT id AS item_id, model, dim AS embedding_dim, round(v[1], 6) AS s1, round(v[2], 6) AS s2, round(v[3], 6) AS s3, round(v[4], 6) AS s4, round(v[5], 6) AS s5
-FROM (SELECT id, 'hash_64' AS model, 64 AS dim, v FROM case64_v UNION ALL SELECT id, 'hash_256', 256, v FROM case256_v)""")
+@query("emb_5_compare_embedders", f"""
+SELECT id AS item_id, model, dim AS embedding_dim, round(v[1], 6) AS s1, round(v[2], 6) AS s2, round(v[3], 6) AS s3, round(v[4], 6) AS s4, round(v[5], 6) AS s5,
+       n AS tokens, round(n / 1000.0 * 0.00002, 6) AS cost
+FROM (SELECT id, 'hash_64' AS model, 64 AS dim, v FROM case64_v UNION ALL SELECT id, 'hash_256', 256, v FROM case256_v)
+JOIN (SELECT item_id, len({tok('text')}) AS n FROM benchmark) ON item_id = id""")
 def compare_embedders(t: Tables):
     df = embedding.compare_embedders(t.benchmark.select("item_id", "text"), "item_id",
                                      {n: embedder(d) for n, d in ARMS.items()})
-    return df.select("item_id", "model", "embedding_dim",
+    return df.select("item_id", "model", "embedding_dim", "tokens", "cost",
                      *[F.element_at("embedding_sample", i).cast("double").alias(f"s{i}") for i in range(1, 6)])
 
 
@@ -395,10 +414,14 @@ def nearest_chunks(t: Tables):
     return retrieval.with_previews(hits).select("query_id", "id", "source", "rank", "distance", "text_preview")
 
 
-step("conversation_queries", "SELECT item_id AS query_id, text FROM benchmark")
-step("bm25", f"""
+step("case_queries", "SELECT item_id AS query_id, text FROM benchmark")
+step("turn_queries", "SELECT conv_id * 1000 + turn AS query_id, text FROM conversations WHERE role = 'user'")
+
+
+def bm25_step(name: str, queries: str) -> None:
+    step(name, f"""
 SELECT query_id, doc_id, round(sum(idf * tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * l / avgl)) * qn), 6) AS score
-FROM (SELECT query_id, term, count(*) AS qn FROM (SELECT query_id, unnest({tok('lower(text)')}) AS term FROM conversation_queries) GROUP BY 1, 2) q
+FROM (SELECT query_id, term, count(*) AS qn FROM (SELECT query_id, unnest({tok('lower(text)')}) AS term FROM {queries}) GROUP BY 1, 2) q
 JOIN (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest({tok('lower(text)')}) AS term FROM documents) GROUP BY 1, 2) d USING (term)
 JOIN (SELECT doc_id, len({tok('text')}) AS l FROM documents) USING (doc_id)
 JOIN (SELECT term, ln(1 + ((SELECT count(*) FROM documents) - df + 0.5) / (df + 0.5)) AS idf
@@ -406,6 +429,12 @@ JOIN (SELECT term, ln(1 + ((SELECT count(*) FROM documents) - df + 0.5) / (df +
 CROSS JOIN (SELECT avg(len({tok('text')})) AS avgl FROM documents) GROUP BY 1, 2""")
 
 
+bm25_step("bm25", "case_queries")
+bm25_step("turn_bm25", "turn_queries")
+step("turn_texts", "SELECT query_id AS id, text FROM turn_queries")
+embed_steps("turn64", "turn_texts", 64)
+
+
 @query("ret_2_keyword_search", """
 SELECT query_id, doc_id, score, rank FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM bm25) WHERE rank <= 3""")
@@ -418,6 +447,36 @@ step("doc_distances", f"""
 SELECT q.id AS query_id, c.id AS doc_id, {DIST} AS d FROM case64_v q, doc64_v c""")
 
 
+step("turn_distances", f"""
+SELECT q.id AS query_id, c.id AS doc_id, {DIST} AS d FROM turn64_v q, doc64_v c""")
+
+
+@query("ret_1_turns", """
+SELECT query_id, doc_id, round(d, 6) AS distance, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY d, doc_id) AS rank FROM turn_distances) WHERE rank <= 3""")
+def nearest_for_turns(t: Tables):
+    corpus = embedded_documents(t).select("doc_id", "vec")
+    return retrieval.nearest(corpus, turn_queries(t).select("query_id", "vec"), "doc_id")
+
+
+@query("ret_2_turns", """
+SELECT query_id, doc_id, score, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM turn_bm25) WHERE rank <= 3""")
+def keywords_for_turns(t: Tables):
+    return retrieval.keyword_search(t.documents.select("doc_id", "text"), turn_queries(t).select("query_id", "text"), "doc_id")
+
+
+@query("ret_3_turns", """
+WITH r AS (SELECT query_id, min(d) AS lo, max(d) AS hi FROM turn_distances GROUP BY 1),
+ m AS (SELECT query_id, max(score) AS top FROM turn_bm25 GROUP BY 1),
+ f AS (SELECT x.query_id, x.doc_id, round(0.5 * CASE WHEN hi > lo THEN (hi - d) / (hi - lo) ELSE 1 END + 0.5 * coalesce(coalesce(score, 0) / top, 0), 6) AS score
+       FROM turn_distances x JOIN r ON r.query_id = x.query_id LEFT JOIN m ON m.query_id = x.query_id
+       LEFT JOIN turn_bm25 b ON b.query_id = x.query_id AND b.doc_id = x.doc_id)
+SELECT query_id, doc_id, score, rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM f) WHERE rank <= 3""")
+def hybrid_for_turns(t: Tables):
+    return retrieval.hybrid_search(embedded_documents(t).select("doc_id", "text", "vec"), turn_queries(t), "doc_id")
+
+
 @query("ret_3_hybrid_search", """
 WITH r AS (SELECT query_id, min(d) AS lo, max(d) AS hi FROM doc_distances GROUP BY 1),
  m AS (SELECT query_id, max(score) AS top FROM bm25 GROUP BY 1),
@@ -433,9 +492,10 @@ def hybrid(t: Tables):
 SELECT query_id, doc_id, source, d AS distance, rank FROM (SELECT x.*, source, row_number() OVER (PARTITION BY query_id ORDER BY d, x.doc_id) AS rank
 FROM doc_distances x JOIN documents o ON o.doc_id = x.doc_id WHERE lang = 'en' AND source IN ('src1', 'src10')) WHERE rank <= 3""")
 def filtered(t: Tables):
-    docs = t.documents.filter("lang = 'en' AND source IN ('src1', 'src10')")
-    corpus = docs.select("doc_id", "source", embedding.embed_tokens(F.col("text")).alias("vec"))
-    return retrieval.nearest(corpus, case_queries(t).select("query_id", "vec"), "doc_id")
+    corpus = embedded_documents(t).select("doc_id", "source", "lang", "vec")
+    hits = retrieval.filtered_search(corpus, case_queries(t).select("query_id", "vec"), "doc_id",
+                                     where={"lang": ["en"], "source": ["src1", "src10"]})
+    return hits.select("query_id", "doc_id", "source", "distance", "rank")
 
 
 @query("ret_5_rerank", """
@@ -443,7 +503,7 @@ SELECT query_id, doc_id, d AS distance, rank FROM (SELECT c.query_id, c.doc_id,
 FROM (SELECT * FROM bm25 WHERE score > 0 QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) <= 20) c
 JOIN doc_distances x ON x.query_id = c.query_id AND x.doc_id = c.doc_id) WHERE rank <= 3""")
 def rerank(t: Tables):
-    return retrieval.rerank(embedded_documents(t).select("doc_id", "text", "vec"), case_queries(t), "doc_id")
+    return retrieval.rerank(t.documents.select("doc_id", "text"), case_queries(t), "doc_id", embed=embedding.embed_tokens)
 
 
 # --- evaluation -------------------------------------------------------------
@@ -581,13 +641,13 @@ def parsed_cases(t: Tables):
 
 @query("snk_1_replace_tables", """
 SELECT strftime(order_date, '%Y-%m') AS order_month, count(*) AS n_lines, CAST(sum(quantity) AS BIGINT) AS units,
-       round(sum(order_value), 4) AS total_revenue FROM orders_f GROUP BY 1""")
+       round(sum(order_value::DECIMAL(18, 6))::DOUBLE, 4) AS total_revenue FROM orders_f GROUP BY 1""")
 def write_orders(t: Tables):
-    path = scratch_path(t.spark, "orders")
-    lines = t.valued_lines.withColumn("order_month", F.date_format("order_date", "yyyy-MM"))
-    replace_table(lines, path, "order_month")
-    return t.spark.read.parquet(path).groupBy("order_month").agg(
-        F.count("*").alias("n_lines"), F.sum("quantity").alias("units"), F.sum("order_value").alias("total_revenue"))
+    path = scratch_path(t.spark, "clean")
+    save_clean(t.products, t.customers, t.valued_lines, path)
+    value = F.col("order_value").cast("decimal(18, 6)")
+    return t.spark.read.parquet(f"{path}/orders").groupBy("order_month").agg(
+        F.count("*").alias("n_lines"), F.sum("quantity").alias("units"), F.sum(value).alias("total_revenue"))
 
 
 @query("snk_2_nested_report", """
@@ -600,12 +660,28 @@ def write_report(t: Tables):
         "test_id", "arm", "sources_match", F.size("retrieved").alias("n_retrieved"), "top_distance")
 
 
-@query("pol_34_evidence_pack", """
-SELECT order_id, line_no, product_id, item_condition, eligible, h.ids AS evidence FROM windowed
-LEFT JOIN (SELECT query_id, string_agg(vec_id::VARCHAR, ',' ORDER BY rank) AS ids FROM label_hits GROUP BY 1) h ON h.query_id = product_id % 10""")
+step("topic_texts", """
+SELECT row_number() OVER (ORDER BY item_condition) AS id, item_condition, replace(item_condition, '_', ' ') || ' return and refund' AS text
+FROM (SELECT DISTINCT item_condition FROM return_requests)""")
+embed_steps("topic64", "topic_texts", 64)
+
+
+@query("pol_34_evidence_pack", f"""
+WITH x AS (SELECT q.id AS qid, c.id AS cid, {DIST} AS d FROM topic64_v q, chunk64_v c),
+ h AS (SELECT qid, s.source, s.text, d, row_number() OVER (PARTITION BY qid ORDER BY d, cid) AS rank FROM x JOIN chunk_sources s ON s.id = cid),
+ e AS (SELECT item_condition, string_agg(source, ',' ORDER BY rank) AS sources, round(min(d), 6) AS top_distance,
+              min({preview_sql('h.text', 200)}) FILTER (WHERE rank = 1) AS top_preview
+       FROM h JOIN topic_texts t ON t.id = qid WHERE rank <= 3 GROUP BY 1)
+SELECT order_id, line_no, product_id, item_condition, eligible, window_rule, days_used, sources, top_distance, top_preview
+FROM windowed LEFT JOIN e USING (item_condition)""")
 def evidence(t: Tables):
-    requests = vip_windows(t).withColumn("topic", (F.col("product_id") % 10).cast("int"))
-    corpus = t.embeddings.select("vec_id", F.col("embedding").alias("vec"))
-    hits = retrieval.nearest(corpus, label_queries(t), "vec_id")
-    df = returns.evidence_pack(requests, hits, "topic", "vec_id")
-    return df.select("order_id", "line_no", "product_id", "item_condition", "eligible", F.col("evidence.id").alias("evidence"))
+    requests = vip_windows(t)
+    topics = requests.select(F.col("item_condition").alias("query_id")).distinct()
+    asked = topics.select("query_id", embedding.embed_tokens(
+        F.concat(F.replace("query_id", F.lit("_"), F.lit(" ")), F.lit(" return and refund"))).alias("vec"))
+    corpus = chunk_corpus(t).withColumn("vec", embedding.embed_tokens(F.col("text")))
+    hits = retrieval.with_previews(retrieval.nearest(corpus, asked, "id"))
+    df = returns.evidence_pack(requests, hits, "item_condition", "id")
+    best = F.col("evidence")[0]
+    return df.select("order_id", "line_no", "product_id", "item_condition", "eligible", "window_rule", "days_used",
+                     F.col("evidence.source").alias("sources"), best["distance"].alias("top_distance"), best["text_preview"].alias("top_preview"))

@@ -29,13 +29,6 @@ def load_raw(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame, Data
             load_table(spark, f"{root}/orders", ORDER_SCHEMA))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores when the input has fewer splits than there are
-    cores, as one small file has; a large input keeps its splits."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def load_corpus(spark: SparkSession, path: str) -> DataFrame:
     """One row per text file: file name as source, whole file as text."""
     return (spark.read.text(path, wholetext=True)
@@ -64,10 +57,10 @@ def save_clean(products: DataFrame, customers: DataFrame, lines: DataFrame, root
     replace_table(products, f"{root}/products")
     replace_table(customers, f"{root}/customers")
     month = F.date_format("order_date", "yyyy-MM")
-    # A month is written by up to eight tasks, so a busy month is no bottleneck.
-    salted = lines.withColumn("order_month", month).repartition(
-        "order_month", F.pmod(F.xxhash64("order_id"), F.lit(8)))
-    replace_table(salted, f"{root}/orders", "order_month")
+    # Rebalanced at run time: a busy month is written by as many tasks as it
+    # has data for, and small months share one.
+    laid_out = lines.withColumn("order_month", month).hint("rebalance", "order_month")
+    replace_table(laid_out, f"{root}/orders", "order_month")
 
 
 def save_report(df: DataFrame, path: str) -> None:

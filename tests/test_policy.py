@@ -2,6 +2,7 @@ from datetime import date, timedelta
 
 from pyspark.sql import functions as F
 
+from opsmill.functions.columns import elapsed_business_hours
 from opsmill.operators import damage, returns, shipping
 from opsmill.operators.trailing import earlier_counts, trailing_counts
 
@@ -62,7 +63,63 @@ def test_adverse_reaction_overrides_window_and_approval(spark):
     products = spark.createDataFrame([(1, False)], "product_id INT, discontinued BOOLEAN")
     got = {r.order_id: r for r in returns.decide(returns.return_window(df), products).collect()}
     assert (got[1].decision, got[1].approval) == ("approve", "auto") and "adverse_override" in got[1].rules
-    assert (got[2].decision, got[2].approval) == ("deny", "director")
+    # A denied request carries neither approval nor refund form.
+    assert (got[2].decision, got[2].approval, got[2].refund_form) == ("deny", None, None)
+
+
+def test_decisions_do_not_contradict_themselves(spark):
+    d = date(2025, 6, 1)
+    rows = [(1, 2, 20.0, 5, "damaged", False), (2, 1, 20.0, 5, "damaged", False), (3, 1, 20.0, 5, "opened", True), (4, 1, 20.0, 40, "unopened", True),
+            (5, 99, 20.0, 5, "unopened", False), (6, 1, 300.0, 5, "opened", True), (7, 1, 20.0, 31, "opened", False)]
+    rows = [(i, 1, p, 1, a, d, d, d + timedelta(n), c, v) for i, p, a, n, c, v in rows]
+    df = spark.createDataFrame(rows, "order_id INT, line_no INT, product_id INT, customer_id INT, amount DOUBLE, "
+                               "ordered_at DATE, delivered_on DATE, requested_on DATE, item_condition STRING, is_vip BOOLEAN")
+    products = spark.createDataFrame([(1, False), (2, True)], "product_id INT, discontinued BOOLEAN")
+    got = {r.order_id: (r.decision, r.refund_form, r.approval, r.rules) for r in returns.decide(returns.return_window(df), products).collect()}
+    assert got == {
+        1: ("approve", "refund_only", "auto", ["inside_window", "discontinued_refund_only"]),
+        2: ("approve", "refund_or_replacement_plus_10pct", "auto", ["inside_window", "damage_sop"]),
+        3: ("approve", "full_refund_manager_discretion", "manager", ["inside_window", "vip_window", "vip_opened_refund", "manager_discretion", "manager_approval"]),
+        4: ("approve", "full_refund", "manager", ["inside_window", "vip_window", "manager_discretion", "manager_approval"]),
+        5: ("approve", "full_refund", "auto", ["inside_window", "unknown_product"]),
+        6: ("approve", "full_refund_manager_discretion", "director", ["inside_window", "vip_window", "vip_opened_refund", "manager_discretion", "director_approval"]),
+        7: ("deny", None, None, ["outside_window"])}
+
+
+def test_business_hours_skip_the_weekend(spark):
+    times = [("2025-06-06 12:00:00", "2025-06-09 12:00:00", 24), ("2025-06-07 10:00:00", "2025-06-08 10:00:00", 0), ("2025-06-02 00:00:00", "2025-06-16 01:30:00", 241),
+             ("2025-06-09 00:00:00", "2025-06-06 00:00:00", 0), ("1969-12-30 00:00:00", "1970-01-02 00:00:00", 72)]
+    df = spark.createDataFrame(times, "a STRING, b STRING, n INT")
+    assert [(r.h, r.n) for r in df.select(elapsed_business_hours(F.to_timestamp("b"), F.to_timestamp("a")).alias("h"), "n").collect()] == [(n, n) for *_, n in times]
+
+
+def test_unknown_keys_keep_their_rows(spark):
+    d = date(2025, 6, 2)
+    ships = spark.createDataFrame([(1, "US", "standard", 10.0, d), (2, "MARS", "standard", 10.0, d)], "order_id INT, zone STRING, method STRING, order_value DOUBLE, ordered_at DATE")
+    assert {r.order_id: (r.charge, r.unknown_rate) for r in shipping.quote(ships).collect()} == {1: (5.95, False), 2: (None, True)}
+    assert {r.order_id: r.promised_from for r in shipping.promised_range(ships).collect()}[2] is None
+    lines = spark.createDataFrame([(1, -1, 1, 5.0), (1, -1, 9, 5.0), (2, 7, 1, 5.0)], "order_id INT, customer_id INT, product_id INT, price DOUBLE")
+    stock = spark.createDataFrame([(1, 50)], "product_id INT, stock INT")
+    vips = spark.createDataFrame([(7, True)], "customer_id INT, is_vip BOOLEAN")
+    assert {r.order_id: r.action for r in shipping.stock_check(lines, stock, vips).collect()} == {1: "check_product", 2: "ship"}
+
+
+def test_photos_are_waived_for_orders_up_to_the_claim_only(spark):
+    day = [date(2025, 1, 1) + timedelta(30 * i) for i in range(6)]
+    orders = spark.createDataFrame([(1, i, d) for i, d in enumerate(day)] + [(1, 0, day[0])], "customer_id INT, order_id INT, ordered_at DATE")
+    claims = spark.createDataFrame([(1, 1, day[3], 20.0)], "claim_id INT, customer_id INT, claimed_on DATE, order_value DOUBLE")
+    later = spark.createDataFrame([(2, 1, day[4], 20.0)], "claim_id INT, customer_id INT, claimed_on DATE, order_value DOUBLE")
+    assert [damage.photo_requirement(c, orders).first().photos for c in (claims, later)] == ["required", "waived"]
+
+
+def test_carriers_are_watched_together_and_alone(spark):
+    d = date(2025, 6, 3)
+    claims = spark.createDataFrame([(d, "A")] * 2 + [(d, "B")] * 4, "claimed_on DATE, carrier STRING")
+    ships = spark.createDataFrame([(d, "A", d, d, "US")] * 400, "shipped_on DATE, carrier STRING, expected_on DATE, delivered_on DATE, zone STRING")
+    got = {r.carrier: (r.damages, r.month_damages, r.triggers) for r in damage.carrier_monitor(claims, ships).collect()}
+    assert got == {"A": (2, 6, ["five_any_carrier"]), "B": (4, 6, ["three_same_carrier", "five_any_carrier"])}
+    card = {r.carrier: (r.shipments, r.damages, r.failing, r.switch_carrier) for r in shipping.carrier_scorecard(ships, claims, "2025-08-01").collect()}
+    assert card == {"A": (400, 2, True, False), "B": (0, 4, False, True)}
 
 
 def test_compensation_levels(spark):

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from opsmill.operators import embedding, evaluation, retrieval
+from opsmill.operators import chunking, embedding, evaluation, retrieval
 
 WORDS = "red green blue fast slow big small cat dog fish tree house".split()
 
@@ -81,20 +81,41 @@ def test_keyword_search_equals_brute_force(corpus, queries, monkeypatch, limit):
     assert got == {q: w for q, w in want.items() if w}
 
 
-@pytest.mark.parametrize("limit", [2048, 3])
-def test_hybrid_equals_brute_force(corpus, queries, monkeypatch, limit):
-    monkeypatch.setattr(retrieval, "MAX_SENT_QUERIES", limit)
+@pytest.mark.parametrize("rows,cells,alpha,k", [(2048, 8_000_000, 0.3, 3), (3, 8_000_000, 0.3, 3), (2048, 20, 0.0, 200), (2048, 8_000_000, 1.0, 200)])
+def test_hybrid_equals_brute_force(corpus, queries, monkeypatch, rows, cells, alpha, k):
+    """Also with only the cell limit exceeded, and with more rows asked than there are."""
+    monkeypatch.setattr(retrieval, "MAX_SENT_QUERIES", rows)
     monkeypatch.setattr(retrieval, "QUERIES_PER_BLOCK", 3)
-    monkeypatch.setattr(retrieval, "MAX_SENT_CELLS", 8_000_000)
+    monkeypatch.setattr(retrieval, "MAX_SENT_CELLS", cells)
+    monkeypatch.setattr(retrieval, "CELLS_PER_BLOCK", max(cells, 500))
     near = distances(corpus[1], queries[1])
     want = {}
     for q, t in queries[0]:
         d, s = near[q], bm25(corpus[0], t)
         lo, hi, top = min(d.values()), max(d.values()), max(s.values(), default=0)
-        fused = {i: round(0.3 * ((hi - x) / (hi - lo) if hi > lo else 1.0) + 0.7 * (s.get(i, 0) / top if top else 0), 6)
+        fused = {i: round(alpha * ((hi - x) / (hi - lo) if hi > lo else 1.0) + (1 - alpha) * (s.get(i, 0) / top if top else 0), 6)
                  for i, x in d.items()}
-        want[q] = ranked({i: x for i, x in fused.items() if x > 0}, 3, -1)
-    assert hits(retrieval.hybrid_search(corpus[1], queries[1], "id", 3, alpha=0.3)) == {q: w for q, w in want.items() if w}
+        want[q] = ranked(fused, k, -1)
+    assert hits(retrieval.hybrid_search(corpus[1], queries[1], "id", k, alpha=alpha)) == want
+    assert all(len(w) == min(k, 90) for w in want.values())
+
+
+def test_null_and_empty_texts_have_zero_vectors(spark):
+    df = spark.createDataFrame([(1, None), (2, ""), (3, "a cat. A dog. A cat.")], "id INT, text STRING")
+    got = {r.id: list(r.v) for r in df.select("id", embedding.embed_tokens(F.col("text"), 4).alias("v")).collect()}
+    assert got[1] == got[2] == [0.0] * 4 and any(got[3])
+    chunks = chunking.semantic(df.withColumnRenamed("id", "doc_id"))
+    assert {r.doc_id for r in chunks.collect()} >= {3}
+
+
+def test_filters_and_candidates_come_before_the_embedding(corpus, queries):
+    near = distances(corpus[1], queries[1])
+    sources = {i: s for i, s, _ in corpus[0]}
+    got = hits(retrieval.filtered_search(corpus[1], queries[1].select("query_id", "vec"), "id", 3, where={"source": ["src1", "copy"]}, least=("id", 10)))
+    assert got == {q: ranked({i: x for i, x in d.items() if sources[i] in ("src1", "copy") and i >= 10}, 3) for q, d in near.items()}
+    texts = corpus[1].select("id", "text")
+    one = hits(retrieval.rerank(texts, queries[1], "id", 5, 2, embed=lambda c: embedding.embed_tokens(c, 16)))
+    assert one == hits(retrieval.rerank(corpus[1], queries[1], "id", 5, 2))
 
 
 def test_rerank_orders_candidates_by_distance(corpus, queries):
