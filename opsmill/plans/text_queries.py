@@ -409,7 +409,8 @@ SELECT query_id, id, source, rank, round(d, 6) AS distance, {preview_sql('text',
   SELECT x.qid AS query_id, s.id, s.source, s.text, d, row_number() OVER (PARTITION BY x.qid ORDER BY d, s.id) AS rank
   FROM (SELECT q.id AS qid, c.id AS cid, {DIST} AS d FROM case64_v q, chunk64_v c) x JOIN chunk_sources s ON s.id = x.cid) WHERE rank <= 3""")
 def nearest_chunks(t: Tables):
-    corpus = chunk_corpus(t).withColumn("vec", embedding.embed_tokens(F.col("text")))
+    # Written once: the scan reads the texts, and the hits fetch theirs again.
+    corpus = materialise(chunk_corpus(t), "chunks").withColumn("vec", embedding.embed_tokens(F.col("text")))
     hits = retrieval.nearest(corpus, case_queries(t).select("query_id", "vec"), "id")
     return retrieval.with_previews(hits).select("query_id", "id", "source", "rank", "distance", "text_preview")
 
@@ -679,7 +680,8 @@ def evidence(t: Tables):
     topics = requests.select(F.col("item_condition").alias("query_id")).distinct()
     asked = topics.select("query_id", embedding.embed_tokens(
         F.concat(F.replace("query_id", F.lit("_"), F.lit(" ")), F.lit(" return and refund"))).alias("vec"))
-    corpus = chunk_corpus(t).withColumn("vec", embedding.embed_tokens(F.col("text")))
+    # Written once: the scan reads the texts, and the hits fetch theirs again.
+    corpus = materialise(chunk_corpus(t), "chunks").withColumn("vec", embedding.embed_tokens(F.col("text")))
     hits = retrieval.with_previews(retrieval.nearest(corpus, asked, "id"))
     df = returns.evidence_pack(requests, hits, "item_condition", "id")
     best = F.col("evidence")[0]
