@@ -117,7 +117,7 @@ def test_draws_follow_the_lattice(vocabulary):
 
     walk(len(unit), [], 1.0)
     total = sum(ways.values())
-    ids, sizes = pieces.sample([unit] * n, np.arange(n, dtype=np.int64), pieces._Lattices(vocabulary))
+    ids, sizes = pieces.sample([unit] * n, np.arange(n, dtype=np.int64), pieces._Lookup(vocabulary))
     seen, at = Counter(), 0
     for k in sizes.tolist():
         seen[tuple(ids[at:at + k].tolist())] += 1
@@ -128,6 +128,15 @@ def test_draws_follow_the_lattice(vocabulary):
     assert set(seen) <= set(ways)
 
 
+def test_short_and_long_units_are_filtered_alike(vocabulary, monkeypatch):
+    units = [" the", "there", "  x", "\n", " überall", "abcabcabc"]
+    lookup = pieces._Lookup(vocabulary)
+    together = pieces.sample(units, np.arange(len(units), dtype=np.int64), lookup)
+    monkeypatch.setattr(pieces, "LONG_UNIT", 0)
+    alone = pieces.sample(units, np.arange(len(units), dtype=np.int64), lookup)
+    assert together[0].tolist() == alone[0].tolist() and together[1].tolist() == alone[1].tolist()
+
+
 # --- classifier -------------------------------------------------------------
 
 def test_discriminant_equals_the_densities(spark):
