@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from opsmill.llm import words
 
 LONG_UNIT = 48
-PIECE_BYTES = 3 << 20  # of text whose words are filtered together
+PIECE_BYTES = 1 << 20  # of text whose words are filtered together
 BASE = 0x9E3779B185EBCA87
 UNITS = r" *[^ \n]+| +|\n"
 
