@@ -30,6 +30,42 @@ def op4_quality_rules(spark: SparkSession, root: str) -> DataFrame:
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_removed_lines", "lost_chars", "base_failed", "kept")])
 
 
+_PHRASES = " OR ".join(f"contains(lower(line), '{p}')" for p in quality_rules.BOILERPLATE)
+ORACLES["op4_quality_rules"] = rf"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), win AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 2], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d WHERE len(w) >= 3)
+), rep AS (
+  SELECT doc_id, count(DISTINCT p) AS n FROM (
+    SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, s) AS c FROM win) WHERE c > 1) GROUP BY doc_id
+), ln AS (
+  SELECT doc_id, line, row_number() OVER (PARTITION BY doc_id, line ORDER BY k) AS nth
+  FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line, generate_subscripts(string_split(t, chr(10)), 1) AS k FROM d)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+), v AS (
+  SELECT *, length(regexp_replace(line, '[\x20\x09-\x0D]+', '', 'g')) AS chars, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words,
+         len(regexp_extract_all(line, '[#*$%&|<>]')) AS sym, len(regexp_extract_all(line, '(?:^|[\x20\t])[|>](?:[\x20\t]|$)')) AS bars,
+         len(regexp_extract_all(line, '\p{{Lu}}')) AS up, len(regexp_extract_all(line, '\p{{L}}')) AS letters,
+         len(list_filter(regexp_extract_all(line, '[^\x20\x09-\x0D]+'), lambda x: regexp_matches(x, '[^!]!+$'))) AS bangs FROM ln
+), f AS (
+  SELECT doc_id, chars, nth, nth > 1 OR sym > 0.1::DOUBLE * chars OR (words >= 3 AND bars > 0.2::DOUBLE * words)
+         OR (regexp_matches(line, '\p{{Lu}}{{4}}') AND letters >= 12 AND up > 0.6::DOUBLE * letters)
+         OR (words >= 3 AND bangs > 0.3::DOUBLE * words) OR (length(line) <= 200 AND ({_PHRASES})) AS gone FROM v
+), l AS (
+  SELECT doc_id, count(*) FILTER (nth > 1) AS n_dup, count(*) FILTER (gone) AS n_gone, coalesce(sum(chars) FILTER (gone), 0)::BIGINT AS lost
+  FROM f GROUP BY doc_id
+), q AS (
+  SELECT d.doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+         len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols, coalesce(n_dup, 0)::BIGINT AS n_dup_lines,
+         coalesce(rep.n, 0)::BIGINT AS n_repeat_words, coalesce(n_gone, 0)::BIGINT AS n_removed_lines, coalesce(lost, 0)::BIGINT AS lost_chars
+  FROM d LEFT JOIN rep USING (doc_id) LEFT JOIN l USING (doc_id)
+), b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM q)
+SELECT *, NOT base_failed AND lost_chars <= 0.3::DOUBLE * word_chars AS kept FROM b
+"""
+
+
 # The rules the contract of op6 fixes, and the sites listed for blocking.
 URL_RULES = tuple(url_filter.Rule(v, h, p) for v, h, p in (
     ("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
