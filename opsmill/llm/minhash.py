@@ -8,17 +8,21 @@ confirmed on full shingle sets.
 Documents with one and the same shingle set are one class, whatever their
 number, and only a class's first document goes on. In a bucket all members are
 compared with its first one. Members that end up in its component need no more
-comparisons there; only the others are compared with the rest of the bucket. So
-a large group of near copies costs a comparison per member and not per pair.
+comparisons there. The others meet the rest of the bucket, but only pairs whose
+upper bound allows a link leave that join: each set has a small map of the cells
+its shingles fall into, and a shingle in a cell that the other map lacks is not
+shared. No pair is left out that could be a link.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opsmill.llm import words
@@ -28,7 +32,7 @@ from opsmill.session import materialise
 SHINGLE = 5
 SIMILAR = 75  # percent
 PERMUTATIONS, BANDS = 64, 32  # two values each: 128, four to a band
-MAX_ROUNDS, ROUND_FACTOR = 6, 4
+MAP_LONGS = 16  # of 64 cells each; few enough for one compiled method
 
 
 def _shingles(own: words.Words) -> tuple[np.ndarray, np.ndarray]:
@@ -87,12 +91,18 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """id, all shingle hashes, and the map of their cells."""
+    cells = MAP_LONGS * 64
     for batch in words.chunks(batches):
         found, sizes = _shingles(words.Words(batch.column(batch.schema.get_field_index("text")), lower=True))
         ends = np.append(0, np.cumsum(sizes)).astype(np.int32)
+        flags = np.zeros((len(sizes), cells), np.uint8)
+        flags[np.repeat(np.arange(len(sizes)), sizes), (found >> np.uint64(40)).astype(np.int64) % cells] = 1
+        maps = np.packbits(flags, axis=1).view(np.int64).ravel()
         yield pa.RecordBatch.from_arrays(
-            [batch.column(batch.schema.get_field_index("id")), pa.ListArray.from_arrays(pa.array(ends), pa.array(found.view(np.int64)))],
-            names=["id", "shingles"])
+            [batch.column(batch.schema.get_field_index("id")), pa.ListArray.from_arrays(pa.array(ends), pa.array(found.view(np.int64))),
+             pa.ListArray.from_arrays(pa.array(np.arange(len(sizes) + 1, dtype=np.int32) * MAP_LONGS), pa.array(maps))],
+            names=["id", "shingles", "map"])
 
 
 def _fit(n: str, m: str):
@@ -121,32 +131,33 @@ def near_links(docs: DataFrame, members: DataFrame) -> DataFrame:
     first = members.groupBy("band").agg(F.min(F.struct("id", "n")).alias("lead"), F.count(F.lit(1)).alias("size")).where("size > 1")
     members = materialise(members.join(first, "band").select("band", "id", "n", F.col("lead.id").alias("lead"), F.col("lead.n").alias("lead_n")), "members")
     asked = members.select("id").distinct()
-    sets = materialise(docs.join(asked, "id", "left_semi").mapInArrow(_sets, "id long, shingles array<long>"), "sets")
+    sets = materialise(docs.join(asked, "id", "left_semi").mapInArrow(_sets, "id long, shingles array<long>, map array<long>"), "sets")
     pairs = members.where((F.col("id") != F.col("lead")) & _fit("n", "lead_n")).select(F.col("id").alias("src"), F.col("lead").alias("dst")).distinct()
     links = materialise(confirm(pairs, sets), "links")
 
-    # Members outside the component of their bucket's first one.
-    open_ = members
-    for turn in range(MAX_ROUNDS + 1):
-        labels = components(links)
-        open_ = _label(_label(open_.drop("comp", "main"), labels, "id", "comp"), labels, "lead", "main")
-        open_ = materialise(open_.where("comp != main"), "open")
-        if open_.isEmpty():
-            return links
-        all_ = _label(members.select("band", "id", "n"), labels, "id", "comp")
-        wide = open_.groupBy("band").agg(F.count(F.lit(1)).alias("open"))
-        cost = wide.join(members.groupBy("band").agg(F.count(F.lit(1)).alias("size")), "band").agg(F.sum(F.col("open") * F.col("size"))).first()[0]
-        last = turn == MAX_ROUNDS or cost <= ROUND_FACTOR * members.count()
-        one = open_.select("band", F.col("id").alias("src"), F.col("n").alias("m"), F.col("comp").alias("own"))
-        if not last:
-            heads = one.groupBy("band").agg(F.min(F.struct("src", "m", "own")).alias("h"))
-            one = heads.select("band", "h.*")
-            open_ = open_.join(one.select("band", F.col("src").alias("id")), ["band", "id"], "left_anti")
-        pairs = one.join(all_, "band").where((F.col("own") != F.col("comp")) & _fit("n", "m"))
-        pairs = pairs.select(F.least("src", "id").alias("src"), F.greatest("src", "id").alias("dst")).distinct()
-        links = materialise(links.union(confirm(pairs, sets)), "links")
-        if last:
-            return links
+    # Members outside the component of their bucket's first one, and the rest of
+    # their buckets, with the maps that bound what two sets may share.
+    labels = components(links)
+    open_ = _label(_label(members, labels, "id", "comp"), labels, "lead", "main").where("comp != main")
+    open_ = materialise(open_.select("band", "id"), "open")
+    if open_.isEmpty():
+        return links
+    rest = members.join(open_.select("band").distinct(), "band", "left_semi").select("band", "id", "n")
+    rest = _label(rest, labels, "id", "comp").join(sets.select("id", "map"), "id")
+    rest = materialise(rest.withColumn("extra", F.col("n") - _bits([F.col("map")[i] for i in range(MAP_LONGS)])), "rest")
+    one = rest.join(open_, ["band", "id"], "left_semi").select(
+        "band", F.col("id").alias("src"), F.col("n").alias("m"), F.col("comp").alias("own"), F.col("map").alias("other"), F.col("extra").alias("more"))
+    # A cell that both maps have may hold a shared shingle; every other cell
+    # holds one that is not shared.
+    shared = _bits([F.col("map")[i].bitwiseAND(F.col("other")[i]) for i in range(MAP_LONGS)]) + F.least("extra", "more")
+    pairs = one.join(rest, "band").where(
+        (F.col("own") != F.col("comp")) & _fit("n", "m") & ((100 + SIMILAR) * shared >= SIMILAR * (F.col("n") + F.col("m"))))
+    pairs = pairs.select(F.least("src", "id").alias("src"), F.greatest("src", "id").alias("dst")).distinct()
+    return links.union(confirm(pairs, sets))
+
+
+def _bits(longs) -> Column:
+    return reduce(add, [F.bit_count(x) for x in longs])
 
 
 def classes(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
