@@ -168,8 +168,8 @@ FROM d LEFT JOIN n USING (doc_id) LEFT JOIN it USING (doc_id)
 
 @query
 def op3_substring_dedup(spark: SparkSession, root: str) -> DataFrame:
-    docs = table(spark, root, "documents").select("doc_id", F.col("text").alias("body"))
-    kept = substring.remove_copies(docs, "doc_id", "body")
+    docs = table(spark, root, "documents").select("doc_id", "text")
+    kept = substring.remove_copies(docs, with_text=False)
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 

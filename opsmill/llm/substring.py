@@ -177,25 +177,38 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out(held.settle(True))
 
 
-def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts as zstd bytes with their size, for the way through the shuffle."""
+    for batch in words.chunks(batches, "__text"):
+        at = batch.schema.get_field_index("__text")
+        raw = [None if t is None else t.encode() for t in batch.column(at).to_pylist()]
+        columns, names = list(batch.columns), list(batch.schema.names)
+        columns[at] = pa.array([t and pa.compress(t, "zstd", asbytes=True) for t in raw], pa.binary())
+        yield pa.RecordBatch.from_arrays([*columns, pa.array([len(t or b"") for t in raw], pa.int64())], names=[*names, "__size"])
+
+
+def _keep(batches: Iterator[pa.RecordBatch], text: str | None) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         at = {f.name: i for i, f in enumerate(batch.schema)}
-        n_words, n_removed, kept = [], [], []
-        for text, spans in zip(batch.column(at["__text"]).to_pylist(), batch.column(at["__spans"]).to_pylist()):
-            own = (text or "").encode().split()
+        texts, n_words, n_removed, kept = [], [], [], []
+        for packed, size, spans in zip(*(batch.column(at[c]).to_pylist() for c in ("__text", "__size", "__spans"))):
+            raw = pa.decompress(packed, size, "zstd", asbytes=True) if size else packed and b""
+            own = raw.split() if raw else []
             left = own
             if spans:
                 gone = np.zeros(len(own) + 1, np.int64)
                 np.add.at(gone, [s["first"] for s in spans], 1)
                 np.add.at(gone, [s["last"] + WINDOW for s in spans], -1)
                 left = [own[i] for i in np.flatnonzero(np.cumsum(gone)[:-1] == 0).tolist()]
+            texts.append(raw)
             n_words.append(len(own))
             n_removed.append(len(own) - len(left))
             kept.append(b" ".join(left))
-        yield pa.RecordBatch.from_arrays(
-            [*(batch.column(i) for n, i in at.items() if n not in ("__text", "__spans")), pa.array(n_words, pa.int64()),
-             pa.array(n_removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())],
-            names=[*(n for n in at if n not in ("__text", "__spans")), "n_words", "n_removed", "kept_text"])
+        made = {n: batch.column(i) for n, i in at.items() if n not in ("__text", "__size", "__spans")}
+        if text:
+            made[text] = pa.array(texts, pa.binary()).cast(pa.string())
+        made |= {"n_words": pa.array(n_words, pa.int64()), "n_removed": pa.array(n_removed, pa.int64()), "kept_text": pa.array(kept, pa.binary()).cast(pa.string())}
+        yield pa.RecordBatch.from_arrays(list(made.values()), names=list(made))
 
 
 def copied_windows(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
@@ -216,19 +229,25 @@ def _mark(text: str):
     return F.xxhash64(F.col(f"`{text}`")).alias("mark")
 
 
-def remove_copies(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
+def remove_copies(docs: DataFrame, doc: str = "doc_id", text: str = "text", with_text: bool = True) -> DataFrame:
     """``docs`` with n_words, n_removed and kept_text (kept words joined by one
-    space; columns of these names are replaced).
+    space; columns of these names are replaced). ``with_text=False`` leaves the
+    text itself out. Texts go through the shuffle once and compressed.
 
     A word goes if a window over it also starts earlier: at a smaller id, or
     earlier in the same document. Rows without id come last. Rows with one id
     count as one document: equal places are not earlier than each other, so
     repeated rows lose the same words. Null and empty texts have no words.
     """
-    keep = [c for c in docs.columns if c not in ("n_words", "n_removed", "kept_text")]
-    spans = copied_windows(docs, doc, text).groupBy("key", "mark").agg(F.collect_list(F.struct("first", "last")).alias("__spans"))
-    rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("__text"), _key(doc).alias("__key"), _mark(text).alias("__mark"))
-    rows = rows.join(spans, (F.col("__key") == F.col("key")) & (F.col("__mark") == F.col("mark")), "left")
-    rows = rows.select(*[F.col(f"`{c}`") for c in keep], "__text", "__spans")
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in keep)
-    return rows.mapInArrow(_keep, f"{fields}, n_words long, n_removed long, kept_text string")
+    keep = [c for c in docs.columns if c not in ("n_words", "n_removed", "kept_text", text)]
+    spans = copied_windows(docs, doc, text).groupBy(
+        F.col("key").alias("__k"), F.col("mark").alias("__m")).agg(F.collect_list(F.struct("first", "last")).alias("__spans"))
+    rows = docs.select(*[F.col(f"`{c}`") for c in keep], _key(doc).alias("__key"), _mark(text).alias("__mark"), F.col(f"`{text}`").alias("__text"))
+    types = {f.name: f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema}
+    rows = rows.mapInArrow(_squeeze, ", ".join(t for c, t in types.items() if c != "__text") + ", __text binary, __size long")
+    rows = rows.join(spans, (F.col("__key") == F.col("__k")) & (F.col("__mark") == F.col("__m")), "left")
+    rows = rows.select(*[F.col(f"`{c}`") for c in keep], "__text", "__size", "__spans")
+    fields = [types[c] for c in keep] + [f"`{text}` string"] * with_text + ["n_words long", "n_removed long", "kept_text string"]
+    out = rows.mapInArrow(lambda b: _keep(b, text if with_text else None), ", ".join(fields))
+    order = [c for c in docs.columns if c in keep or (with_text and c == text)]
+    return out.select(*[F.col(f"`{c}`") for c in order], "n_words", "n_removed", "kept_text")
