@@ -3,7 +3,8 @@
 The tagger is fitted on windows with labelled spans. Any text position within
 reach of a digit or an at sign lies in windows that overlap by half; the
 scores of a position are averaged over its windows, and one CRF decoding over
-the whole stretch reconciles them. Text farther away has no tag but O.
+the whole stretch reconciles them. Text farther away has no tag but O. What the
+labels call a secret is one wherever it stands and whatever the tagger scores.
 """
 
 from __future__ import annotations
@@ -24,15 +25,17 @@ KINDS = ("email", "ip", "card", "phone")  # base kinds, in the order of listing
 TAGGED = (*KINDS, "secret")
 WIDTH, STRIDE = 64, 32
 FIT_WINDOWS, MADE_WINDOWS = 800, 600  # bounds of what the tagger is fitted on
-LEAST_SECRET = 12
+LEAST_SECRET = 12  # characters of a secret that no label names
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _NUMBERS = re.compile(r"[0-9]++(?:\.[0-9]++)*+")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-# Labels for fitting: a quoted value that a name says is secret.
-_SECRET = re.compile(r"(?i)(?:token|secret|api_?key|password|passwd)\s{0,3}[=:]\s{0,3}[\"']([^\"'\s]{8,80})[\"']")
+# Labels: a quoted value that a name says is secret.
+_VALUE = r"[=:]\s{0,3}[\"']([^\"'\s]{8,80}+)[\"']"
+_QUOTED = re.compile(_VALUE)
+_SECRET = re.compile(r"(?i)(?:token|secret|api_?key|password|passwd)\s{0,3}" + _VALUE)
 
 
 def luhn(digits: str) -> bool:
@@ -76,6 +79,8 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 def secret_spans(text: str) -> list[tuple[str, int, int]]:
+    if not _QUOTED.search(text):
+        return []
     return [("secret", m.start(1), m.end(1)) for m in _SECRET.finditer(text)]
 
 
@@ -241,13 +246,18 @@ def _whole(text: str, span: tuple[str, int, int]) -> tuple[str, int, int]:
 
 
 def find(texts: list[str], model: dict[str, np.ndarray]) -> list[list[tuple[str, int, int]]]:
-    """All spans of each text: base ones, and those of the tagger that touch none of them."""
+    """All spans of each text: base ones, labelled secrets that no base span
+    covers, and those of the tagger that touch none of them."""
     out, jobs, windows = [], [], []
     for i, text in enumerate(texts):
-        if not text or not re.search("[0-9@]", text):
+        if not text:
             out.append([])
             continue
-        out.append(base_spans(text))
+        near = re.search("[0-9@]", text)
+        base = base_spans(text) if near else []
+        out.append(base + [s for s in secret_spans(text) if not any(a <= s[1] and s[2] <= b for _, a, b in base)])
+        if not near:
+            continue
         for a, b in _stretches(text):
             jobs.append((i, a, len(windows), b - a + 1))
             windows += [text[k * STRIDE:k * STRIDE + WIDTH].ljust(WIDTH, "\n") for k in range(a, b + 1)]

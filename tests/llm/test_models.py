@@ -283,3 +283,25 @@ def test_masking(spark):
     assert [r[0] for r in table.select(pii.mask(F.col("text"), spans)).collect()] == ["é [EMAIL], [IP]!", None, "", "plain"]
     masked = pii.mask_documents(table)
     assert masked.columns == table.columns and {r.doc_id: (r.text, r.n_chars) for r in masked.collect()}[1] == ("é [EMAIL], [IP]!", 16)
+
+
+@pytest.mark.parametrize("value", [
+    "Tr0ub4dor&3", "correct-horse-battery", "1234567890123456", "eight888", "x" * 80, "hunter!p@ss.word1", "a@b.cd.ef", "4111111111111111"])
+@pytest.mark.parametrize("name", ["password = ", "Secret: ", "API_KEY="])
+def test_every_labelled_secret_is_found_and_masked(spark, model, name, value):
+    far = "plain words of the text " * 12
+    text = f'{far}{name}"{value}" {far}'
+    a, b = len(far + name) + 1, len(far + name) + 1 + len(value)
+    assert pii.secret_spans(text) == [("secret", a, b)]
+    [spans] = pii.find([text], model.parameters)
+    assert any(x <= a and b <= y for _, x, y in spans)
+    table = spark.createDataFrame([(1, text)], SCHEMA)
+    masked = pii.detect(table, model).select(pii.mask(F.col("text"), F.col("pii"))).first()[0]
+    whole = any(k != "secret" and (x, y) == (a, b) for k, x, y in pii.base_spans(text))
+    kind = pii.base_spans(text)[0][0].upper() if whole else "SECRET"
+    assert masked == f'{far}{name}"[{kind}]" {far}'
+
+
+def test_quoted_words_that_no_name_calls_secret_stay(model):
+    texts = ['the title: "introduction" of it', 'name = "frontend-service" here', 'password = "short"', 'password = "two words"', 'token = "' + "x" * 81 + '"']
+    assert pii.find(texts, model.parameters) == [[]] * 5
