@@ -141,8 +141,19 @@ def recursive_chunks(t: Tables):
     return chunking.recursive(t.documents.select("doc_id", "source", "text"), SIZE, OVERLAP)
 
 
+def pair_id(one, two, factor: int):
+    """One number per pair of numbers: ``one * factor + two``, which is the id in
+    SQL, where that is no other pair's, and else a number below zero (Cantor's
+    pairing). A pair too large for a long is an error, never another pair's id."""
+    one, two = F.col(one).cast("long"), F.col(two).cast("long")
+    x, y = (F.when(c < 0, -2 * c - 1).otherwise(2 * c) for c in (one, two))
+    both = x + y
+    half = F.when(both % 2 == 0, F.shiftright(both, 1) * (both + 1)).otherwise(both * F.shiftright(both + 1, 1))
+    return F.when((one >= 0) & (two >= 0) & (two < factor), one * factor + two).otherwise(-1 - (half + y))
+
+
 def chunk_corpus(t: Tables):
-    return fixed_chunks(t).select((F.col("doc_id") * 100000 + F.col("chunk_index")).alias("id"), "source", "text")
+    return fixed_chunks(t).select(pair_id("doc_id", "chunk_index", 100000).alias("id"), "source", "text")
 
 
 def cases(t: Tables):
@@ -191,7 +202,7 @@ def results(t: Tables):
 
 def turn_queries(t: Tables, dim: int = 64):
     """User turns of the conversations as queries."""
-    q = t.conversations.filter("role = 'user'").select((F.col("conv_id") * 1000 + F.col("turn")).alias("query_id"), "text")
+    q = t.conversations.filter("role = 'user'").select(pair_id("conv_id", "turn", 1000).alias("query_id"), "text")
     return q.withColumn("vec", embedding.embed_tokens(F.col("text"), dim))
 
 

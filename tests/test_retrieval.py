@@ -1,12 +1,14 @@
 import math
 import random
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from opsmill.operators import chunking, embedding, evaluation, retrieval
+from opsmill.plans import text_queries
 
 WORDS = "red green blue fast slow big small cat dog fish tree house".split()
 
@@ -185,3 +187,23 @@ def test_kappa(spark):
     rows = [(1, 1)] * 20 + [(1, 0)] * 5 + [(0, 1)] * 10 + [(0, 0)] * 15
     got = evaluation.cohen_kappa(spark.createDataFrame(rows, "a INT, b INT"), "a", "b").first()
     assert (got.observed, got.expected, round(got.kappa, 6)) == (0.7, 0.5, 0.4)
+
+
+def test_turns_of_long_conversations_keep_all_their_hits(spark):
+    rows = [(c, t, "user", f"word{(c * 7 + t) % 5} of turn") for c, t in ((4, 0), (4, 999), (4, 1000), (4, 2000), (5, 0), (5, 1000), (6, 0), (-1, 1000), (4, -1))]
+    docs = [(d, f"word{d} of turn text", "en", "s") for d in range(5)]
+    t = SimpleNamespace(conversations=spark.createDataFrame(rows, "conv_id LONG, turn LONG, role STRING, text STRING"),
+                        documents=spark.createDataFrame(docs, "doc_id LONG, text STRING, lang STRING, source STRING"))
+    ids = [r.query_id for r in text_queries.turn_queries(t).collect()]
+    assert len(set(ids)) == len(rows) and {4000, 4999, 5000, 6000} <= set(ids)
+    for build in (text_queries.nearest_for_turns, text_queries.keywords_for_turns, text_queries.hybrid_for_turns):
+        got = build(t).collect()
+        assert len(got) == 3 * len(rows)
+        assert {q: sorted(r.rank for r in got if r.query_id == q) for q in ids} == {q: [1, 2, 3] for q in ids}
+
+
+def test_pair_ids_are_unique(spark):
+    pairs = [(a, b) for a in range(-12, 60) for b in range(-12, 60)] + [(2**30, 100_000), (2**30, 99_999), (2**30 + 1, 0)]
+    table = spark.createDataFrame(pairs, "doc_id LONG, chunk_index LONG")
+    got = {(r[0], r[1]): r[2] for r in table.select("doc_id", "chunk_index", text_queries.pair_id("doc_id", "chunk_index", 10)).collect()}
+    assert len(set(got.values())) == len(pairs) and all(got[a, b] == 10 * a + b for a, b in pairs if a >= 0 and 0 <= b < 10)
