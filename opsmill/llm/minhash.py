@@ -12,12 +12,17 @@ comparisons there. The others meet the rest of the bucket, but only pairs whose
 upper bound allows a link leave that join: each set has a small map of the cells
 its shingles fall into, and a shingle in a cell that the other map lacks is not
 shared. No pair is left out that could be a link.
+
+Where one set has at most ``SMALL`` shingles, bands miss a link too often. Such
+sets and their possible partners also meet by every subset of the size that a
+link of theirs must share, so none of these links is missed.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
+from functools import cache, reduce
+from itertools import combinations
 from operator import add
 
 import numpy as np
@@ -32,6 +37,7 @@ from opsmill.session import materialise
 SHINGLE = 5
 SIMILAR = 75  # percent
 PERMUTATIONS, BANDS = 64, 32  # two values each: 128, four to a band
+SMALL = 8  # shingles of the smaller set up to which no link may be missed
 MAP_LONGS = 16  # of 64 cells each; few enough for one compiled method
 
 
@@ -56,8 +62,29 @@ def _factors() -> np.ndarray:
     return words.mix(np.arange(1, PERMUTATIONS + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F)) | np.uint64(1)
 
 
+@cache
+def _subsets(n: int) -> list[np.ndarray]:
+    """Places of the subsets, one array (subset, place) per size, by which a set
+    of ``n`` shingles meets all other sets it may be linked with, if one of the
+    two is small. Equal sets are one class and need no subset."""
+    sizes = set()
+    for m in range(1, n * 100 // SIMILAR + 1):
+        least = -(-SIMILAR * (n + m) // (100 + SIMILAR))  # shared shingles of a link
+        if min(n, m) <= SMALL and least <= min(n, m) and not least == n == m:
+            sizes.add(least)
+    return [np.array(list(combinations(range(n), k))) for k in sorted(sizes)]
+
+
+def _small_keys(own: np.ndarray) -> np.ndarray:
+    """One hash per subset of a set's shingles."""
+    with np.errstate(over="ignore"):
+        made = [words.mix(own[at].sum(axis=1, dtype=np.uint64) + np.uint64(at.shape[1] << 48)) for at in _subsets(len(own))]
+    return np.concatenate(made) if made else np.zeros(0, np.uint64)
+
+
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """id, n_shingles, two sums that tell the set, and one hash per band."""
+    """id, n_shingles, two sums that tell the set, and one hash per band, with those of
+    a small set's subsets."""
     factors = _factors()
     for batch in words.chunks(batches):
         ids = batch.column(batch.schema.get_field_index("id"))
@@ -82,11 +109,16 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         x = words.mix(x * np.uint64(0xE7037ED1A0B428DB) + low[k])
                         x = words.mix(x * np.uint64(0xE7037ED1A0B428DB) + high[k])
                     bands[:, b] = x
+        lists = list(bands)
+        for j in np.flatnonzero(sizes[some] <= SMALL * 100 // SIMILAR).tolist():
+            lists[j] = np.concatenate([bands[j], _small_keys(found[at[j]:at[j] + sizes[some[j]]])])
         ends = np.zeros(len(sizes) + 1, np.int32)
-        ends[1:] = np.cumsum(np.where(sizes > 0, BANDS, 0))
+        ends[some + 1] = [len(x) for x in lists]
+        ends = np.cumsum(ends, dtype=np.int32)
+        flat = np.concatenate(lists) if lists else np.zeros(0, np.uint64)
         yield pa.RecordBatch.from_arrays(
             [ids, pa.array(sizes), pa.array(sums[0].view(np.int64)), pa.array(sums[1].view(np.int64)),
-             pa.ListArray.from_arrays(pa.array(ends), pa.array(bands.ravel().view(np.int64)))],
+             pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.view(np.int64)))],
             names=["id", "n", "a", "b", "bands"])
 
 

@@ -232,3 +232,27 @@ def test_word_hashes_do_not_depend_on_the_batch(spark):
         assert words.windows(h, size).tolist() == [words.windows(h[i:i + size], size)[0] for i in range(len(h) - size + 1)]
         assert words.slide_min(h, size).tolist() == [h[i:i + size].min() for i in range(len(h) - size + 1)]
     assert hashlib.sha256(h.tobytes()).hexdigest() == hashlib.sha256(whole.hashes().tobytes()).hexdigest()
+
+
+def test_no_link_of_a_small_set_is_missed():
+    import pyarrow as pa
+    rng, missed = random.Random(11), 0
+    texts = []
+    for i in range(60_000):  # of 8 and 7 words: 3 of 4 shingles shared
+        words = [f"w{rng.randrange(10**9)}" for _ in range(8)]
+        texts += [" ".join(words), " ".join(words[:7])]
+    for n in range(3, minhash.SMALL + 1):  # all sizes of a union that a link allows
+        for more in range(n // 3 + 1):
+            for less in range(n - -(-3 * (n + more) // 4) + 1):
+                words = [f"v{rng.randrange(10**9)}" for _ in range(n + 4 + more)]
+                texts += [" ".join(words[:n + 4]), " ".join(words[less:])]
+                a, b = ({tuple(t.split()[k:k + 5]) for k in range(len(t.split()) - 4)} for t in texts[-2:])
+                assert 100 * len(a & b) >= 75 * len(a | b)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["id", "text"])
+    made = [b for x in minhash._sign(iter([batch])) for b in x.column(x.schema.get_field_index("bands")).to_pylist()]
+    assert len(made) == len(texts)
+    bare = 0
+    for a, b in zip(made[::2], made[1::2]):
+        missed += not set(a) & set(b)
+        bare += not set(a[:minhash.BANDS]) & set(b[:minhash.BANDS])
+    assert missed == 0 and bare > 0
