@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from functools import reduce
-from operator import or_
+from operator import add, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,8 +29,9 @@ BOILERPLATE = (
 @dataclass(frozen=True)
 class LineRules:
     """Limits. Shares are of a line's characters or words, ``max_lost`` of a
-    document's word characters; boilerplate is sought in lines of at most
-    ``max_phrase_line`` characters, as prose may quote such a phrase."""
+    document's word characters. One boilerplate phrase fails a line of at most
+    ``max_phrase_line`` characters. Prose may quote such a phrase, so a longer
+    line fails if one comes after ``max_lead_words`` words at most, or if it has two."""
 
     max_symbol_share: float = 0.10
     max_upper_share: float = 0.60
@@ -38,6 +39,7 @@ class LineRules:
     max_bang_share: float = 0.30
     max_bar_share: float = 0.20
     max_phrase_line: int = 200
+    max_lead_words: int = 4
     max_lost: float = 0.30
     min_words: int = 50
     max_repeat_percent: int = 50
@@ -92,8 +94,10 @@ def line_fails(line: Column, rules: LineRules) -> Column:
         | share("(?:^|[\\x20\\t])[|>](?:[\\x20\\t]|$)", word, rules.max_bar_share, 3))
     shouts = line.rlike("\\p{Lu}{4}") & share("\\p{Lu}", "\\p{L}", rules.max_upper_share, rules.min_upper_letters)
     bangs = line.contains("!") & share("[^\\x20\\x09-\\x0D!]!+(?![^\\x20\\x09-\\x0D])", word, rules.max_bang_share, 3)
-    phrase = (F.length(line) <= rules.max_phrase_line) & _let(
-        F.lower(line), lambda low: reduce(or_, [low.contains(p) for p in BOILERPLATE]))
+    lead = f"^{BLANK[:-1]}*(?:{word}{BLANK}){{0,{rules.max_lead_words}}}{visible}{{0,2}}(?:{'|'.join(BOILERPLATE)})"
+    phrase = _let(F.lower(line), lambda low: reduce(or_, [low.contains(p) for p in BOILERPLATE]) & (
+        (F.length(line) <= rules.max_phrase_line) | low.rlike(lead)
+        | (reduce(add, [low.contains(p).cast("int") for p in BOILERPLATE]) >= 2)))
     return marked | shouts | bangs | phrase
 
 

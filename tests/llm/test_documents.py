@@ -256,3 +256,15 @@ def test_no_link_of_a_small_set_is_missed():
         missed += not set(a) & set(b)
         bare += not set(a[:minhash.BANDS]) & set(b[:minhash.BANDS])
     assert missed == 0 and bare > 0
+
+
+def test_long_lines_are_judged_by_their_phrases(spark):
+    words = prose(random.Random(12), 60)
+    lines = [
+        ("This work is licensed under the Creative Commons licence, version four. " + words, True),
+        ("We use cookies " + words, True), (words + " see our privacy policy and terms of use", True),
+        (words + " and he said it was licensed under no name at all " + words, False), (words, False), ("All rights reserved", True)]
+    assert all(len(x) > 200 for x, _ in lines[:-1])
+    table = spark.createDataFrame(lines, "line STRING, want BOOLEAN")
+    got = table.select("line", "want", quality_rules.line_fails(F.col("line"), quality_rules.LineRules()).alias("got")).collect()
+    assert [r.got for r in got] == [r.want for r in got]
