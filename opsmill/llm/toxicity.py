@@ -1,7 +1,9 @@
 """Toxicity: a weighted lexicon matched by Aho-Corasick over folded text.
 
-Folding lower-cases, maps look-alike letters of other scripts and digits or
-signs that stand for letters, and parts words by single blanks. Lexicon entries
+Folding lower-cases, takes compatible forms off, maps look-alike letters of
+other scripts and digits or signs that stand for letters, and parts words by
+single blanks. Where a word and its parts have no entry, it is also tried without
+accents and with its inner signs as nothing and as letters. Lexicon entries
 are word beginnings with weights, learnt from labelled rows as log odds; the
 weights found in a text, without those inside exception phrases, are normalised
 by its length and turned into a probability by a logistic fit.
@@ -10,6 +12,8 @@ by its length and turned into a probability by a logistic fit.
 from __future__ import annotations
 
 import math
+import string
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 
@@ -55,10 +59,42 @@ TABLE = _table()
 
 def fold(text: str | None) -> str:
     """Folded words, each with one blank before it and one at the end."""
-    parts = (text or "").lower().translate(TABLE).split()
+    parts = _plain(text or "").lower().translate(TABLE).split()
     return f" {' '.join(parts)} " if parts else ""
 
 
+def _plain(text: str) -> str:
+    return text if text.isascii() else unicodedata.normalize("NFKC", text)
+
+
+# Signs that stand for letters inside a word, and those that never end one.
+INSIDE = str.maketrans({"!": "i", "+": "t"})
+ENDS = "".join(c for c in string.punctuation if c not in "+@$")
+NO_SIGNS = str.maketrans(dict.fromkeys(c for c in string.punctuation if c not in "@$"))
+
+
+def _bare(text: str) -> str:
+    return text if text.isascii() else "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c))
+
+
+def _masked(text: str, auto: ahocorasick.Automaton) -> list[float]:
+    """Weights of entries that begin a word only if it loses its accents, or its
+    inner signs are nothing or letters. Words with a part that has an entry are left to ``match``."""
+    out = []
+    for chunk, n in Counter(text.split()).items():
+        core = chunk.strip(ENDS)
+        if not core or core.isascii() and core.isalnum():
+            continue
+        if any(weight > 0 for _, (_, weight) in auto.iter(fold(core))):
+            continue
+        bare = _bare(core)
+        ways = {fold(w) for w in (bare, bare.translate(NO_SIGNS), bare.translate(INSIDE).translate(NO_SIGNS))}
+        best = max((weight for way in ways for end, (size, weight) in auto.iter(way) if end + 1 == size), default=0.0)
+        if best > 0:
+            out += [best] * n
+    return out
+
+
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per entry: labelled rows with it, by label."""
     tally: tuple[Counter, Counter] = (Counter(), Counter())
@@ -139,7 +175,8 @@ def match(text: str | None, auto: ahocorasick.Automaton | None) -> tuple[int, in
                 found[start] = max(found.get(start, 0.0), weight)
     if free:
         found = {s: w for s, w in found.items() if not any(a <= s < b for a, b in free)}
-    return line.count(" ") - 1, len(found), sum(found.values())
+    more = _masked(_plain(text), auto) if auto is not None else []
+    return line.count(" ") - 1, len(found) + len(more), sum(found.values()) + sum(more)
 
 
 def measure(docs: DataFrame, lexicon: dict[str, float], exceptions: tuple[str, ...] = EXCEPTIONS, text: str = "text") -> DataFrame:

@@ -204,6 +204,21 @@ def test_toxicity_learns_folds_and_excepts(spark):
     assert toxicity.score_documents(table.limit(0), names).count() == 0
 
 
+@pytest.mark.parametrize("word", [
+    "ｇｒｏｂｎａｋ", "\U0001d420\U0001d42b\U0001d428\U0001d41b\U0001d427\U0001d41a\U0001d424", "gröbnäk", "gro\u0301bnak", "GRÖBNAK",
+    "grob-nak", "g.r.o.b.n.a.k", "(gr0b_nak)", "grobnak", "go!grobnak"])
+def test_each_disguise_of_a_word_meets_the_lexicon(word):
+    auto = toxicity._automaton({"grobnak": 3.0}, ())
+    assert toxicity.match(f"you {word}, you", auto)[1:] == (1, 3.0)
+
+
+def test_signs_as_letters_and_words_parted_by_signs():
+    auto = toxicity._automaton({toxicity.fold("idiot").strip(): 3.0, "trash": 2.0, "hate": 1.0}, ("trash can",))
+    for text, hits in (("!d!ot", 0), ("id!ot", 1), ("idio+", 1), ("id-iot", 1), ("i.d.i.o.t", 1), ("hello!idiot", 1), ("id-iot id-iot", 2),
+                       ("a trash-can", 0), ("trash can", 0), ("hate-mail", 1), ("ha+e", 1), ("well-known as usual!", 0), ("1+1 a-b", 0)):
+        assert toxicity.match(text, auto)[1] == hits, text
+
+
 # --- personal data ----------------------------------------------------------
 
 PATTERNS = {
