@@ -32,16 +32,16 @@ def normalise(text: str | None) -> list[str]:
 
 def item_windows(items: DataFrame, item: str = "item_id", text: str = "text", window: int = WINDOW) -> DataFrame:
     """Distinct (pattern, items): a padded window and the ids, as strings, that
-    hold it. Items without words, or null, have none."""
+    hold it, a null for items without id. Items without words, or null, have none."""
     kind = F.array_remove(F.split(F.translate(
         F.coalesce(F.col(f"`{text}`"), F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"),
         "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"), "")
     own = items.select(F.col(f"`{item}`").cast("string").alias("item"), kind.alias("w"))
-    own = own.where("size(w) > 0 and item is not null")
+    own = own.where("size(w) > 0")
     places = F.sequence(F.lit(1), F.greatest(F.size("w") - window + 1, F.lit(1)))
     shown = own.select("item", F.explode(F.transform(
         places, lambda i: F.array_join(F.slice("w", i, F.lit(window)), " "))).alias("pattern"))
-    return shown.groupBy("pattern").agg(F.sort_array(F.collect_set("item")).alias("items"))
+    return shown.groupBy("pattern").agg(F.sort_array(F.collect_set(F.struct("item")))["item"].alias("items"))
 
 
 def _automaton(patterns: list[tuple[str, list[str]]]) -> ahocorasick.Automaton | None:
@@ -63,7 +63,7 @@ def _scan(batches: Iterator[pa.RecordBatch], patterns, names: list[str], source:
             raw = (text or "").encode()
             parts = raw.translate(NORMAL).split()
             hits: list[tuple[int, int]] = []
-            found: set[str] = set()
+            found: set[str | None] = set()
             if parts and auto is not None:
                 line = f" {b' '.join(parts).decode('latin-1')} "
                 ends, lens = [], []
@@ -84,7 +84,7 @@ def _scan(batches: Iterator[pa.RecordBatch], patterns, names: list[str], source:
                 own = words.Words(pa.array([text], pa.large_string()), words.ALNUM, lower=True)
                 chars = np.cumsum((own.data & 0xC0) != 0x80)  # code points up to each byte
                 spans = [{"start": int(chars[own.starts[a]]) - 1, "end": int(chars[own.ends[b - 1] - 1])} for a, b in hits]
-            for k, v in enumerate((len(parts), sorted(found), [{"start": a, "end": b} for a, b in hits], spans)):
+            for k, v in enumerate((len(parts), sorted(found, key=lambda x: (x is not None, x or "")), [{"start": a, "end": b} for a, b in hits], spans)):
                 made[k].append(v)
         keep = [batch.column(i) for i, f in enumerate(batch.schema) if f.name != "__text"]
         span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
@@ -99,7 +99,8 @@ HIT_TYPES = "n_words long, items array<string>, word_spans array<struct<start:in
 
 def scan(docs: DataFrame, items: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` without columns named as the results, with n_words, items (ids
-    with a window in the text, sorted as strings), word_spans (merged runs of
+    with a window in the text, sorted as strings, first a null if an item without
+    id has one), word_spans (merged runs of
     hit words, end exclusive) and char_spans (the same runs as code points of
     the text). Null and empty texts have no words and no hits; repeated rows
     are scanned alike; without items nothing is hit.
@@ -180,5 +181,5 @@ def clean_documents(docs: DataFrame, items: DataFrame) -> DataFrame:
     """Documents without any hit, with their columns as they were."""
     clash = [c for c in docs.columns if c in HIT_COLUMNS]
     held = docs.select(*[F.col(f"`{c}`").alias(f"__own_{c}" if c in clash else c) for c in docs.columns])
-    kept = scan(held, items).where("size(items) = 0")
+    kept = scan(held, items).where("size(word_spans) = 0")
     return kept.select(*[F.col(f"`__own_{c}`" if c in clash else f"`{c}`").alias(c) for c in docs.columns])

@@ -268,3 +268,22 @@ def test_long_lines_are_judged_by_their_phrases(spark):
     table = spark.createDataFrame(lines, "line STRING, want BOOLEAN")
     got = table.select("line", "want", quality_rules.line_fails(F.col("line"), quality_rules.LineRules()).alias("got")).collect()
     assert [r.got for r in got] == [r.want for r in got]
+
+
+def test_items_without_id_are_found_as_in_the_sql(spark, tmp_path):
+    import duckdb
+    from opsmill.llm import catalogue
+    from opsmill.plans import check
+    texts = [" ".join(f"{c}{i}" for i in range(14)) for c in "abc"]
+    spark.createDataFrame([(1, f"x {texts[0]} y"), (2, f"{texts[1]} z"), (3, "none"), (4, f"{texts[0]} {texts[1]} {texts[2]}")], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    items = spark.createDataFrame([(None, texts[0]), (7, texts[1]), (None, texts[2]), (8, texts[2]), (None, None)], "item_id LONG, text STRING")
+    items.write.parquet(f"{tmp_path}/benchmark.parquet")
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet/*.parquet'")
+    df = catalogue.QUERIES["op2_decontaminate"](spark, str(tmp_path))
+    cur = con.execute(catalogue.ORACLES["op2_decontaminate"])
+    columns = [d[0] for d in cur.description]
+    assert sorted(columns) == sorted(df.columns)
+    assert check.rows_of(df.columns, df.collect()) == check.rows_of(columns, cur.fetchall())
+    assert [r.doc_id for r in decontaminate.clean_documents(spark.read.parquet(f"{tmp_path}/documents.parquet"), items).collect()] == [3]
