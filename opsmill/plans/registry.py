@@ -33,16 +33,19 @@ ORACLE_STEPS: dict[str, str] = {
 
 
 # Tables with much work per row. The supplied files are a single row group
-# each, which Spark cannot split.
+# each, which Spark cannot deal to several tasks.
 SPREAD = ("lineitem", "documents")
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """One split dealt over the cores. A table of more splits is left as it is,
-    so what is shuffled here is never larger than a split."""
-    if df.rdd.getNumPartitions() > 1:
+    """Rows dealt over the cores where a table has fewer files than cores and no
+    more than one wave of splits. Splits say little: a file of one row group is
+    cut into byte ranges of which one has all rows. What is shuffled is never
+    more than a split per core; tables of many files are left as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if len(df.inputFiles()) >= cores or df.rdd.getNumPartitions() > cores:
         return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+    return df.repartition(cores)
 
 
 class Tables:
