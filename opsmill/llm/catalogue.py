@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from opsmill.llm import chat, classifier, decontaminate, minhash, pieces, pii, quality_rules, substring, toxicity, url_filter
+from opsmill.llm import chat, classifier, decontaminate, minhash, pieces, pii, quality_rules, spelling, substring, toxicity, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -257,6 +257,51 @@ def op10_pii(spark: SparkSession, root: str) -> DataFrame:
         F.sha2(show(base), 256).alias("base_sha256"), show(F.col("pii")).alias("spans"))
 
 
+@query
+def op13_spelling_variants(spark: SparkSession, root: str) -> DataFrame:
+    return spelling.variants(table(spark, root, "documents").select("doc_id", "text"))
+
+
+_CRC_TABLE = ("list_transform(range(256), lambda b: list_reduce([b, 0, 0, 0, 0, 0, 0, 0, 0], "
+              "lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END))")
+
+
+def crc32_sql(text: str, crc_table: str = "crc_table") -> str:
+    """crc32 of the UTF-8 bytes of ``text`` as a DuckDB expression; ``crc_table`` is a list of 256 numbers."""
+    digits = f"hex(encode({text}))"
+    codes = f"list_transform(range(length({digits}) // 2), lambda i: ('0x' || substr({digits}, 2 * i + 1, 2))::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), lambda c, x: xor(c >> 8, {crc_table}[(xor(c, x) & 255) + 1])), 4294967295)"
+
+
+ORACLES["op13_spelling_variants"] = rf"""
+WITH RECURSIVE c AS (SELECT {_CRC_TABLE} AS crc_table),
+r AS (
+  SELECT doc_id, run, count(*) AS k FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{{C0}}-\x{{FF}}]+')) AS run
+    FROM documents) WHERE length(run) >= 7 GROUP BY ALL
+), h AS (SELECT run, k, {crc32_sql("coalesce(doc_id::VARCHAR, '') || ':' || run")} AS h FROM r, c),
+w AS (
+  SELECT word, sum(k)::BIGINT AS n FROM (
+    SELECT k, CASE WHEN h % 31 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM h)
+  WHERE length(word) >= 7 GROUP BY word HAVING sum(k) >= 2
+), d AS (
+  SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS d FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w)
+), p AS (
+  SELECT x.word AS a, y.word AS b, y.n AS n FROM d x JOIN d y ON x.i = y.i AND x.d = y.d AND x.word <> y.word
+  UNION SELECT d.word, w.word, w.n FROM d JOIN w ON d.d = w.word
+  UNION SELECT w.word, d.word, d.n FROM d JOIN w ON d.d = w.word
+), b AS (SELECT a AS word, count(*) AS n_near, max(n) AS best_n FROM p GROUP BY a),
+f AS (
+  SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN b.best_n >= 10 * w.n THEN b.best_n END AS form_n,
+         CASE WHEN b.best_n >= 10 * w.n THEN (SELECT min(p.b) FROM p WHERE p.a = w.word AND p.n = b.best_n) END AS form
+  FROM w LEFT JOIN b USING (word)
+), up AS (
+  SELECT word, word AS root FROM f UNION SELECT up.word, f.form FROM up JOIN f ON f.word = up.root WHERE f.form IS NOT NULL
+)
+SELECT f.word, f.form, up.root, f.n, f.n_near, f.form_n FROM f JOIN up USING (word) JOIN f g ON g.word = up.root WHERE g.form IS NULL
+"""
+
+
 @query
 def pipeline(spark: SparkSession, root: str) -> DataFrame:
     return corpus_pipeline.run(spark, root)
