@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from opsmill.llm import chat, classifier, decontaminate, minhash, pieces, pii, quality_rules, spelling, substring, toxicity, url_filter
+from opsmill.llm import chat, classifier, decontaminate, minhash, pieces, pii, quality_rules, spelling, substring, toxicity, url_filter, vector_codes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -257,6 +257,46 @@ def op10_pii(spark: SparkSession, root: str) -> DataFrame:
         F.sha2(show(base), 256).alias("base_sha256"), show(F.col("pii")).alias("spans"))
 
 
+@query
+def op12_vector_codes(spark: SparkSession, root: str) -> DataFrame:
+    return vector_codes.compress(table(spark, root, "embeddings"))
+
+
+def _vector_rounds() -> str:
+    """Codebooks c0 to c4 and assignments a0 to a4 as CTEs."""
+    out = []
+    for k in range(vector_codes.ROUNDS + 1):
+        out.append(f"""a{k} AS MATERIALIZED (
+  SELECT x.row, x.p, min(struct_pack(d := list_sum(list_transform(range(1, len(x.e) + 1), lambda i: (x.e[i] - c.c[i]) * (x.e[i] - c.c[i])))::BIGINT, j := c.j)) AS b
+  FROM x JOIN c{k} c ON c.p = x.p GROUP BY x.row, x.p
+)""")
+        if k < vector_codes.ROUNDS:
+            out.append(f"""m{k} AS (
+  SELECT p, j, list(m ORDER BY i) AS c FROM (
+    SELECT p, j, i, floor(sum(v)::DOUBLE / count(*))::BIGINT AS m FROM (
+      SELECT a.p, a.b.j AS j, unnest(x.e) AS v, generate_subscripts(x.e, 1) AS i FROM a{k} a JOIN x ON x.row = a.row AND x.p = a.p)
+    GROUP BY p, j, i) GROUP BY p, j
+), c{k + 1} AS MATERIALIZED (SELECT c.p, c.j, coalesce(m.c, c.c) AS c FROM c{k} c LEFT JOIN m{k} m ON m.p = c.p AND m.j = c.j)""")
+    return ",\n".join(out)
+
+
+ORACLES["op12_vector_codes"] = f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id) AS row, vec_id, label, list_transform(embedding, lambda x: floor({vector_codes.SCALE}::DOUBLE * x)::BIGINT) AS e
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), x AS MATERIALIZED (
+  SELECT row, p, e[p * len(e) // {vector_codes.PARTS} + 1:(p + 1) * len(e) // {vector_codes.PARTS}] AS e FROM v, (SELECT unnest(range({vector_codes.PARTS})) AS p)
+), c0 AS MATERIALIZED (SELECT p, row - 1 AS j, e AS c FROM x WHERE row <= {vector_codes.ENTRIES}),
+{_vector_rounds()},
+s AS (
+  SELECT row, string_agg(printf('%02x', b.j), '' ORDER BY p) AS code, sum(b.d)::BIGINT AS error FROM a{vector_codes.ROUNDS} GROUP BY row
+), h AS (
+  SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, j)) AS codebooks_sha256 FROM c{vector_codes.ROUNDS}
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM v JOIN s USING (row), h
+"""
+
+
 @query
 def op13_spelling_variants(spark: SparkSession, root: str) -> DataFrame:
     return spelling.variants(table(spark, root, "documents").select("doc_id", "text"))
