@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from opsmill.llm import chat, classifier, decontaminate, minhash, pieces, pii, quality_rules, spelling, substring, toxicity, url_filter, vector_codes
+from opsmill.llm import chat, classifier, decontaminate, katz, minhash, pieces, pii, quality_rules, spelling, substring, toxicity, url_filter, vector_codes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -257,6 +257,66 @@ def op10_pii(spark: SparkSession, root: str) -> DataFrame:
         F.sha2(show(base), 256).alias("base_sha256"), show(F.col("pii")).alias("spans"))
 
 
+_CRC_TABLE = ("list_transform(range(256), lambda b: list_reduce([b, 0, 0, 0, 0, 0, 0, 0, 0], "
+              "lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END))")
+
+
+def crc32_sql(text: str, crc_table: str = "crc_table") -> str:
+    """crc32 of the UTF-8 bytes of ``text`` as a DuckDB expression; ``crc_table`` is a list of 256 numbers."""
+    digits = f"hex(encode({text}))"
+    codes = f"list_transform(range(length({digits}) // 2), lambda i: ('0x' || substr({digits}, 2 * i + 1, 2))::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), lambda c, x: xor(c >> 8, {crc_table}[(xor(c, x) & 255) + 1])), 4294967295)"
+
+
+@query
+def op11_katz_backoff(spark: SparkSession, root: str) -> DataFrame:
+    scored, _ = katz.learn_and_score(table(spark, root, "documents").select("doc_id", "text"))
+    # Engines add up in different orders.
+    return scored.withColumns({c: F.round(c, 6) for c in ("base_score", "score")})
+
+
+def _discounts(name: str, counts: str) -> str:
+    """CTEs: ``name``_p (the trend's power) and ``name`` (r, low) for r up to SMALL, from a table of counts."""
+    most = katz.SMALL
+    return f"""{name}_n AS (SELECT r, (SELECT count(*) FROM {counts} WHERE n = r) AS k FROM (SELECT unnest(range(1, {most + 2})) AS r)),
+{name}_p AS (SELECT least(coalesce(regr_slope(ln(k), ln(r)), -2), -1.1) + 1 AS power FROM {name}_n WHERE k > 0),
+{name} AS (
+  SELECT a.r, CASE WHEN b.k > 0 AND a.k > 0 AND (a.r + 1) * b.k / a.k < a.r THEN (a.r + 1) * b.k / a.k ELSE a.r * pow(1 + 1 / a.r, power) END AS low
+  FROM {name}_n a JOIN {name}_n b ON b.r = a.r + 1, {name}_p
+)"""
+
+
+def _lowered(name: str, counts: str) -> str:
+    """A table of counts with ``low``, the lowered count."""
+    return f"""SELECT t.*, coalesce(d.low, t.n * pow(1 + 1 / t.n, power)) AS low FROM {counts} t LEFT JOIN {name} d ON d.r = t.n, {name}_p"""
+
+
+ORACLES["op11_katz_backoff"] = rf"""
+WITH c AS (SELECT {_CRC_TABLE} AS crc_table),
+d AS (
+  SELECT doc_id, row_number() OVER () AS row, coalesce({crc32_sql("doc_id::VARCHAR")} % 7 = 2, false) AS held_out,
+         list_append(list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                       '[\x20\x09-\x0D]+'), lambda x: x <> ''), ' end') AS w FROM documents, c
+), t AS MATERIALIZED (SELECT row, held_out, unnest(list_prepend(' start', w[:-2])) AS v, unnest(w) AS w FROM d),
+one AS MATERIALIZED (SELECT w, count(*) AS n FROM t WHERE NOT held_out GROUP BY w),
+two AS MATERIALIZED (SELECT v, w, count(*) AS n FROM t WHERE NOT held_out GROUP BY v, w),
+{_discounts("uni", "one")}, {_discounts("bi", "two")},
+lone AS (SELECT coalesce(sum(n), 0)::BIGINT AS total, count(*) AS kinds FROM one),
+p AS MATERIALIZED (SELECT w, n, low / total AS p FROM ({_lowered("uni", "one")}), lone),
+rest AS (SELECT CASE WHEN count(*) = 0 THEN 1.0 ELSE 1 - sum(p) END AS p FROM p),
+pair AS MATERIALIZED ({_lowered("bi", "two")}),
+ctx AS (
+  SELECT v, sum(pair.n) AS n, sum(pair.n - pair.low) / sum(pair.n) / (1 - sum(p.p)) AS weight FROM pair JOIN p USING (w) GROUP BY v
+), s AS (
+  SELECT t.row, count(*) AS n_tokens, count(p.n) AS n_known, sum(log10(coalesce(p.n, 0) + 1)) AS base,
+         sum(CASE WHEN pair.n IS NOT NULL THEN log10(pair.low / ctx.n) ELSE log10(coalesce(ctx.weight, 1)) + log10(coalesce(p.p, rest.p)) END) AS score
+  FROM t LEFT JOIN p ON p.w = t.w LEFT JOIN pair ON pair.v = t.v AND pair.w = t.w LEFT JOIN ctx ON ctx.v = t.v, rest GROUP BY t.row
+)
+SELECT doc_id, held_out, n_tokens, n_known, total AS train_tokens, round(base - n_tokens * log10(total + kinds + 1), 6) AS base_score, round(score, 6) AS score
+FROM d JOIN s USING (row), lone
+"""
+
+
 @query
 def op12_vector_codes(spark: SparkSession, root: str) -> DataFrame:
     return vector_codes.compress(table(spark, root, "embeddings"))
@@ -302,17 +362,6 @@ def op13_spelling_variants(spark: SparkSession, root: str) -> DataFrame:
     return spelling.variants(table(spark, root, "documents").select("doc_id", "text"))
 
 
-_CRC_TABLE = ("list_transform(range(256), lambda b: list_reduce([b, 0, 0, 0, 0, 0, 0, 0, 0], "
-              "lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END))")
-
-
-def crc32_sql(text: str, crc_table: str = "crc_table") -> str:
-    """crc32 of the UTF-8 bytes of ``text`` as a DuckDB expression; ``crc_table`` is a list of 256 numbers."""
-    digits = f"hex(encode({text}))"
-    codes = f"list_transform(range(length({digits}) // 2), lambda i: ('0x' || substr({digits}, 2 * i + 1, 2))::BIGINT)"
-    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), lambda c, x: xor(c >> 8, {crc_table}[(xor(c, x) & 255) + 1])), 4294967295)"
-
-
 ORACLES["op13_spelling_variants"] = rf"""
 WITH RECURSIVE c AS (SELECT {_CRC_TABLE} AS crc_table),
 r AS (
