@@ -21,7 +21,7 @@ link of theirs must share, so none of these links is missed.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache, reduce
+from functools import reduce
 from itertools import combinations
 from operator import add
 
@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from opsmill.llm import words
 from opsmill.llm.components import components
+from opsmill.llm.names import free
 from opsmill.session import materialise
 
 SHINGLE = 5
@@ -62,7 +63,6 @@ def _factors() -> np.ndarray:
     return words.mix(np.arange(1, PERMUTATIONS + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F)) | np.uint64(1)
 
 
-@cache
 def _subsets(n: int) -> list[np.ndarray]:
     """Places of the subsets, one array (subset, place) per size, by which a set
     of ``n`` shingles meets all other sets it may be linked with, if one of the
@@ -75,10 +75,10 @@ def _subsets(n: int) -> list[np.ndarray]:
     return [np.array(list(combinations(range(n), k))) for k in sorted(sizes)]
 
 
-def _small_keys(own: np.ndarray) -> np.ndarray:
+def _small_keys(own: np.ndarray, subsets: list[np.ndarray]) -> np.ndarray:
     """One hash per subset of a set's shingles."""
     with np.errstate(over="ignore"):
-        made = [words.mix(own[at].sum(axis=1, dtype=np.uint64) + np.uint64(at.shape[1] << 48)) for at in _subsets(len(own))]
+        made = [words.mix(own[at].sum(axis=1, dtype=np.uint64) + np.uint64(at.shape[1] << 48)) for at in subsets]
     return np.concatenate(made) if made else np.zeros(0, np.uint64)
 
 
@@ -86,6 +86,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """id, n_shingles, two sums that tell the set, and one hash per band, with those of
     a small set's subsets."""
     factors = _factors()
+    subsets: dict[int, list[np.ndarray]] = {}  # kept by the task, as the function travels by value
     for batch in words.chunks(batches):
         ids = batch.column(batch.schema.get_field_index("id"))
         found, sizes = _shingles(words.Words(batch.column(batch.schema.get_field_index("text")), lower=True))
@@ -111,7 +112,10 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     bands[:, b] = x
         lists = list(bands)
         for j in np.flatnonzero(sizes[some] <= SMALL * 100 // SIMILAR).tolist():
-            lists[j] = np.concatenate([bands[j], _small_keys(found[at[j]:at[j] + sizes[some[j]]])])
+            n = int(sizes[some[j]])
+            if n not in subsets:
+                subsets[n] = _subsets(n)
+            lists[j] = np.concatenate([bands[j], _small_keys(found[at[j]:at[j] + n], subsets[n])])
         ends = np.zeros(len(sizes) + 1, np.int32)
         ends[some + 1] = [len(x) for x in lists]
         ends = np.cumsum(ends, dtype=np.int32)
@@ -224,11 +228,12 @@ def classes(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFra
 def clean_documents(docs: DataFrame) -> DataFrame:
     """One document of each group, with its columns as they were. Of rows that
     share an id one stays; rows without id all stay."""
+    mark = free("gone", docs.columns)
     judged = classes(docs)
-    gone = judged.where("not kept").select(F.col("doc_id").alias("__gone")).distinct()
-    kept = docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
-    twice = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select(F.col("doc_id").alias("__gone"))
+    gone = judged.where("not kept").select(F.col("doc_id").alias(mark)).distinct()
+    kept = docs.join(gone, F.col("doc_id") == F.col(mark), "left_anti")
+    twice = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("doc_id").alias(mark))
     if twice.isEmpty():
         return kept
-    one = kept.join(twice, F.col("doc_id") == F.col("__gone"), "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(twice, F.col("doc_id") == F.col("__gone"), "left_anti").unionByName(one)
+    one = kept.join(twice, F.col("doc_id") == F.col(mark), "left_semi").dropDuplicates(["doc_id"])
+    return kept.join(twice, F.col("doc_id") == F.col(mark), "left_anti").unionByName(one)

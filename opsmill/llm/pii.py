@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opsmill.llm import tagger, words
+from opsmill.llm.names import free
 
 KINDS = ("email", "ip", "card", "phone")  # base kinds, in the order of listing
 TAGGED = (*KINDS, "secret")
@@ -284,7 +285,7 @@ def detect(docs: DataFrame, model: Model, text: str = "text", out: str = "pii")
     points, end exclusive, by kind and start (a column of that name is
     replaced). Null and empty texts have none; repeated rows have the same."""
     keep = [c for c in docs.columns if c != out]
-    source = text if text in keep else "__text"
+    source = text if text in keep else free("body", docs.columns)
     sent = docs.sparkSession.sparkContext.broadcast(model.parameters)
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("base", pa.bool_())]))
 
@@ -321,8 +322,10 @@ def mask(text, spans):
 def mask_documents(docs: DataFrame) -> DataFrame:
     """Documents with their personal data masked; columns stay as they are
     (``n_chars``, where there is one, follows the text)."""
-    found = detect(docs, fit(docs), out="__pii").withColumn("__masked", mask(F.col("text"), F.col("__pii")))
-    new = {"text": F.col("__masked")}
+    spans = free("spans", docs.columns)
+    masked = free("masked", [*docs.columns, spans])
+    found = detect(docs, fit(docs), out=spans).withColumn(masked, mask(F.col("text"), F.col(spans)))
+    new = {"text": F.col(masked)}
     if "n_chars" in docs.columns:
-        new["n_chars"] = F.length("__masked").cast(docs.schema["n_chars"].dataType)
+        new["n_chars"] = F.length(masked).cast(docs.schema["n_chars"].dataType)
     return found.select(*[new.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
