@@ -3,8 +3,9 @@
 Test items are normalised to lower-case words, and every window of ten words
 (or a whole shorter item) is a pattern. A document is normalised the same way
 and scanned once; hits are mapped to its words and to character places in the
-text as it was. Documents are never shuffled: the items' windows go to them, in
-blocks of at most ``BLOCK_CHARS`` characters, one scan per block.
+text as it was. Documents are never shuffled: the items' windows go to them, as
+one automaton. Only where the windows have more than ``BLOCK_CHARS`` characters
+are there several, one scan each, and its hits are written before the next.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opsmill.llm import words
+from opsmill.llm.names import free
+from opsmill.session import materialise
 
 WINDOW = 10
 BLOCK_CHARS = 4 << 20
@@ -25,11 +28,6 @@ BLOCK_CHARS = 4 << 20
 NORMAL = bytes(words.LOWER[b] if words.ALNUM[b] else 32 for b in range(256))
 
 
-def normalise(text: str | None) -> list[str]:
-    """Lower-cased words; UTF-8 bytes stand as one character each."""
-    return (text or "").encode().translate(NORMAL).decode("latin-1").split(" ")
-
-
 def item_windows(items: DataFrame, item: str = "item_id", text: str = "text", window: int = WINDOW) -> DataFrame:
     """Distinct (pattern, items): a padded window and the ids, as strings, that
     hold it, a null for items without id. Items without words, or null, have none."""
@@ -55,7 +53,8 @@ def _automaton(patterns: list[tuple[str, list[str]]]) -> ahocorasick.Automaton |
     return auto
 
 
-def _scan(batches: Iterator[pa.RecordBatch], patterns, names: list[str], source: str = "__text") -> Iterator[pa.RecordBatch]:
+def _scan(batches: Iterator[pa.RecordBatch], patterns, names: list[str], source: str) -> Iterator[pa.RecordBatch]:
+    """The rows with their hits; the automaton is built once per task."""
     auto = _automaton(patterns.value)
     for batch in batches:
         made: list[list] = [[] for _ in range(4)]
@@ -86,15 +85,14 @@ def _scan(batches: Iterator[pa.RecordBatch], patterns, names: list[str], source:
                 spans = [{"start": int(chars[own.starts[a]]) - 1, "end": int(chars[own.ends[b - 1] - 1])} for a, b in hits]
             for k, v in enumerate((len(parts), sorted(found, key=lambda x: (x is not None, x or "")), [{"start": a, "end": b} for a, b in hits], spans)):
                 made[k].append(v)
-        keep = [batch.column(i) for i, f in enumerate(batch.schema) if f.name != "__text"]
         span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
         yield pa.RecordBatch.from_arrays(
-            [*keep, pa.array(made[0], pa.int64()), pa.array(made[1], pa.list_(pa.string())), pa.array(made[2], span), pa.array(made[3], span)],
-            names=[*[f.name for f in batch.schema if f.name != "__text"], *names])
+            [*batch.columns, pa.array(made[0], pa.int64()), pa.array(made[1], pa.list_(pa.string())), pa.array(made[2], span), pa.array(made[3], span)],
+            names=[*batch.schema.names, *names])
 
 
 HIT_COLUMNS = ["n_words", "items", "word_spans", "char_spans"]
-HIT_TYPES = "n_words long, items array<string>, word_spans array<struct<start:int,end:int>>, char_spans array<struct<start:int,end:int>>"
+HIT_TYPES = ["long", "array<string>", "array<struct<start:int,end:int>>", "array<struct<start:int,end:int>>"]
 
 
 def scan(docs: DataFrame, items: DataFrame, text: str = "text") -> DataFrame:
@@ -106,64 +104,35 @@ def scan(docs: DataFrame, items: DataFrame, text: str = "text") -> DataFrame:
     are scanned alike; without items nothing is hit.
     """
     spark = docs.sparkSession
-    from opsmill.session import materialise
-
     found = item_windows(items)
-    # Blocks of bounded size, by a running sum of pattern lengths per bucket.
+    # Blocks of bounded size. What one block hits is written before the next is
+    # read, so the driver and a task hold one block at a time.
     total = found.agg(F.coalesce(F.sum(F.length("pattern") + 2), F.lit(0))).first()[0]
     blocks = max(1, -(-2 * total // BLOCK_CHARS))
     if blocks > 1:
         found = materialise(found, "windows")
-    keep = [c for c in docs.columns if c not in (*HIT_COLUMNS, "__text")]
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in keep)
-    if blocks == 1 and text in keep:  # the text is carried anyway
-        kinds = ", ".join(x.replace(" ", "_0 ", 1) for x in _fields(HIT_TYPES))
-        sent = spark.sparkContext.broadcast([(r.pattern, list(r["items"])) for r in found.collect()])
-        names = [f"{c}_0" for c in HIT_COLUMNS]
-        out = docs.select(*[F.col(f"`{c}`") for c in keep]).mapInArrow(lambda b: _scan(b, sent, names, text), f"{fields}, {kinds}")
-        return out.select(*[F.col(f"`{c}`") for c in keep], *[F.col(f"{c}_0").alias(c) for c in HIT_COLUMNS])
-    out = docs.withColumn("__text", F.col(f"`{text}`"))
-    out = out.select(*[F.col(f"`{c}`") for c in keep], "__text")
-    schema = out.schema
-    for k in range(blocks):
+    keep = [c for c in docs.columns if c not in HIT_COLUMNS]
+    body = text if text in keep else free("body", docs.columns)
+    rows = docs.select(*[F.col(f"`{c}`") for c in keep], *[F.col(f"`{text}`").alias(body)] * (body != text))
+    made = [[free(f"{c}_{k}", docs.columns) for c in HIT_COLUMNS] for k in range(blocks)]
+    for k, names in enumerate(made):
         own = found.where(F.pmod(F.xxhash64("pattern"), F.lit(blocks)) == k)
         sent = spark.sparkContext.broadcast([(r.pattern, list(r["items"])) for r in own.collect()])
-        names = [f"{c}_{k}" for c in HIT_COLUMNS]
-        if k:
-            fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema if f.name != "__text")
-        kinds = ", ".join(f"{n} {t}" for n, t in zip(names, [x.split(" ", 1)[1] for x in _fields(HIT_TYPES)]))
-        again = ", `__text` string" if k < blocks - 1 else ""
-        out = out.mapInArrow(_task(sent, names, bool(again)), f"{fields}, {kinds}{again}")
-        schema = out.schema
+        fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema] + [f"`{n}` {t}" for n, t in zip(names, HIT_TYPES)]
+        rows = rows.mapInArrow(_scanner(sent, names, body), ", ".join(fields))
+        if k < blocks - 1:
+            rows = materialise(rows, "hits")
+            sent.destroy()
+    n_words, items_, word_spans, char_spans = ([F.col(f"`{names[i]}`") for names in made] for i in range(len(HIT_COLUMNS)))
     if blocks == 1:
-        return out.select(*[F.col(f"`{c}`") for c in keep], *[F.col(f"{c}_0").alias(c) for c in HIT_COLUMNS])
-    merged = lambda c: _merge(F.flatten(F.array(*[F.col(f"{c}_{k}") for k in range(blocks)])))
-    return out.select(
-        *[F.col(f"`{c}`") for c in keep], F.col("n_words_0").alias("n_words"),
-        F.sort_array(F.array_distinct(F.flatten(F.array(*[F.col(f"items_{k}") for k in range(blocks)])))).alias("items"),
-        merged("word_spans").alias("word_spans"), merged("char_spans").alias("char_spans"))
-
-
-def _fields(ddl: str) -> list[str]:
-    out, depth, last = [], 0, 0
-    for i, c in enumerate(ddl):
-        depth += (c == "<") - (c == ">")
-        if c == "," and not depth:
-            out.append(ddl[last:i].strip())
-            last = i + 1
-    return [*out, ddl[last:].strip()]
-
-
-def _task(sent, names, again):
-    def run(batches):
-        if not again:
-            yield from _scan(batches, sent, names)
-            return
-        for batch in batches:
-            for made in _scan(iter([batch]), sent, names):
-                yield pa.RecordBatch.from_arrays(
-                    [*made.columns, batch.column(batch.schema.get_field_index("__text"))], names=[*made.schema.names, "__text"])
-    return run
+        merged = [items_[0], word_spans[0], char_spans[0]]
+    else:
+        merged = [F.sort_array(F.array_distinct(F.flatten(F.array(*items_)))), *[_merge(F.flatten(F.array(*c))) for c in (word_spans, char_spans)]]
+    return rows.select(*[F.col(f"`{c}`") for c in keep], *[c.alias(n) for n, c in zip(HIT_COLUMNS, [n_words[0], *merged])])
+
+
+def _scanner(sent, names: list[str], source: str):
+    return lambda batches: _scan(batches, sent, names, source)
 
 
 def _merge(spans):
@@ -178,8 +147,10 @@ def _merge(spans):
 
 
 def clean_documents(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """Documents without any hit, with their columns as they were."""
-    clash = [c for c in docs.columns if c in HIT_COLUMNS]
-    held = docs.select(*[F.col(f"`{c}`").alias(f"__own_{c}" if c in clash else c) for c in docs.columns])
-    kept = scan(held, items).where("size(word_spans) = 0")
-    return kept.select(*[F.col(f"`__own_{c}`" if c in clash else f"`{c}`").alias(c) for c in docs.columns])
+    """Documents without any hit, with their columns as they were. Of the
+    columns only the text decides, so null ids and repeated rows stay."""
+    own: dict[str, str] = {}
+    for c in docs.columns:
+        own[c] = free(f"own_{c}", [*docs.columns, *own.values()]) if c.lower() in HIT_COLUMNS else c
+    kept = scan(docs.select(*[F.col(f"`{c}`").alias(o) for c, o in own.items()]), items).where("size(word_spans) = 0")
+    return kept.select(*[F.col(f"`{o}`").alias(c) for c, o in own.items()])
