@@ -15,6 +15,8 @@ from operator import add, or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from opsmill.llm.names import free
+
 BLANK = "[\\x20\\x09-\\x0D]+"
 SYMBOLS = "[#*$%&|<>]"
 
@@ -142,15 +144,15 @@ def judge(docs: DataFrame, rules: LineRules = LineRules(), text: str = "text") -
     whole = _let(body, lambda t: _let(measure(t), lambda m: _let(filled(t), lambda ls: _let(clean(ls), lambda c: verdict(m, c)))))
     # The guard always holds. It is not deterministic, so the optimizer never
     # copies this costly expression into a filter or a second column.
-    return docs.withColumn("quality", F.when(F.rand(0) < 2, whole))
+    return docs.withColumn("quality", F.when(F.monotonically_increasing_id() >= 0, whole))
 
 
 def clean_documents(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
     """Documents that pass, with their cleaned text; columns stay as they are
     (``n_chars``, where there is one, follows the text)."""
-    names = docs.columns
-    kept = judge(docs.withColumnRenamed("quality", "__quality") if "quality" in names else docs, rules).where("quality.kept")
+    own = {n: free("own_quality", docs.columns) if n.lower() == "quality" else n for n in docs.columns}
+    kept = judge(docs.withColumnsRenamed({n: o for n, o in own.items() if n != o}), rules).where("quality.kept")
     kept = kept.withColumn("text", F.col("quality.cleaned"))
-    if "n_chars" in names:
+    if "n_chars" in own:
         kept = kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return kept.select(*[F.col("__quality").alias(n) if n == "quality" else F.col(f"`{n}`") for n in names])
+    return kept.select(*[F.col(f"`{o}`").alias(n) for n, o in own.items()])
