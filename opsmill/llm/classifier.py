@@ -55,7 +55,7 @@ def statistics(text: Column) -> Column:
     body = F.coalesce(text, F.lit(""))
     made = let(body, lambda t: let(F.array_remove(F.split(t, "[\\x20\\x09-\\x0D]+"), ""), lambda w: let(
         F.filter(F.split(t, "\n"), lambda x: x != ""), lambda lines: of(t, w, lines))))
-    return F.when(F.size(made) > 0, made).cast("array<double>")
+    return made.cast("array<double>")
 
 
 @dataclass(frozen=True)
