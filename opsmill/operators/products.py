@@ -2,26 +2,62 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from opsmill.functions.columns import ratio
 
 
 def product_ingredients(facts: DataFrame) -> DataFrame:
-    return facts.select("product_id", "concentration",
-                        F.explode(F.array("ingredient_a", "ingredient_b")).alias("ingredient"))
+    """(product_id, ingredient, concentration) of products with a list of any
+    length of (ingredient, concentration); one of several concentrations of an
+    ingredient counts, the highest. Products without a list have no rows."""
+    rows = facts.select("product_id", F.inline("ingredients"))
+    return rows.groupBy("product_id", "ingredient").agg(F.max("concentration").alias("concentration"))
 
 
-def ingredient_report(facts: DataFrame, lines: DataFrame) -> DataFrame:
-    """Lines shrink to one row per product before the ingredients multiply them."""
-    sold = lines.groupBy("product_id").agg(
+def _sold(lines: DataFrame) -> DataFrame:
+    return lines.groupBy("product_id").agg(
         F.sum(F.greatest("quantity", F.lit(0))).alias("units"), F.count("*").alias("n"),
         F.count_if("returned").alias("r"))
-    return (product_ingredients(facts).join(sold, "product_id", "left").groupBy("ingredient")
+
+
+def ingredient_report(facts: DataFrame, lines: DataFrame) -> DataFrame:
+    """Per ingredient. Lines shrink to one row per product before the
+    ingredients multiply them."""
+    return (product_ingredients(facts).join(_sold(lines), "product_id", "left").groupBy("ingredient")
             .agg(F.count("*").alias("n_products"), F.coalesce(F.sum("units"), F.lit(0)).alias("units_sold"),
                  ratio(F.sum("r"), F.sum("n")).alias("return_rate"),
-                 F.max("concentration").alias("max_concentration")))
+                 F.min("concentration").alias("min_concentration"), F.max("concentration").alias("max_concentration")))
+
+
+def ingredient_products(facts: DataFrame, lines: DataFrame) -> DataFrame:
+    """Which products contain an ingredient: concentration, place by strength
+    within the ingredient (ties share one), units sold and return rate."""
+    strength = Window.partitionBy("ingredient").orderBy(F.desc_nulls_last("concentration"))
+    rows = product_ingredients(facts).withColumn("strength_rank", F.rank().over(strength))
+    return rows.join(_sold(lines), "product_id", "left").select(
+        "ingredient", "product_id", "concentration", "strength_rank", F.coalesce("units", F.lit(0)).alias("units_sold"),
+        ratio(F.col("r"), F.col("n")).alias("return_rate"))
+
+
+def attribute_sets(attributes: DataFrame, required: Sequence[str]) -> DataFrame:
+    """(product_id, held): which of the ``required`` attributes, at most 63, a product
+    has, as bits in their order. Products with none of them have no row.
+    ``attributes`` is a relation (product_id, attribute) of any number of attributes."""
+    bits = F.create_map(*[x for i, name in enumerate(required) for x in (F.lit(name), F.lit(1 << i))])
+    own = attributes.where(F.col("attribute").isin(list(required)))
+    return own.groupBy("product_id").agg(F.bit_or(bits[F.col("attribute")]).alias("held"))
+
+
+def attribute_products(products: DataFrame, attributes: DataFrame, required: Sequence[str]) -> DataFrame:
+    """Every product of ``products`` with the required attributes it lacks."""
+    held = F.coalesce("held", F.lit(0))
+    lacks = F.array_compact(F.array(*[F.when(held.bitwiseAND(F.lit(1 << i)) == 0, name) for i, name in enumerate(required)]))
+    return products.join(attribute_sets(attributes, required), "product_id", "left").withColumn("missing", lacks).withColumn(
+        "has_all", F.size("missing") == 0).drop("held")
 
 
 def order_conflicts(lines: DataFrame, facts: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -59,29 +95,31 @@ def customer_conflicts(lines: DataFrame, facts: DataFrame, pairs: DataFrame, day
             .agg(F.count("*").alias("n_days"), F.min("gap").alias("min_gap")))
 
 
-def unsafe_lines(lines: DataFrame, products: DataFrame, facts: DataFrame) -> DataFrame:
-    """Lines of products without the attribute, with the number of stocked
-    substitutes of the category and the best stocked one."""
-    info = products.select("product_id", "category", "stock_level").join(
-        facts.select("product_id", "pregnancy_safe"), "product_id")
+def lacking_lines(lines: DataFrame, products: DataFrame, attributes: DataFrame, required: Sequence[str]) -> DataFrame:
+    """Lines of products that lack any of the ``required`` attributes, with what
+    they lack, the number of stocked substitutes of the category that have all
+    of them, and the best stocked one."""
+    info = attribute_products(products.select("product_id", "category", "stock_level"), attributes, required)
     best = F.max(F.struct(F.col("stock_level"), -F.col("product_id")))
-    options = (info.filter("pregnancy_safe AND stock_level > 0").groupBy("category")
+    options = (info.filter("has_all AND stock_level > 0").groupBy("category")
                .agg(F.count("*").alias("n_substitutes"), best.alias("b"))
                .select("category", "n_substitutes", (-F.col("b.col2")).alias("best_substitute")))
     # Category, with few and large values, is joined at product level only.
-    unsafe = (info.filter("NOT pregnancy_safe").select("product_id", "category").join(options, "category", "left"))
-    return (lines.select("order_id", "product_id").join(unsafe, "product_id")
-            .select("order_id", "product_id", "category", "n_substitutes", "best_substitute"))
+    lacking = info.filter("NOT has_all").select("product_id", "category", "missing").join(options, "category", "left")
+    return (lines.select("order_id", "product_id").join(lacking, "product_id")
+            .select("order_id", "product_id", "category", "missing", F.coalesce("n_substitutes", F.lit(0)).alias("n_substitutes"), "best_substitute"))
 
 
-def set_report(components: DataFrame, products: DataFrame, facts: DataFrame) -> DataFrame:
+def set_report(components: DataFrame, products: DataFrame, attributes: DataFrame, required: Sequence[str]) -> DataFrame:
+    """Contents, price next to the sum of the parts' prices, and whether any
+    part lacks a ``required`` attribute."""
     price = products.select("product_id", "price")
-    items = (components.join(price, "product_id").join(facts.select("product_id", "pregnancy_safe"), "product_id")
+    items = (components.join(attribute_products(price, attributes, required), "product_id")
              .groupBy("set_id").agg(F.count("*").alias("n_components"), F.sum("price").alias("items_price"),
-                                    F.count_if(~F.col("pregnancy_safe")).alias("n_unsafe")))
+                                    F.count_if(~F.col("has_all")).alias("n_lacking")))
     return (items.join(price.withColumnRenamed("product_id", "set_id"), "set_id")
             .select("set_id", "n_components", F.col("price").alias("set_price"), "items_price",
-                    (F.col("items_price") - F.col("price")).alias("saving"), (F.col("n_unsafe") > 0).alias("any_unsafe")))
+                    (F.col("items_price") - F.col("price")).alias("saving"), (F.col("n_lacking") > 0).alias("any_lacking")))
 
 
 def routine_gaps(lines: DataFrame, steps: DataFrame, products: DataFrame) -> DataFrame:

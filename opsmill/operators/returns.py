@@ -6,7 +6,7 @@ customer_id, order_value, ordered_at."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from opsmill import config
@@ -95,20 +95,89 @@ def return_abuse(requests: DataFrame) -> DataFrame:
         (F.col("repeated_products") > 0, "repeated_product")))
 
 
-def bundle_returns(requests: DataFrame, components: DataFrame, products: DataFrame) -> DataFrame:
-    """Returned parts of sets. ``components`` is (set_id, product_id). A whole
-    set refunds the set price, a part the prices of the returned items."""
-    size = components.groupBy("set_id").agg(F.count("*").alias("n_components"))
-    items = requests.select("order_id", "product_id").distinct()
+def allocate_returns(returned: DataFrame, purchases: DataFrame, components: DataFrame) -> DataFrame:
+    """Which purchase each returned unit comes from: returned rows (order_id, line_no) with
+    source_order, source_set (null where the product was bought alone) and units.
+
+    ``purchases`` is (order_id, customer_id, product_id, units, ordered_at), sets under their
+    own ids, ``returned`` (order_id, line_no, customer_id, product_id, units, requested_on),
+    ``components`` (set_id, product_id). A customer's units of a product are used up in the
+    order they were bought (on one day those bought alone first), and only once they have been
+    bought. Units without a purchase have a null source_order. Rows without customer, product,
+    day or units above zero have no part in it.
+
+    A return takes the units [used before, used after) of the running units bought. Used is
+    the least of what was asked so far and what there was when it was asked:
+    asked + min(0, least bought - asked until now), a running minimum. Both kinds of intervals are
+    then cut at each other's edges in one pass, so no purchase is paired with a return it
+    does not overlap. Purchases shrink to a row per customer, product, order and set first."""
+    owned = purchases.where("units > 0 AND customer_id IS NOT NULL AND product_id IS NOT NULL AND ordered_at IS NOT NULL")
+    own = owned.select("customer_id", "product_id", F.col("ordered_at").cast("date").alias("day"), F.lit(0).alias("kind"),
+                       "order_id", F.lit(None).cast("bigint").alias("set_id"), "units")
+    sets = components.select(F.col("set_id").alias("of_set"), F.col("product_id").alias("part"))
+    parts = own.drop("set_id").withColumnRenamed("product_id", "of_set").join(sets, "of_set").select(
+        "customer_id", F.col("part").alias("product_id"), "day", F.lit(1).alias("kind"), "order_id", F.col("of_set").cast("bigint").alias("set_id"), "units")
+    bought = own.unionByName(parts).groupBy("customer_id", "product_id", "day", "kind", "order_id", "set_id").agg(F.sum("units").alias("units"))
+    back = returned.where("units > 0 AND customer_id IS NOT NULL AND product_id IS NOT NULL AND requested_on IS NOT NULL")
+    asked = back.select("customer_id", "product_id", F.col("requested_on").cast("date").alias("day"), F.lit(2).alias("kind"),
+                        "order_id", F.lit(None).cast("bigint").alias("set_id"), F.col("units").cast("bigint").alias("units"), "line_no")
+    # Only what is returned at all needs the purchases.
+    keys = asked.select("customer_id", "product_id").distinct()
+    events = bought.join(keys, ["customer_id", "product_id"], "left_semi").withColumn("line_no", F.lit(None).cast("bigint")).unionByName(
+        asked.withColumn("line_no", F.col("line_no").cast("bigint")))
+
+    so_far = (Window.partitionBy("customer_id", "product_id").orderBy("day", "kind", "order_id", F.col("set_id").asc_nulls_first(), "line_no")
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    is_back = F.col("kind") == 2
+    events = events.withColumns({"had": F.coalesce(F.sum(F.when(~is_back, F.col("units"))).over(so_far), F.lit(0)),
+                                 "asked": F.coalesce(F.sum(F.when(is_back, F.col("units"))).over(so_far), F.lit(0))})
+    short = F.least(F.lit(0), F.min(F.when(is_back, F.col("had") - F.col("asked"))).over(so_far))
+    events = events.withColumn("used", F.when(is_back, F.col("asked") + short))
+    before = F.coalesce(F.max("used").over(so_far.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    events = events.withColumns({"first": F.when(is_back, before).otherwise(F.col("had") - F.col("units")),
+                                 "past": F.when(is_back, F.col("used")).otherwise(F.col("had"))})
+
+    missing = events.where(is_back & (F.col("past") - F.col("first") < F.col("units"))).select(
+        "customer_id", "product_id", "order_id", "line_no", F.lit(None).cast("bigint").alias("source_order"), F.lit(None).cast("bigint").alias("source_set"),
+        (F.col("units") - (F.col("past") - F.col("first"))).alias("units"))
+    edges = events.where("past > first").select(
+        "customer_id", "product_id", "first", F.when(is_back, F.struct("order_id", "line_no", "past")).alias("back"),
+        F.when(~is_back, F.struct("order_id", "set_id", "past")).alias("buy"))
+    by_place = Window.partitionBy("customer_id", "product_id").orderBy("first")
+    # At one place both kinds may begin: what begins there holds from there on.
+    spots = edges.groupBy("customer_id", "product_id", "first").agg(F.max("back").alias("back"), F.max("buy").alias("buy"))
+    spots = spots.withColumns({"back": F.last("back", True).over(by_place), "buy": F.last("buy", True).over(by_place),
+                               "next": F.lead("first").over(by_place)})
+    end = F.least("next", "back.past", "buy.past")  # nulls do not count
+    pieces = spots.where(F.col("back").isNotNull() & F.col("buy").isNotNull()).withColumn("units", end - F.col("first")).where("units > 0")
+    taken = pieces.groupBy("customer_id", "product_id", "back.order_id", "back.line_no", F.col("buy.order_id").alias("source_order"),
+                           F.col("buy.set_id").alias("source_set")).agg(F.sum("units").alias("units"))
+    return taken.unionByName(missing)
+
+
+def bundle_returns(returned: DataFrame, purchases: DataFrame, components: DataFrame, products: DataFrame) -> DataFrame:
+    """Returned parts per set bought: whole sets brought back refund the set's
+    price, other parts their own price if they are sold separately; parts that are
+    not are refused. ``components`` is (set_id, product_id, sold_separately). Parts bought alone
+    belong to no set. One row per set purchase with a returned part."""
+    units = allocate_returns(returned, purchases, components).where("source_set IS NOT NULL")
+    came = units.groupBy("customer_id", F.col("source_order").alias("order_id"), F.col("source_set").alias("set_id"), "product_id").agg(F.sum("units").alias("units"))
     price = products.select("product_id", "price")
-    returned = (items.join(components, "product_id").join(price, "product_id")
-                .groupBy("order_id", "set_id")
-                .agg(F.count("*").alias("n_returned"), F.sum("price").alias("items_price")))
+    size = components.groupBy("set_id").agg(F.count("*").alias("n_components"))
+    bought = purchases.groupBy("customer_id", "order_id", F.col("product_id").alias("set_id")).agg(F.sum("units").alias("sets_bought"))
+    key = ["customer_id", "order_id", "set_id"]
+    sets = came.groupBy(*key).agg(F.count("*").alias("n_returned"), F.min("units").alias("least")).join(size, "set_id")
+    sets = sets.withColumn("full_sets", F.when(F.col("n_returned") == F.col("n_components"), F.col("least")).otherwise(0)).drop("least")
+    rest = came.join(sets.select(*key, "full_sets"), key).join(components, ["set_id", "product_id"]).join(price, "product_id")
+    over = F.col("units") - F.col("full_sets")
+    apart = F.col("sold_separately")
+    rest = rest.groupBy(*key).agg(
+        F.sum("units").alias("returned_units"), F.sum(F.when(apart, over).otherwise(0)).alias("single_units"), F.sum(F.when(~apart, over).otherwise(0)).alias("refused_units"),
+        F.sum(F.when(apart, over * F.col("price")).otherwise(0.0)).alias("singles_value"))
     set_price = price.select(F.col("product_id").alias("set_id"), F.col("price").alias("set_price"))
-    df = returned.join(size, "set_id").join(set_price, "set_id")
-    full = F.col("n_returned") == F.col("n_components")
-    return df.select("order_id", "set_id", "n_returned", "n_components", full.alias("full_set"),
-                     F.when(full, F.col("set_price")).otherwise(F.col("items_price")).alias("refund_value"))
+    df = sets.join(rest, key).join(bought, key).join(set_price, "set_id")
+    return df.select(*key, "sets_bought", "n_components", "n_returned", "full_sets", "returned_units", "single_units", "refused_units",
+                     (F.col("full_sets") * F.col("set_price") + F.col("singles_value")).alias("refund_value"))
 
 
 def _with_product(requests: DataFrame, products: DataFrame, *columns: str) -> DataFrame:

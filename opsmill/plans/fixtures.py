@@ -2,15 +2,17 @@
 
 The supplied tables are clean, so each view derives its dirt and its extra
 columns by arithmetic on ids. One SQL text serves Spark and the oracle; only
-the three names below differ. Every view keeps all rows of its table.
+the names below differ. Every view keeps all rows of its table.
 """
 
 from __future__ import annotations
 
 AS_OF = "2001-08-02 00:00:00"
 
-SPARK = {"explode": "explode", "series": "sequence", "text": "STRING"}
-DUCKDB = {"explode": "unnest", "series": "generate_series", "text": "VARCHAR"}
+SPARK = {"explode": "explode", "series": "sequence", "text": "STRING", "each": "transform", "of": "i ->", "none": "array()",
+         "ingredient": "named_struct('ingredient', ", "concentration": ", 'concentration', "}
+DUCKDB = {"explode": "unnest", "series": "generate_series", "text": "VARCHAR", "each": "list_transform", "of": "lambda i:", "none": "[]",
+          "ingredient": "struct_pack(ingredient := ", "concentration": ", concentration := "}
 
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
                "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -104,11 +106,26 @@ WHERE l_returnflag = 'R' AND delivered_on IS NOT NULL""",
     "product_stock": """
 SELECT p_partkey AS product_id, CAST(p_partkey * 13 % 25 AS INT) AS stock, p_partkey % 50 = 9 AS discontinued
 FROM {part} WHERE p_partkey % 37 <> 3""",
-    # Products of one brand, type and size form a set named by its first product.
+    # Every fifth product is a set of the three products after it.
     "set_components": """
-SELECT set_id, p_partkey AS product_id
-FROM {part} p JOIN (SELECT p_brand AS b, p_type AS y, p_size AS z, min(p_partkey) AS set_id
-                    FROM {part} GROUP BY p_brand, p_type, p_size) s ON p_brand = b AND p_type = y AND p_size = z""",
+SELECT set_id, c.p_partkey AS product_id, c.p_partkey % 4 <> 2 AS sold_separately
+FROM (SELECT p_partkey AS set_id, {explode}({series}(1, 3)) AS k FROM {part} WHERE p_partkey % 5 = 0) s
+JOIN {part} c ON c.p_partkey = set_id + k""",
+    # What customers got, sets under their own ids, and the units they bring back: single
+    # products as bought, and of a set two or three of its parts, some units each.
+    "purchases": """
+SELECT l_orderkey AS order_id, customer_id, l_partkey AS product_id, CAST(l_quantity AS INT) AS units, ordered_at
+FROM {lineitem} JOIN {shipments} s ON s.order_id = l_orderkey""",
+    "returned_units": """
+SELECT order_id, line_no, customer_id, CASE WHEN part = 0 THEN product_id ELSE product_id + part END AS product_id,
+       CASE WHEN part = 0 THEN bought ELSE 1 + CAST((order_id * 3 + part * 7) % bought AS INT) END AS units,
+       requested_on + CAST(part * 3 AS INT) AS requested_on
+FROM (SELECT l_orderkey AS order_id, l_linenumber AS line_no, customer_id, l_partkey AS product_id, CAST(l_quantity AS INT) AS bought,
+             delivered_on + CAST((l_orderkey * 7 + l_linenumber) % 60 AS INT) AS requested_on,
+             {explode}({series}(CASE WHEN l_partkey % 5 = 0 THEN 1 ELSE 0 END, CASE WHEN l_partkey % 5 = 0 THEN 3 ELSE 0 END)) AS part
+      FROM {lineitem} JOIN {shipments} s ON s.order_id = l_orderkey
+      WHERE l_returnflag = 'R' AND delivered_on IS NOT NULL AND l_partkey % 5 <> 4) r
+WHERE part = 0 OR (order_id + part) % 4 <> 1""",
     "received_items": """
 SELECT l_orderkey AS order_id, l_partkey + CASE WHEN l_orderkey % 9 = 4 THEN 1 ELSE 0 END AS product_id
 FROM {lineitem}""",
@@ -117,9 +134,16 @@ FROM {lineitem}""",
 SELECT event_id AS attempt_id, user_id AS account_id, ts AS attempted_at, event_type = 'error' AS failed,
        CASE WHEN value < 10 THEN 'payment' WHEN value < 50 THEN 'address' ELSE 'out_of_stock' END AS reason
 FROM {events}""",
+    # None to seven ingredients a product, each with a concentration in percent.
     "product_facts": """
-SELECT p_partkey AS product_id, CAST(p_partkey % 6 AS INT) AS ingredient_a, CAST(p_partkey % 4 + 6 AS INT) AS ingredient_b,
-       0.5 * (p_partkey % 7) AS concentration, p_partkey % 5 <> 0 AS pregnancy_safe,
-       CAST(p_partkey % 12 AS INT) AS step_group
+SELECT p_partkey AS product_id, CAST(p_partkey % 12 AS INT) AS step_group,
+       CASE WHEN p_partkey % 8 = 0 THEN {none} ELSE
+         {each}({series}(1, CAST(p_partkey % 8 AS INT)), {of} {ingredient}CAST((p_partkey * 3 + i * 5) % 23 AS INT){concentration}0.5 * CAST((p_partkey + i * 3) % 40 AS INT)))
+       END AS ingredients
 FROM {part}""",
+    "product_attributes": """
+SELECT p_partkey AS product_id, 'pregnancy_safe' AS attribute FROM {part} WHERE p_partkey % 5 <> 0
+UNION ALL SELECT p_partkey, 'fragrance_free' FROM {part} WHERE p_partkey % 3 <> 1
+UNION ALL SELECT p_partkey, 'vegan' FROM {part} WHERE p_partkey % 2 = 0
+UNION ALL SELECT p_partkey, 'non_comedogenic' FROM {part} WHERE p_partkey % 7 < 3""",
 }

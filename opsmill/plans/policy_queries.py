@@ -124,16 +124,49 @@ def abuse(t: Tables):
     return returns.return_abuse(t.return_requests)
 
 
+step("unit_events", """
+WITH own AS (SELECT customer_id, product_id, ordered_at AS day, order_id, sum(units) AS units FROM purchases GROUP BY ALL),
+ buy AS (SELECT customer_id, product_id, day, 0 AS kind, order_id, NULL::BIGINT AS set_id, NULL::BIGINT AS line_no, units FROM own
+         UNION ALL SELECT customer_id, c.product_id, day, 1, order_id, c.set_id, NULL, units FROM own o JOIN set_components c ON c.set_id = o.product_id),
+ e AS (SELECT * FROM buy UNION ALL SELECT customer_id, product_id, requested_on, 2, order_id, NULL, line_no, units FROM returned_units),
+ r AS (SELECT *, coalesce(sum(units) FILTER (kind < 2) OVER w, 0) AS had, coalesce(sum(units) FILTER (kind = 2) OVER w, 0) AS asked FROM e
+       WINDOW w AS (PARTITION BY customer_id, product_id ORDER BY day, kind, order_id, set_id NULLS FIRST, line_no ROWS UNBOUNDED PRECEDING)),
+ u AS (SELECT *, CASE WHEN kind = 2 THEN asked + least(0, min(had - asked) FILTER (kind = 2) OVER w) END AS used FROM r
+       WINDOW w AS (PARTITION BY customer_id, product_id ORDER BY day, kind, order_id, set_id NULLS FIRST, line_no ROWS UNBOUNDED PRECEDING))
+SELECT *, CASE WHEN kind = 2 THEN coalesce(max(used) OVER (PARTITION BY customer_id, product_id ORDER BY day, kind, order_id, set_id NULLS FIRST, line_no
+                                                           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) ELSE had - units END AS first,
+       CASE WHEN kind = 2 THEN used ELSE had END AS past FROM u""")
+step("unit_sources", """
+SELECT b.customer_id, b.product_id, b.order_id, b.line_no, s.order_id AS source_order, s.set_id AS source_set,
+       CAST(sum(least(b.past, s.past) - greatest(b.first, s.first)) AS BIGINT) AS units
+FROM unit_events b JOIN unit_events s ON b.customer_id = s.customer_id AND b.product_id = s.product_id AND b.first < s.past AND s.first < b.past
+WHERE b.kind = 2 AND s.kind < 2 GROUP BY ALL
+UNION ALL SELECT customer_id, product_id, order_id, line_no, NULL, NULL, CAST(units - (past - first) AS BIGINT) FROM unit_events
+WHERE kind = 2 AND past - first < units""")
+
+
+@query("pol_7_return_sources", "SELECT * FROM unit_sources")
+def return_sources(t: Tables):
+    return returns.allocate_returns(t.returned_units, t.purchases, t.set_components)
+
+
 @query("pol_7_bundle_returns", """
-WITH i AS (SELECT DISTINCT order_id, product_id FROM return_requests),
-     n AS (SELECT set_id, count(*) AS n_components FROM set_components GROUP BY 1),
-     g AS (SELECT order_id, c.set_id, count(*) AS n_returned, sum(price) AS items_price
-           FROM i JOIN set_components c USING (product_id) JOIN raw_products USING (product_id) GROUP BY 1, 2)
-SELECT order_id, g.set_id, n_returned, n_components, n_returned = n_components AS full_set,
-       round(CASE WHEN n_returned = n_components THEN price ELSE items_price END, 6) AS refund_value
-FROM g JOIN n ON g.set_id = n.set_id JOIN raw_products p ON p.product_id = g.set_id""")
+WITH g AS (SELECT customer_id, source_order AS order_id, source_set AS set_id, product_id, sum(units) AS units
+           FROM unit_sources WHERE source_set IS NOT NULL GROUP BY ALL),
+ n AS (SELECT set_id, count(*) AS n_components FROM set_components GROUP BY 1),
+ f AS (SELECT g.customer_id, g.order_id, g.set_id, n_components, count(*) AS n_returned, CASE WHEN count(*) = n_components THEN min(units) ELSE 0 END AS full_sets
+       FROM g JOIN n USING (set_id) GROUP BY g.customer_id, g.order_id, g.set_id, n_components),
+ b AS (SELECT customer_id, order_id, product_id AS set_id, sum(units) AS sets_bought FROM purchases GROUP BY ALL)
+SELECT f.customer_id, f.order_id, f.set_id, CAST(any_value(sets_bought) AS BIGINT) AS sets_bought, n_components, n_returned, CAST(full_sets AS BIGINT) AS full_sets,
+       CAST(sum(g.units) AS BIGINT) AS returned_units, CAST(coalesce(sum(g.units - full_sets) FILTER (sold_separately), 0) AS BIGINT) AS single_units,
+       CAST(coalesce(sum(g.units - full_sets) FILTER (NOT sold_separately), 0) AS BIGINT) AS refused_units,
+       round(full_sets * any_value(s.price) + coalesce(sum((g.units - full_sets) * p.price) FILTER (sold_separately), 0), 6) AS refund_value
+FROM f JOIN g USING (customer_id, order_id, set_id) JOIN b USING (customer_id, order_id, set_id)
+JOIN set_components c ON c.set_id = f.set_id AND c.product_id = g.product_id
+JOIN raw_products p ON p.product_id = g.product_id JOIN raw_products s ON s.product_id = f.set_id
+GROUP BY f.customer_id, f.order_id, f.set_id, n_components, n_returned, full_sets""")
 def bundles(t: Tables):
-    return returns.bundle_returns(t.return_requests, t.set_components, t.raw_products)
+    return returns.bundle_returns(t.returned_units, t.purchases, t.set_components, t.raw_products)
 
 
 @query("pol_8_discontinued", """
@@ -407,8 +440,10 @@ def trace(t: Tables):
 # --- catalogue --------------------------------------------------------------
 
 step("ingredients", """
-SELECT product_id, concentration, ingredient_a AS ingredient FROM product_facts
-UNION ALL SELECT product_id, concentration, ingredient_b FROM product_facts""")
+SELECT product_id, i.ingredient AS ingredient, max(i.concentration)::DOUBLE AS concentration
+FROM (SELECT product_id, unnest(ingredients) AS i FROM product_facts) GROUP BY ALL""")
+step("sold", """
+SELECT product_id, sum(greatest(quantity, 0)) AS units, count(*) AS n, count(*) FILTER (returned) AS r FROM orders_c GROUP BY 1""")
 step("conflict_pairs", "SELECT * FROM (VALUES (0, 6, 'forbidden'), (1, 7, 'caution')) AS p(first, second, severity)")
 
 
@@ -417,14 +452,21 @@ def pairs(t: Tables):
 
 
 @query("cat_1_ingredients", """
-SELECT ingredient, (SELECT count(*) FROM ingredients i WHERE i.ingredient = g.ingredient) AS n_products,
-       CAST(sum(greatest(quantity, 0)) AS BIGINT) AS units_sold, round(avg(CASE WHEN returned THEN 1.0 ELSE 0 END), 6) AS return_rate,
-       max(concentration)::DOUBLE AS max_concentration
-FROM ingredients g JOIN orders_c USING (product_id) GROUP BY ingredient""")
+SELECT ingredient, count(*) AS n_products, CAST(coalesce(sum(units), 0) AS BIGINT) AS units_sold, round(sum(r) / sum(n), 6) AS return_rate,
+       min(concentration) AS min_concentration, max(concentration) AS max_concentration
+FROM ingredients LEFT JOIN sold USING (product_id) GROUP BY ingredient""")
 def ingredients(t: Tables):
     return products.ingredient_report(t.product_facts, t.lines)
 
 
+@query("cat_1_ingredient_products", """
+SELECT ingredient, product_id, concentration, rank() OVER (PARTITION BY ingredient ORDER BY concentration DESC) AS strength_rank,
+       CAST(coalesce(units, 0) AS BIGINT) AS units_sold, round(r / n, 6) AS return_rate
+FROM ingredients LEFT JOIN sold USING (product_id)""")
+def ingredient_products(t: Tables):
+    return products.ingredient_products(t.product_facts, t.lines)
+
+
 @query("cat_2_order_conflicts", """
 WITH u AS MATERIALIZED (
   SELECT order_id, ingredient, count(DISTINCT product_id) AS n FROM orders_c JOIN ingredients USING (product_id)
@@ -447,23 +489,49 @@ def customer_conflicts(t: Tables):
     return products.customer_conflicts(t.lines, t.product_facts, pairs(t))
 
 
-@query("cat_3_unsafe_lines", """
-WITH i AS (SELECT product_id, category, stock_level, pregnancy_safe FROM products_c JOIN product_facts USING (product_id)),
+SENSITIVE = ("fragrance_free", "pregnancy_safe")
+
+
+def lacking_sql(*required: str) -> str:
+    """Products with the names of the ``required`` attributes they lack, as a common table ``i``."""
+    has = ", ".join(f"bool_or(attribute = '{a}') AS {a}" for a in required)
+    missing = "concat_ws(',', " + ", ".join(f"CASE WHEN NOT coalesce({a}, false) THEN '{a}' END" for a in required) + ")"
+    return f"""i AS (SELECT product_id, category, stock_level, {missing} AS missing FROM products_c
+      LEFT JOIN (SELECT product_id, {has} FROM product_attributes GROUP BY 1) a USING (product_id))"""
+
+
+def lacking_lines_sql(*required: str) -> str:
+    return f"""
+WITH {lacking_sql(*required)},
  o AS (SELECT category, count(*) AS n_substitutes, max_by(product_id, CAST(stock_level AS BIGINT) * 1000000000 - product_id) AS best_substitute
-       FROM i WHERE pregnancy_safe AND stock_level > 0 GROUP BY 1)
-SELECT order_id, product_id, category, n_substitutes, best_substitute
-FROM orders_c JOIN i USING (product_id) LEFT JOIN o USING (category) WHERE NOT pregnancy_safe""")
+       FROM i WHERE missing = '' AND stock_level > 0 GROUP BY 1)
+SELECT order_id, product_id, category, missing, coalesce(n_substitutes, 0) AS n_substitutes, best_substitute
+FROM orders_c JOIN i USING (product_id) LEFT JOIN o USING (category) WHERE missing <> ''"""
+
+
+@query("cat_3_unsafe_lines", lacking_lines_sql("pregnancy_safe"))
 def unsafe(t: Tables):
-    return products.unsafe_lines(t.lines, t.products, t.product_facts)
+    return products.lacking_lines(t.lines, t.products, t.product_attributes, ["pregnancy_safe"])
+
+
+@query("cat_3_sensitive_lines", lacking_lines_sql(*SENSITIVE))
+def sensitive(t: Tables):
+    return products.lacking_lines(t.lines, t.products, t.product_attributes, SENSITIVE)
+
+
+@query("cat_3_products", f"WITH {lacking_sql(*SENSITIVE, 'vegan')} SELECT product_id, category, missing, missing = '' AS has_all FROM i")
+def with_attributes(t: Tables):
+    return products.attribute_products(t.products.select("product_id", "category"), t.product_attributes, [*SENSITIVE, "vegan"])
 
 
-@query("cat_4_sets", """
+@query("cat_4_sets", f"""
+WITH {lacking_sql("pregnancy_safe")}
 SELECT set_id, count(*) AS n_components, round(max(s.price), 6) AS set_price, round(sum(p.price), 6) AS items_price,
-       round(sum(p.price) - max(s.price), 6) AS saving, bool_or(NOT pregnancy_safe) AS any_unsafe
-FROM set_components c JOIN raw_products p USING (product_id) JOIN product_facts f USING (product_id)
+       round(sum(p.price) - max(s.price), 6) AS saving, bool_or(missing <> '') AS any_lacking
+FROM set_components c JOIN raw_products p USING (product_id) JOIN i USING (product_id)
 JOIN raw_products s ON s.product_id = c.set_id GROUP BY set_id""")
 def sets(t: Tables):
-    return products.set_report(t.set_components, t.raw_products, t.product_facts)
+    return products.set_report(t.set_components, t.raw_products, t.product_attributes, ["pregnancy_safe"])
 
 
 @query("cat_5_routine_gaps", """

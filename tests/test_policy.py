@@ -1,9 +1,11 @@
+import random
 from datetime import date, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from opsmill.functions.columns import elapsed_business_hours
-from opsmill.operators import damage, returns, shipping
+from opsmill.operators import damage, products, returns, shipping
 from opsmill.operators.trailing import earlier_counts, trailing_counts
 
 
@@ -46,12 +48,94 @@ def test_busy_customer_shrinks_to_days(spark):
     assert [r.n for r in rows] == [6667, 13334, 20000]
 
 
-def test_full_and_partial_bundles(spark):
-    requests = spark.createDataFrame([(1, 11), (1, 12), (2, 11)], "order_id INT, product_id INT")
-    parts = spark.createDataFrame([(10, 11), (10, 12)], "set_id INT, product_id INT")
-    prices = spark.createDataFrame([(10, 80.0), (11, 50.0), (12, 60.0)], "product_id INT, price DOUBLE")
-    got = {r.order_id: (r.full_set, r.refund_value) for r in returns.bundle_returns(requests, parts, prices).collect()}
-    assert got == {1: (True, 80.0), 2: (False, 50.0)}
+PURCHASES = "order_id LONG, customer_id LONG, product_id LONG, units INT, ordered_at DATE"
+RETURNED = "order_id LONG, line_no INT, customer_id LONG, product_id LONG, units INT, requested_on DATE"
+PARTS = "set_id LONG, product_id LONG, sold_separately BOOLEAN"
+
+
+def plain_allocation(returned, purchases, components):
+    """Unit by unit: each returned unit takes the oldest unit left that was bought by then."""
+    stock = {}
+    for order, customer, product, units, day in purchases:
+        if None in (customer, product, day) or units <= 0:
+            continue
+        stock.setdefault((customer, product), []).append((day, 0, order, None, units))
+        for s, part, _ in components:
+            if s == product:
+                stock.setdefault((customer, part), []).append((day, 1, order, s, units))
+    out = {}
+    for key, rows in stock.items():
+        rows.sort(key=lambda r: (r[0], r[1], r[2], r[3] is not None, r[3] or 0))
+        stock[key] = [list(r) for r in rows]
+    for order, line, customer, product, units, day in sorted(returned, key=lambda r: (str(r[5]), r[0], r[1])):
+        if None in (customer, product, day):
+            continue
+        for _ in range(units):
+            left = next((r for r in stock.get((customer, product), []) if r[4] and r[0] <= day), None)
+            if left:
+                left[4] -= 1
+            k = (customer, product, order, line, left and left[2], left and left[3])
+            out[k] = out.get(k, 0) + 1
+    return out
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_returned_units_are_allocated_like_the_plain_version(spark, seed):
+    rng = random.Random(seed)
+    start = date(2025, 1, 1)
+    components = [(10, 11, True), (10, 12, True), (10, 13, False), (20, 12, True), (20, 14, True), (20, 15, True)]
+    products = [10, 11, 12, 13, 14, 15, 20]
+    purchases = [(i, rng.choice([1, 2, None]) if rng.random() < 0.1 else rng.choice([1, 2, 3]), rng.choice(products), rng.randint(0, 4), start + timedelta(rng.randint(0, 40)))
+                 for i in range(150)]
+    returned = [(i, rng.randint(1, 2), rng.choice([1, 2, 3]), rng.choice(products[1:6]), rng.randint(0, 6), rng.choice([None, start + timedelta(rng.randint(0, 60))]) if rng.random() < 0.1
+                 else start + timedelta(rng.randint(0, 60))) for i in range(200)]
+    made = returns.allocate_returns(spark.createDataFrame(returned, RETURNED), spark.createDataFrame(purchases, PURCHASES), spark.createDataFrame(components, PARTS))
+    rows = made.collect()
+    got = {(r.customer_id, r.product_id, r.order_id, r.line_no, r.source_order, r.source_set): r.units for r in rows}
+    assert len(got) == len(rows) and got == plain_allocation(returned, purchases, components)
+    assert any(k[4] is None for k in got) and any(k[5] for k in got)
+
+
+def test_bundles_know_the_set_bought(spark):
+    d = date(2025, 3, 1)
+    purchases = [(1, 1, 10, 2, d), (2, 1, 11, 1, d - timedelta(5)), (3, 2, 11, 1, d), (4, 3, 10, 1, d)]
+    returned = [(9, 1, 1, 11, 3, d + timedelta(9)), (9, 2, 1, 12, 1, d + timedelta(9)), (9, 3, 1, 13, 2, d + timedelta(9)),
+                (9, 4, 2, 11, 1, d + timedelta(9)), (9, 5, 3, 11, 1, d - timedelta(1)), (9, 6, 3, 12, 1, d)]
+    parts = [(10, 11, True), (10, 12, True), (10, 13, False)]
+    prices = spark.createDataFrame([(10, 80.0), (11, 50.0), (12, 60.0), (13, 7.0)], "product_id LONG, price DOUBLE")
+    got = {r.customer_id: r for r in returns.bundle_returns(
+        spark.createDataFrame(returned, RETURNED), spark.createDataFrame(purchases, PURCHASES), spark.createDataFrame(parts, PARTS), prices).collect()}
+    # Customer 2 bought the part alone; customer 3 asked for one part before it was bought.
+    assert set(got) == {1, 3}
+    r = got[1]
+    # Of three units one was bought alone; one whole set, one more part, and one that is not sold separately.
+    assert (r.sets_bought, r.full_sets, r.returned_units, r.single_units, r.refused_units, r.refund_value) == (2, 1, 5, 1, 1, 130.0)
+    assert (got[3].full_sets, got[3].n_returned, got[3].refund_value) == (0, 1, 60.0)
+
+
+FACTS = "product_id LONG, ingredients ARRAY<STRUCT<ingredient: INT, concentration: DOUBLE>>"
+
+
+def test_ingredients_of_any_number(spark):
+    many = [(i, float(i)) for i in range(7)]
+    facts = spark.createDataFrame([(1, None), (2, []), (3, [(4, 0.5)]), (4, many), (5, [(4, 9.0), (4, 2.0), (50, None)])], FACTS)
+    lines = spark.createDataFrame([(3, 2, True), (3, -1, False), (4, 5, False)], "product_id LONG, quantity INT, returned BOOLEAN")
+    got = {(r.ingredient, r.product_id): (r.concentration, r.strength_rank, r.units_sold, r.return_rate) for r in products.ingredient_products(facts, lines).collect()}
+    assert len(got) == 1 + 7 + 2
+    assert [got[4, p] for p in (5, 4, 3)] == [(9.0, 1, 0, None), (4.0, 2, 5, 0.0), (0.5, 3, 2, 0.5)]
+    total = {r.ingredient: r for r in products.ingredient_report(facts, lines).collect()}
+    assert (total[4].n_products, total[4].units_sold, total[4].min_concentration, total[4].max_concentration) == (3, 7, 0.5, 9.0)
+    assert abs(total[4].return_rate - 1 / 3) < 1e-9 and total[50].max_concentration is None
+
+
+def test_several_required_attributes(spark):
+    goods = spark.createDataFrame([(1, "a", 5), (2, "a", 9), (3, "a", 9), (4, "a", 0), (5, "b", 3)], "product_id LONG, category STRING, stock_level INT")
+    relation = [(1, "free"), (1, "safe"), (1, "safe"), (2, "free"), (2, "safe"), (3, "safe"), (4, "free"), (4, "safe"), (5, "other"), (9, "free")]
+    attributes = spark.createDataFrame(relation, "product_id LONG, attribute STRING")
+    lines = spark.createDataFrame([(7, p) for p in (1, 3, 4, 5)], "order_id LONG, product_id LONG")
+    got = {r.product_id: (r.missing, r.n_substitutes, r.best_substitute) for r in products.lacking_lines(lines, goods, attributes, ["free", "safe"]).collect()}
+    assert got == {3: (["free"], 2, 2), 5: (["free", "safe"], 0, None)}
+    assert {r.product_id: r.has_all for r in products.attribute_products(goods, attributes, [f"x{i}" for i in range(62)] + ["safe"]).collect()} == dict.fromkeys(range(1, 6), False)
 
 
 def test_adverse_reaction_overrides_window_and_approval(spark):
