@@ -6,12 +6,15 @@ customer_id, order_value, ordered_at."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from opsmill import config
 from opsmill.functions.columns import flags, in_yearly_period, ratio, timestamp
 from opsmill.operators.trailing import trailing_counts
+from opsmill.session import materialise
 
 
 def customer_tiers(orders: DataFrame, as_of) -> DataFrame:
@@ -262,10 +265,39 @@ def decide(requests: DataFrame, products: DataFrame) -> DataFrame:
                      fired.alias("rules"), inputs.alias("inputs"))
 
 
-def evidence_pack(decisions: DataFrame, hits: DataFrame, topic: str, key: str) -> DataFrame:
-    """Each decision with the best corpus rows of its topic: rank, id, distance,
-    source and preview. ``hits`` has query_id, these, and at most k rows per
-    topic; retrieval runs once per topic and not per decision."""
+def request_text(condition: Column, line: Column, discontinued: Column, rule: Column, decision: Column, form: Column) -> Column:
+    """What is asked of the corpus for a request, from its facts."""
+    plain = lambda c: F.replace(c, F.lit("_"), F.lit(" "))
+    return F.concat_ws(" ", plain(condition), F.lit("return of"), F.when(discontinued, "discontinued"),
+                       F.coalesce(F.lower(line), F.lit("unknown")), F.lit("product"), plain(rule), F.lit("window"),
+                       decision, F.coalesce(plain(form), F.lit("no refund")))
+
+
+def evidence_pack(decisions: DataFrame, products: DataFrame, customers: DataFrame, orders: DataFrame,
+                  retrieve: Callable[[DataFrame], DataFrame], key: str) -> DataFrame:
+    """Each decision (as from ``decide``) with its table facts and the corpus rows
+    nearest to it: structs ``product``, ``customer``, ``order`` (null where unknown),
+    ``request_text`` and ``evidence``, by rank.
+
+    ``products`` is (product_id, name, category, price, stock_level, discontinued),
+    ``customers`` (customer_id, state, total_orders), ``orders`` (order_id, order_value, carrier,
+    ordered_at, delivered_on). ``retrieve`` gets (query_id, text), one row per distinct text, and
+    returns hits with query_id, rank, ``key``, distance, source and text_preview; so
+    requests that ask the same are looked up once, and the hits joined back."""
+    def facts(table, of, name):
+        rest = [c for c in table.columns if c != of]
+        return table.select(of, F.struct(*rest).alias(name))
+
+    asked = F.from_json("inputs", "item_condition STRING, window_rule STRING")
+    df = (decisions.join(facts(products, "product_id", "product"), "product_id", "left")
+          .join(facts(customers, "customer_id", "customer"), "customer_id", "left")
+          .join(facts(orders, "order_id", "order"), "order_id", "left")
+          .withColumn("_asked", asked))
+    line = F.element_at(F.split("product.category", " "), 1)
+    df = df.withColumn("request_text", request_text(F.col("_asked.item_condition"), line, F.col("product.discontinued"),
+                                                    F.col("_asked.window_rule"), F.col("decision"), F.col("refund_form"))).drop("_asked")
+    df = materialise(df.withColumn("query_id", F.sha2("request_text", 256)), "requests")
+    hits = retrieve(df.select("query_id", F.col("request_text").alias("text")).distinct())
     best = hits.groupBy("query_id").agg(F.array_sort(F.collect_list(
         F.struct("rank", F.col(key).alias("id"), "distance", "source", "text_preview"))).alias("evidence"))
-    return decisions.join(best.withColumnRenamed("query_id", topic), topic, "left")
+    return df.join(best, "query_id", "left").drop("query_id")

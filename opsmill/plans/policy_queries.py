@@ -415,7 +415,7 @@ def failed(t: Tables):
     return shipping.failed_subscriptions(t.attempts)
 
 
-@query("pol_33_decision_trace", f"""
+step("decided", f"""
 WITH x AS (SELECT w.*, item_condition = 'adverse_reaction' AS adv, item_condition = 'adverse_reaction' OR eligible AS ok,
                   item_condition <> 'adverse_reaction' AND eligible AS plain, item_condition = 'opened' AS opened,
                   item_condition = 'damaged' AS dam, item_condition = 'damaged' AND coalesce(discontinued, false) AS gone, pid IS NULL AS unknown
@@ -433,6 +433,9 @@ SELECT order_id, line_no, product_id, customer_id, CASE WHEN ok THEN 'approve' E
        '{{"days_used":' || days_used || ',"item_condition":"' || item_condition || '","is_vip":' || is_vip
        || ',"window_rule":"' || window_rule || '"}}' AS inputs
 FROM z""")
+
+
+@query("pol_33_decision_trace", "SELECT * FROM decided")
 def trace(t: Tables):
     return returns.decide(vip_windows(t), t.raw_products)
 

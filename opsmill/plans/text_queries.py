@@ -7,7 +7,7 @@ from functools import partial
 from pyspark.sql import functions as F
 
 from opsmill.functions.text import token_count
-from opsmill.operators import chunking, embedding, evaluation, retrieval, returns
+from opsmill.operators import chunking, embedding, evaluation, lookups, retrieval, returns
 from opsmill.plans.policy_queries import vip_windows
 from opsmill.plans.registry import Tables, query, step
 from opsmill.session import materialise, scratch_path
@@ -672,29 +672,45 @@ def write_report(t: Tables):
         "test_id", "arm", "sources_match", F.size("retrieved").alias("n_retrieved"), "top_distance")
 
 
-step("topic_texts", """
-SELECT row_number() OVER (ORDER BY item_condition) AS id, item_condition, replace(item_condition, '_', ' ') || ' return and refund' AS text
-FROM (SELECT DISTINCT item_condition FROM return_requests)""")
-embed_steps("topic64", "topic_texts", 64)
+step("pack_facts", """
+SELECT d.*, p.name AS product_name, p.category, p.price, p.stock_level, p.discontinued, c.state, o.total_orders,
+       s.order_value, s.carrier, CAST(s.ordered_at AS VARCHAR) AS ordered_at, CAST(s.delivered_on AS VARCHAR) AS delivered_on,
+       concat_ws(' ', replace(inputs ->> '$.item_condition', '_', ' '), 'return of', CASE WHEN p.discontinued THEN 'discontinued' END,
+                 coalesce(lower(string_split(p.category, ' ')[1]), 'unknown'), 'product', replace(inputs ->> '$.window_rule', '_', ' '), 'window',
+                 decision, coalesce(replace(refund_form, '_', ' '), 'no refund')) AS request_text
+FROM decided d LEFT JOIN (SELECT c.product_id, c.name, c.category, c.price, c.stock_level, r.discontinued
+                          FROM products_c c JOIN raw_products r ON r.product_id = c.product_id) p ON p.product_id = d.product_id
+LEFT JOIN customers_c c ON c.customer_id = d.customer_id
+LEFT JOIN (SELECT customer_id, count(DISTINCT order_id) AS total_orders FROM orders_c WHERE customer_id > 0 GROUP BY 1) o
+       ON o.customer_id = d.customer_id AND c.customer_id IS NOT NULL
+LEFT JOIN shipments s ON s.order_id = d.order_id""")
+step("pack_texts", "SELECT row_number() OVER (ORDER BY text) AS id, text FROM (SELECT DISTINCT request_text AS text FROM pack_facts)")
+embed_steps("pack64", "pack_texts", 64)
 
 
 @query("pol_34_evidence_pack", f"""
-WITH x AS (SELECT q.id AS qid, c.id AS cid, {DIST} AS d FROM topic64_v q, chunk64_v c),
+WITH x AS (SELECT q.id AS qid, c.id AS cid, {DIST} AS d FROM pack64_v q, chunk64_v c),
  h AS (SELECT qid, s.source, s.text, d, row_number() OVER (PARTITION BY qid ORDER BY d, cid) AS rank FROM x JOIN chunk_sources s ON s.id = cid),
- e AS (SELECT item_condition, string_agg(source, ',' ORDER BY rank) AS sources, round(min(d), 6) AS top_distance,
+ e AS (SELECT t.text AS request_text, string_agg(source, ',' ORDER BY rank) AS sources, round(min(d), 6) AS top_distance,
               min({preview_sql('h.text', 200)}) FILTER (WHERE rank = 1) AS top_preview
-       FROM h JOIN topic_texts t ON t.id = qid WHERE rank <= 3 GROUP BY 1)
-SELECT order_id, line_no, product_id, item_condition, eligible, window_rule, days_used, sources, top_distance, top_preview
-FROM windowed LEFT JOIN e USING (item_condition)""")
+       FROM h JOIN pack_texts t ON t.id = qid WHERE rank <= 3 GROUP BY 1)
+SELECT order_id, line_no, product_id, customer_id, decision, refund_form, approval, rules, product_name, category, stock_level, discontinued,
+       state, total_orders, round(order_value, 6) AS order_value, carrier, ordered_at, delivered_on, request_text, sources, top_distance, top_preview
+FROM pack_facts LEFT JOIN e USING (request_text)""")
 def evidence(t: Tables):
-    requests = vip_windows(t)
-    topics = requests.select(F.col("item_condition").alias("query_id")).distinct()
-    asked = topics.select("query_id", embedding.embed_tokens(
-        F.concat(F.replace("query_id", F.lit("_"), F.lit(" ")), F.lit(" return and refund"))).alias("vec"))
-    # Written once: the scan reads the texts, and the hits fetch theirs again.
-    corpus = materialise(chunk_corpus(t), "chunks").withColumn("vec", embedding.embed_tokens(F.col("text")))
-    hits = retrieval.with_previews(retrieval.nearest(corpus, asked, "id"))
-    df = returns.evidence_pack(requests, hits, "item_condition", "id")
+    goods = t.products.select("product_id", "name", "category", "price", "stock_level").join(t.raw_products.select("product_id", "discontinued"), "product_id")
+    people = t.customers.select("customer_id", "state").join(lookups.customer_orders(t.lines).select("customer_id", "total_orders"), "customer_id", "left")
+    orders = t.shipments.select("order_id", "order_value", "carrier", "ordered_at", "delivered_on")
+
+    def retrieve(texts):
+        # Written once: the scan reads the texts, and the hits fetch theirs again.
+        corpus = materialise(chunk_corpus(t), "chunks").withColumn("vec", embedding.embed_tokens(F.col("text")))
+        asked = texts.select("query_id", embedding.embed_tokens(F.col("text")).alias("vec"))
+        return retrieval.with_previews(retrieval.nearest(corpus, asked, "id"))
+
+    df = returns.evidence_pack(returns.decide(vip_windows(t), t.raw_products), goods, people, orders, retrieve, "id")
     best = F.col("evidence")[0]
-    return df.select("order_id", "line_no", "product_id", "item_condition", "eligible", "window_rule", "days_used",
-                     F.col("evidence.source").alias("sources"), best["distance"].alias("top_distance"), best["text_preview"].alias("top_preview"))
+    return df.select("order_id", "line_no", "product_id", "customer_id", "decision", "refund_form", "approval", "rules",
+                     F.col("product.name").alias("product_name"), "product.category", "product.stock_level", "product.discontinued",
+                     "customer.state", "customer.total_orders", "order.order_value", "order.carrier", "order.ordered_at", "order.delivered_on",
+                     "request_text", F.col("evidence.source").alias("sources"), best["distance"].alias("top_distance"), best["text_preview"].alias("top_preview"))

@@ -245,3 +245,26 @@ def test_failing_months_break_over_a_gap(spark):
     claims = spark.createDataFrame([("A", date(2025, m, 9)) for m in (1, 2, 4)], "carrier STRING, claimed_on DATE")
     got = shipping.carrier_scorecard(ships, claims, "2025-12-01 00:00:00").orderBy("month").collect()
     assert [r.failing_months for r in got] == [1, 2, 1, 2, 0]
+
+
+def test_evidence_is_looked_up_once_per_text(spark):
+    d = date(2025, 6, 1)
+    rows = [(i, 1, 100 + i % 2, 7 if i else 8, 20.0, d, d, d + timedelta(3), "opened", False) for i in range(6)]
+    requests = spark.createDataFrame(rows, "order_id LONG, line_no INT, product_id LONG, customer_id LONG, amount DOUBLE, ordered_at DATE, delivered_on DATE, requested_on DATE, "
+                                           "item_condition STRING, is_vip BOOLEAN")
+    goods = spark.createDataFrame([(100, "Mask", "Care x", 9.0, 4, False)], "product_id LONG, name STRING, category STRING, price DOUBLE, stock_level INT, discontinued BOOLEAN")
+    people = spark.createDataFrame([(7, "TX", 3)], "customer_id LONG, state STRING, total_orders LONG")
+    orders = spark.createDataFrame([(i, 30.0, "UPS", d, d) for i in range(1, 6)], "order_id LONG, order_value DOUBLE, carrier STRING, ordered_at DATE, delivered_on DATE")
+    asked = []
+
+    def retrieve(texts):
+        asked.extend(r.text for r in texts.collect())
+        return texts.select("query_id", F.lit(1).alias("rank"), F.lit(5).alias("id"), F.lit(0.5).alias("distance"), F.lit("faq").alias("source"),
+                            F.col("text").alias("text_preview"))
+
+    decided = returns.decide(returns.return_window(requests), goods.select("product_id", "discontinued"))
+    got = {r.order_id: r for r in returns.evidence_pack(decided, goods, people, orders, retrieve, "id").collect()}
+    assert sorted(asked) == ["opened return of care product standard window approve store credit", "opened return of unknown product standard window approve store credit"]
+    assert len(got) == 6 and all(len(r.evidence) == 1 and r.evidence[0].text_preview == r.request_text for r in got.values())
+    assert got[0].order is None and got[0].customer is None and got[0].product.name == "Mask"
+    assert got[1].product is None and got[1].customer.state == "TX" and got[1].order.carrier == "UPS" and got[1].decision == "approve"
