@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opsmill.functions.columns import strip
-from opsmill.functions.text import preview, split_literal, token_count, words
+from opsmill.functions.text import TOKEN, preview, split_literal, token_count, words
 from opsmill.operators.embedding import neighbour_distances, token_slots
 
 SEPARATORS = ("\n\n", "\n", ". ", " ", "")
@@ -113,14 +113,53 @@ def _pack_and_emit(df: DataFrame, size: int, overlap: int, glue: str, sep_tokens
 
 
 def fixed_size(docs: DataFrame, chunk_size: int = 500, chunk_overlap: int = 50, separator: str = "\n\n",
-               separator_tokens: int = 0) -> DataFrame:
+               separator_tokens: int = 0, mode: str = "pack") -> DataFrame:
     """Pack the parts between ``separator`` up to the size; a part above the
-    size stays whole."""
+    size stays whole. With ``mode='window'`` see ``token_windows``."""
+    if mode == "window":
+        return token_windows(docs, chunk_size, chunk_overlap)
+    if mode != "pack":
+        raise ValueError(f"unknown mode: {mode}")
     parts = F.filter(split_literal(F.col("text"), separator), lambda x: x != "")
     df = docs.withColumn("_pieces", F.transform(parts, lambda x: _piece(x, F.lit(0).cast("bigint"))))
     return _pack_and_emit(df, chunk_size, chunk_overlap, separator, separator_tokens, "fixed_size")
 
 
+def token_windows(docs: DataFrame, chunk_size: int = 500, chunk_overlap: int = 50) -> DataFrame:
+    """Windows of ``chunk_size`` tokens, each beginning ``chunk_size - chunk_overlap`` tokens
+    after the last, up to the one that reaches the end (which may be shorter). The text
+    is cut out of the document as it stands: start_char to end_char (exclusive), from the
+    first token of the window to its last. Texts without tokens, or null, have none.
+
+    A token goes with the blanks before it, so joined tokens are the text, and offsets are
+    sums of lengths: per stride first, so long documents are not added up again and again."""
+    step = chunk_size - chunk_overlap
+    if step <= 0 or chunk_overlap < 0:
+        raise ValueError("the overlap must be smaller than the size")
+    n = F.size("_tokens")
+    count = F.when(n > 0, F.ceil(F.greatest(n - chunk_size, F.lit(0)) / step).cast("int") + 1).otherwise(0)
+    numbers = F.when(F.col("_count") > 0, F.sequence(F.lit(0), F.col("_count") - 1)).otherwise(F.array().cast("array<int>"))
+
+    def chars(k):
+        return F.aggregate(F.slice("_tokens", k * step + 1, F.lit(step)), F.lit(0), lambda s, x: s + F.length(x))
+
+    def window(k):
+        before = F.aggregate(F.slice("_strides", F.lit(1), k), F.lit(0), lambda s, x: s + x)
+        return F.struct(k.alias("chunk_index"), before.alias("before"), F.array_join(F.slice("_tokens", k * step + 1, F.lit(chunk_size)), "").alias("raw"),
+                        F.least(F.lit(chunk_size), n - k * step).alias("token_count"))
+
+    df = docs.withColumn("_tokens", F.coalesce(F.regexp_extract_all("text", F.lit(rf"\s*(?:{TOKEN})"), F.lit(0)), F.array().cast("array<string>")))
+    df = df.withColumn("_count", count).withColumn("_numbers", numbers).withColumn("_strides", F.transform("_numbers", chars))
+    keep = [c for c in docs.columns if c != "text"]
+    df = df.select(*keep, F.explode(F.transform("_numbers", window)).alias("_w"))
+    text = F.regexp_replace("_w.raw", r"^\s+", "")
+    start = F.col("_w.before") + F.length("_w.raw") - F.length("text")
+    df = df.withColumn("text", text).withColumn("start_char", start)
+    return df.select(*keep, "_w.chunk_index", "text", "_w.token_count", "start_char", (F.col("start_char") + F.length("text")).alias("end_char"),
+                     F.lit("token_window").alias("strategy"),
+                     F.create_map(*[F.lit(str(x)) for x in ("chunk_size", chunk_size, "overlap", chunk_overlap)]).alias("metadata"))
+
+
 def recursive(docs: DataFrame, chunk_size: int = 500, chunk_overlap: int = 50,
               separators: tuple[str, ...] = SEPARATORS) -> DataFrame:
     """Split at the first separator present, then again inside parts that are

@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -112,3 +113,27 @@ def test_statistics_and_keywords(spark):
 def test_token_count_is_unicode_aware(spark):
     df = spark.createDataFrame([("Für élève, naïve_1!",), ("",)], "t STRING")
     assert [r[0] for r in df.select(token_count(F.col("t"))).collect()] == [5, 0]
+
+
+def test_token_windows_cover_the_text(spark):
+    rng = random.Random(4)
+    texts = [None, "", " \n ", "one", " a, b! ", "x " * 9, "".join(rng.choice("ab_ .,\n\té") for _ in range(3000))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id LONG, text STRING")
+    for size, overlap in ((10, 3), (10, 0), (7, 6), (1, 0), (5000, 50)):
+        by = {}
+        for r in chunking.fixed_size(docs, size, overlap, mode="window").collect():
+            by.setdefault(r.doc_id, []).append(r)
+        for i, text in enumerate(texts):
+            found = [(m.start(), m.end()) for m in re.finditer(r"\w+|[^\w\s]", text or "")]
+            rows = sorted(by.get(i, []), key=lambda r: r.chunk_index)
+            want = []
+            for k in range(0, len(found), size - overlap):
+                own = found[k:k + size]
+                want.append((len(want), len(own), own[0][0], own[-1][1], text[own[0][0]:own[-1][1]]))
+                if k + size >= len(found):
+                    break
+            assert [(r.chunk_index, r.token_count, r.start_char, r.end_char, r.text) for r in rows] == want
+    with pytest.raises(ValueError):
+        chunking.token_windows(docs, 5, 5)
+    with pytest.raises(ValueError):
+        chunking.fixed_size(docs, mode="odd")
