@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from opsmill import config
@@ -86,20 +88,25 @@ def clean_products(raw: DataFrame) -> DataFrame:
     return df.withColumn("margin_pct", margin_pct(F.col("price"), F.col("cost")))
 
 
-def clean_customers(raw: DataFrame, as_of) -> DataFrame:
+def _unwatched(df: DataFrame, stage: str, **figures: Column) -> DataFrame:
+    return df
+
+
+def clean_customers(raw: DataFrame, as_of, watch=_unwatched) -> DataFrame:
     df = lower_case(strip_columns(raw, "email"), "email")
-    df = dedupe_by_key(df, ["email"], ["customer_id"])
+    df = watch(dedupe_by_key(df, ["email"], ["customer_id"]), "customers distinct")
     df = map_values(df, "state", config.STATE_ABBREVIATIONS)
     df = fill_constant(df, "acquisition_channel", config.UNKNOWN_CHANNEL)
     df = parse_dates(df, "created_at")
     return df.withColumn("tenure_days", elapsed_days(as_of, F.col("created_at")))
 
 
-def clean_orders(raw: DataFrame, as_of) -> DataFrame:
+def clean_orders(raw: DataFrame, as_of, watch=_unwatched) -> DataFrame:
     """Copies go before the dates are parsed: one date in two formats is two rows."""
-    df = drop_exact_duplicates(raw)
-    df = drop_unparsed_dates(parse_dates(df, "order_date"), "order_date")
-    df = impute_status(mark_guests(df), as_of)
+    open_ = {"guests": F.count_if(F.col("customer_id").isNull()), "open": F.count_if(F.col("order_status").isNull())}
+    df = watch(drop_exact_duplicates(raw), "orders distinct")
+    df = watch(drop_unparsed_dates(parse_dates(df, "order_date"), "order_date"), "orders dated", **open_)
+    df = watch(impute_status(mark_guests(df), as_of), "orders filled", **open_)
     return enforce_types(df, {
         "customer_id": "bigint", "quantity": "int", "price": "double",
         "discount_applied": "boolean", "is_subscription": "boolean", "returned": "boolean",
@@ -152,31 +159,45 @@ def audit_customers(raw: DataFrame) -> DataFrame:
     )
 
 
-def cleaning_report(raw_orders: DataFrame, raw_customers: DataFrame, raw_products: DataFrame, as_of) -> DataFrame:
-    """Rows in, out and changed per cleaning stage, one row per figure."""
-    n = F.col("_n")
-    day = parse_date(F.col("order_date"))
-    age = elapsed_days(timestamp(as_of), day)
-    ok = day.isNotNull()
-    orders = raw_orders.groupBy(*raw_orders.columns).agg(F.count("*").alias("_n")).agg(
-        F.sum(n).alias("rows_in"),
-        F.sum(n - 1).alias("duplicates_removed"),
-        F.count_if(~ok).alias("unparsed_dates_removed"),
-        F.count_if(ok).alias("rows_out"),
-        F.count_if(ok & F.col("customer_id").isNull()).alias("guests_marked"),
-        F.count_if(ok & F.col("order_status").isNull() & (age > 0)).alias("statuses_imputed"),
-    )
-    emails = (raw_customers.groupBy(F.lower(strip(F.col("email"))).alias("email"))
-              .agg(F.count("*").alias("_n")))
-    customers = emails.agg(
-        F.sum(n).alias("rows_in"),
-        F.sum(n - 1).alias("duplicates_removed"),
-        F.count("*").alias("rows_out"),
-    )
-    products = raw_products.agg(F.count("*").alias("rows_in"), F.count("*").alias("rows_out"))
-
-    def long(df: DataFrame, table: str) -> DataFrame:
-        rows = F.explode(F.array(*[F.struct(F.lit(c).alias("figure"), F.col(c).alias("n")) for c in df.columns]))
-        return df.select(rows.alias("r")).select(F.lit(table).alias("table_name"), "r.figure", "r.n")
-
-    return long(orders, "orders").unionByName(long(customers, "customers")).unionByName(long(products, "products"))
+class Watch:
+    """Counts of the rows that pass a stage of a job, taken while the job runs."""
+
+    def __init__(self) -> None:
+        self.seen: dict[str, Observation] = {}
+
+    def __call__(self, df: DataFrame, stage: str, **figures: Column) -> DataFrame:
+        self.seen[stage] = Observation()
+        return df.observe(self.seen[stage], F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in figures.items()])
+
+    def figures(self) -> dict[str, dict[str, int]]:
+        """Per stage; waits until the job has run."""
+        return {stage: o.get for stage, o in self.seen.items()}
+
+
+def cleaning_report(raw_orders: DataFrame, raw_customers: DataFrame, raw_products: DataFrame, as_of,
+                    save: Callable[[DataFrame, DataFrame, DataFrame], None]) -> DataFrame:
+    """Rows in, out and changed per cleaning stage, one row per figure, counted by the
+    cleaning job itself in the one pass that ``save`` (products, customers, order lines) makes.
+
+    Each table must be written once by ``save``. Where an executor is lost, a
+    stage that runs again counts its rows again; the tables written are not touched by that."""
+    spark = raw_orders.sparkSession
+    watch = Watch()
+    save(watch(clean_products(watch(raw_products, "products in")), "products out"),
+         watch(clean_customers(watch(raw_customers, "customers in"), as_of, watch), "customers out"),
+         watch(clean_orders(watch(raw_orders, "orders in"), as_of, watch), "orders out"))
+    n = watch.figures()
+    rows = [
+        ("orders", "rows_in", n["orders in"]["rows"]),
+        ("orders", "duplicates_removed", n["orders in"]["rows"] - n["orders distinct"]["rows"]),
+        ("orders", "unparsed_dates_removed", n["orders distinct"]["rows"] - n["orders dated"]["rows"]),
+        ("orders", "rows_out", n["orders out"]["rows"]),
+        ("orders", "guests_marked", n["orders dated"]["guests"] - n["orders filled"]["guests"]),
+        ("orders", "statuses_imputed", n["orders dated"]["open"] - n["orders filled"]["open"]),
+        ("customers", "rows_in", n["customers in"]["rows"]),
+        ("customers", "duplicates_removed", n["customers in"]["rows"] - n["customers distinct"]["rows"]),
+        ("customers", "rows_out", n["customers out"]["rows"]),
+        ("products", "rows_in", n["products in"]["rows"]),
+        ("products", "rows_out", n["products out"]["rows"]),
+    ]
+    return spark.createDataFrame(rows, "table_name STRING, figure STRING, n BIGINT")

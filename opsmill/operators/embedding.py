@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opsmill import config
 from opsmill.functions.columns import lookup
 from opsmill.functions.text import token_count, tokens
+from opsmill.session import materialise
+from opsmill.sources.tables import publish, published_folders, read_published
 
 
 ENTRIES_PER_STEP = 20_000
@@ -30,28 +32,46 @@ def token_slots(text: Column, dim: int) -> Column:
     return F.transform(tokens(F.lower(text)), slot)
 
 
-def _accumulate(dim: int):
-    @F.arrow_udf("array<float>")
-    def accumulate(slots: pa.Array) -> pa.Array:
-        counts = slots.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-        flat = slots.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-        rows = np.repeat(np.arange(len(slots)), counts)
-        sums = np.bincount(rows * dim + flat // 2, weights=1.0 - 2.0 * (flat % 2), minlength=len(slots) * dim)
-        sums = sums.reshape(len(slots), dim)
-        norms = np.sqrt((sums * sums).sum(axis=1, keepdims=True))
-        norms[norms == 0] = 1.0
-        values = pa.array((sums / norms).astype(np.float32).ravel())
-        return pa.ListArray.from_arrays(pa.array(np.arange(len(slots) + 1, dtype=np.int32) * dim), values)
+def _add_up(slots: pa.Array, dim: int) -> pa.Array:
+    """Unit vectors from lists of signed slots."""
+    counts = slots.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    flat = slots.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    rows = np.repeat(np.arange(len(slots)), counts)
+    sums = np.bincount(rows * dim + flat // 2, weights=1.0 - 2.0 * (flat % 2), minlength=len(slots) * dim)
+    sums = sums.reshape(len(slots), dim)
+    norms = np.sqrt((sums * sums).sum(axis=1, keepdims=True))
+    norms[norms == 0] = 1.0
+    values = pa.array((sums / norms).astype(np.float32).ravel())
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(slots) + 1, dtype=np.int32) * dim), values)
+
+
+def _timed(vectors: Callable[[], pa.Array]) -> pa.Array:
+    """(vec, seconds): the time of a batch, measured in its task and dealt over its rows."""
+    start = time.perf_counter()
+    made = vectors()
+    seconds = (time.perf_counter() - start) / max(len(made), 1)
+    return pa.StructArray.from_arrays([made, pa.array(np.full(len(made), seconds))], ["vec", "seconds"])
+
+
+def _accumulate(dim: int, timed: bool = False):
+    if timed:
+        @F.arrow_udf("vec array<float>, seconds double")
+        def accumulate(slots: pa.Array) -> pa.Array:
+            return _timed(lambda: _add_up(slots, dim))
+    else:
+        @F.arrow_udf("array<float>")
+        def accumulate(slots: pa.Array) -> pa.Array:
+            return _add_up(slots, dim)
     # Declared nondeterministic so that the optimizer never copies the call,
     # as it does into a filter when the vector is exploded.
     return accumulate.asNondeterministic()
 
 
-def embed_tokens(text: Column, dim: int = 64) -> Column:
+def embed_tokens(text: Column, dim: int = 64, timed: bool = False) -> Column:
     """Unit vector of hashed token counts, zeros for a null or empty text.
     Tokens and hashes come from the JVM; one vectorised pass adds them up, so
-    there is no shuffle."""
-    return _accumulate(dim)(token_slots(text, dim))
+    there is no shuffle. With ``timed`` a struct of the vector and the seconds of that pass."""
+    return _accumulate(dim, timed)(token_slots(text, dim))
 
 
 def neighbour_distances(slots: Column, dim: int, buffer: int) -> Column:
@@ -90,31 +110,78 @@ def neighbour_distances(slots: Column, dim: int, buffer: int) -> Column:
     return distances.asNondeterministic()(slots)
 
 
-def embed_with_model(text: Column, load: Callable[[], Callable[[list[str]], np.ndarray]]) -> Column:
+def embed_with_model(text: Column, load: Callable[[], Callable[[list[str]], np.ndarray]], timed: bool = False) -> Column:
     """Vectors from any batch model. ``load`` runs once per Python worker and
-    returns a function from texts to a matrix."""
-    @F.pandas_udf("array<float>")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        model = load()
-        for batch in batches:
-            yield pd.Series(list(np.asarray(model(batch.tolist()), dtype=np.float32)))
+    returns a function from texts to a matrix. With ``timed`` a struct of the vector
+    and the model's seconds."""
+    def vectors(model, batch: pa.Array) -> pa.Array:
+        return pa.array(list(np.asarray(model(batch.to_pylist()), dtype=np.float32)), pa.list_(pa.float32()))
+
+    if timed:
+        @F.arrow_udf("vec array<float>, seconds double")
+        def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            model = load()
+            for batch in batches:
+                yield _timed(lambda: vectors(model, batch))
+    else:
+        @F.arrow_udf("array<float>")
+        def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            model = load()
+            for batch in batches:
+                yield vectors(model, batch)
     return run.asNondeterministic()(text)
 
 
+CACHE_SCHEMA = "text_hash STRING, vec ARRAY<FLOAT>"
+
+
+def text_key(text: Column) -> Column:
+    """What a text is known by; a null text has a key of its own."""
+    return F.coalesce(F.sha2(text, 256), F.lit("null"))
+
+
 def embed_once(texts: DataFrame, cache: DataFrame, embed: Callable[[Column], Column]) -> DataFrame:
     """Vectors for all rows of ``texts`` (key columns and ``text``), reusing
     ``cache`` (text_hash, vec). Equal texts, also many copies in one input, are
     embedded once. Returns (text_hash, vec, cached) per distinct text."""
-    distinct = texts.select(F.sha2("text", 256).alias("text_hash"), "text").distinct()
+    distinct = texts.select(text_key(F.col("text")).alias("text_hash"), "text").distinct()
     missing = distinct.join(cache.select("text_hash"), "text_hash", "left_anti")
     known = cache.join(distinct.select("text_hash"), "text_hash", "left_semi")
     return (known.select("text_hash", "vec", F.lit(True).alias("cached"))
             .unionByName(missing.select("text_hash", embed(F.col("text")).alias("vec"), F.lit(False).alias("cached"))))
 
 
+def _by_key(vectors: DataFrame) -> DataFrame:
+    """Rows in order of their key, so that a file holds a range of keys."""
+    return vectors.select("text_hash", "vec").repartitionByRange("text_hash").sortWithinPartitions("text_hash")
+
+
+def fill_cache(texts: DataFrame, path: str, embed: Callable[[Column], Column]) -> tuple[int, int, int]:
+    """Embed the texts that the kept table at ``path`` (text_hash, vec) does not have, and put
+    them behind it. Returns how many those were, how many texts the table has now, and in how many
+    folders. A run that fails leaves the table as it was; two runs at once may embed a
+    text twice, and the next compaction drops the copies."""
+    spark = texts.sparkSession
+    cache = read_published(spark, path, CACHE_SCHEMA)
+    distinct = texts.select(text_key(F.col("text")).alias("text_hash"), "text").distinct()
+    fresh = distinct.join(cache.select("text_hash"), "text_hash", "left_anti")
+    fresh = materialise(fresh.select("text_hash", embed(F.col("text")).alias("vec")), "vectors")
+    n = fresh.count()
+    if n:
+        publish(_by_key(fresh), path, keep=True)
+    kept = read_published(spark, path, CACHE_SCHEMA)
+    return n, kept.count(), len(published_folders(spark, path))
+
+
+def compact_cache(spark: SparkSession, path: str) -> None:
+    """All vectors of the kept table in one folder, one per text."""
+    cache = read_published(spark, path, CACHE_SCHEMA)
+    publish(_by_key(cache.dropDuplicates(["text_hash"])), path)
+
+
 def attach_vectors(texts: DataFrame, vectors: DataFrame) -> DataFrame:
     """Join vectors back to every row; AQE splits a hot text over tasks."""
-    return (texts.withColumn("text_hash", F.sha2("text", 256))
+    return (texts.withColumn("text_hash", text_key(F.col("text")))
             .join(vectors.select("text_hash", "vec"), "text_hash").drop("text_hash"))
 
 
@@ -140,12 +207,19 @@ def reduce_dimension(vec: Column, dim: int) -> Column:
     return F.transform(head, lambda x: F.when(norm > 0, x / norm).otherwise(x).cast("float"))
 
 
-def compare_embedders(texts: DataFrame, key: str, embedders: dict[str, Callable[[Column], Column]]) -> DataFrame:
-    """Dimension, first five values, tokens and cost of every text under every
-    embedder; an unknown model costs the small price."""
-    arms = [texts.select(key, F.lit(name).alias("model"), embed(F.col("text")).alias("vec"), token_count(F.col("text")).alias("tokens"))
+def compare_embedders(texts: DataFrame, key: str, embedders: dict[str, Callable[..., Column]]) -> DataFrame:
+    """Dimension, first five values, tokens, cost and seconds of every text under every
+    embedder; an unknown model costs the small price. An embedder takes the text and
+    ``timed=True`` and gives a struct of vec and seconds."""
+    arms = [texts.select(key, F.lit(name).alias("model"), embed(F.col("text"), timed=True).alias("made"), token_count(F.col("text")).alias("tokens"))
             for name, embed in embedders.items()]
     df = reduce(DataFrame.unionByName, arms)
     price = F.coalesce(lookup(F.col("model"), config.MODEL_PRICES), F.lit(config.DEFAULT_MODEL_PRICE))
-    return df.select(key, "model", F.size("vec").alias("embedding_dim"), F.slice("vec", 1, 5).alias("embedding_sample"), "tokens",
-                     (F.col("tokens") / 1000 * price).alias("cost"))
+    return df.select(key, "model", F.size("made.vec").alias("embedding_dim"), F.slice("made.vec", 1, 5).alias("embedding_sample"), "tokens",
+                     (F.col("tokens") / 1000 * price).alias("cost"), F.col("made.seconds").alias("seconds"))
+
+
+def embedder_times(compared: DataFrame) -> DataFrame:
+    """Per model of ``compare_embedders``: texts, tokens, cost, and seconds in all and per text."""
+    df = compared.groupBy("model").agg(F.count("*").alias("n_texts"), F.sum("tokens").alias("tokens"), F.sum("cost").alias("cost"), F.sum("seconds").alias("seconds"))
+    return df.withColumn("seconds_per_text", F.col("seconds") / F.col("n_texts"))

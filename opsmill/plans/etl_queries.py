@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from opsmill import config
 from opsmill.functions.columns import elapsed_days
 from opsmill.operators import clean, features, summaries
 from opsmill.plans.fixtures import AS_OF
 from opsmill.plans.registry import Tables, query, step
+from opsmill.session import scratch_path
+from opsmill.sources import tables
 
 AT = f"TIMESTAMP '{AS_OF}'"
 
@@ -98,11 +101,30 @@ SELECT 'products' AS table_name, count(*) AS n FROM raw_products
 UNION ALL SELECT 'customers', count(*) FROM raw_customers
 UNION ALL SELECT 'orders', count(*) FROM raw_orders""")
 def scan_tables(t: Tables):
+    """The raw tables are written under their schemas and loaded again."""
+    root = scratch_path(t.spark, "raw")
+    for name, df, schema in (("products", t.raw_products, tables.PRODUCT_SCHEMA), ("customers", t.raw_customers, tables.CUSTOMER_SCHEMA),
+                             ("orders", t.raw_orders, tables.ORDER_SCHEMA)):
+        fields = StructType.fromDDL(schema)
+        df.select(*[F.col(f.name).cast(f.dataType) for f in fields]).write.parquet(f"{root}/{name}")
     parts = [df.agg(F.count("*").alias("n")).select(F.lit(name).alias("table_name"), "n")
-             for name, df in (("products", t.raw_products), ("customers", t.raw_customers), ("orders", t.raw_orders))]
+             for name, df in zip(("products", "customers", "orders"), tables.load_raw(t.spark, root))]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+@query("src_1_corrupt_rows", """
+SELECT 'orders' AS table_name, count(*) AS rows_read, count(*) FILTER (WHERE order_id % 97 = 5) AS corrupt_rows,
+       CAST(sum(quantity) FILTER (WHERE order_id % 97 <> 5) AS BIGINT) AS units FROM raw_orders""")
+def corrupt_rows(t: Tables):
+    """Order lines as JSON, some with a word for their quantity."""
+    path = scratch_path(t.spark, "lines")
+    line = F.to_json(F.struct(*t.raw_orders.columns))
+    bad = F.regexp_replace(line, '"quantity":-?[0-9]+', '"quantity":"two"')
+    t.raw_orders.select(F.when(F.col("order_id") % 97 == 5, bad).otherwise(line).alias("value")).write.text(path)
+    rows = tables.load_rows(t.spark, path, tables.ORDER_SCHEMA)
+    return tables.corrupt_report(rows, "orders", units="quantity").drop("example")
+
+
 # --- cleaning ---------------------------------------------------------------
 
 @query("cln_1_strip_whitespace", f"""
@@ -355,4 +377,10 @@ UNION ALL SELECT 'customers', 'rows_out', count(*) FROM customers_c
 UNION ALL SELECT 'products', 'rows_in', count(*) FROM raw_products
 UNION ALL SELECT 'products', 'rows_out', count(*) FROM raw_products""")
 def report(t: Tables):
-    return clean.cleaning_report(t.raw_orders, t.raw_customers, t.raw_products, AS_OF)
+    root = scratch_path(t.spark, "cleaned")
+
+    def save(products, customers, lines):
+        for name, df in (("products", products), ("customers", customers), ("orders", lines)):
+            tables.replace_table(df, f"{root}/{name}")
+
+    return clean.cleaning_report(t.raw_orders, t.raw_customers, t.raw_products, AS_OF, save)

@@ -11,7 +11,7 @@ from opsmill.operators import chunking, embedding, evaluation, lookups, retrieva
 from opsmill.plans.policy_queries import vip_windows
 from opsmill.plans.registry import Tables, query, step
 from opsmill.session import materialise, scratch_path
-from opsmill.sources.tables import parse_cases, save_clean, save_report
+from opsmill.sources.tables import load_corpus, parse_cases, read_published, save_clean, save_report
 
 SIZE, OVERLAP = 500, 50
 ARMS = {"hash_64": 64, "hash_256": 256}
@@ -237,6 +237,19 @@ def fixed(t: Tables):
     return fixed_chunks(t).select("doc_id", "chunk_index", "text", "token_count")
 
 
+@query("doc_3_token_windows", rf"""
+WITH p AS (SELECT doc_id, regexp_extract_all(text, '\s*(?:[\p{{L}}\p{{N}}_]+|[^\p{{L}}\p{{N}}_\s])') AS p FROM documents),
+ w AS (SELECT doc_id, p, unnest(range(0, 1 + ceil(greatest(len(p) - {SIZE}, 0) / {SIZE - OVERLAP})::BIGINT)) AS k FROM p WHERE len(p) > 0),
+ x AS (SELECT doc_id, k AS chunk_index, least({SIZE}, len(p) - k * {SIZE - OVERLAP}) AS token_count,
+              coalesce(list_sum(list_transform(p[1:k * {SIZE - OVERLAP}], lambda t: length(t))), 0)::BIGINT AS before,
+              array_to_string(p[k * {SIZE - OVERLAP} + 1:k * {SIZE - OVERLAP} + {SIZE}], '') AS raw FROM w),
+ y AS (SELECT *, regexp_replace(raw, '^\s+', '') AS text FROM x)
+SELECT doc_id, chunk_index, token_count, before + length(raw) - length(text) AS start_char, before + length(raw) AS end_char, text FROM y""")
+def token_windows(t: Tables):
+    made = chunking.fixed_size(t.documents.select("doc_id", "text"), SIZE, OVERLAP, mode="window")
+    return made.select("doc_id", "chunk_index", "token_count", "start_char", "end_char", "text")
+
+
 @query("doc_4_recursive_chunks", "SELECT doc_id, chunk_index, text, token_count FROM chunks_recursive")
 def recursive(t: Tables):
     return recursive_chunks(t).select("doc_id", "chunk_index", "text", "token_count")
@@ -345,6 +358,22 @@ def once(t: Tables):
                        F.count_if(~F.col("cached")).alias("embedded"))
 
 
+@query("emb_2_kept_cache", """
+WITH n AS (SELECT count(DISTINCT text) + max((text IS NULL)::INT) AS n, count(DISTINCT CASE WHEN lang = 'en' THEN text END) AS en FROM documents)
+SELECT 1 AS run, en AS embedded, en AS cache_size, 1 AS folders FROM n
+UNION ALL SELECT 2, n - en, n, 2 FROM n UNION ALL SELECT 3, 0, n, 2 FROM n UNION ALL SELECT 4, 0, n, 1 FROM n""")
+def kept_cache(t: Tables):
+    """The English documents, then all, then all again, then all after compaction."""
+    path = scratch_path(t.spark, "vectors")
+    docs = t.documents.select("doc_id", "text")
+    runs = []
+    for run, texts in enumerate((t.documents.where("lang = 'en'").select("doc_id", "text"), docs, docs, docs), start=1):
+        if run == 4:
+            embedding.compact_cache(t.spark, path)
+        runs.append((run, *embedding.fill_cache(texts, path, embedding.embed_tokens)))
+    return t.spark.createDataFrame(runs, "run INT, embedded BIGINT, cache_size BIGINT, folders INT")
+
+
 @query("emb_2_attach_vectors", "SELECT id AS doc_id, b AS slot, round(w::FLOAT::DOUBLE, 6) AS weight FROM doc64_w")
 def attach(t: Tables):
     docs = t.documents.select("doc_id", "text")
@@ -393,6 +422,13 @@ def compare_embedders(t: Tables):
                      *[F.element_at("embedding_sample", i).cast("double").alias(f"s{i}") for i in range(1, 6)])
 
 
+# Measured times differ from run to run, so there is no oracle.
+@query("emb_5_embedder_times")
+def embedder_times(t: Tables):
+    df = embedding.compare_embedders(t.documents.select("doc_id", "text"), "doc_id", {n: embedder(d) for n, d in ARMS.items()})
+    return embedding.embedder_times(df)
+
+
 # --- retrieval --------------------------------------------------------------
 
 def label_queries(t: Tables):
@@ -634,10 +670,18 @@ def regressions(t: Tables):
 
 # --- sources and sinks over text and results --------------------------------
 
-@query("src_2_load_corpus", "SELECT source, count(*) AS n_documents, CAST(sum(length(text)) AS BIGINT) AS n_chars FROM documents GROUP BY 1")
-def load_corpus(t: Tables):
-    corpus = t.documents.select("source", "text")
-    return corpus.groupBy("source").agg(F.count("*").alias("n_documents"), F.sum(F.length("text")).alias("n_chars"))
+@query("src_2_load_corpus", """
+SELECT lang, count(*) AS n_documents, CAST(sum(length(text)) AS BIGINT) AS n_chars, CAST(sum(ascii(text)) AS BIGINT) AS first_letters
+FROM documents WHERE text <> '' GROUP BY 1""")
+def load(t: Tables):
+    """Documents are written as text files, some a file, and loaded file by file."""
+    path = scratch_path(t.spark, "corpus")
+    end = "\u0001\n"
+    t.documents.where("text <> ''").select("lang", F.concat("text", F.lit("\u0001")).alias("value")).write.option(
+        "maxRecordsPerFile", 100).partitionBy("lang").text(path)
+    files = load_corpus(t.spark, path)
+    texts = files.select(F.regexp_extract("path", "lang=([^/]+)", 1).alias("lang"), F.explode(F.filter(F.split("text", end), lambda x: x != "")).alias("text"))
+    return texts.groupBy("lang").agg(F.count("*").alias("n_documents"), F.sum(F.length("text")).alias("n_chars"), F.sum(F.ascii("text")).alias("first_letters"))
 
 
 @query("src_3_parse_cases", """
@@ -658,7 +702,7 @@ def write_orders(t: Tables):
     path = scratch_path(t.spark, "clean")
     save_clean(t.products, t.customers, t.valued_lines, path)
     value = F.col("order_value").cast("decimal(18, 6)")
-    return t.spark.read.parquet(f"{path}/orders").groupBy("order_month").agg(
+    return read_published(t.spark, f"{path}/orders").groupBy("order_month").agg(
         F.count("*").alias("n_lines"), F.sum("quantity").alias("units"), F.sum(value).alias("total_revenue"))
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from opsmill import config
 from opsmill.functions.columns import elapsed_days, parse_date, season
 from opsmill.operators import clean, features
+from opsmill.sources import tables
 
 AS_OF = "2025-03-31 12:00:00"
 ORDER = ("order_id INT, customer_id INT, customer_email STRING, order_date STRING, product_id INT, quantity INT, "
@@ -91,3 +92,31 @@ def test_features_of_a_small_shop(spark):
 def test_season_of_every_month(spark):
     df = spark.range(1, 13).select("id", season(F.col("id").cast("int")).alias("s")).orderBy("id")
     assert [r.s for r in df.collect()] == ["winter"] * 2 + ["spring"] * 3 + ["summer"] * 3 + ["fall"] * 3 + ["winter"]
+
+
+def report_tables(spark, save):
+    rows = [(1, 1, "a@b.c", "01/05/2025", 1, 2, 48.0, 1, 0, None, 0, None)] * 3 + [
+        (2, None, None, "2025-01-06", 1, 1, 9.0, 0, 0, "shipped", 0, None), (3, 2, "x@y.z", "soon", 1, 1, 9.0, 0, 0, None, 0, None),
+        (4, 2, "x@y.z", "2099-01-01", 1, 1, 9.0, 0, 0, None, 0, None)]
+    orders = spark.createDataFrame(rows, tables.ORDER_SCHEMA)
+    customers = spark.createDataFrame([(1, "C1", " A@B.C", "c", "TX", None, "2024-01-01"), (2, "C2", "a@b.c ", "c", "TX", None, "2024-01-01")], tables.CUSTOMER_SCHEMA)
+    goods = spark.createDataFrame([(1, " Serum ", "serum", 48.0, 14.0, 63, 100)], tables.PRODUCT_SCHEMA)
+    return {(r.table_name, r.figure): r.n for r in clean.cleaning_report(orders, customers, goods, AS_OF, save).collect()}
+
+
+def test_report_counts_the_job_that_ran(spark, monkeypatch):
+    written = {}
+
+    def save(products, customers, lines):
+        for name, df in (("products", products), ("customers", customers), ("orders", lines)):
+            written[name] = len(df.collect())
+
+    got = report_tables(spark, save)
+    assert got == {("orders", "rows_in"): 6, ("orders", "duplicates_removed"): 2, ("orders", "unparsed_dates_removed"): 1, ("orders", "rows_out"): 3,
+                   ("orders", "guests_marked"): 1, ("orders", "statuses_imputed"): 1, ("customers", "rows_in"): 2, ("customers", "duplicates_removed"): 1,
+                   ("customers", "rows_out"): 1, ("products", "rows_in"): 1, ("products", "rows_out"): 1}
+    assert written == {"products": 1, "customers": 1, "orders": 3}
+    # A changed stage changes the figures, as they are not computed apart from it.
+    monkeypatch.setattr(clean, "drop_unparsed_dates", lambda df, name: df.filter(F.col(name) < "2030-01-01"))
+    changed = report_tables(spark, save)
+    assert (changed["orders", "unparsed_dates_removed"], changed["orders", "rows_out"], written["orders"]) == (2, 2, 2)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from opsmill.operators import chunking, embedding, evaluation, retrieval
 from opsmill.plans import text_queries
+from opsmill.sources import tables
 
 WORDS = "red green blue fast slow big small cat dog fish tree house".split()
 
@@ -140,6 +141,42 @@ def test_copies_are_embedded_once_and_joined_back(spark, corpus):
     assert joined.count() == 90 and joined.filter("vec[0] = 0.5f and text = 'red cat'").count() == 30
 
 
+def test_kept_vectors_are_never_made_again(spark, tmp_path):
+    path = str(tmp_path / "vectors")
+    texts = spark.createDataFrame([(1, "a"), (2, "b"), (3, "a"), (4, None), (5, "")], "id LONG, text STRING")
+    embed = lambda c: embedding.embed_tokens(c, 16)
+    assert embedding.fill_cache(texts.where("id < 3"), path, embed) == (2, 2, 1)
+    assert embedding.fill_cache(texts, path, embed) == (2, 4, 2)
+    before = tables.read_published(spark, path).collect()
+    assert embedding.fill_cache(texts, path, embed) == (0, 4, 2)
+    embedding.compact_cache(spark, path)
+    kept = tables.read_published(spark, path)
+    assert sorted(map(str, kept.collect())) == sorted(map(str, before)) and tables.published_folders(spark, path) != []
+    assert embedding.fill_cache(texts, path, embed) == (0, 4, 1)
+    # Rows of null and empty texts keep their place.
+    joined = {r.id: r.vec for r in embedding.attach_vectors(texts, kept).collect()}
+    assert set(joined) == {1, 2, 3, 4, 5} and joined[1] == joined[3] and not any(joined[4])
+    once = embedding.embed_once(texts, kept, embed)
+    assert once.count() == 4 and once.where("not cached").isEmpty()
+    assert embedding.attach_vectors(texts, embedding.embed_once(texts, kept.limit(0), embed)).count() == 5
+
+
+def test_times_are_measured_per_model(spark):
+    def load():
+        import time
+
+        def model(texts):
+            time.sleep(0.05)
+            return np.ones((len(texts), 3))
+        return model
+
+    df = spark.createDataFrame([(i, "a b") for i in range(10)], "id LONG, text STRING").coalesce(1)
+    arms = {"slow": lambda c, timed: embedding.embed_with_model(c, load, timed), "fast": lambda c, timed: embedding.embed_tokens(c, 8, timed)}
+    got = {r.model: r for r in embedding.embedder_times(embedding.compare_embedders(df, "id", arms)).collect()}
+    assert got["slow"].n_texts == got["fast"].n_texts == 10 and got["slow"].tokens == 20
+    assert got["slow"].seconds >= 0.05 > got["fast"].seconds > 0 and abs(got["slow"].seconds_per_text * 10 - got["slow"].seconds) < 1e-9
+
+
 def test_model_hook_and_dimension_reduction(spark):
     df = spark.createDataFrame([("ab",), ("abcd",)], "text STRING")
 
