@@ -209,17 +209,24 @@ def classes(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFra
     rows = docs.select(F.col(f"`{doc}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
     signed = materialise(rows.mapInArrow(_sign, "id long, n long, a long, b long, bands array<long>"), "signatures")
     full = signed.where("n > 0 and id is not null")
-    same = full.groupBy("n", "a", "b").agg(F.min("id").alias("class"))
-    full = materialise(full.drop("bands").join(same, ["n", "a", "b"]).select("id", "n", "class"), "classes")
+    # Only sets of several rows are joined with their class, from a written table: so
+    # Spark deals the many rows of one set over tasks, as it could not do with an
+    # aggregate of the same partitioning.
+    same = full.groupBy("n", "a", "b").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    same = materialise(same.drop("rows"), "copies")
+    full = full.drop("bands").join(same, ["n", "a", "b"], "left")
+    full = materialise(full.select("id", "n", F.coalesce("least", "id").alias("class")), "classes")
     heads = full.where("id = class").select("id", "n").distinct()
     banded = signed.join(heads, ["id", "n"], "left_semi").select("id", "n", F.explode("bands").alias("band")).distinct()
     links = near_links(rows.where("id is not null").distinct(), banded)
-    exact = full.where("id != class").select(F.col("id").alias("src"), F.col("class").alias("dst")).distinct()
-    labels = components(links.union(exact))
-    out = signed.select("id", "n").join(labels, "id", "left")
-    own = full.groupBy("id").agg(F.min("class").alias("class"))
-    out = out.join(own, "id", "left")
-    comp = F.coalesce("comp", "id")
+    # Components are those of the classes; an id of several texts ties its classes together.
+    own = full.groupBy("id").agg(F.min("class").alias("class"), F.max("class").alias("last"))
+    shared = own.where("class != last").select("id", F.col("class").alias("dst"))
+    ties = full.join(shared, "id").where("class != dst").select(F.col("class").alias("src"), "dst").distinct()
+    labels = components(links.union(ties)).select(F.col("id").alias("class"), "comp")
+    # Rows of several texts take the label of any of their classes, which is one.
+    out = signed.select("id", "n").join(own.select("id", "class"), "id", "left").join(labels, "class", "left")
+    comp = F.coalesce("comp", "class", "id")
     return out.select(
         F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("class", "id").alias("class_id"),
         comp.alias("component_id"), F.coalesce(F.col("id") == comp, F.lit(True)).alias("kept"))

@@ -287,3 +287,17 @@ def test_items_without_id_are_found_as_in_the_sql(spark, tmp_path):
     assert sorted(columns) == sorted(df.columns)
     assert check.rows_of(df.columns, df.collect()) == check.rows_of(columns, cur.fetchall())
     assert [r.doc_id for r in decontaminate.clean_documents(spark.read.parquet(f"{tmp_path}/documents.parquet"), items).collect()] == [3]
+
+
+def test_one_huge_class_and_ids_of_several_texts(spark):
+    """Most rows are copies of one text; an id with two texts ties their classes together."""
+    copy, near, other = "a b c d e f g h i j k l m n o p q r s t u v w x y z", "a b c d e f g h i j k l m n o p q r s t u v w x y Z!", "1 2 3 4 5 6 7 8 9 10"
+    rows = [(i, copy) for i in range(100, 2100)] + [(50, near), (3, other), (4, other), (60, "lone words that nobody else has at all"), (1500, "1 2 3 4 5 6 7 8 9 10")]
+    got = minhash.classes(spark.createDataFrame(rows, "doc_id LONG, text STRING")).collect()
+    assert len(got) == len(rows)
+    by = {}
+    for r in got:
+        by.setdefault(r.doc_id, set()).add((r.component_id, r.kept))
+    # 1500 has the copied text and the other one, and near is similar to the copied one.
+    assert all(by[i] == {(3, i == 3)} for i in [*range(100, 2100), 50, 3, 4]) and by[60] == {(60, True)}
+    assert {r.class_id for r in got if r.doc_id in (100, 2099)} == {100}
