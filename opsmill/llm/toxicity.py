@@ -4,8 +4,9 @@ Folding lower-cases, takes compatible forms off, maps look-alike letters of
 other scripts and digits or signs that stand for letters, and parts words by
 single blanks. Where a word and its parts have no entry, it is also tried without
 accents and with its inner signs as nothing and as letters. Lexicon entries
-are word beginnings with weights, learnt from labelled rows as log odds; the
-weights found in a text, without those inside exception phrases, are normalised
+are word beginnings, and whole words that are shorter or longer than those, with weights
+learnt from labelled rows as log odds; the weights found in a text, without those inside
+exception phrases (read with and without accents and signs), are normalised
 by its length and turned into a probability by a logistic fit.
 """
 
@@ -14,13 +15,15 @@ from __future__ import annotations
 import math
 import string
 import unicodedata
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opsmill.llm.labels import fitting_labels, held_out
@@ -30,9 +33,8 @@ from opsmill.session import materialise
 # the id. The lexicon's threshold of gain keeps chance entries out, so the
 # logistic is fitted on the same rows.
 FIT_ROWS = 16_000
-SHORTEST, LONGEST = 4, 10  # letters of a lexicon entry
+SHORTEST, LONGEST = 4, 10  # letters of a word beginning; other words are entries as a whole, with a blank behind
 LEAST_ROWS, LEAST_GAIN, LEAST_ODDS = 4, 20.0, 2.0
-LEXICON_SIZE = 4_000
 EXCEPTIONS = ("trash can", "trash bin", "trash bag", "clown fish", "pond scum", "sore loser board game")
 
 # Fixed look-alikes: other scripts' letters, then digits and signs, to Latin.
@@ -77,11 +79,11 @@ def _bare(text: str) -> str:
     return text if text.isascii() else "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c))
 
 
-def _masked(text: str, auto: ahocorasick.Automaton) -> list[float]:
+def _masked(chunks: list[str], auto: ahocorasick.Automaton) -> dict[str, float]:
     """Weights of entries that begin a word only if it loses its accents, or its
     inner signs are nothing or letters. Words with a part that has an entry are left to ``match``."""
-    out = []
-    for chunk, n in Counter(text.split()).items():
+    out = {}
+    for chunk in set(chunks):
         core = chunk.strip(ENDS)
         if not core or core.isascii() and core.isalnum():
             continue
@@ -91,10 +93,29 @@ def _masked(text: str, auto: ahocorasick.Automaton) -> list[float]:
         ways = {fold(w) for w in (bare, bare.translate(NO_SIGNS), bare.translate(INSIDE).translate(NO_SIGNS))}
         best = max((weight for way in ways for end, (size, weight) in auto.iter(way) if end + 1 == size), default=0.0)
         if best > 0:
-            out += [best] * n
+            out[chunk] = best
     return out
 
 
+def _excepted(chunks: list[str], auto: ahocorasick.Automaton) -> set[int]:
+    """Numbers of the words that lie in an exception phrase once all words have lost
+    accents and signs."""
+    out: set[int] = set()
+    for shown in ([fold(_bare(c).translate(NO_SIGNS)) for c in chunks], [fold(_bare(c)) for c in chunks]):
+        stops = list(accumulate(max(len(w) - 1, 0) for w in shown))
+        starts = [0, *stops[:-1]]
+        for end, (size, weight) in auto.iter(" " + "".join(w[1:] for w in shown)):
+            if weight < 0:
+                out.update(range(bisect_right(starts, end - size + 1) - 1, bisect_left(starts, end)))
+    return out
+
+
+def entries(text: str | None) -> set[str]:
+    """What of a text may become an entry."""
+    own = set(fold(text).split())
+    return {w[:k] for w in own for k in range(SHORTEST, min(len(w), LONGEST) + 1)} | {f"{w} " for w in own if not SHORTEST <= len(w) <= LONGEST}
+
+
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per entry: labelled rows with it, by label."""
     tally: tuple[Counter, Counter] = (Counter(), Counter())
@@ -110,39 +131,37 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            seen = {w[:k] for w in set(fold(text).split()) for k in range(SHORTEST, min(len(w), LONGEST) + 1)}
+            seen = entries(text)
             tally[y].update(seen)
             if len(tally[0]) + len(tally[1]) > 500_000:
                 yield out()
     yield out()
 
 
-def _gain(pos: int, neg: int, p: int, n: int) -> float:
+def _gain(pos: Column, neg: Column, p: int, n: int) -> Column:
     """Log-likelihood ratio of the entry being more frequent among positives."""
     def part(k, total, share):
-        return k * math.log(k / (total * share)) if k else 0.0
+        return F.when(k > 0, k * F.log(k / (total * share))).otherwise(0.0)
     share = (pos + neg) / (p + n)
-    return 2 * (part(pos, p, share) + part(neg, n, share) + part(p - pos, p, 1 - share) + part(n - neg, n, 1 - share)) if share < 1 else 0.0
+    return F.when(share < 1, 2 * (part(pos, p, share) + part(neg, n, share) + part(p - pos, p, 1 - share) + part(n - neg, n, 1 - share))).otherwise(0.0)
 
 
 def learn(rows: DataFrame, p: int, n: int) -> dict[str, float]:
     """Entry to weight, from labelled ``rows`` (text, y) of which ``p`` are
     positive and ``n`` negative. An entry must be in LEAST_ROWS positives and
     beat chance by LEAST_GAIN; of nested ones a longer one stays only if it
-    weighs clearly more."""
+    weighs clearly more. Their number is bounded by that of the rows."""
     found = rows.select("text", "y").mapInArrow(_counts, "entry string, pos long, neg long")
     found = found.groupBy("entry").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     odds = F.log((F.col("pos") + 0.5) / (p + 1)) - F.log((F.col("neg") + 0.5) / (n + 1))
     found = found.where(F.col("pos") >= LEAST_ROWS).withColumn("weight", odds).where(F.col("weight") >= LEAST_ODDS)
-    best = found.orderBy(F.desc(F.col("pos") * F.col("weight")), "entry").limit(4 * LEXICON_SIZE).collect()
+    best = found.where(_gain(F.col("pos"), F.col("neg"), p, n) >= LEAST_GAIN).collect()
     kept: dict[str, float] = {}
     for r in sorted(best, key=lambda r: (len(r.entry), r.entry)):
-        if _gain(r.pos, r.neg, p, n) < LEAST_GAIN:
-            continue
         shorter = max((kept[r.entry[:k]] for k in range(SHORTEST, len(r.entry)) if r.entry[:k] in kept), default=-math.inf)
         if r.weight > shorter + 0.7:
             kept[r.entry] = float(r.weight)
-    return dict(sorted(kept.items(), key=lambda e: (-e[1], e[0]))[:LEXICON_SIZE])
+    return dict(sorted(kept.items(), key=lambda e: (-e[1], e[0])))
 
 
 def _automaton(lexicon: dict[str, float], exceptions: tuple[str, ...]) -> ahocorasick.Automaton | None:
@@ -175,7 +194,20 @@ def match(text: str | None, auto: ahocorasick.Automaton | None) -> tuple[int, in
                 found[start] = max(found.get(start, 0.0), weight)
     if free:
         found = {s: w for s, w in found.items() if not any(a <= s < b for a, b in free)}
-    more = _masked(_plain(text), auto) if auto is not None else []
+    if auto is None:
+        return line.count(" ") - 1, 0, 0.0
+    chunks = _plain(text).split()
+    masked = _masked(chunks, auto)
+    clear = _excepted(chunks, auto) if found or masked else set()
+    if clear:
+        at, gone = 0, []
+        for i, chunk in enumerate(chunks):
+            size = max(len(fold(chunk)) - 1, 0)
+            if i in clear:
+                gone.append((at, at + size))
+            at += size
+        found = {s: w for s, w in found.items() if not any(a <= s < b for a, b in gone)}
+    more = [masked[c] for i, c in enumerate(chunks) if c in masked and i not in clear]
     return line.count(" ") - 1, len(found) + len(more), sum(found.values()) + sum(more)
 
 
