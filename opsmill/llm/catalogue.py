@@ -30,7 +30,9 @@ def op4_quality_rules(spark: SparkSession, root: str) -> DataFrame:
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_removed_lines", "lost_chars", "base_failed", "kept")])
 
 
-_PHRASES = " OR ".join(f"contains(lower(line), '{p}')" for p in quality_rules.BOILERPLATE)
+_RULES = quality_rules.LineRules()
+_PHRASES = " + ".join(f"contains(lower(line), '{p}')::INT" for p in quality_rules.BOILERPLATE)
+_LEAD = rf"^[\x20\x09-\x0D]*(?:[^\x20\x09-\x0D]+[\x20\x09-\x0D]+){{0,{_RULES.max_lead_words}}}[^\x20\x09-\x0D]{{0,2}}(?:{'|'.join(quality_rules.BOILERPLATE)})"
 ORACLES["op4_quality_rules"] = rf"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS t, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
@@ -45,14 +47,15 @@ WITH d AS (
   FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line, generate_subscripts(string_split(t, chr(10)), 1) AS k FROM d)
   WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
 ), v AS (
-  SELECT *, length(regexp_replace(line, '[\x20\x09-\x0D]+', '', 'g')) AS chars, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words,
+  SELECT *, {_PHRASES} AS phrases, length(regexp_replace(line, '[\x20\x09-\x0D]+', '', 'g')) AS chars, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words,
          len(regexp_extract_all(line, '[#*$%&|<>]')) AS sym, len(regexp_extract_all(line, '(?:^|[\x20\t])[|>](?:[\x20\t]|$)')) AS bars,
          len(regexp_extract_all(line, '\p{{Lu}}')) AS up, len(regexp_extract_all(line, '\p{{L}}')) AS letters,
          len(list_filter(regexp_extract_all(line, '[^\x20\x09-\x0D]+'), lambda x: regexp_matches(x, '[^!]!+$'))) AS bangs FROM ln
 ), f AS (
   SELECT doc_id, chars, nth, nth > 1 OR sym > 0.1::DOUBLE * chars OR (words >= 3 AND bars > 0.2::DOUBLE * words)
          OR (regexp_matches(line, '\p{{Lu}}{{4}}') AND letters >= 12 AND up > 0.6::DOUBLE * letters)
-         OR (words >= 3 AND bangs > 0.3::DOUBLE * words) OR (length(line) <= 200 AND ({_PHRASES})) AS gone FROM v
+         OR (words >= 3 AND bangs > 0.3::DOUBLE * words)
+         OR (phrases > 0 AND ({_RULES.words_per_phrase} * phrases >= words OR regexp_matches(lower(line), '{_LEAD}'))) AS gone FROM v
 ), l AS (
   SELECT doc_id, count(*) FILTER (nth > 1) AS n_dup, count(*) FILTER (gone) AS n_gone, coalesce(sum(chars) FILTER (gone), 0)::BIGINT AS lost
   FROM f GROUP BY doc_id
@@ -66,21 +69,24 @@ SELECT *, NOT base_failed AND lost_chars <= 0.3::DOUBLE * word_chars AS kept FRO
 """
 
 
-# The rules the contract of op6 fixes, and the sites listed for blocking.
+# The rules the contract of op6 fixes, and a list of hosts to block, most of which the corpus lacks.
 URL_RULES = tuple(url_filter.Rule(v, h, p) for v, h, p in (
     ("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
     ("allow", "com", "/fr/"), ("block", "com", "/de/")))
-LISTED_SITES = r"(^|\.)(ads-track|free-bets|cheap-pills|spam-farm|casino-win|adult-x)\."
+LISTED_SITES = ("ads-track", "free-bets", "cheap-pills", "spam-farm", "casino-win", "adult-x", "quick-loans", "fake-shop", "phish-net")
+LISTED_PREFIXES = ("", "www.", "m.", "blog.", "shop.", "cdn.", "news.")
+LISTED_DOMAINS = ("example.com", "example.net", "example.org", "example.edu")
+LISTED_HOSTS = tuple(f"{p}{s}.{d}" for s in LISTED_SITES for p in LISTED_PREFIXES for d in LISTED_DOMAINS)
 
 
 @query
 def op6_url_filter(spark: SparkSession, root: str) -> DataFrame:
     pages = table(spark, root, "pages").select("page_id", "url")
-    listed = pages.select(url_filter.split_url(F.col("url"))[0].alias("host")).where(F.col("host").rlike(LISTED_SITES)).distinct()
+    listed = spark.createDataFrame([(h,) for h in LISTED_HOSTS], "host STRING")
     return url_filter.judge(pages, URL_RULES, listed).select("page_id", "host", "path", "rule", "verdict")
 
 
-ORACLES["op6_url_filter"] = """
+ORACLES["op6_url_filter"] = f"""
 WITH p AS (
   SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
 ), h AS (
@@ -96,8 +102,7 @@ WITH p AS (
   GROUP BY h.page_id
 )
 SELECT h.page_id, h.host, h.path, b.rule AS rule,
-       coalesce(b.verdict, CASE WHEN regexp_matches(h.host, '(^|\\.)(ads-track|free-bets|cheap-pills|spam-farm|casino-win|adult-x)\\.')
-                                THEN 'block' ELSE 'allow' END) AS verdict
+       coalesce(b.verdict, CASE WHEN h.host IN ({", ".join(f"'{h}'" for h in LISTED_HOSTS)}) THEN 'block' ELSE 'allow' END) AS verdict
 FROM h LEFT JOIN best USING (page_id)
 """
 

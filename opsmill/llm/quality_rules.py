@@ -31,16 +31,16 @@ BOILERPLATE = (
 @dataclass(frozen=True)
 class LineRules:
     """Limits. Shares are of a line's characters or words, ``max_lost`` of a
-    document's word characters. One boilerplate phrase fails a line of at most
-    ``max_phrase_line`` characters. Prose may quote such a phrase, so a longer
-    line fails if one comes after ``max_lead_words`` words at most, or if it has two."""
+    document's word characters. Prose may quote a boilerplate phrase, so a line with one
+    fails if it comes after ``max_lead_words`` words at most, or if the line
+    has a different phrase for every ``words_per_phrase`` words or fewer."""
 
     max_symbol_share: float = 0.10
     max_upper_share: float = 0.60
     min_upper_letters: int = 12
     max_bang_share: float = 0.30
     max_bar_share: float = 0.20
-    max_phrase_line: int = 200
+    words_per_phrase: int = 35
     max_lead_words: int = 4
     max_lost: float = 0.30
     min_words: int = 50
@@ -98,8 +98,8 @@ def line_fails(line: Column, rules: LineRules) -> Column:
     bangs = line.contains("!") & share("[^\\x20\\x09-\\x0D!]!+(?![^\\x20\\x09-\\x0D])", word, rules.max_bang_share, 3)
     lead = f"^{BLANK[:-1]}*(?:{word}{BLANK}){{0,{rules.max_lead_words}}}{visible}{{0,2}}(?:{'|'.join(BOILERPLATE)})"
     phrase = _let(F.lower(line), lambda low: reduce(or_, [low.contains(p) for p in BOILERPLATE]) & (
-        (F.length(line) <= rules.max_phrase_line) | low.rlike(lead)
-        | (reduce(add, [low.contains(p).cast("int") for p in BOILERPLATE]) >= 2)))
+        low.rlike(lead)
+        | (rules.words_per_phrase * reduce(add, [low.contains(p).cast("int") for p in BOILERPLATE]) >= _count(line, word))))
     return marked | shouts | bangs | phrase
 
 

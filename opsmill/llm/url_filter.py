@@ -113,9 +113,12 @@ def _shard(host: Column, shards: int) -> Column:
 
 def build(hosts: DataFrame, listed: DataFrame, shards: int) -> DataFrame:
     """One row (shard, level, size, bits) per level. ``hosts`` and ``listed``
-    have one column ``host``; duplicates and nulls in them do not matter."""
-    marked = hosts.select("host", F.lit(False).alias("on")).unionByName(listed.select("host", F.lit(True).alias("on")))
-    marked = marked.where("host is not null").groupBy("host").agg(F.max("on").alias("on"))
+    have one column ``host``; duplicates and nulls in them do not matter. Listed hosts
+    outside ``hosts`` are never asked for and left out, so a shard's size
+    follows the corpus, whatever the length of the list."""
+    names = hosts.where("host is not null").select("host").distinct()
+    on = listed.where("host is not null").select(F.col("host").alias("of")).distinct()
+    marked = names.join(on, F.col("host") == F.col("of"), "left").select("host", F.col("of").isNotNull().alias("on"))
     high, low = _hashes(F.col("host"))
     marked = marked.select(_shard(F.col("host"), shards).alias("shard"), high.alias("high"), low.alias("low"), "on")
 

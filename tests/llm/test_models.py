@@ -173,6 +173,26 @@ def test_quality_scores_of_odd_rows(spark):
     assert classifier.score_documents(table.limit(0), labels).count() == 0
 
 
+def test_a_list_much_longer_than_the_corpus(spark):
+    """Listed hosts that the corpus lacks make no shard larger."""
+    pages = spark.createDataFrame([(1, "http://h7.net/a"), (2, "http://other.net/"), (3, "x://" + "h" * 100_000 + ".net/" + "p" * 100_000)], "page_id LONG, url STRING")
+    listed = spark.range(30_000).select(F.concat(F.lit("h"), "id", F.lit(".net")).alias("host"))
+    hosts = pages.select(url_filter.split_url(F.col("url"))[0].alias("host"))
+    cascade = url_filter.build(hosts, listed, 1).collect()
+    assert [(r.level, r.size) for r in cascade][0] == (0, 64) and sum(len(r.bits) for r in cascade) < 100
+    got = {r.page_id: (r.verdict, len(r.path)) for r in url_filter.judge(pages, (), listed).collect()}
+    assert got == {1: ("block", 2), 2: ("allow", 1), 3: ("allow", 100_001)}
+
+
+def test_rules_of_equal_length(spark):
+    """The longer path decides, then the text."""
+    rules = tuple(url_filter.Rule(*r) for r in (("block", "b.aa.com", "/"), ("allow", "aa.com", "/xx"), ("block", "aa.com", "/x")))
+    pages = spark.createDataFrame([(1, "http://b.aa.com/xx"), (2, "http://b.aa.com/y"), (3, "http://aa.com/x")], "page_id LONG, url STRING")
+    none = spark.createDataFrame([], "host STRING")
+    assert {r.page_id: (r.rule, r.verdict) for r in url_filter.judge(pages, rules, none).collect()} == {
+        1: ("aa.com/xx", "allow"), 2: ("b.aa.com/", "block"), 3: ("aa.com/x", "block")}
+
+
 # --- toxicity ---------------------------------------------------------------
 
 def test_folding():
@@ -219,6 +239,76 @@ def test_signs_as_letters_and_words_parted_by_signs():
         assert toxicity.match(text, auto)[1] == hits, text
 
 
+def test_exceptions_hold_for_disguised_words():
+    auto = toxicity._automaton({"trash": 2.0, "id ": 1.0}, ("trash can",))
+    for text, hits in (("trash can", 0), ("tr\u00e1sh can", 0), ("trash c\u00e1n", 0), ("tra-sh can", 0), ("tra-sh ca.n", 0), ("trash can trash", 1), ("-- tr\u00e1sh -- can", 0),
+                       ("tr\u00e1sh cannot", 1), ("no trash, can trash", 1), ("id idle", 1), ("my trash cans", 1)):
+        assert toxicity.match(text, auto)[1] == hits, text
+
+
+def plain_lexicon(rows):
+    """Entry to weight, row by row."""
+    total = Counter(y for _, y in rows)
+    p, n = total[1], total[0]
+    seen = {y: Counter() for y in (0, 1)}
+    for text, y in rows:
+        words = set(toxicity.fold(text).split())
+        own = set()
+        for w in words:
+            own |= {w[:k] for k in range(4, 11) if len(w) >= k}
+            if len(w) < 4 or len(w) > 10:
+                own.add(w + " ")
+        seen[y].update(own)
+    kept = {}
+    for e in sorted(seen[1], key=lambda e: (len(e), e)):
+        a, b = seen[1][e], seen[0][e]
+        weight = math.log((a + 0.5) / (p + 1)) - math.log((b + 0.5) / (n + 1))
+        share = (a + b) / (p + n)
+        gain = 2 * sum(k * math.log(k / (t * s)) for k, t, s in ((a, p, share), (b, n, share), (p - a, p, 1 - share), (n - b, n, 1 - share)) if k) if share < 1 else 0
+        if a < 4 or weight < 2 or gain < 20:
+            continue
+        if weight > max((kept[e[:k]] for k in range(4, len(e)) if e[:k] in kept), default=-math.inf) + 0.7:
+            kept[e] = weight
+    return kept
+
+
+def test_toxicity_scores_equal_a_plain_version(spark):
+    rng = random.Random(8)
+    plain = [f"w{chr(97 + i)}{chr(97 + j)}{'x' * (i % 12)}" for i in range(20) for j in range(20)]
+    rows, labels = [], []
+    for i in range(500):
+        words = rng.choices(plain, k=rng.randint(5, 80))
+        if i % 3 == 0 and rng.random() < 0.9:
+            words += rng.choices(["zug", "grobnakistically", "grobnakery", "m\u00fcggle"], k=2)
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(i % 3 == 0)))
+    table = spark.createDataFrame(rows, SCHEMA)
+    got = {r.doc_id: r for r in toxicity.score_documents(table, spark.createDataFrame(labels, "doc_id LONG, toxic INT")).collect()}
+    held = {i for i, _ in rows if zlib.crc32(str(i).encode()) % 4 == 2}
+    fit = [(t, labels[i][1]) for i, t in rows if i not in held]
+    lexicon = plain_lexicon(fit)
+    assert {"zug ", "grob"} <= set(lexicon)
+    found = toxicity.learn(spark.createDataFrame(fit, "text STRING, y INT"), sum(y for _, y in fit), sum(1 - y for _, y in fit))
+    assert set(found) == set(lexicon) and all(abs(found[e] - lexicon[e]) < 1e-9 for e in found)
+
+    def shape(text):
+        line = toxicity.fold(text).split()
+        weight = 0.0
+        for w in line:
+            weight += max((v for e, v in lexicon.items() if (w + " ").startswith(e)), default=0.0)
+        return [1.0, math.log1p(weight), math.log1p(100 * weight / max(1, len(line)))]
+
+    x, y = np.array([shape(t) for t, _ in fit]), np.array([v for _, v in fit], float)
+    scores = {i: got[i].score for i, _ in rows}
+    # The scores are a logistic of the shape, at the minimum of the penalised loss.
+    logit = np.array([math.log(scores[i] / (1 - scores[i])) for i, _ in rows])
+    b, left, _, _ = np.linalg.lstsq(np.array([shape(t) for _, t in rows]), logit, rcond=None)
+    assert left.sum() < 1e-12
+    slope = x.T @ (y - 1 / (1 + np.exp(-(x @ b)))) - 0.05 * b
+    assert np.abs(slope).max() < 1e-6
+    assert {i for i in got if got[i].held_out} == held and all(r.predicted == int(r.score >= 0.3) for r in got.values())
+
+
 # --- personal data ----------------------------------------------------------
 
 PATTERNS = {
