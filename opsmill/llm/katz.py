@@ -38,8 +38,9 @@ from opsmill.llm import words
 from opsmill.session import materialise
 
 SMALL = 5  # counts up to it are lowered by the counts of counts themselves
-BLOCK_TOKENS = 3_000_000  # of texts that are packed together
-PART_TOKENS = 5_000_000  # of one part of the tables
+BLOCK_TOKENS = 5_000_000  # of texts that are packed together
+PART_TOKENS = 8_000_000  # of one part of the tables
+SLICES, AT_ONCE = 8, 2  # a part's contexts are counted in slices of their hashes, some in one reading
 HOT = 1_000_000  # occurrences from which a word or pair is treated apart
 START, END = np.uint64(0x9AE16A3B2F90404F), np.uint64(0xC949D7C7509E6557)
 PIECE, TEXTS, SUMS, PAIRS, UNSEEN, COUNTS = range(6)  # kinds of rows
@@ -97,7 +98,7 @@ class _Block:
         self.context = np.empty_like(self.word)
         self.context[1:] = self.word[:-1]
         self.context[ends - self.sizes] = START
-        self.text = np.repeat(np.arange(len(counts)), self.sizes)
+        self.text = np.repeat(np.arange(len(counts), dtype=np.int32), self.sizes)
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[_Block]:
@@ -212,12 +213,11 @@ def _cut(batches: Iterator[pa.RecordBatch], parts: int, hot: np.ndarray, hot_n:
                 take = ~settled
                 rows.append((block_id % parts, SUMS, block_id, _sums(
                     block.text[settled], hot_n[at[settled]], pairs_n[which[settled]], None, block.word[settled] == END, n)))
-        key = block.word.copy()
         with np.errstate(over="ignore"):
+            part = (words.mix(block.word) % np.uint64(parts)).astype(np.int32)
             if is_hot.any():  # dealt by its contexts
                 deal = words.mix(block.context[is_hot]) % slices[at[is_hot]].astype(np.uint64)
-                key[is_hot] = words.mix(block.word[is_hot] + deal)
-            part = (words.mix(key) % np.uint64(parts)).astype(np.int32)
+                part[is_hot] = (words.mix(words.mix(block.word[is_hot] + deal)) % np.uint64(parts)).astype(np.int32)
         part[~take] = parts
         order = np.argsort(part, kind="stable")
         edges = np.searchsorted(part[order], np.arange(parts + 1))
@@ -238,65 +238,81 @@ def _cut(batches: Iterator[pa.RecordBatch], parts: int, hot: np.ndarray, hot_n:
 
 
 class _Piece:
+    """Tokens of a block that belong to a part."""
+
     def __init__(self, packed: bytes):
         small = np.uint16 if packed[0] == 2 else np.uint32
-        self.words, context, self.at, v, text, runs, learn, n = _unpack(
+        self.words, self.contexts, self.at, self.of, text, runs, learn, n = _unpack(
             packed[1:], np.uint64, np.uint64, small, small, np.uint32, np.uint32, np.uint8, np.int64)
-        self.word, self.context = self.words[self.at], context[v]
         self.text, self.learn = np.repeat(text.astype(np.int64), runs), np.repeat(learn.astype(bool), runs)
-        self.pair, self.texts = _pair(self.context, self.word), int(n[0])
+        self.slice, self.texts = (self.contexts % np.uint64(SLICES)).astype(np.uint8)[self.of], int(n[0])
 
+    def pairs(self, some: np.ndarray) -> np.ndarray:
+        return _pair(self.contexts[self.of[some]], self.words[self.at[some]])
 
-def _settle(part: int, pieces: list[tuple[int, bytes]], uni: Discount, total: int, left: float, hot: np.ndarray, hot_n: np.ndarray) -> Iterator[tuple]:
-    """Counts of one part, and sums of its tokens by block and text."""
-    pair, word, context, times = np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    fresh: list = []
-
-    def merge():
-        nonlocal pair, word, context, times
-        pair, word, context, times = (np.concatenate(x) for x in zip((pair, word, context, times), *fresh))
-        order = np.argsort(pair, kind="stable")
-        heads = np.flatnonzero(np.append(True, pair[order][1:] != pair[order][:-1])) if len(order) else order
-        times = np.add.reduceat(times[order], heads) if len(order) else times
-        pair, word, context = pair[order[heads]], word[order[heads]], context[order[heads]]
-        fresh.clear()
 
+def _summed(parts: list[tuple[np.ndarray, ...]]) -> list[np.ndarray]:
+    """Columns of ``parts`` (key, count, others) with one row per key, in its order."""
+    key, count, *others = (np.concatenate(x) for x in zip(*parts))
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    heads = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else order
+    count = np.add.reduceat(count[order], heads) if len(key) else count
+    return [key[heads], count, *(x[order[heads]] for x in others)]
+
+
+def _settle(part: int, pieces: list[tuple[int, bytes]], uni: Discount, total: int, left: float, hot: np.ndarray, hot_n: np.ndarray) -> Iterator[tuple]:
+    """Counts of one part, and sums of its tokens by block and text. Pieces stay packed
+    and are read some times over, so that only a slice's pairs are held with their words."""
+    found = []
     for _, packed in pieces:
         piece = _Piece(packed)
-        own = np.flatnonzero(piece.learn)
-        key, at, n = np.unique(piece.pair[own], return_index=True, return_counts=True)
-        fresh.append((key, piece.word[own[at]], piece.context[own[at]], n))
-        if sum(len(f[0]) for f in fresh) > PART_TOKENS // 2:
-            merge()
-    if fresh:
-        merge()
-    known, of = np.unique(word, return_inverse=True)
-    count = np.bincount(of, times, len(known)).astype(np.int64)
-    at, is_hot = _within(hot, known)
+        n = np.bincount(piece.at[piece.learn], minlength=len(piece.words))
+        found.append((piece.words[n > 0], n[n > 0]))
+    known, count = _summed(found)
+    at, is_hot = _within(hot, known)  # counted in other parts too
     count[is_hot] = hot_n[at[is_hot]]
 
-    of_counts = np.bincount(np.minimum(times, SMALL + 2), minlength=SMALL + 3)
-    yield part, COUNTS, 0, _pack(of_counts.astype(np.int64))
-    order = np.lexsort((context, of))
-    yield part, PAIRS, 0, _pack(known, count, np.bincount(of, minlength=len(known)).astype(np.uint32), context[order], times[order].astype(np.uint64))
-    del order, of, word, context
-    share = np.log10(uni.lowered(count) / total) if len(count) else np.zeros(0)
+    tables: list[tuple[np.ndarray, np.ndarray]] = []
+    of_counts = np.zeros(SMALL + 3, np.int64)
+    for first in range(0, SLICES, AT_ONCE):
+        fresh: list[list] = [[] for _ in range(AT_ONCE)]
+        for _, packed in pieces:
+            piece = _Piece(packed)
+            for k in range(AT_ONCE):
+                own = np.flatnonzero(piece.learn & (piece.slice == first + k))
+                key, head, n = np.unique(piece.pairs(own), return_index=True, return_counts=True)
+                own = own[head]
+                fresh[k].append((key, n, piece.words[piece.at[own]], piece.contexts[piece.of[own]]))
+        for k in range(AT_ONCE):
+            pair, times, word, context = _summed(fresh[k])
+            fresh[k] = []
+            of_counts += np.bincount(np.minimum(times, SMALL + 2), minlength=SMALL + 3)
+            tables.append((pair, times))
+            if len(pair):
+                names, at = np.unique(context, return_inverse=True)
+                order = np.lexsort((at, word))
+                own, sizes = np.unique(word, return_counts=True)
+                yield part, PAIRS, 0, _pack(own, count[np.searchsorted(known, own)], sizes.astype(np.uint32), names, at[order].astype(np.uint32), times[order].astype(np.int64))
+    yield part, COUNTS, 0, _pack(of_counts)
+
     for block, packed in pieces:
         piece = _Piece(packed)
         at, there = _within(known, piece.words)
         own_count = np.where(there, count[at], 0) if len(known) else np.zeros(len(piece.words), np.int64)
-        # A hot word may be counted elsewhere only.
-        hot_at, is_hot = _within(hot, piece.words)
-        own_count[is_hot] = hot_n[hot_at[is_hot]]
-        own_share = np.where(own_count > 0, np.log10(np.maximum(uni.lowered(own_count), 1e-300) / max(total, 1)), math.log10(left))
-        if len(known):
-            own_share = np.where(there, share[at], own_share)
-        at, there = _within(pair, piece.pair)
-        seen = np.where(there, times[at], 0) if len(pair) else np.zeros(len(piece.pair), np.int64)
-        yield part, SUMS, block, _sums(piece.text, own_count[piece.at], seen, np.where(seen == 0, own_share[piece.at], 0.0), piece.word == END, piece.texts)
+        at, is_hot = _within(hot, piece.words)  # where it is learnt in other parts only
+        own_count[is_hot] = hot_n[at[is_hot]]
+        share = np.where(own_count > 0, np.log10(np.maximum(uni.lowered(own_count), 1e-300) / max(total, 1)), math.log10(left))
+        seen = np.zeros(len(piece.at), np.int64)
+        for k, (pair, times) in enumerate(tables):
+            if len(pair):
+                some = np.flatnonzero(piece.slice == k)
+                at, there = _within(pair, piece.pairs(some))
+                seen[some] = np.where(there, times[at], 0)
+        yield part, SUMS, block, _sums(piece.text, own_count[piece.at], seen, np.where(seen == 0, share[piece.at], 0.0), (piece.words == END)[piece.at], piece.texts)
         new = np.flatnonzero(seen == 0)
         if len(new):
-            yield part, UNSEEN, block, _pack(piece.context[new], piece.text[new].astype(np.uint32))
+            yield part, UNSEEN, block, _pack(piece.contexts[piece.of[new]], piece.text[new].astype(np.uint32))
 
 
 def _meet(batches: Iterator[pa.RecordBatch], *known) -> Iterator[pa.RecordBatch]:
@@ -328,30 +344,29 @@ def _unpack_counts(batches):
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(n))), pa.array(n)], names=["r", "n"])
 
 
-def _unpack_pairs(packed: bytes):
-    known, count, sizes, context, times = _unpack(packed, np.uint64, np.int64, np.uint32, np.uint64, np.uint64)
-    return np.repeat(known, sizes), np.repeat(count, sizes), context, times.astype(np.int64)
+PAIR_KINDS = (np.uint64, np.int64, np.uint32, np.uint64, np.uint32, np.int64)  # words, counts, pairs of each; contexts; of each pair, times
 
 
 def _context_sums(batches, uni: Discount, bi: Discount, total: int):
     """Per context of a part: its count, what its pairs give up, and the share of their words."""
     for batch in batches:
         for packed in batch.column(0).to_pylist():
-            _, count, context, times = _unpack_pairs(packed)
-            key, of = np.unique(context, return_inverse=True)
+            _, count, sizes, names, of, times = _unpack(packed, *PAIR_KINDS)
+            share = np.repeat(uni.lowered(count) / total, sizes)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(key.view(np.int64)), pa.array(np.bincount(of, times, len(key)).astype(np.int64)),
-                 pa.array(np.bincount(of, times - bi.lowered(times), len(key))), pa.array(np.bincount(of, uni.lowered(count) / total, len(key)))],
+                [pa.array(names.view(np.int64)), pa.array(np.bincount(of, times, len(names)).astype(np.int64)),
+                 pa.array(np.bincount(of, times - bi.lowered(times), len(names))), pa.array(np.bincount(of, share, len(names)))],
                 names=["context", "n", "given", "share"])
 
 
 def _explode_pairs(batches):
     for batch in batches:
         for packed in batch.column(0).to_pylist():
-            word, _, context, times = _unpack_pairs(packed)
+            known, _, sizes, names, of, times = _unpack(packed, *PAIR_KINDS)
+            word = np.repeat(known, sizes)
             for k in range(0, len(word), 100_000):
                 own = slice(k, k + 100_000)
-                yield pa.RecordBatch.from_arrays([pa.array(context[own].view(np.int64)), pa.array(word[own].view(np.int64)), pa.array(times[own])], names=["context", "word", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(names[of[own]].view(np.int64)), pa.array(word[own].view(np.int64)), pa.array(times[own])], names=["context", "word", "n"])
 
 
 def _explode_unseen(batches):
