@@ -1,10 +1,11 @@
 """PII: base patterns, and a character-level BiLSTM-CRF that adds spans.
 
 The tagger is fitted on windows with labelled spans. Any text position within
-reach of a digit or an at sign lies in windows that overlap by half; the
+reach of a digit, an at sign or a quoted value lies in windows that overlap by half; the
 scores of a position are averaged over its windows, and one CRF decoding over
-the whole stretch reconciles them. Text farther away has no tag but O. What the
-labels call a secret is one wherever it stands and whatever the tagger scores.
+the whole stretch reconciles them. Text farther away has no tag but O. The tagger
+finds secrets by itself; the rule that labelled them only adds those it misses, and each span
+says where it comes from (base, tagger, rule).
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ KINDS = ("email", "ip", "card", "phone")  # base kinds, in the order of listing
 TAGGED = (*KINDS, "secret")
 WIDTH, STRIDE = 64, 32
 FIT_WINDOWS, MADE_WINDOWS = 800, 600  # bounds of what the tagger is fitted on
-LEAST_SECRET = 12  # characters of a secret that no label names
+LEAST_SECRET = 12  # characters of a secret outside quotes
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -36,6 +37,7 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 # Labels: a quoted value that a name says is secret.
 _VALUE = r"[=:]\s{0,3}[\"']([^\"'\s]{8,80}+)[\"']"
 _QUOTED = re.compile(_VALUE)
+_SPOTS = re.compile(r"[0-9@]+|[=:]\s{0,3}[\"']")  # where the tagger looks
 _SECRET = re.compile(r"(?i)(?:token|secret|api_?key|password|passwd)\s{0,3}" + _VALUE)
 
 
@@ -104,7 +106,7 @@ def _window(text: str, at: int) -> tuple[str, int]:
 
 def _made(n: int) -> list[tuple[str, list[tuple[str, int, int]]]]:
     """Windows made by rule, so that each kind is known whatever the corpus
-    holds, and look-alikes (years, sizes, versions, prices) that are no spans."""
+    holds, and look-alikes (years, sizes, versions, prices, quoted words) that are no spans."""
     rng = np.random.default_rng(5)
 
     def pick(chars, a, b):
@@ -128,6 +130,9 @@ def _made(n: int) -> list[tuple[str, list[tuple[str, int, int]]]]:
         else:
             value = str(rng.choice([f"{rng.integers(1900, 2030)}", f"{pick(digits, 1, 2)}.{pick(digits, 1, 1)}", f"page {pick(digits, 1, 4)}",
                                     f"{pick(digits, 1, 3)},{pick(digits, 3, 3)}", f"{pick(digits, 13, 16)}x", f"{pick(digits, 2, 2)}:{pick(digits, 2, 2)}"]))
+        if not kind and len(out) % 12 < 6:
+            name = rng.choice(["title", "name", "label", "path", "type", "unit", "see", "class"])
+            value = f"{name}{rng.choice([' = ', ': ', '='])}\"{pick(letters, 4, 14)}{rng.choice(['', '-' + pick(letters, 3, 9)])}\""
         before = words_(int(rng.integers(0, 4)))
         before += f" {rng.choice(['token', 'secret', 'api_key', 'key'])} = \"" if kind == "secret" else " "
         text = before + value + ("\"" if kind == "secret" else "") + str(rng.choice([" ", ".\n", ", ", "### ", "*** "])) + words_(9)
@@ -137,14 +142,14 @@ def _made(n: int) -> list[tuple[str, list[tuple[str, int, int]]]]:
 
 
 def _cases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One labelled window per text that has a span or a digit, with a hash to draw by."""
+    """One labelled window per text that has a digit, an at sign or a quoted value, with a hash to draw by."""
     for batch in batches:
         hashes, texts, spans = [], [], []
         for text in batch.column(0).to_pylist():
-            if not text or not re.search("[0-9@]", text):
+            if not text or not _SPOTS.search(text):
                 continue
             h = hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest()
-            hits = [m.start() for m in re.finditer("[0-9@]+", text)]
+            hits = [m.start() for m in _SPOTS.finditer(text)]
             at = hits[h[0] % len(hits)] - 4 - h[1] % 30
             window, start = _window(text, at)
             hashes.append(int.from_bytes(h, "little", signed=True))
@@ -177,11 +182,11 @@ def train(cases: list[tuple[str, list[tuple[str, int, int]]]], epochs: int = 8)
 
 
 def _stretches(text: str) -> list[tuple[int, int]]:
-    """Parts of the window grid, in windows, that hold every digit and at sign
-    with half a window of text around it."""
+    """Parts of the window grid, in windows, that hold every digit, at sign and
+    beginning of a quoted value with half a window of text around it."""
     last = max(0, -(-(len(text) - WIDTH) // STRIDE))
     grid: list[list[int]] = []
-    for m in re.finditer("[0-9@]+", text):
+    for m in _SPOTS.finditer(text):
         a = min(last, max(0, (m.start() - STRIDE) // STRIDE))
         b = min(last, (m.end() - 1 + STRIDE // 2) // STRIDE)
         if grid and a <= grid[-1][1] + 1:
@@ -232,13 +237,26 @@ def _trusted(text: str, span: tuple[str, int, int]) -> bool:
         return 13 <= digits <= 19 and luhn(re.sub("[^0-9]", "", value))
     if kind == "phone":
         return 9 <= digits <= 15 and value[0] in "+(0123456789"
+    if _quotes(text, a, b) == (a, b):
+        return 8 <= len(value) <= 80
     return len(value) >= LEAST_SECRET and digits >= 2 and any(c.isalpha() for c in value) and not any(c.isspace() for c in value)
 
 
+def _quotes(text: str, a: int, b: int) -> tuple[int, int] | None:
+    """The quoted value behind an equals sign or colon that a span lies in."""
+    for m in _QUOTED.finditer(text, max(0, a - 90), b + 90):
+        if m.start(1) <= a and b <= m.end(1):
+            return m.span(1)
+    return None
+
+
 def _whole(text: str, span: tuple[str, int, int]) -> tuple[str, int, int]:
-    """A secret grown to the ends of its run of letters, digits and dashes."""
+    """A secret grown to the quotes it stands in, else to the ends of its run of
+    letters, digits and dashes."""
     kind, a, b = span
     if kind == "secret":
+        if found := _quotes(text, a, b):
+            return kind, *found
         while a and (text[a - 1].isalnum() or text[a - 1] in "-_"):
             a -= 1
         while b < len(text) and (text[b].isalnum() or text[b] in "-_"):
@@ -246,19 +264,16 @@ def _whole(text: str, span: tuple[str, int, int]) -> tuple[str, int, int]:
     return kind, a, b
 
 
-def find(texts: list[str], model: dict[str, np.ndarray]) -> list[list[tuple[str, int, int]]]:
-    """All spans of each text: base ones, labelled secrets that no base span
-    covers, and those of the tagger that touch none of them."""
-    out, jobs, windows = [], [], []
+def find(texts: list[str], model: dict[str, np.ndarray], rule: bool = True) -> list[list[tuple[str, int, int, str]]]:
+    """All spans (kind, start, end, origin) of each text: base ones, those of the tagger that touch
+    none of them, and, with ``rule``, labelled secrets that no span covers."""
+    out: list[list] = []
+    jobs, windows = [], []
     for i, text in enumerate(texts):
-        if not text:
-            out.append([])
-            continue
-        near = re.search("[0-9@]", text)
-        base = base_spans(text) if near else []
-        out.append(base + [s for s in secret_spans(text) if not any(a <= s[1] and s[2] <= b for _, a, b in base)])
-        if not near:
+        out.append([])
+        if not text or not _SPOTS.search(text):
             continue
+        out[i] += [(*s, "base") for s in base_spans(text)]
         for a, b in _stretches(text):
             jobs.append((i, a, len(windows), b - a + 1))
             windows += [text[k * STRIDE:k * STRIDE + WIDTH].ljust(WIDTH, "\n") for k in range(a, b + 1)]
@@ -266,6 +281,12 @@ def find(texts: list[str], model: dict[str, np.ndarray]) -> list[list[tuple[str,
                 _add(texts, model, jobs, windows, out)
                 jobs, windows = [], []
     _add(texts, model, jobs, windows, out)
+    if rule:
+        for i, text in enumerate(texts):
+            for s in secret_spans(text or ""):
+                if not any(a <= s[1] and s[2] <= b for _, a, b, _ in out[i]):
+                    # What the tagger saw of it only in part gives way to the whole.
+                    out[i] = [x for x in out[i] if x[3] != "tagger" or x[2] <= s[1] or s[2] <= x[1]] + [(*s, "rule")]
     order = {k: n for n, k in enumerate(TAGGED)}
     return [sorted(s, key=lambda x: (order[x[0]], x[1])) for s in out]
 
@@ -276,32 +297,29 @@ def _add(texts, model, jobs, windows, out) -> None:
     scores = _scores(model, windows)
     for i, first, at, n in jobs:
         for span in dict.fromkeys(_whole(texts[i], s) for s in _decode(model, texts[i], first, scores[at:at + n])):
-            if all(span[2] <= a or b <= span[1] for _, a, b in out[i]) and _trusted(texts[i], span):
-                out[i].append(span)
+            if all(span[2] <= a or b <= span[1] for _, a, b, _ in out[i]) and _trusted(texts[i], span):
+                out[i].append((*span, "tagger"))
 
 
 def detect(docs: DataFrame, model: Model, text: str = "text", out: str = "pii") -> DataFrame:
-    """``docs`` with ``out``, an array of (kind, start, end, base) in code
+    """``docs`` with ``out``, an array of (kind, start, end, base, origin) in code
     points, end exclusive, by kind and start (a column of that name is
     replaced). Null and empty texts have none; repeated rows have the same."""
     keep = [c for c in docs.columns if c != out]
     source = text if text in keep else free("body", docs.columns)
     sent = docs.sparkSession.sparkContext.broadcast(model.parameters)
-    kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("base", pa.bool_())]))
+    kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("base", pa.bool_()), ("origin", pa.string())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in words.chunks(batches, source):
             at = {f.name: i for i, f in enumerate(batch.schema)}
             texts = [t or "" for t in batch.column(at[source]).to_pylist()]
-            made = []
-            for t, spans in zip(texts, find(texts, sent.value)):
-                own = set(base_spans(t)) if spans else set()
-                made.append([{"kind": k, "start": a, "end": b, "base": (k, a, b) in own} for k, a, b in spans])
+            made = [[{"kind": k, "start": a, "end": b, "base": o == "base", "origin": o} for k, a, b, o in spans] for spans in find(texts, sent.value)]
             yield pa.RecordBatch.from_arrays([*(batch.column(at[c]) for c in keep), pa.array(made, kind)], names=[*keep, out])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in keep)
     rows = docs.select(*[F.col(f"`{c}`") for c in keep], *[F.col(f"`{text}`").alias(source)] * (source != text))
-    return rows.mapInArrow(run, f"{fields + ', ' if fields else ''}`{out}` array<struct<kind:string,start:int,end:int,base:boolean>>")
+    return rows.mapInArrow(run, f"{fields + ', ' if fields else ''}`{out}` array<struct<kind:string,start:int,end:int,base:boolean,origin:string>>")
 
 
 def mask(text, spans):

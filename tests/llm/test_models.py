@@ -1,6 +1,7 @@
 """Chat, URL, tokeniser, classifier, toxicity and PII operators."""
 
 import math
+import os
 import random
 import re
 import zlib
@@ -399,7 +400,7 @@ def test_every_labelled_secret_is_found_and_masked(spark, model, name, value):
     a, b = len(far + name) + 1, len(far + name) + 1 + len(value)
     assert pii.secret_spans(text) == [("secret", a, b)]
     [spans] = pii.find([text], model.parameters)
-    assert any(x <= a and b <= y for _, x, y in spans)
+    assert any(x <= a and b <= y for _, x, y, _ in spans)
     table = spark.createDataFrame([(1, text)], SCHEMA)
     masked = pii.detect(table, model).select(pii.mask(F.col("text"), F.col("pii"))).first()[0]
     whole = any(k != "secret" and (x, y) == (a, b) for k, x, y in pii.base_spans(text))
@@ -410,3 +411,55 @@ def test_every_labelled_secret_is_found_and_masked(spark, model, name, value):
 def test_quoted_words_that_no_name_calls_secret_stay(model):
     texts = ['the title: "introduction" of it', 'name = "frontend-service" here', 'password = "short"', 'password = "two words"', 'token = "' + "x" * 81 + '"']
     assert pii.find(texts, model.parameters) == [[]] * 5
+
+
+SF = "/root/testdata/sf0.1"
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+def test_tagger_finds_secrets_of_documents_it_was_not_fitted_on(spark):
+    """Without the rule, at least nine of ten labelled secrets, and little else."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    model = pii.fit(docs.where(~held))
+    texts = [r.text or "" for r in docs.where(held & (F.col("doc_id") < 6000)).collect()]
+    found = pii.find(texts, model.parameters, rule=False)
+    wanted = [(i, s) for i, t in enumerate(texts) for s in pii.secret_spans(t)]
+    hit = sum(any(k == "secret" and (a, b) == s[1:] for k, a, b, _ in found[i]) for i, s in wanted)
+    assert len(wanted) >= 20 and hit >= 0.9 * len(wanted)
+    made = [(i, k, a, b) for i, spans in enumerate(found) for k, a, b, origin in spans if origin == "tagger" and k == "secret"]
+    assert sum((k, a, b) in pii.secret_spans(texts[i]) for i, k, a, b in made) >= 0.9 * len(made)
+    assert {o for spans in found for *_, o in spans} <= {"base", "tagger"}
+
+
+def plain_viterbi(scores, moves):
+    """The best path by trying them all; a kind goes on (even) only after it began (odd)."""
+    from itertools import product
+
+    def worth(path):
+        return sum(scores[t, k] for t, k in enumerate(path)) + sum(moves[a, b] for a, b in zip(path, path[1:]))
+
+    def valid(path):
+        return all(k == 0 or k % 2 or (t > 0 and path[t - 1] in (k - 1, k)) for t, k in enumerate(path))
+    return max(filter(valid, product(range(scores.shape[1]), repeat=len(scores))), key=worth)
+
+
+def test_decoding_and_windows_equal_plain_versions(model):
+    rng = np.random.default_rng(3)
+    for n in (1, 2, 5):
+        scores, moves = rng.normal(size=(n, 5)).astype(np.float32), rng.normal(size=(5, 5)).astype(np.float32)
+        assert tuple(tagger.viterbi(scores, moves)) == plain_viterbi(scores, moves)
+    # Scores of a place: the mean over its windows, those near an edge counting less.
+    windows = rng.normal(size=(3, pii.WIDTH, 11)).astype(np.float32)
+    n = 2 * pii.STRIDE + pii.WIDTH
+    total, weight = np.zeros((n, 11)), np.zeros(n)
+    for k, w in enumerate(windows):
+        for t in range(pii.WIDTH):
+            u = min(t + 1, pii.WIDTH - t)
+            total[k * pii.STRIDE + t] += u * w[t]
+            weight[k * pii.STRIDE + t] += u
+    tags = tagger.viterbi((total / weight[:, None]).astype(np.float32), model.parameters["T"]).tolist()
+    spans = pii._decode(model.parameters, "a" * n, 0, windows)
+    begun = [t for t in range(n) if tags[t] % 2 == 1]
+    assert [a for _, a, _ in spans] == begun and all(pii.TAGGED[(tags[a] - 1) // 2] == k for k, a, _ in spans)
+    assert all(tags[t] == tags[a] + 1 for _, a, b in spans for t in range(a + 1, b))
