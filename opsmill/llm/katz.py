@@ -38,8 +38,9 @@ from opsmill.llm import words
 from opsmill.session import materialise
 
 SMALL = 5  # counts up to it are lowered by the counts of counts themselves
-BLOCK_TOKENS = 5_000_000  # of texts that are packed together
-PART_TOKENS = 8_000_000  # of one part of the tables
+BLOCK_TOKENS = 2_000_000  # of texts that are packed together
+READ_BYTES = 1 << 20  # of text tokenised at a time
+PART_TOKENS = 4_000_000  # of one part of the tables
 SLICES, AT_ONCE = 8, 2  # a part's contexts are counted in slices of their hashes, some in one reading
 HOT = 1_000_000  # occurrences from which a word or pair is treated apart
 START, END = np.uint64(0x9AE16A3B2F90404F), np.uint64(0xC949D7C7509E6557)
@@ -103,15 +104,16 @@ class _Block:
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[_Block]:
     parts, size = [], 0
-    for batch in words.chunks(batches):
+    for batch in words.chunks(batches, most=READ_BYTES):
         at = {f.name: i for i, f in enumerate(batch.schema)}
         own = words.Words(batch.column(at["text"]), lower=True)
         learn = ~np.asarray(batch.column(at["held_out"])).astype(bool)
         parts.append((batch.column(at["id"]), learn, own.hashes(), own.counts))
         size += len(own) + batch.num_rows
         if size >= BLOCK_TOKENS:
-            yield _Block(parts)
+            block = _Block(parts)
             parts, size = [], 0
+            yield block
     if parts:
         yield _Block(parts)
 
@@ -147,19 +149,34 @@ def _pair(context: np.ndarray, word: np.ndarray) -> np.ndarray:
 
 
 def _pack(*arrays: np.ndarray) -> bytes:
-    raw = np.array([len(a) for a in arrays], np.int64).tobytes() + b"".join(a.tobytes() for a in arrays)
+    """Arrays as zstd bytes, first bytes of all values first: high bytes are much alike."""
+    raw = np.array([len(a) for a in arrays], np.int64).tobytes() + b"".join(
+        np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T.tobytes() for a in arrays)
     return np.int64(len(raw)).tobytes() + pa.compress(raw, "zstd", asbytes=True)
 
 
 def _unpack(packed: bytes, *kinds) -> list[np.ndarray]:
     raw = pa.decompress(packed[8:], int(np.frombuffer(packed[:8], np.int64)[0]), "zstd", asbytes=True)
     sizes, at, out = np.frombuffer(raw, np.int64, len(kinds)), 8 * len(kinds), []
-    for n, kind in zip(sizes.tolist(), kinds):
-        out.append(np.frombuffer(raw, kind, n, at))
-        at += n * np.dtype(kind).itemsize
+    for n, kind in zip(sizes.tolist(), map(np.dtype, kinds)):
+        planes = np.frombuffer(raw, np.uint8, n * kind.itemsize, at).reshape(kind.itemsize, n)
+        out.append(np.ascontiguousarray(planes.T).reshape(-1).view(kind))
+        at += n * kind.itemsize
     return out
 
 
+def _steps(values: np.ndarray, heads: np.ndarray) -> np.ndarray:
+    """Differences of values that rise from each head on, whose own value stays."""
+    out = np.diff(values, prepend=values[:1])
+    out[heads] = values[heads]
+    return out
+
+
+def _unstep(steps: np.ndarray, heads: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    total = np.cumsum(steps, dtype=np.int64)
+    return total - np.repeat(total[heads] - steps[heads], sizes)
+
+
 ROW = "part int, kind int, block long, packed binary"
 
 
@@ -226,26 +243,40 @@ def _cut(batches: Iterator[pa.RecordBatch], parts: int, hot: np.ndarray, hot_n:
             if a == b:
                 continue
             own = order[a:b]
-            word, w = np.unique(block.word[own], return_inverse=True)
-            context, v = np.unique(block.context[own], return_inverse=True)
-            small = np.uint16 if max(len(word), len(context)) <= 1 << 16 else np.uint32
-            text = block.text[own]
-            first = np.flatnonzero(np.append(True, text[1:] != text[:-1]))
-            yield _rows([(p, PIECE, block_id, np.dtype(small).itemsize.to_bytes(1, "little") + _pack(
-                word, context, w.astype(small), v.astype(small), text[first].astype(np.uint32), np.diff(np.append(first, len(own))).astype(np.uint32),
-                block.learn[text[first]].astype(np.uint8), np.array([n], np.int64)))])
+            yield _rows([(p, PIECE, block_id, _pack_piece(block.word[own], block.context[own], block.text[own], block.learn))])
         block_id += 1
 
 
+def _pack_piece(word: np.ndarray, context: np.ndarray, text: np.ndarray, learn: np.ndarray) -> bytes:
+    """Tokens of a block as runs of equal pairs, by word and context, with their texts in order."""
+    words_, w = np.unique(word, return_inverse=True)
+    contexts, v = np.unique(context, return_inverse=True)
+    pair = w * len(contexts) + v
+    order = np.argsort(pair, kind="stable")
+    pair = pair[order]
+    heads = np.flatnonzero(np.append(True, pair[1:] != pair[:-1]))
+    w, v = w[order[heads]], v[order[heads]]
+    per_word = np.bincount(w)
+    return _pack(_steps(words_, np.zeros(1, np.int64)), _steps(contexts, np.zeros(1, np.int64)), per_word.astype(np.uint32),
+                 _steps(v, np.cumsum(per_word) - per_word).astype(np.uint32), np.diff(np.append(heads, len(word))).astype(np.uint32),
+                 _steps(text[order], heads).astype(np.uint32), np.packbits(learn), np.array([len(learn)], np.int64))
+
+
 class _Piece:
-    """Tokens of a block that belong to a part."""
+    """Tokens of a block that belong to a part: per run of equal pairs the word, the context and
+    how many of its tokens are learnt from; per token its run and text."""
 
     def __init__(self, packed: bytes):
-        small = np.uint16 if packed[0] == 2 else np.uint32
-        self.words, self.contexts, self.at, self.of, text, runs, learn, n = _unpack(
-            packed[1:], np.uint64, np.uint64, small, small, np.uint32, np.uint32, np.uint8, np.int64)
-        self.text, self.learn = np.repeat(text.astype(np.int64), runs), np.repeat(learn.astype(bool), runs)
-        self.slice, self.texts = (self.contexts % np.uint64(SLICES)).astype(np.uint8)[self.of], int(n[0])
+        words_, contexts, per_word, v, runs, text, learn, n = _unpack(
+            packed, np.uint64, np.uint64, np.uint32, np.uint32, np.uint32, np.uint32, np.uint8, np.int64)
+        self.words, self.contexts, self.texts = np.cumsum(words_, dtype=np.uint64), np.cumsum(contexts, dtype=np.uint64), int(n[0])
+        self.at = np.repeat(np.arange(len(self.words)), per_word)
+        self.of = _unstep(v.astype(np.int64), np.cumsum(per_word) - per_word, per_word)
+        heads = np.cumsum(runs, dtype=np.int64) - runs
+        self.runs, self.run = runs, np.repeat(np.arange(len(runs)), runs)
+        self.text = _unstep(text.astype(np.int64), heads, runs)
+        self.n = np.add.reduceat(np.unpackbits(learn, count=self.texts)[self.text].astype(np.int64), heads)
+        self.slice = (self.contexts % np.uint64(SLICES)).astype(np.uint8)[self.of]
 
     def pairs(self, some: np.ndarray) -> np.ndarray:
         return _pair(self.contexts[self.of[some]], self.words[self.at[some]])
@@ -267,7 +298,7 @@ def _settle(part: int, pieces: list[tuple[int, bytes]], uni: Discount, total: in
     found = []
     for _, packed in pieces:
         piece = _Piece(packed)
-        n = np.bincount(piece.at[piece.learn], minlength=len(piece.words))
+        n = np.bincount(piece.at, piece.n, len(piece.words)).astype(np.int64)
         found.append((piece.words[n > 0], n[n > 0]))
     known, count = _summed(found)
     at, is_hot = _within(hot, known)  # counted in other parts too
@@ -280,10 +311,8 @@ def _settle(part: int, pieces: list[tuple[int, bytes]], uni: Discount, total: in
         for _, packed in pieces:
             piece = _Piece(packed)
             for k in range(AT_ONCE):
-                own = np.flatnonzero(piece.learn & (piece.slice == first + k))
-                key, head, n = np.unique(piece.pairs(own), return_index=True, return_counts=True)
-                own = own[head]
-                fresh[k].append((key, n, piece.words[piece.at[own]], piece.contexts[piece.of[own]]))
+                own = np.flatnonzero((piece.n > 0) & (piece.slice == first + k))
+                fresh[k].append((piece.pairs(own), piece.n[own], piece.words[piece.at[own]], piece.contexts[piece.of[own]]))
         for k in range(AT_ONCE):
             pair, times, word, context = _summed(fresh[k])
             fresh[k] = []
@@ -293,7 +322,9 @@ def _settle(part: int, pieces: list[tuple[int, bytes]], uni: Discount, total: in
                 names, at = np.unique(context, return_inverse=True)
                 order = np.lexsort((at, word))
                 own, sizes = np.unique(word, return_counts=True)
-                yield part, PAIRS, 0, _pack(own, count[np.searchsorted(known, own)], sizes.astype(np.uint32), names, at[order].astype(np.uint32), times[order].astype(np.int64))
+                start = np.zeros(1, np.int64)
+                yield part, PAIRS, 0, _pack(_steps(own, start), count[np.searchsorted(known, own)], sizes.astype(np.uint32), _steps(names, start),
+                                            _steps(at[order], np.cumsum(sizes) - sizes).astype(np.uint32), times[order].astype(np.int64))
     yield part, COUNTS, 0, _pack(of_counts)
 
     for block, packed in pieces:
@@ -309,21 +340,26 @@ def _settle(part: int, pieces: list[tuple[int, bytes]], uni: Discount, total: in
                 some = np.flatnonzero(piece.slice == k)
                 at, there = _within(pair, piece.pairs(some))
                 seen[some] = np.where(there, times[at], 0)
-        yield part, SUMS, block, _sums(piece.text, own_count[piece.at], seen, np.where(seen == 0, share[piece.at], 0.0), (piece.words == END)[piece.at], piece.texts)
+        of = piece.at[piece.run]
+        times = seen[piece.run]
+        yield part, SUMS, block, _sums(piece.text, own_count[of], times, np.where(times == 0, share[of], 0.0), (piece.words == END)[of], piece.texts)
         new = np.flatnonzero(seen == 0)
         if len(new):
-            yield part, UNSEEN, block, _pack(piece.contexts[piece.of[new]], piece.text[new].astype(np.uint32))
+            yield part, UNSEEN, block, _pack(piece.contexts[piece.of[new]], piece.runs[new], piece.text[times == 0].astype(np.uint32))
 
 
 def _meet(batches: Iterator[pa.RecordBatch], *known) -> Iterator[pa.RecordBatch]:
     """All parts; rows come sorted by part. Pieces are held packed."""
     now, pieces = None, []
     for batch in batches:
-        for part, kind, block, packed in zip(*(batch.column(i).to_pylist() for i in range(4))):
+        heads = zip(*(batch.column(i).to_pylist() for i in range(3)))
+        for i, (part, kind, block) in enumerate(heads):
+            packed = batch.column(3)[i].as_py()
             if part != now and pieces:
                 for row in _settle(now, pieces, *known):
                     yield _rows([row])
                 pieces = []
+                pa.default_memory_pool().release_unused()
             now = part
             if kind == PIECE:
                 pieces.append((block, packed))
@@ -344,14 +380,18 @@ def _unpack_counts(batches):
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(n))), pa.array(n)], names=["r", "n"])
 
 
-PAIR_KINDS = (np.uint64, np.int64, np.uint32, np.uint64, np.uint32, np.int64)  # words, counts, pairs of each; contexts; of each pair, times
+def _unpack_pairs(packed: bytes):
+    """Of a slice: words, their counts and numbers of pairs; contexts; of each pair the context and its times."""
+    known, count, sizes, names, of, times = _unpack(packed, np.uint64, np.int64, np.uint32, np.uint64, np.uint32, np.int64)
+    of = _unstep(of.astype(np.int64), np.cumsum(sizes) - sizes, sizes)
+    return np.cumsum(known, dtype=np.uint64), count, sizes, np.cumsum(names, dtype=np.uint64), of, times
 
 
 def _context_sums(batches, uni: Discount, bi: Discount, total: int):
     """Per context of a part: its count, what its pairs give up, and the share of their words."""
     for batch in batches:
         for packed in batch.column(0).to_pylist():
-            _, count, sizes, names, of, times = _unpack(packed, *PAIR_KINDS)
+            _, count, sizes, names, of, times = _unpack_pairs(packed)
             share = np.repeat(uni.lowered(count) / total, sizes)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(names.view(np.int64)), pa.array(np.bincount(of, times, len(names)).astype(np.int64)),
@@ -362,7 +402,7 @@ def _context_sums(batches, uni: Discount, bi: Discount, total: int):
 def _explode_pairs(batches):
     for batch in batches:
         for packed in batch.column(0).to_pylist():
-            known, _, sizes, names, of, times = _unpack(packed, *PAIR_KINDS)
+            known, _, sizes, names, of, times = _unpack_pairs(packed)
             word = np.repeat(known, sizes)
             for k in range(0, len(word), 100_000):
                 own = slice(k, k + 100_000)
@@ -372,8 +412,9 @@ def _explode_pairs(batches):
 def _explode_unseen(batches):
     for batch in batches:
         for block, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            context, text = _unpack(packed, np.uint64, np.uint32)
-            yield pa.RecordBatch.from_arrays([pa.array(context.view(np.int64)), pa.array(np.full(len(text), block)), pa.array(text.astype(np.int64))], names=["context", "block", "text"])
+            context, runs, text = _unpack(packed, np.uint64, np.uint32, np.uint32)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(context, runs).view(np.int64)), pa.array(np.full(len(text), block)), pa.array(text.astype(np.int64))], names=["context", "block", "text"])
 
 
 def _add_up(batches, bi: Discount):
