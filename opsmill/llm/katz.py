@@ -220,7 +220,8 @@ def _cut(batches: Iterator[pa.RecordBatch], parts: int, hot: np.ndarray, hot_n:
     for block in _blocks(batches):
         n = len(block.sizes)
         ids = block.ids
-        rows = [(block_id % parts, TEXTS, block_id, _pack(
+        home = int(words.mix(np.array([block_id], np.uint64))[0] % np.uint64(parts))
+        rows = [(home, TEXTS, block_id, _pack(
             np.asarray(ids.fill_null(0)).astype(np.int64), np.asarray(ids.is_null()).astype(np.uint8), (~block.learn).astype(np.uint8), block.sizes.astype(np.int64)))]
         at, is_hot = _within(hot, block.word)
         take = np.ones(len(block.word), bool)
@@ -228,7 +229,7 @@ def _cut(batches: Iterator[pa.RecordBatch], parts: int, hot: np.ndarray, hot_n:
             which, settled = _within(pairs, _pair(block.context, block.word))
             if settled.any():
                 take = ~settled
-                rows.append((block_id % parts, SUMS, block_id, _sums(
+                rows.append((home, SUMS, block_id, _sums(
                     block.text[settled], hot_n[at[settled]], pairs_n[which[settled]], None, block.word[settled] == END, n)))
         with np.errstate(over="ignore"):
             part = (words.mix(block.word) % np.uint64(parts)).astype(np.int32)
