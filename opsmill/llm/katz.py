@@ -40,7 +40,7 @@ from opsmill.session import materialise
 SMALL = 5  # counts up to it are lowered by the counts of counts themselves
 BLOCK_TOKENS = 2_000_000  # of texts that are packed together
 READ_BYTES = 1 << 20  # of text tokenised at a time
-PART_TOKENS = 4_000_000  # of one part of the tables
+PART_TOKENS = 2_500_000  # of one part of the tables
 SLICES, AT_ONCE = 8, 2  # a part's contexts are counted in slices of their hashes, some in one reading
 HOT = 1_000_000  # occurrences from which a word or pair is treated apart
 START, END = np.uint64(0x9AE16A3B2F90404F), np.uint64(0xC949D7C7509E6557)
@@ -503,7 +503,8 @@ def learn_and_score(docs: DataFrame, doc: str = "doc_id", text: str = "text") ->
 
     parts = max(1, -(-total * 7 // (6 * PART_TOKENS)))
     cut = rows.mapInArrow(lambda b: _cut(b, parts, hot, hot_n, pairs, pairs_n), ROW)
-    met = cut.repartition(F.col("part")).sortWithinPartitions("part").mapInArrow(lambda b: _meet(b, uni, total, left, hot, hot_n), ROW)
+    # Several times as many partitions as parts, so that few get more than one.
+    met = cut.repartition(3 * parts, F.col("part")).sortWithinPartitions("part").mapInArrow(lambda b: _meet(b, uni, total, left, hot, hot_n), ROW)
     met = materialise(met.drop("part"), "pairs")
 
     of_counts = met.where(F.col("kind") == COUNTS).select("packed").mapInArrow(_unpack_counts, "r long, n long")
