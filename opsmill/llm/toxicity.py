@@ -177,9 +177,15 @@ def _automaton(lexicon: dict[str, float], exceptions: tuple[str, ...]) -> ahocor
     return auto
 
 
-def match(text: str | None, auto: ahocorasick.Automaton | None) -> tuple[int, int, float]:
+def _may_except(text: str, phrases: tuple[str, ...]) -> bool:
+    """Whether a folded phrase stands in the text once all words have lost accents and signs."""
+    bare = _bare(text)
+    return any(p in line for line in (fold(bare), fold(bare.translate(NO_SIGNS))) for p in phrases)
+
+
+def match(text: str | None, auto: ahocorasick.Automaton | None, phrases: tuple[str, ...] | None = None) -> tuple[int, int, float]:
     """(words, hits, summed weight): the heaviest entry at each word, but none
-    that begins inside an exception phrase."""
+    that begins inside an exception phrase. ``phrases``: the folded ones of ``auto``."""
     line = fold(text)
     if not line:
         return 0, 0, 0.0
@@ -198,7 +204,10 @@ def match(text: str | None, auto: ahocorasick.Automaton | None) -> tuple[int, in
         return line.count(" ") - 1, 0, 0.0
     chunks = _plain(text).split()
     masked = _masked(chunks, auto)
-    clear = _excepted(chunks, auto) if found or masked else set()
+    if phrases is None:
+        phrases = tuple(key for key, (_, weight) in auto.items() if weight < 0)
+    # Words are read one by one only where a phrase is there at all.
+    clear = _excepted(chunks, auto) if (found or masked) and _may_except(_plain(text), phrases) else set()
     if clear:
         at, gone = 0, []
         for i, chunk in enumerate(chunks):
@@ -218,9 +227,10 @@ def measure(docs: DataFrame, lexicon: dict[str, float], exceptions: tuple[str, .
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         auto = _automaton(lexicon, exceptions)
+        phrases = tuple(filter(None, map(fold, exceptions)))
         for batch in batches:
             at = {f.name: i for i, f in enumerate(batch.schema)}
-            made = [match(t, auto) for t in batch.column(at[text]).to_pylist()]
+            made = [match(t, auto, phrases) for t in batch.column(at[text]).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(at[c]) for c in keep), *(pa.array([m[i] for m in made], kind) for i, kind in enumerate((pa.int64(), pa.int64(), pa.float64())))],
                 names=[*keep, "n_words", "n_hits", "weight"])
