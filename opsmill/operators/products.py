@@ -61,15 +61,18 @@ def attribute_products(products: DataFrame, attributes: DataFrame, required: Seq
 
 
 def order_conflicts(lines: DataFrame, facts: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Ingredient pairs bought in one order. Each order shrinks to its distinct
-    ingredients; a pair then meets its partner by key, so no order is joined
-    with itself row by row. ``pairs`` is (first, second, severity)."""
+    """Ingredient pairs bought in one order. Each order shrinks to the number of
+    products per ingredient that occurs in a pair, kept as a map, in which every first ingredient looks up its
+    second: the lines are read once and no order is joined with itself.
+    ``pairs`` is (first, second, severity)."""
+    listed = pairs.select(F.explode(F.array("first", "second")).alias("ingredient")).distinct()
     used = (lines.select("order_id", "product_id").distinct()
-            .join(product_ingredients(facts), "product_id")
+            .join(product_ingredients(facts).join(F.broadcast(listed), "ingredient", "left_semi"), "product_id")
             .groupBy("order_id", "ingredient").agg(F.count("*").alias("n")))
-    first = used.select("order_id", F.col("ingredient").alias("first"), F.col("n").alias("n_first")).join(pairs, "first")
-    second = used.select("order_id", F.col("ingredient").alias("second"), F.col("n").alias("n_second"))
-    return first.join(second, ["order_id", "second"]).select(
+    held = used.filter(F.col("order_id").isNotNull()).groupBy("order_id").agg(
+        F.map_from_entries(F.collect_list(F.struct("ingredient", "n"))).alias("held"))
+    first = held.select("order_id", "held", F.explode("held").alias("first", "n_first")).join(pairs, "first")
+    return first.withColumn("n_second", F.try_element_at("held", F.col("second"))).filter(F.col("n_second").isNotNull()).select(
         "order_id", "first", "second", "severity", "n_first", "n_second")
 
 

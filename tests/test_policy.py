@@ -268,3 +268,27 @@ def test_evidence_is_looked_up_once_per_text(spark):
     assert len(got) == 6 and all(len(r.evidence) == 1 and r.evidence[0].text_preview == r.request_text for r in got.values())
     assert got[0].order is None and got[0].customer is None and got[0].product.name == "Mask"
     assert got[1].product is None and got[1].customer.state == "TX" and got[1].order.carrier == "UPS" and got[1].decision == "approve"
+
+
+def test_order_conflicts_read_the_lines_once(spark, tmp_path, capsys):
+    spark.createDataFrame([(1, 1), (1, 2), (1, 2), (1, 3), (2, 1), (3, 2), (None, 1), (None, 2)], "order_id LONG, product_id LONG").write.parquet(str(tmp_path / "lines"))
+    facts = spark.createDataFrame([(1, [("a", 1.0), ("x", 1.0)]), (2, [("b", 1.0), (None, 1.0)]), (3, [("b", 2.0), ("a", 1.0)])],
+                                  "product_id LONG, ingredients ARRAY<STRUCT<ingredient: STRING, concentration: DOUBLE>>")
+    pairs = spark.createDataFrame([("a", "b", "high"), ("b", "a", "low"), ("a", "c", "low")], "first STRING, second STRING, severity STRING")
+    df = products.order_conflicts(spark.read.parquet(str(tmp_path / "lines")), facts, pairs)
+    assert sorted(map(tuple, df.collect())) == [(1, "a", "b", "high", 2, 2), (1, "b", "a", "low", 2, 2)]
+    capsys.readouterr()
+    df.explain("simple")
+    assert capsys.readouterr().out.split("== Initial Plan ==")[-1].count("FileScan parquet") == 1
+
+
+def test_order_lines_go_to_tasks_of_bounded_size(spark, monkeypatch):
+    """Merged partitions of 64 MB would put all of them into one task."""
+    from opsmill.plans import registry
+    lines = spark.range(1000).selectExpr("if(id % 50 = 0, null, id div 4) AS l_orderkey", "id AS l_linenumber")
+    assert registry.dealt(lines, "l_orderkey") is None
+    monkeypatch.setattr(registry, "LINES_PER_TASK", 20)
+    parts = registry.dealt(lines, "l_orderkey")
+    joined = parts.join(spark.range(250).withColumnRenamed("id", "l_orderkey").hint("merge"), "l_orderkey")
+    rows = joined.dropDuplicates().groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in rows) == 980 and len(rows) > 40 and max(r["count"] for r in rows) < 100
