@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from opsmill.functions.columns import strip
 from opsmill.functions.text import TOKEN, preview, split_literal, token_count, words
-from opsmill.operators.embedding import neighbour_distances, token_slots
+from opsmill.operators.embedding import feature_tokens, neighbour_distances
 
 SEPARATORS = ("\n\n", "\n", ". ", " ", "")
 
@@ -177,8 +177,8 @@ def with_sentences(docs: DataFrame, dim: int = 64, buffer: int = 1) -> DataFrame
     A document is one row, so nothing is shuffled."""
     sentences = F.filter(F.split("text", r"(?<=[.?!])\s+"), lambda x: x != "")
     df = docs.withColumn("_sentences", sentences)
-    slots = F.transform("_sentences", lambda x: token_slots(x, dim))
-    distances = F.transform(neighbour_distances(slots, dim, buffer), lambda x: F.round(x, 9))
+    lists = F.transform("_sentences", feature_tokens)
+    distances = F.transform(neighbour_distances(lists, dim, buffer), lambda x: F.round(x, 9))
     return df.withColumn("_distances", distances)
 
 
