@@ -244,3 +244,59 @@ def test_pair_ids_are_unique(spark):
     table = spark.createDataFrame(pairs, "doc_id LONG, chunk_index LONG")
     got = {(r[0], r[1]): r[2] for r in table.select("doc_id", "chunk_index", text_queries.pair_id("doc_id", "chunk_index", 10)).collect()}
     assert len(set(got.values())) == len(pairs) and all(got[a, b] == 10 * a + b for a, b in pairs if a >= 0 and 0 <= b < 10)
+
+
+def test_many_queries_meet_the_corpus_in_rounds_without_copies(spark, corpus, queries, monkeypatch):
+    """Neither side is shuffled to the other: what is written is the corpus, the queries and k hits per query and task."""
+    made = []
+    monkeypatch.setattr(retrieval, "MAX_SENT_QUERIES", 1)
+    monkeypatch.setattr(retrieval, "materialise", lambda df, name: made.append((name, df)) or df.localCheckpoint())
+    want = {q: ranked(d, 3) for q, d in distances(corpus[1], queries[1]).items()}
+    found = retrieval.nearest(corpus[1], queries[1].select("query_id", "vec"), "id", 3)
+    assert hits(found) == want
+    rows = {name: sum(df.count() for n, df in made if n == name) for name, _ in made}
+    assert rows["corpus"] == 90 and rows["queries"] == 4 and rows["found"] <= 3 * 4 * 5
+
+
+def test_single_precision_loses_no_near_row():
+    """Distances far below the size of the vectors, copies among them."""
+    import pyarrow as pa
+    rng = np.random.default_rng(1)
+    asked = rng.normal(1000, 1, (5, 8))
+    vecs = np.vstack([asked + rng.normal(0, 1e-3, asked.shape) for _ in range(200)] + [asked])
+    table = lambda key, m: pa.table({key: pa.array(range(len(m))), "vec": pa.array(list(m), pa.list_(pa.float64()))})
+    exact = np.round(np.maximum((vecs * vecs).sum(1)[:, None] + (asked * asked).sum(1)[None] - 2 * np.einsum("ik,jk->ij", vecs, asked), 0), 6)
+    best = list(retrieval._scan(iter([table("id", vecs)]), [retrieval.Queries(table("query_id", asked))], retrieval.Scorer("l2", 3, "id")))[0].to_pydict()
+    for q in range(5):
+        got = sorted(s for i, s in zip(best["query_id"], best["score"]) if i == q)
+        assert got == pytest.approx(sorted(exact[:, q])[:3], abs=2e-6)
+
+
+def test_vectors_are_added_up_in_bounded_steps(monkeypatch):
+    import hashlib
+
+    import pyarrow as pa
+    lists = [["red", "cat"] * 40, None, [], ["é", "cat", "cat"], ["fish"], ["x"] * 9]
+    sizes, add = [], embedding._row_sums
+    monkeypatch.setattr(embedding, "TOKENS_PER_STEP", 12)
+    monkeypatch.setattr(embedding, "_row_sums", lambda part, dim: sizes.append((len(part), len(part.flatten()))) or add(part, dim))
+    got = embedding._add_up(pa.array(lists, pa.list_(pa.string())), 16).to_pylist()
+    assert all(rows == 1 or tokens <= 12 for rows, tokens in sizes) and len(sizes) > 1
+    for tokens, vec in zip(lists, got):
+        want = np.zeros(16)
+        for t in tokens or []:
+            h = hashlib.md5(t.encode()).hexdigest()
+            want[int(h[:7], 16) % 16] += 1 if h[7] < "8" else -1
+        norm = np.sqrt((want * want).sum()) or 1.0
+        assert vec == [float(x) for x in (want / norm).astype(np.float32)]
+
+
+def test_both_arms_are_embedded_from_one_pass_over_the_text(spark, monkeypatch):
+    docs = [(d, f"word{d} of text", "en", "s") for d in range(4)]
+    t = SimpleNamespace(documents=spark.createDataFrame(docs, "doc_id LONG, text STRING, lang STRING, source STRING"),
+                        benchmark=spark.createDataFrame([(1, "word1 of text")], "item_id LONG, text STRING"))
+    written = []
+    monkeypatch.setattr(text_queries, "materialise", lambda df, name: written.append(df.columns) or df.localCheckpoint())
+    got = text_queries.results(t).collect()
+    assert written == [["id", "source", "hash_64", "hash_256"]] and {r.arm for r in got} == {"hash_64", "hash_256"}
+    assert all(r.sources_match and r.top_distance == 0 for r in got)
