@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# A run of letters, digits and underscores, or one other visible character.
-TOKEN = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]"
+# A run of letters, digits and underscores, or one other visible character. \w is
+# a-z, A-Z, 0-9 and _, which are told faster than the classes that hold them.
+TOKEN = r"[\w\p{L}\p{N}]+|\S"
 
 
 def tokens(text: Column) -> Column:

@@ -16,6 +16,9 @@ from opsmill.functions.text import TOKEN, preview, split_literal, token_count, w
 from opsmill.operators.embedding import feature_tokens, neighbour_distances
 
 SEPARATORS = ("\n\n", "\n", ". ", " ", "")
+# A text may have more tokens in lower case: a dotted capital I becomes two characters. Latin letters
+# but for that one, and general punctuation, stay what they are; texts with others are counted as written.
+CASE_COUNTS = r"[\u0130\u0250-\u1FFF\u2070-\x{10FFFF}]"
 
 
 def strip_header(text: Column) -> Column:
@@ -52,27 +55,30 @@ def _split_once(pieces: Column, separator: str, level: int, size: int) -> Column
     return F.flatten(F.transform(pieces, lambda p, k: F.when(big(p), parts(p, k)).otherwise(F.array(p))))
 
 
-def _pack(pieces: Column, counts: Column, size: int, overlap: int, sep_tokens: int) -> Column:
-    """Half-open index ranges of pieces that go together.
+def _pack(pieces: Column, size: int, overlap: int, sep_tokens: int) -> Column:
+    """Half-open index ranges of pieces that go together, with their tokens and group.
 
     A range closes when the next piece would exceed ``size`` or belongs to
     another group; within a group the next range starts at the longest tail of
     the closed one that fits in ``overlap`` tokens and leaves room."""
     def tail(start, end, room):
-        def grow(acc, j):
-            total = acc["total"] + F.element_at(counts, j + 1) + F.when(acc["start"] < end, sep_tokens).otherwise(0)
+        def grow(acc, p):
+            total = acc["total"] + p["n"] + F.when(acc["start"] < end, sep_tokens).otherwise(0)
             fits = acc["open"] & (total <= overlap) & ((total + sep_tokens <= room) | (total == 0))
-            return F.when(fits, F.struct(j.alias("start"), total.alias("total"), F.lit(True).alias("open"))).otherwise(
+            return F.when(fits, F.struct((acc["start"] - 1).alias("start"), total.alias("total"), F.lit(True).alias("open"))).otherwise(
                 F.struct(acc["start"].alias("start"), acc["total"].alias("total"), F.lit(False).alias("open")))
         first = F.struct(end.alias("start"), F.lit(0).alias("total"), F.lit(True).alias("open"))
-        return F.aggregate(F.sequence(end - 1, start, F.lit(-1)), first, grow)
+        # Only the closed range is read, so that a closing costs no more than its pieces.
+        return F.aggregate(F.reverse(F.slice(pieces, start + 1, end - start)), first, grow)
+
+    def closing(s):
+        return F.array(F.struct(s["start"].alias("a"), s["i"].alias("b"), s["total"].alias("n"), s["g"].alias("g")))
 
     def add(s, p):
         held = s["i"] > s["start"]
         fresh = held & (p["g"] != s["g"])
         over = held & (s["total"] + p["n"] + sep_tokens > size)
-        closed = F.when(fresh | over, F.concat(s["out"], F.array(
-            F.struct(s["start"].alias("a"), s["i"].alias("b"))))).otherwise(s["out"])
+        closed = F.when(fresh | over, F.concat(s["out"], closing(s))).otherwise(s["out"])
         kept = (F.when(fresh, F.struct(s["i"].alias("start"), F.lit(0).alias("total"), F.lit(True).alias("open")))
                 .when(over, tail(s["start"], s["i"], F.lit(size) - p["n"]))
                 .otherwise(F.struct(s["start"].alias("start"), s["total"].alias("total"), F.lit(True).alias("open"))))
@@ -84,31 +90,33 @@ def _pack(pieces: Column, counts: Column, size: int, overlap: int, sep_tokens: i
         return F.struct(k["start"].alias("start"), total.alias("total"), (s["i"] + 1).alias("i"),
                         s["g"].alias("g"), s["out"].alias("out"))
 
-    none = F.array().cast("array<struct<a:int,b:int>>")
+    none = F.array().cast("array<struct<a:int,b:int,n:int,g:bigint>>")
     init = F.struct(F.lit(0).alias("start"), F.lit(0).alias("total"), F.lit(0).alias("i"),
                     F.lit(-1).cast("bigint").alias("g"), none.alias("out"))
     # ``add`` names the tail once so that it is computed once per closing.
     once = lambda s, p: F.element_at(F.transform(F.array(add(s, p)), settle), 1)
-    last = lambda s: F.when(s["i"] > s["start"], F.concat(s["out"], F.array(
-        F.struct(s["start"].alias("a"), s["i"].alias("b"))))).otherwise(s["out"])
+    last = lambda s: F.when(s["i"] > s["start"], F.concat(s["out"], closing(s))).otherwise(s["out"])
     return F.aggregate(pieces, init, once, last)
 
 
 def _emit(df: DataFrame, texts: Column, strategy: str, metadata: dict, trim: bool = True) -> DataFrame:
-    """One row per non-empty chunk text, numbered in order."""
+    """One row per non-empty chunk text, numbered in order. An entry of ``texts`` has the text ``t``
+    and its tokens ``n``, null where they have still to be counted."""
     meta = F.create_map(*[F.lit(str(x)) for item in metadata.items() for x in item])
-    kept = F.filter(F.transform(texts, strip) if trim else texts, lambda x: x != "")
+    # Blanks hold no tokens, so trimming leaves their number as it is.
+    kept = F.filter(F.transform(texts, lambda x: F.struct(strip(x["t"]).alias("t"), x["n"].alias("n"))) if trim else texts, lambda x: x["t"] != "")
     keep = [c for c in df.columns if c != "text" and not c.startswith("_")]
-    rows = df.select(*keep, F.posexplode(kept).alias("chunk_index", "text"))
-    return rows.withColumns({"token_count": token_count(F.col("text")),
-                             "strategy": F.lit(strategy), "metadata": meta})
+    rows = df.select(*keep, F.posexplode(kept).alias("chunk_index", "_c"))
+    return rows.select(*keep, "chunk_index", F.col("_c.t").alias("text"), F.coalesce("_c.n", token_count(F.col("_c.t"))).alias("token_count"),
+                       F.lit(strategy).alias("strategy"), meta.alias("metadata"))
 
 
-def _pack_and_emit(df: DataFrame, size: int, overlap: int, glue: str, sep_tokens: int, strategy: str) -> DataFrame:
-    counts = F.transform(F.col("_pieces"), lambda p: p["n"])
-    df = df.withColumn("_ranges", _pack(F.col("_pieces"), counts, size, overlap, sep_tokens))
-    texts = F.transform("_ranges", lambda r: F.array_join(
-        F.transform(F.slice(F.col("_pieces"), r["a"] + 1, r["b"] - r["a"]), lambda p: p["t"]), glue))
+def _pack_and_emit(df: DataFrame, size: int, overlap: int, glue: str, sep_tokens: int, strategy: str, counted) -> DataFrame:
+    """``counted`` tells of a group whether a chunk has just the tokens of its pieces."""
+    df = df.withColumn("_ranges", _pack(F.col("_pieces"), size, overlap, sep_tokens))
+    texts = F.transform("_ranges", lambda r: F.struct(
+        F.array_join(F.transform(F.slice(F.col("_pieces"), r["a"] + 1, r["b"] - r["a"]), lambda p: p["t"]), glue).alias("t"),
+        F.when(counted(r["g"]), r["n"] - (r["b"] - r["a"] - 1) * sep_tokens).alias("n")))
     return _emit(df, texts, strategy, {"chunk_size": size, "overlap": overlap})
 
 
@@ -122,7 +130,9 @@ def fixed_size(docs: DataFrame, chunk_size: int = 500, chunk_overlap: int = 50,
         raise ValueError(f"unknown mode: {mode}")
     parts = F.filter(split_literal(F.col("text"), separator), lambda x: x != "")
     df = docs.withColumn("_pieces", F.transform(parts, lambda x: _piece(x, F.lit(0).cast("bigint"))))
-    return _pack_and_emit(df, chunk_size, chunk_overlap, separator, separator_tokens, "fixed_size")
+    # Blanks between parts keep their tokens apart and have none.
+    blank = separator != "" and set(separator) <= set(" \t\n\x0b\f\r")
+    return _pack_and_emit(df, chunk_size, chunk_overlap, separator, separator_tokens, "fixed_size", lambda g: F.lit(blank))
 
 
 def token_windows(docs: DataFrame, chunk_size: int = 500, chunk_overlap: int = 50) -> DataFrame:
@@ -168,18 +178,21 @@ def recursive(docs: DataFrame, chunk_size: int = 500, chunk_overlap: int = 50,
     df = docs.withColumn("_pieces", whole)
     for level, separator in enumerate(separators, start=1):
         df = df.withColumn("_pieces", _split_once(F.col("_pieces"), separator, level, chunk_size))
-    return _pack_and_emit(df, chunk_size, chunk_overlap, "", 0, "recursive")
+    # Parts of a split begin with its separator (but the first); unless that begins with a letter
+    # or is empty, no token goes over from one to the next. Group 0 is the text itself, not counted.
+    apart = [level for level, x in enumerate(separators, start=1) if x and not (x[0].isalnum() or x[0] == "_")]
+    return _pack_and_emit(df, chunk_size, chunk_overlap, "", 0, "recursive", lambda g: F.shiftright(g, 32).isin(apart))
 
 
 def with_sentences(docs: DataFrame, dim: int = 64, buffer: int = 1) -> DataFrame:
-    """Adds ``_sentences`` and ``_distances``, the cosine distance of each
-    sentence to the next, both taken with ``buffer`` neighbours on each side.
+    """Adds ``_sentences``, ``_counts``, the lower-case tokens of each, and ``_distances``, the
+    cosine distance of each to the next, both taken with ``buffer`` neighbours on each side.
     A document is one row, so nothing is shuffled."""
     sentences = F.filter(F.split("text", r"(?<=[.?!])\s+"), lambda x: x != "")
     df = docs.withColumn("_sentences", sentences)
     lists = F.transform("_sentences", feature_tokens)
-    distances = F.transform(neighbour_distances(lists, dim, buffer), lambda x: F.round(x, 9))
-    return df.withColumn("_distances", distances)
+    df = df.withColumn("_made", neighbour_distances(lists, dim, buffer))
+    return df.withColumns({"_distances": F.transform("_made.distances", lambda x: F.round(x, 9)), "_counts": F.col("_made.counts")}).drop("_made")
 
 
 def _percentile(values: Column, share: float) -> Column:
@@ -215,7 +228,12 @@ def semantic(docs: DataFrame, threshold_type: str = "percentile", amount: float
     breaks = F.coalesce(breaks, F.array().cast("array<int>"))
     df = df.withColumn("_ranges", F.zip_with(F.concat(F.array(F.lit(0)), breaks), F.concat(breaks, F.array(F.size("_sentences"))),
                                              lambda a, b: F.struct(a.alias("a"), b.alias("b"))))
-    texts = F.transform("_ranges", lambda r: F.array_join(F.slice("_sentences", r["a"] + 1, r["b"] - r["a"]), " "))
+    def chunk(r):
+        text = F.array_join(F.slice("_sentences", r["a"] + 1, r["b"] - r["a"]), " ")
+        counted = F.aggregate(F.slice("_counts", r["a"] + 1, r["b"] - r["a"]), F.lit(0), lambda s, n: s + n)
+        return F.struct(text.alias("t"), F.when(~F.rlike(text, F.lit(CASE_COUNTS)), counted).alias("n"))
+
+    texts = F.transform("_ranges", chunk)
     return _emit(df, texts, "semantic", {"breakpoint_type": threshold_type, "breakpoint_amount": amount}, trim=False)
 
 

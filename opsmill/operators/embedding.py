@@ -35,8 +35,8 @@ def token_slots(flat: pa.Array, dim: int) -> np.ndarray:
     hex digits of its MD5 choose the slot, the eighth its sign. Slot s is
     2s for plus and 2s + 1 for minus. A token that comes again is hashed once."""
     flat = flat.cast(pa.large_binary() if pa.types.is_large_string(flat.type) else pa.binary()).dictionary_encode()
-    digits = b"".join(hashlib.md5(t).digest()[:4] for t in flat.dictionary.to_pylist())
-    heads = np.frombuffer(digits, dtype=">u4").astype(np.int64)
+    digits = b"".join([hashlib.md5(t).digest() for t in flat.dictionary.to_pylist()])
+    heads = np.frombuffer(digits, dtype=">u4")[::4].astype(np.int64)
     slots = (heads >> 4) % dim * 2 + ((heads & 15) >= 8)
     return slots[flat.indices.to_numpy(zero_copy_only=False)]
 
@@ -101,8 +101,8 @@ def embed_lists(lists: Column, dim: int = 64) -> Column:
 
 
 def neighbour_distances(lists: Column, dim: int, buffer: int) -> Column:
-    """Cosine distances between consecutive entries of an array of token lists,
-    each entry added up with ``buffer`` entries before and after it."""
+    """(distances, counts) of an array of token lists: cosine distances between consecutive
+    entries, each added up with ``buffer`` entries before and after it, and the tokens of every entry."""
     def part(documents: pa.Array) -> pa.Array:
         sizes = documents.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
         entries = documents.flatten()
@@ -117,13 +117,17 @@ def neighbour_distances(lists: Column, dim: int, buffer: int) -> Column:
         dots = (near[pairs] * near[pairs + 1]).sum(axis=1)
         values = 1.0 - np.divide(dots, size, out=np.zeros(len(size)), where=size > 0)
         offsets = np.append(0, np.cumsum(np.maximum(sizes - 1, 0))).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
+        counts = entries.value_lengths().fill_null(0).cast(pa.int32())
+        return pa.StructArray.from_arrays([pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)),
+                                           pa.ListArray.from_arrays(pa.array(np.append(0, stop).astype(np.int32)), counts)], fields=list(kind))
 
-    @F.arrow_udf("array<double>")
+    kind = pa.struct([("distances", pa.list_(pa.float64())), ("counts", pa.list_(pa.int32()))])
+
+    @F.arrow_udf("distances array<double>, counts array<int>")
     def distances(documents: pa.Array) -> pa.Array:
         # Some documents at a time, so that the sums stay small.
         ends = np.cumsum(documents.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
-        out, start = [pa.array([], pa.list_(pa.float64()))], 0
+        out, start = [pa.array([], kind)], 0
         while start < len(documents):
             base = ends[start - 1] if start else 0
             stop = max(start + 1, int(np.searchsorted(ends, base + ENTRIES_PER_STEP, side="right")))

@@ -1,10 +1,11 @@
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
-from opsmill.functions.text import token_count
+from opsmill.functions.text import token_count, tokens
 from opsmill.operators import chunking
 
 TOKEN = re.compile(r"\w+|[^\w\s]")
@@ -92,6 +93,37 @@ def test_semantic_keeps_every_sentence(spark):
         assert sum(r.doc_id == 0 for r in rows) > 1
 
 
+def test_tokens_of_chunks_are_those_of_their_text(spark):
+    rng = random.Random(8)
+    texts = ["".join(rng.choice(["a", "é_1", "İ", "Σ", "!", ".", ". ", "? ", " ", "  ", "\n", "\n\n", "\t", "w" * 9]) for _ in range(n)) for n in (0, 3, 40, 400)]
+    df = spark.createDataFrame([*enumerate(texts), (9, "ab" * 30), (10, None), (11, "İ İ. b")], "doc_id INT, text STRING")
+    made = [chunking.fixed_size(df, 7, 3, separator=s, separator_tokens=n) for s, n in (("\n", 0), (" ", 2), (".", 1), ("", 0))]
+    made += [chunking.recursive(df, 7, 3), chunking.recursive(df, 7, 3, ("\n", "a")), chunking.recursive(df, 7, 0, ("",)), chunking.semantic(df, amount=50.0)]
+    for chunks in made:
+        rows = chunks.select("text", "token_count", token_count(F.col("text")).alias("n")).collect()
+        assert len(rows) > 3 and all(r.token_count == r.n for r in rows)
+
+
+def test_packing_reads_a_piece_a_few_times_however_many_there_are(spark):
+    # Each carried tail used to read all pieces of the text for each of its own.
+    def seconds(n):
+        df = spark.createDataFrame([(1, "w " * n)], "doc_id INT, text STRING")
+        start = time.perf_counter()
+        assert chunking.recursive(df, 50, 20).agg(F.sum("token_count")).first()[0] > n
+        return time.perf_counter() - start
+
+    seconds(1000)
+    few = min(seconds(1000) for _ in range(2))
+    assert seconds(20_000) < few + 6
+
+
+def test_tokens_are_the_same_for_every_character(spark):
+    codes = [c for c in range(1, 0x30000) if not 0xD800 <= c < 0xE000]
+    df = spark.createDataFrame([("".join(f"a{chr(c)}{chr(c)} {chr(c)}a" for c in codes[i:i + 500]),) for i in range(0, len(codes), 500)], "t STRING")
+    plain = F.regexp_extract_all("t", F.lit(r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]"), F.lit(0))
+    assert df.filter(tokens(F.col("t")) != plain).count() == 0
+
+
 def test_unknown_names_raise(spark):
     df = spark.createDataFrame([(1, "x")], "doc_id INT, text STRING")
     with pytest.raises(ValueError):
