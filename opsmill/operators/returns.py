@@ -184,8 +184,10 @@ def bundle_returns(returned: DataFrame, purchases: DataFrame, components: DataFr
 
 
 def _with_product(requests: DataFrame, products: DataFrame, *columns: str) -> DataFrame:
-    """Every request with its product's columns; ``unknown_product`` where there is none."""
-    known = products.select("product_id", *columns, F.lit(True).alias("_known"))
+    """Every request with its product's columns; ``unknown_product`` where there is none. Products are
+    shuffled: of a table that compresses well Spark takes the files' size for that of the rows, and would
+    send millions of them through the driver."""
+    known = products.select("product_id", *columns, F.lit(True).alias("_known")).hint("merge")
     df = requests.join(known, "product_id", "left")
     return df.withColumn("unknown_product", F.col("_known").isNull()).drop("_known")
 
@@ -286,7 +288,7 @@ def evidence_pack(decisions: DataFrame, products: DataFrame, customers: DataFram
     requests that ask the same are looked up once, and the hits joined back."""
     def facts(table, of, name):
         rest = [c for c in table.columns if c != of]
-        return table.select(of, F.struct(*rest).alias(name))
+        return table.select(of, F.struct(*rest).alias(name)).hint("merge")
 
     asked = F.from_json("inputs", "item_condition STRING, window_rule STRING")
     df = (decisions.join(facts(products, "product_id", "product"), "product_id", "left")

@@ -717,6 +717,12 @@ def write_report(t: Tables):
         "test_id", "arm", "sources_match", F.size("retrieved").alias("n_retrieved"), "top_distance")
 
 
+def product_facts(t: Tables):
+    # Merged, as either side may be too many rows for the driver.
+    goods = t.products.select("product_id", "name", "category", "price", "stock_level")
+    return goods.join(t.raw_products.select("product_id", "discontinued").hint("merge"), "product_id")
+
+
 step("pack_facts", """
 SELECT d.*, p.name AS product_name, p.category, p.price, p.stock_level, p.discontinued, c.state, o.total_orders,
        s.order_value, s.carrier, CAST(s.ordered_at AS VARCHAR) AS ordered_at, CAST(s.delivered_on AS VARCHAR) AS delivered_on,
@@ -743,7 +749,7 @@ SELECT order_id, line_no, product_id, customer_id, decision, refund_form, approv
        state, total_orders, round(order_value, 6) AS order_value, carrier, ordered_at, delivered_on, request_text, sources, top_distance, top_preview
 FROM pack_facts LEFT JOIN e USING (request_text)""")
 def evidence(t: Tables):
-    goods = t.products.select("product_id", "name", "category", "price", "stock_level").join(t.raw_products.select("product_id", "discontinued"), "product_id")
+    goods = product_facts(t)
     people = t.customers.select("customer_id", "state").join(lookups.customer_orders(t.lines).select("customer_id", "total_orders"), "customer_id", "left")
     orders = t.shipments.select("order_id", "order_value", "carrier", "ordered_at", "delivered_on")
 

@@ -292,3 +292,22 @@ def test_order_lines_go_to_tasks_of_bounded_size(spark, monkeypatch):
     joined = parts.join(spark.range(250).withColumnRenamed("id", "l_orderkey").hint("merge"), "l_orderkey")
     rows = joined.dropDuplicates().groupBy(F.spark_partition_id()).count().collect()
     assert sum(r["count"] for r in rows) == 980 and len(rows) > 40 and max(r["count"] for r in rows) < 100
+
+
+def test_products_are_not_sent_through_the_driver(spark, tmp_path, capsys):
+    """Files of a few MB may hold millions of products; their size says little."""
+    from types import SimpleNamespace
+
+    from opsmill.plans import text_queries
+    spark.createDataFrame([(1, "Mask", "Care x", 9.0, 4, False)], "product_id LONG, name STRING, category STRING, price DOUBLE, stock_level INT, discontinued BOOLEAN").write.parquet(str(tmp_path / "goods"))
+    goods = spark.read.parquet(str(tmp_path / "goods"))
+    requests = spark.createDataFrame([(7, 1), (8, None), (9, 2)], "order_id LONG, product_id LONG")
+    found = returns._with_product(requests, goods, "discontinued")
+    assert {r.order_id: (r.discontinued, r.unknown_product) for r in found.collect()} == {7: (False, False), 8: (None, True), 9: (None, True)}
+    facts = text_queries.product_facts(SimpleNamespace(products=goods, raw_products=goods))
+    assert facts.count() == 1
+    for df in (found, facts):
+        capsys.readouterr()
+        df.explain()
+        plan = capsys.readouterr().out
+        assert "SortMergeJoin" in plan and "BroadcastExchange" not in plan
