@@ -300,3 +300,81 @@ def test_both_arms_are_embedded_from_one_pass_over_the_text(spark, monkeypatch):
     got = text_queries.results(t).collect()
     assert written == [["id", "source", "hash_64", "hash_256"]] and {r.arm for r in got} == {"hash_64", "hash_256"}
     assert all(r.sources_match and r.top_distance == 0 for r in got)
+
+
+def test_bars_and_parts_lose_no_row(spark, monkeypatch):
+    """Pilot rows, small parts and rounds, with skewed words, copies, repeated and null keys."""
+    from opsmill.operators import postings
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(60)]
+    odds = [1 / (i + 1) for i in range(60)]
+    rows = [(i, "s", " ".join(rng.choices(words, odds, k=rng.randint(1, 40)))) for i in range(400)]
+    rows += [(400 + i, "s", "w50 w1 w0") for i in range(40)]
+    asked = [(q, " ".join(rng.choices(words, odds, k=rng.randint(1, 12)))) for q in range(30)] + [(30, "w50 w1"), (31, "none"), (32, None)]
+    corpus = spark.createDataFrame(rows, "id INT, source STRING, text STRING").repartition(3).withColumn("vec", embedding.embed_tokens(F.col("text"), 16))
+    queries = spark.createDataFrame(asked, "query_id INT, text STRING").withColumn("vec", embedding.embed_tokens(F.col("text"), 16))
+    keyword = {q: ranked(bm25(rows, t or ""), 3, -1) for q, t in asked}
+    near, hybrid = distances(corpus, queries), {}
+    for q, t in asked:
+        d, s = near[q], bm25(rows, t or "")
+        lo, hi, top = min(d.values()), max(d.values()), max(s.values(), default=0)
+        hybrid[q] = ranked({i: round(0.5 * ((hi - x) / (hi - lo) if hi > lo else 1.0) + 0.5 * (s.get(i, 0) / top if top else 0), 6) for i, x in d.items()}, 3, -1)
+    for name, value in (("PILOT", 4), ("PILOT_ROWS", 20), ("MAX_SENT_QUERIES", 5)):
+        monkeypatch.setattr(retrieval, name, value)
+    monkeypatch.setattr(postings, "ENTRIES_PER_PART", 300)
+    monkeypatch.setattr(postings, "QUERIES_PER_STEP", 4)
+    assert hits(retrieval.keyword_search(corpus.select("id", "text"), queries.select("query_id", "text"), "id", 3)) == {q: w for q, w in keyword.items() if w}
+    assert hits(retrieval.hybrid_search(corpus, queries, "id", 3)) == hybrid
+
+
+def test_few_rows_are_scored_against_a_bar():
+    """Frequent terms alone lead to no row, and of many copies k are held."""
+    import pyarrow as pa
+    from opsmill.operators import postings
+    rng = np.random.default_rng(2)
+    terms = [sorted({"a", "b", f"r{rng.integers(200)}"}) for _ in range(3000)] + [["a", "b"]] * 1000
+    table = pa.table({"id": range(len(terms)), "terms": terms, "weights": [list(1 + 0.1 * rng.random(len(t))) if len(t) > 2 else [1.0, 1.0] for t in terms]})
+    asked = pa.table({"query_id": range(50), "terms": [["a", "b", f"r{q}"] for q in range(50)], "factors": [[0.2, 0.3, 5.0]] * 50})
+    made = postings.Asked(*postings.Asked.packed(asked, np.full(50, -np.inf)))
+    part = postings.Part(next(postings.parts(iter([table]), made.vocabulary, "id")), len(made.vocabulary), 3)
+    assert part.n <= 3003
+    every = list(postings.search(part, made, 3, None))
+    best = {}
+    for q, at, value in ((q, a, v) for t in every for q, a, v in zip(*t, strict=True)):
+        best.setdefault(q, []).append(value)
+    made.bars = np.array([sorted(best[q])[-3] for q in range(50)])
+    chosen = [(q, at) for q, at in postings._chosen(part, made, 3, None, None, 0, 50)]
+    assert sum(len(at) for _, at in chosen) <= 50 * 5
+    exact = {q: sorted((round(sum(f * w for t, w in zip(ts, ws) for u, f in zip(["a", "b", f"r{q}"], [0.2, 0.3, 5.0]) if t == u), 6)
+                        for ts, ws in zip(table["terms"].to_pylist(), table["weights"].to_pylist())), reverse=True)[:3] for q in range(50)}
+    got = {}
+    for q, at, value in postings.search(part, made, 3, None):
+        for i, v in zip(q, value):
+            got.setdefault(int(i), []).append(float(v))
+    assert {q: sorted(v, reverse=True)[:3] for q, v in got.items()} == {q: pytest.approx(v, abs=2e-6) for q, v in exact.items()}
+
+
+def test_tokens_are_counted_inside_their_row(spark, monkeypatch, capsys):
+    """No token is shuffled but those of rows that share their key."""
+    monkeypatch.setattr(retrieval, "TOKENS_PER_STEP", 3)
+    rows = [(1, "a b a"), (2, "c"), (3, None), (4, ""), (5, "b b b b")]
+    listed = retrieval.token_lists(spark.createDataFrame(rows, "id INT, text STRING"), "id")
+    got = {r.id: (dict(zip(r.terms, r.tf)), r.len) for r in listed.collect()}
+    assert {i: c for i, (c, _) in got.items()} == {1: {"a": 2, "b": 1}, 2: {"c": 1}, 3: {}, 4: {}, 5: {"b": 4}} and [got[i][1] for i in (1, 4, 5)] == [3, 0, 4]
+    weighted = retrieval.keyword_weights(listed, "id")
+    capsys.readouterr()
+    weighted.rows.explain()
+    assert "Exchange" not in capsys.readouterr().out and weighted.n_docs == 5
+    assert {r.term: r.df for r in weighted.frequencies.collect()} == {"a": 1, "b": 2, "c": 1}
+
+
+def test_rows_that_share_their_key_are_one_document(spark):
+    rows = [(1, "a b"), (1, "a b"), (1, "a c c"), (2, "a b"), (None, "b d"), (None, "d e"), (3, "e")]
+    listed = retrieval.token_lists(spark.createDataFrame(rows, "id INT, text STRING"), "id")
+    weighted = retrieval.keyword_weights(listed, "id")
+    assert {r.term: r.df for r in weighted.frequencies.collect()} == {"a": 3, "b": 3, "c": 1, "d": 1, "e": 2}
+    mean = 14 / 7
+    w = lambda tf, n: tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * n / mean))
+    got = {r.id: dict(zip(r.terms, r.weights)) for r in weighted.rows.collect()}
+    assert got == {1: pytest.approx({"a": w(2, 2) + w(1, 3), "b": w(2, 2), "c": w(2, 3)}), 2: pytest.approx({"a": w(1, 2), "b": w(1, 2)}),
+                   None: pytest.approx({"b": w(1, 2), "d": w(2, 2), "e": w(1, 2)}), 3: pytest.approx({"e": w(1, 1)})}
